@@ -1,8 +1,8 @@
 """Time helpers that do not depend on the session time zone.
 
 Trip timestamps are wall-clock values (``timestamp_ntz``). Epoch arithmetic
-uses ``timestampdiff`` from the NTZ epoch, so results are identical on every
-cluster whatever ``spark.sql.session.timeZone`` says.
+is built from the wall-clock fields (date, hour, minute, second), so results
+are identical on every cluster whatever ``spark.sql.session.timeZone`` says.
 """
 
 from __future__ import annotations
@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
 def _c(c) -> Column:
@@ -26,15 +25,25 @@ def parse_timestamp(c) -> Column:
     return _c(c).try_cast("timestamp_ntz")
 
 
+def _epoch_whole_seconds(ts: Column) -> Column:
+    day = F.unix_date(ts.cast("date")).cast("long")
+    return (day * F.lit(86_400) + F.hour(ts).cast("long") * F.lit(3_600)
+            + F.minute(ts).cast("long") * F.lit(60) + F.second(ts).cast("long"))
+
+
 def epoch_micros(c) -> Column:
-    """Microseconds since 1970-01-01 00:00:00 of a wall-clock timestamp."""
-    return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), _c(c))
+    """Microseconds since 1970-01-01 00:00:00 of a wall-clock (``timestamp_ntz``) value.
+
+    Built from the wall-clock fields, so no session time zone is involved.
+    """
+    ts = _c(c)
+    frac = ((F.date_part(F.lit("SECOND"), ts) * F.lit(1_000_000)).cast("long")) % F.lit(1_000_000)
+    return _epoch_whole_seconds(ts) * F.lit(1_000_000) + frac
 
 
 def epoch_seconds(c) -> Column:
-    """Whole seconds since the epoch, floored (like ``unix_seconds``)."""
-    us = epoch_micros(c)
-    return ((us - F.pmod(us, F.lit(1_000_000))) / F.lit(1_000_000)).cast("long")
+    """Whole seconds since the epoch, floored (the sub-second part is dropped)."""
+    return _epoch_whole_seconds(_c(c))
 
 
 def duration_seconds(pickup, dropoff) -> Column:

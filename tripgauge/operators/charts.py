@@ -52,26 +52,31 @@ def error_histograms(errors: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame
     return out
 
 
-def histogram_markers(errors: DataFrame, approx: bool = False) -> DataFrame:
+def histogram_markers(errors: DataFrame, approx: bool = False, qtable: DataFrame | None = None) -> DataFrame:
     """(metric, median, p90) drawn over each histogram."""
-    tb = TRIP_ID if TRIP_ID in errors.columns else None
-    stacked = errors.select(*([tb] if tb else []), F.inline(F.array(*[
-        F.struct(F.lit(m).alias("metric"), v.cast("double").alias("x")) for m, v in histogram_metrics().items()])))
-    return exact_percentiles(stacked, "x", [0.5, 0.9], by=["metric"], names=["median", "p90"],
-                             tiebreak=tb, approx=approx, max_groups=len(histogram_metrics()),
-                             name="histogram_markers")
+    from tripgauge.operators.metrics import error_quantiles
+
+    qtable = error_quantiles(errors, approx=approx) if qtable is None else qtable
+    metric = F.when(F.col("measure") == "sec", "abs_error_sec").otherwise("abs_pct_error_x100")
+    return (qtable.where(F.col("measure").isin("sec", "pct100") & (F.col("segment_type") == "overall"))
+            .select(metric.alias("metric"), F.col("q50").alias("median"), F.col("q90").alias("p90")))
 
 
 def calibration_bins(errors: DataFrame, edges: int = CALIBRATION_EDGES, q: float = CALIBRATION_QUANTILE,
-                     approx: bool = False) -> DataFrame:
+                     approx: bool = False, qtable: DataFrame | None = None) -> DataFrame:
     """(bin, n, mean_actual, mean_estimated) over ``edges - 1`` right-closed bins on (0, P_q].
 
     Actual durations of 0 or above the q-quantile fall outside every bin.
     Empty bins are kept with n = 0 and null means.
     """
     tb = TRIP_ID if TRIP_ID in errors.columns else None
-    row = exact_percentiles(errors, DURATION, [q], names=["q"], tiebreak=tb, approx=approx,
-                            name="calibration_q").collect()
+    qname = f"q{round(q * 100, 4):g}".replace(".", "_")
+    if qtable is not None and qname in qtable.columns:
+        row = (qtable.where((F.col("measure") == "duration") & (F.col("segment_type") == "overall"))
+               .select(F.col(qname).alias("q")).collect())
+    else:
+        row = exact_percentiles(errors, DURATION, [q], names=["q"], tiebreak=tb, approx=approx,
+                                name="calibration_q").collect()
     nb = edges - 1
     domain = _bin_domain(errors, nb)
     if not row or row[0]["q"] is None:

@@ -18,25 +18,37 @@ def _moving(training: DataFrame) -> DataFrame:
             .withColumn("speed_kmh", speed_kmh(DISTANCE, DURATION)))
 
 
-def median_speeds(training: DataFrame, min_trips: int = MIN_SEGMENT_TRIPS,
-                  approx: bool = False) -> DataFrame:
-    """(hour_of_day, distance_bucket, median_speed_kmh, trip_count) with >= min_trips trips."""
+def speed_medians(training: DataFrame, approx: bool = False) -> DataFrame:
+    """Median speed and trip count per (hour, bucket) and overall, in one percentile job.
+
+    Rows: (level, hour_of_day, distance_bucket, median_speed_kmh, trip_count)
+    with level 'segment' or 'overall' (segment keys null).
+    """
     moving = _moving(training)
-    counts = moving.groupBy(HOUR, BUCKET).agg(F.count(F.lit(1)).alias("trip_count"))
-    medians = exact_percentiles(moving, "speed_kmh", [0.5], by=[HOUR, BUCKET], names=["median_speed_kmh"],
-                                tiebreak=TRIP_ID if TRIP_ID in training.columns else None,
-                                approx=approx, max_groups=MAX_SEGMENTS, name="median_speeds")
-    return (counts.where(F.col("trip_count") >= min_trips).join(medians, [HOUR, BUCKET])
-            .select(HOUR, BUCKET, "median_speed_kmh", "trip_count"))
+    tb = [TRIP_ID] if TRIP_ID in training.columns else []
+    entries = F.array(
+        F.struct(F.lit("segment").alias("level"), F.col(HOUR).alias(HOUR), F.col(BUCKET).alias(BUCKET)),
+        F.struct(F.lit("overall").alias("level"), F.lit(None).cast("int").alias(HOUR),
+                 F.lit(None).cast("string").alias(BUCKET)))
+    stacked = moving.select(*tb, "speed_kmh", F.inline(entries))
+    return exact_percentiles(stacked, "speed_kmh", [0.5], by=["level", HOUR, BUCKET],
+                             names=["median_speed_kmh"], tiebreak=tb[0] if tb else None, approx=approx,
+                             max_groups=MAX_SEGMENTS + 1, count_col="trip_count", name="speed_medians")
+
+
+def median_speeds(training: DataFrame, min_trips: int = MIN_SEGMENT_TRIPS, approx: bool = False,
+                  medians: DataFrame | None = None) -> DataFrame:
+    """(hour_of_day, distance_bucket, median_speed_kmh, trip_count) with >= min_trips trips."""
+    medians = speed_medians(training, approx) if medians is None else medians
+    return (medians.where((F.col("level") == "segment") & (F.col("trip_count") >= min_trips))
+            .select(HOUR, BUCKET, "median_speed_kmh", F.col("trip_count").cast("long").alias("trip_count")))
 
 
-def global_speed(training: DataFrame, approx: bool = False) -> float | None:
+def global_speed(training: DataFrame, approx: bool = False, medians: DataFrame | None = None) -> float | None:
     """Median speed over all moving training trips (one driver scalar)."""
-    moving = _moving(training)
-    rows = exact_percentiles(moving, "speed_kmh", [0.5], names=["m"],
-                             tiebreak=TRIP_ID if TRIP_ID in training.columns else None,
-                             approx=approx, name="global_speed").collect()
-    return rows[0]["m"] if rows else None
+    medians = speed_medians(training, approx) if medians is None else medians
+    rows = medians.where(F.col("level") == "overall").select("median_speed_kmh").collect()
+    return rows[0][0] if rows else None
 
 
 def median_speed_eta(evaluation: DataFrame, speeds: DataFrame, overall: float | None) -> DataFrame:

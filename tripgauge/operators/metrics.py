@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tripgauge.functions import bucket_rank, weekday_label
 from tripgauge.operators.ranking import exact_percentiles
-from tripgauge.schema import BUCKET, DOW, HOUR, METRIC_COLUMNS, TRIP_ID, WEEKDAY_LABELS, WITHIN_THRESHOLDS
+from tripgauge.schema import BUCKET, DOW, DURATION, HOUR, METRIC_COLUMNS, TRIP_ID, WEEKDAY_LABELS, WITHIN_THRESHOLDS
 
 OVERALL = ("overall", "all")
 
@@ -36,14 +36,52 @@ def segment_long(errors: DataFrame, segments: Sequence[tuple[str, Column]] | Non
     return errors.select(*keep, "abs_error_sec", "abs_pct_error", F.inline(F.array(*entries)))
 
 
+ERROR_QUANTILES = (0.5, 0.9, 0.95)
+
+
+def _qname(q: float) -> str:
+    return f"q{round(q * 100, 4):g}".replace(".", "_")
+
+
+def error_quantiles(errors: DataFrame, segments: Sequence[tuple[str, Column]] | None = None,
+                    quantiles: Sequence[float] = ERROR_QUANTILES, approx: bool = False,
+                    max_segments: int | None = DEFAULT_MAX_SEGMENTS) -> DataFrame:
+    """All order statistics over the error rows from ONE distributed sort.
+
+    Rows (measure, segment_type, segment_value, q50, q90, q95):
+    ``sec`` (abs_error_sec) and ``pct`` (abs_pct_error) for overall and every
+    segment; ``pct100`` (abs_pct_error * 100) and ``duration`` (actual
+    seconds) overall only - the histogram markers and the calibration range.
+    """
+    segments = default_segments() if segments is None else segments
+    seg_keys = [(F.lit(OVERALL[0]), F.lit(OVERALL[1]))] + [
+        (F.lit(name), expr.cast("string")) for name, expr in segments]
+    entry = lambda m, t, v, x: F.struct(F.lit(m).alias("measure"), t.alias("segment_type"),
+                                        v.alias("segment_value"), x.cast("double").alias("x"))
+    entries = []
+    for t, v in seg_keys:
+        entries.append(entry("sec", t, v, F.col("abs_error_sec")))
+        entries.append(entry("pct", t, v, F.col("abs_pct_error")))
+    ot, ov = seg_keys[0]
+    entries.append(entry("pct100", ot, ov, F.col("abs_pct_error") * F.lit(100.0)))
+    entries.append(entry("duration", ot, ov, F.col(DURATION)))
+    tb = [TRIP_ID] if TRIP_ID in errors.columns else []
+    stacked = errors.select(*tb, F.inline(F.array(*entries)))
+    groups = None if max_segments is None else 2 * max_segments + 2
+    return exact_percentiles(stacked, "x", quantiles, by=["measure", "segment_type", "segment_value"],
+                             names=[_qname(q) for q in quantiles], tiebreak=tb[0] if tb else None,
+                             approx=approx, max_groups=groups, name="error_quantiles")
+
+
 def segment_metrics(errors: DataFrame, segments: Sequence[tuple[str, Column]] | None = None,
                     quantiles: Sequence[float] = (0.5, 0.9), within: Sequence[float] = WITHIN_THRESHOLDS,
-                    approx: bool = False, max_segments: int | None = DEFAULT_MAX_SEGMENTS) -> DataFrame:
+                    approx: bool = False, max_segments: int | None = DEFAULT_MAX_SEGMENTS,
+                    qtable: DataFrame | None = None) -> DataFrame:
     """The 11-column metric rows for 'overall' and every segmentation.
 
     Means, counts and within-threshold rates are one partial/final
-    aggregation; the medians and P90s of both error measures are one exact
-    distributed percentile job over (measure, segment) groups.
+    aggregation over the Expand of the error rows; medians and P90s come from
+    ``error_quantiles`` (pass ``qtable`` to reuse one already computed).
     """
     if segments is not None and max_segments == DEFAULT_MAX_SEGMENTS:
         max_segments = None
@@ -55,22 +93,15 @@ def segment_metrics(errors: DataFrame, segments: Sequence[tuple[str, Column]] |
         F.avg("abs_error_sec").alias("mae_sec"),
         F.avg("abs_pct_error").alias("mae_pct"),
         *[rate(t).alias(f"pct_within_{int(round(t * 100))}pct") for t in within])
-    measures = F.array(F.struct(F.lit("sec").alias("measure"), F.col("abs_error_sec").alias("x")),
-                       F.struct(F.lit("pct").alias("measure"), F.col("abs_pct_error").alias("x")))
-    tb = [TRIP_ID] if TRIP_ID in long.columns else []
-    stacked = long.select(*keys, *tb, F.inline(measures))
-    qnames = [f"q{i}" for i in range(len(quantiles))]
-    pct = exact_percentiles(stacked, "x", quantiles, by=["measure", *keys], names=qnames,
-                            tiebreak=tb[0] if tb else None, approx=approx,
-                            max_groups=None if max_segments is None else 2 * max_segments,
-                            name="segment_percentiles")
+    if qtable is None or any(_qname(q) not in qtable.columns for q in quantiles):
+        qtable = error_quantiles(errors, segments, quantiles, approx, max_segments)
     labels = {0.5: "medae", 0.9: "p90_abs_error"}
     cols = []
     for m in ("sec", "pct"):
-        for q, qn in zip(quantiles, qnames):
-            label = labels.get(q, f"p{int(round(q * 100))}_abs_error")
-            cols.append(F.max(F.when(F.col("measure") == m, F.col(qn))).alias(f"{label}_{m}"))
-    wide = pct.groupBy(*keys).agg(*cols)
+        for q in quantiles:
+            label = labels.get(q, f"p{round(q * 100, 4):g}_abs_error")
+            cols.append(F.max(F.when(F.col("measure") == m, F.col(_qname(q)))).alias(f"{label}_{m}"))
+    wide = qtable.where(F.col("measure").isin("sec", "pct")).groupBy(*keys).agg(*cols)
     out = basic.join(wide, keys, "left")
     ordered = [c for c in METRIC_COLUMNS if c in out.columns]
     return out.select(*ordered, *[c for c in out.columns if c not in ordered])

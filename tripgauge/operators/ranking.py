@@ -51,17 +51,21 @@ def _partition_offsets(t: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def row_numbers(df: DataFrame, order: Sequence[Column | str], id_col: str,
-                start: int = 1, name: str = "numbered") -> DataFrame:
+                 start: int = 1, name: str = "numbered") -> DataFrame:
     """Append ``id_col`` = position in ``order`` (ascending, from ``start``).
 
     ``order`` must end with a unique tie-break for the numbering to be
-    deterministic. Returns a lazy frame over the materialised sorted table.
+    deterministic. The per-partition offsets (one row per range partition of
+    the sort, read from the ``_mid`` column alone) are computed once and
+    broadcast as a local table; the result is a lazy frame over the
+    materialised sorted rows.
     """
     t = _sorted_numbered(df, order, name)
-    offs = _partition_offsets(t, ()).select("_pid", "_first", "_off")
-    # offs has at most one row per range partition of the sort: a proven bound.
+    offs = _partition_offsets(t, ()).select("_pid", "_first", "_off").collect()
+    schema = "_pid long, _first long, _off long"
+    local = t.sparkSession.createDataFrame([tuple(r) for r in offs], schema)
     out = (t.withColumn("_pid", F.shiftright("_mid", _LOW_BITS))
-           .join(F.broadcast(offs), "_pid")
+           .join(F.broadcast(local), "_pid")
            .withColumn(id_col, (F.col("_off") + F.col("_mid") - F.col("_first") + F.lit(start)).cast("long")))
     return out.drop("_pid", "_first", "_off", "_mid")
 
@@ -70,7 +74,7 @@ def exact_percentiles(df: DataFrame, value: Column | str, probs: Sequence[float]
                       by: Sequence[str] = (), names: Sequence[str] | None = None,
                       tiebreak: Column | str | None = None, approx: bool = False,
                       accuracy: int = 100_000, max_groups: int | None = None,
-                      name: str = "pct") -> DataFrame:
+                      count_col: str | None = None, name: str = "pct") -> DataFrame:
     """One row per group of ``by`` with one column per probability.
 
     Semantics of ``percentile_cont(p) WITHIN GROUP (ORDER BY value)``: nulls
@@ -80,15 +84,18 @@ def exact_percentiles(df: DataFrame, value: Column | str, probs: Sequence[float]
     (bounded sketch) instead. ``max_groups`` is a caller-proven bound on the
     number of groups; with it (or without ``by``) the looked-up rank table,
     at most ``2 * len(probs) * max_groups`` rows, is broadcast; otherwise
-    AQE decides from its runtime size.
+    AQE decides from its runtime size. ``count_col`` adds the number of
+    non-null values per group (known from the offsets, no extra pass).
     """
     by = list(by)
     names = list(names) if names is not None else [f"p{int(round(p * 100))}" for p in probs]
     x = F.col(value) if isinstance(value, str) else value
     if approx:
         arr = F.percentile_approx(x.cast("double"), list(probs), accuracy)
-        return (df.groupBy(*by).agg(arr.alias("_q"))
-                .select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)]))
+        extra = [F.count(x).alias(count_col)] if count_col else []
+        return (df.groupBy(*by).agg(arr.alias("_q"), *extra)
+                .select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)],
+                        *([count_col] if count_col else [])))
     tb = [F.col(tiebreak) if isinstance(tiebreak, str) else tiebreak] if tiebreak is not None else []
     base = df.where(x.isNotNull()).select(*by, x.cast("double").alias("_x"), *[c.alias("_tb") for c in tb])
     order = [*by, "_x"] + (["_tb"] if tb else [])
@@ -107,13 +114,15 @@ def exact_percentiles(df: DataFrame, value: Column | str, probs: Sequence[float]
     for j, c in enumerate(by):
         cond = cond & F.col(c).eqNullSafe(F.col(f"_k{j}"))
     wanted = (targets.join(s, cond)
-              .select(*by, "_i", "_h", "_r", (F.col("_first") + F.col("_r") - F.col("_off")).alias("_mid")))
+              .select(*by, "_n", "_i", "_h", "_r", (F.col("_first") + F.col("_r") - F.col("_off")).alias("_mid")))
     if not by or max_groups is not None:
         wanted = F.broadcast(wanted)
     picked = t.select("_mid", "_x").join(wanted, "_mid")
     lo = F.max(F.when(F.col("_r") == F.floor("_h"), F.col("_x")))
     hi = F.max(F.when(F.col("_r") == F.ceil("_h"), F.col("_x")))
-    per_p = (picked.groupBy(*by, "_i").agg(lo.alias("_lo"), hi.alias("_hi"), F.first("_h").alias("_h"))
+    per_p = (picked.groupBy(*by, "_i").agg(lo.alias("_lo"), hi.alias("_hi"), F.first("_h").alias("_h"),
+                                           F.max("_n").alias("_n"))
              .withColumn("_v", F.col("_lo") + (F.col("_h") - F.floor("_h")) * (F.col("_hi") - F.col("_lo"))))
+    extra = [F.max("_n").alias(count_col)] if count_col else []
     return per_p.groupBy(*by).agg(*[F.max(F.when(F.col("_i") == i, F.col("_v"))).alias(n)
-                                    for i, n in enumerate(names)])
+                                    for i, n in enumerate(names)], *extra)

@@ -196,11 +196,13 @@ def q_error_histogram(spark, sf_dir):
 
 
 def q_histogram_markers(spark, sf_dir):
-    return present(histogram_markers(_ev(spark, sf_dir).errors))
+    ev = _ev(spark, sf_dir)
+    return present(histogram_markers(ev.errors, qtable=ev.error_quantiles))
 
 
 def q_calibration_bins(spark, sf_dir):
-    return present(calibration_bins(_ev(spark, sf_dir).errors))
+    ev = _ev(spark, sf_dir)
+    return present(calibration_bins(ev.errors, qtable=ev.error_quantiles))
 
 
 def q_overall_insight(spark, sf_dir):

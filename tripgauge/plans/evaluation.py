@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from tripgauge import schema as S
 from tripgauge.operators.columns import derive_measures, derive_segments, normalize_columns, parse_timestamps, require_columns
 from tripgauge.operators.errors import eta_errors
-from tripgauge.operators.estimate import global_speed, median_speed_eta, median_speeds, predictions_join
+from tripgauge.operators.estimate import global_speed, median_speed_eta, median_speeds, predictions_join, speed_medians
 from tripgauge.operators.ids import assign_trip_id
-from tripgauge.operators.metrics import metrics_tables, segment_metrics
+from tripgauge.operators.metrics import error_quantiles, metrics_tables, segment_metrics
 from tripgauge.operators.quality import clean as apply_rules
 from tripgauge.operators.quality import quality_rules, reject_reason
 from tripgauge.operators.split import split_time_micros, temporal_split
@@ -76,13 +76,18 @@ class TripEvaluation:
         return self._split[1]
 
     # -- median-speed estimate ---------------------------------------------
+    @cached_property
+    def speed_medians(self) -> DataFrame:
+        """Segment and overall median speeds of the training trips (one job, materialised)."""
+        return materialize(speed_medians(self.training, approx=self.approx), "speed_medians")
+
     @cached_property
     def median_speeds(self) -> DataFrame:
-        return materialize(median_speeds(self.training, approx=self.approx), "median_speeds")
+        return median_speeds(self.training, medians=self.speed_medians)
 
     @cached_property
     def global_speed(self) -> float | None:
-        return global_speed(self.training, approx=self.approx)
+        return global_speed(self.training, medians=self.speed_medians)
 
     @cached_property
     def with_eta(self) -> DataFrame:
@@ -92,9 +97,14 @@ class TripEvaluation:
     def errors(self) -> DataFrame:
         return materialize(eta_errors(self.with_eta), "eta_errors")
 
+    @cached_property
+    def error_quantiles(self) -> DataFrame:
+        """Every order statistic over the error rows, from one sort (materialised, small)."""
+        return materialize(error_quantiles(self.errors, approx=self.approx), "error_quantiles")
+
     @cached_property
     def metrics(self) -> DataFrame:
-        return materialize(segment_metrics(self.errors, approx=self.approx), "metrics_combined")
+        return materialize(segment_metrics(self.errors, qtable=self.error_quantiles), "metrics_combined")
 
     def tables(self) -> dict[str, DataFrame]:
         return metrics_tables(self.metrics)

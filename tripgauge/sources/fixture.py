@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripgauge.session import table_path
+from tripgauge.session import materialize, table_path
 
 
 def trips_from_events(events: DataFrame) -> DataFrame:
@@ -46,5 +46,8 @@ def trips_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def load_raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trips_from_events(spark.read.parquet(table_path(sf_dir, "events")))
+def load_raw_trips(spark: SparkSession, sf_dir: str, materialized: bool = True) -> DataFrame:
+    """Raw trips for ``sf_dir``; by default written once as a Parquet source table
+    in the shared folder, the way trip records arrive as files in production."""
+    raw = trips_from_events(spark.read.parquet(table_path(sf_dir, "events")))
+    return materialize(raw, "raw_trips") if materialized else raw
