@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripgauge.operators.ranking import row_numbers
+from tripgauge.operators.ranking import attach_row_numbers, numbered_table, row_numbers
 from tripgauge.schema import TRIP_ID
 
 ORDER = ("pickup_datetime", "pickup_latitude", "pickup_longitude")
@@ -26,3 +26,16 @@ def assign_trip_id(df: DataFrame, order: Sequence[str] = ORDER,
     if not tiebreak:
         keys.append(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
     return row_numbers(df, keys, TRIP_ID, start=1, name=name)
+
+
+def assign_trip_id_with_offsets(df: DataFrame, order: Sequence[str] = ORDER,
+                                tiebreak: Sequence[str] | None = None, name: str = "trips_numbered"):
+    """Like ``assign_trip_id`` but keeps ``_mid`` and returns the partition offsets,
+    so rank lookups can be pushed down to the materialised table as ``_mid`` filters."""
+    if tiebreak is None:
+        tiebreak = [c for c in ("event_id",) if c in df.columns]
+    keys = [F.col(c) for c in order] + [F.col(c) for c in tiebreak]
+    if not tiebreak:
+        keys.append(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    t, offs = numbered_table(df, keys, name)
+    return attach_row_numbers(t, offs, TRIP_ID), offs

@@ -21,20 +21,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from tripgauge.session import materialize
 
 _LOW_BITS = 33
 
 
-def _sorted_numbered(df: DataFrame, order: Sequence[Column | str], name: str) -> DataFrame:
+def _sorted_numbered(df: DataFrame, order: Sequence[Column | str], name: str,
+                     drop: Sequence[str] = ()) -> DataFrame:
     ordered = [F.col(c) if isinstance(c, str) else c for c in order]
     numbered = (df.repartitionByRange(*ordered)
                 .sortWithinPartitions(*ordered)
                 .withColumn("_mid", F.monotonically_increasing_id()))
-    return materialize(numbered, name)
+    return materialize(numbered.drop(*drop) if drop else numbered, name)
 
 
 def _partition_offsets(t: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -50,8 +54,38 @@ def _partition_offsets(t: DataFrame, by: Sequence[str]) -> DataFrame:
             .withColumn("_n", F.sum("_cnt").over(w_all)))
 
 
+def numbered_table(df: DataFrame, order: Sequence[Column | str], name: str = "numbered"):
+    """Sort by ``order``, materialise with ``_mid``, and return ``(table, offsets)``.
+
+    ``offsets`` holds one ``(_pid, _first, _off, _cnt)`` row per non-empty
+    range partition - a bound set by the partition count, not the data.
+    """
+    t = _sorted_numbered(df, order, name)
+    offs = [tuple(r) for r in _partition_offsets(t, ()).select("_pid", "_first", "_off", "_cnt").collect()]
+    return t, offs
+
+
+def mids_for_ranks(offsets, ranks: Sequence[int]) -> list[int]:
+    """Row numbers (``_mid``) of 0-based global ranks, from the partition offsets."""
+    out = []
+    for r in ranks:
+        for pid, first, off, cnt in offsets:
+            if off <= r < off + cnt:
+                out.append(first + r - off)
+                break
+    return out
+
+
+def attach_row_numbers(t: DataFrame, offsets, id_col: str, start: int = 1) -> DataFrame:
+    local = t.sparkSession.createDataFrame([o[:3] for o in offsets], "_pid long, _first long, _off long")
+    out = (t.withColumn("_pid", F.shiftright("_mid", _LOW_BITS))
+           .join(F.broadcast(local), "_pid")
+           .withColumn(id_col, (F.col("_off") + F.col("_mid") - F.col("_first") + F.lit(start)).cast("long")))
+    return out.drop("_pid", "_first", "_off")
+
+
 def row_numbers(df: DataFrame, order: Sequence[Column | str], id_col: str,
-                 start: int = 1, name: str = "numbered") -> DataFrame:
+                start: int = 1, name: str = "numbered") -> DataFrame:
     """Append ``id_col`` = position in ``order`` (ascending, from ``start``).
 
     ``order`` must end with a unique tie-break for the numbering to be
@@ -60,14 +94,8 @@ def row_numbers(df: DataFrame, order: Sequence[Column | str], id_col: str,
     broadcast as a local table; the result is a lazy frame over the
     materialised sorted rows.
     """
-    t = _sorted_numbered(df, order, name)
-    offs = _partition_offsets(t, ()).select("_pid", "_first", "_off").collect()
-    schema = "_pid long, _first long, _off long"
-    local = t.sparkSession.createDataFrame([tuple(r) for r in offs], schema)
-    out = (t.withColumn("_pid", F.shiftright("_mid", _LOW_BITS))
-           .join(F.broadcast(local), "_pid")
-           .withColumn(id_col, (F.col("_off") + F.col("_mid") - F.col("_first") + F.lit(start)).cast("long")))
-    return out.drop("_pid", "_first", "_off", "_mid")
+    t, offs = numbered_table(df, order, name)
+    return attach_row_numbers(t, offs, id_col, start).drop("_mid")
 
 
 def exact_percentiles(df: DataFrame, value: Column | str, probs: Sequence[float],
@@ -82,9 +110,9 @@ def exact_percentiles(df: DataFrame, value: Column | str, probs: Sequence[float]
     high-cardinality column such as a row key) lets the range partitioner
     split runs of equal values. ``approx=True`` uses ``percentile_approx``
     (bounded sketch) instead. ``max_groups`` is a caller-proven bound on the
-    number of groups; with it (or without ``by``) the looked-up rank table,
-    at most ``2 * len(probs) * max_groups`` rows, is broadcast; otherwise
-    AQE decides from its runtime size. ``count_col`` adds the number of
+    number of groups: with it (or without ``by``) the small per-partition
+    counts and the at most ``2 * len(probs) * max_groups`` bracketing rows
+    are finished on the driver; without it every step stays distributed. ``count_col`` adds the number of
     non-null values per group (known from the offsets, no extra pass).
     """
     by = list(by)
@@ -99,25 +127,22 @@ def exact_percentiles(df: DataFrame, value: Column | str, probs: Sequence[float]
     tb = [F.col(tiebreak) if isinstance(tiebreak, str) else tiebreak] if tiebreak is not None else []
     base = df.where(x.isNotNull()).select(*by, x.cast("double").alias("_x"), *[c.alias("_tb") for c in tb])
     order = [*by, "_x"] + (["_tb"] if tb else [])
-    t = _sorted_numbered(base, order, name).select(*by, "_x", "_mid")
+    t = _sorted_numbered(base, order, name, drop=["_tb"] if tb else [])
     stats = _partition_offsets(t, by)
 
-    groups = stats.select(*by, "_n").dropDuplicates(by) if by else stats.select("_n").limit(1)
+    if not by or max_groups is not None:
+        return _bounded_tail(t, by, probs, names, count_col)
+
+    # Every (group, partition) row emits the wanted ranks that fall inside it.
+    # Every (group, partition) row emits the wanted ranks that fall inside it.
     prob_arr = F.array(*[F.lit(float(p)) for p in probs])
-    targets = (groups.select(*by, "_n", F.posexplode(prob_arr).alias("_i", "_p"))
-               .withColumn("_h", F.col("_p") * (F.col("_n") - 1).cast("double"))
-               .withColumn("_r", F.explode(F.array_distinct(F.array(
-                   F.floor("_h").cast("long"), F.ceil("_h").cast("long"))))))
-    # Map each wanted rank to the partition holding it, then to its row number.
-    s = stats.select(*[F.col(c).alias(f"_k{j}") for j, c in enumerate(by)], "_cnt", "_first", "_off")
-    cond = (F.col("_r") >= F.col("_off")) & (F.col("_r") < F.col("_off") + F.col("_cnt"))
-    for j, c in enumerate(by):
-        cond = cond & F.col(c).eqNullSafe(F.col(f"_k{j}"))
-    wanted = (targets.join(s, cond)
+    wanted = (stats.select(*by, "_n", "_cnt", "_first", "_off", F.posexplode(prob_arr).alias("_i", "_p"))
+              .withColumn("_h", F.col("_p") * (F.col("_n") - 1).cast("double"))
+              .withColumn("_r", F.explode(F.array_distinct(F.array(
+                  F.floor("_h").cast("long"), F.ceil("_h").cast("long")))))
+              .where((F.col("_r") >= F.col("_off")) & (F.col("_r") < F.col("_off") + F.col("_cnt")))
               .select(*by, "_n", "_i", "_h", "_r", (F.col("_first") + F.col("_r") - F.col("_off")).alias("_mid")))
-    if not by or max_groups is not None:
-        wanted = F.broadcast(wanted)
-    picked = t.select("_mid", "_x").join(wanted, "_mid")
+    picked = t.select("_mid", "_x").join(wanted, "_mid")  # _mid is unique across the table
     lo = F.max(F.when(F.col("_r") == F.floor("_h"), F.col("_x")))
     hi = F.max(F.when(F.col("_r") == F.ceil("_h"), F.col("_x")))
     per_p = (picked.groupBy(*by, "_i").agg(lo.alias("_lo"), hi.alias("_hi"), F.first("_h").alias("_h"),
@@ -126,3 +151,59 @@ def exact_percentiles(df: DataFrame, value: Column | str, probs: Sequence[float]
     extra = [F.max("_n").alias(count_col)] if count_col else []
     return per_p.groupBy(*by).agg(*[F.max(F.when(F.col("_i") == i, F.col("_v"))).alias(n)
                                     for i, n in enumerate(names)], *extra)
+
+
+def _bounded_tail(t: DataFrame, by: Sequence[str], probs: Sequence[float], names: Sequence[str],
+                  count_col: str | None) -> DataFrame:
+    """Finish on the driver when the group count is bounded.
+
+    Two small jobs over the materialised sort: per-(group, partition) counts
+    (at most groups x partitions rows) and the bracketing rows, fetched by a
+    ``_mid IN (..)`` filter the Parquet scan pushes down (at most
+    2 x len(probs) x groups rows). Interpolation uses the same double
+    arithmetic as the distributed path.
+    """
+    pid = F.shiftright("_mid", _LOW_BITS).alias("_pid")
+    stats = t.groupBy(*by, pid).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first")).collect()
+    groups: dict[tuple, list] = {}
+    for r in stats:
+        groups.setdefault(tuple(r[c] for c in by), []).append((r["_pid"], r["_first"], r["_cnt"]))
+    plan: dict[tuple, tuple[int, list]] = {}
+    wanted: dict[int, tuple] = {}
+    for key, parts in groups.items():
+        parts.sort()
+        offsets, off = [], 0
+        for p_, first, cnt in parts:
+            offsets.append((p_, first, off, cnt))
+            off += cnt
+        n = off
+        hs = [p * (n - 1) for p in probs]
+        plan[key] = (n, hs)
+        ranks = {r for h in hs for r in (math.floor(h), math.ceil(h))}
+        for r, m in zip(sorted(ranks), mids_for_ranks(offsets, sorted(ranks))):
+            wanted[m] = (key, r)
+    values: dict[tuple, float] = {}
+    if wanted:
+        mids = list(wanted)
+        src = t.select("_mid", "_x")
+        if len(mids) <= 20_000:
+            hit = src.where(F.col("_mid").isin(mids))
+        else:
+            local = t.sparkSession.createDataFrame([(m,) for m in mids], "_mid long")
+            hit = src.join(F.broadcast(local), "_mid")
+        for r in hit.collect():
+            values[wanted[r["_mid"]]] = r["_x"]
+    fields = {f.name: f.dataType for f in t.schema.fields}
+    rows = []
+    for key, (n, hs) in plan.items():
+        out = list(key)
+        for h in hs:
+            lo, hi = values[(key, math.floor(h))], values[(key, math.ceil(h))]
+            out.append(lo + (h - math.floor(h)) * (hi - lo))
+        if count_col:
+            out.append(n)
+        rows.append(tuple(out))
+    schema = StructType([StructField(c, fields[c], True) for c in by]
+                        + [StructField(nm, DoubleType(), True) for nm in names]
+                        + ([StructField(count_col, LongType(), True)] if count_col else []))
+    return t.sparkSession.createDataFrame(rows, schema)

@@ -20,24 +20,31 @@ def _interpolate(lo: float, hi: float, h: float) -> float:
 
 
 def split_time_micros(clean: DataFrame, q: float = SPLIT_QUANTILE,
-                      pickup_ordered_id: str | None = None) -> float | None:
+                      pickup_ordered_id: str | None = None, offsets=None) -> float | None:
     """``percentile_cont(q)`` of pickup time in epoch microseconds (one driver scalar).
 
     With ``pickup_ordered_id`` (a dense 1..n id in pickup order, as made by
     ``assign_trip_id``) only the two bracketing rows are read; otherwise an
-    exact distributed percentile is computed.
+    exact distributed percentile is computed. With the numbering's partition
+    ``offsets`` as well (``clean`` then carries ``_mid``), the two rows are
+    fetched by a ``_mid IN (..)`` filter the Parquet scan pushes down.
     """
     if pickup_ordered_id is None:
         row = exact_percentiles(clean, epoch_micros(PICKUP), [q], names=["split"],
                                 name="split").collect()
         return row[0]["split"] if row else None
-    n = clean.count()
+    n = sum(o[3] for o in offsets) if offsets is not None else clean.count()
     if n == 0:
         return None
     h = q * (n - 1)
     ranks = sorted({math.floor(h) + 1, math.ceil(h) + 1})
-    rows = dict(clean.where(F.col(pickup_ordered_id).isin(ranks))
-                .select(pickup_ordered_id, epoch_micros(PICKUP).alias("us")).collect())
+    if offsets is not None:
+        from tripgauge.operators.ranking import mids_for_ranks
+
+        hit = clean.where(F.col("_mid").isin(mids_for_ranks(offsets, [r - 1 for r in ranks])))
+    else:
+        hit = clean.where(F.col(pickup_ordered_id).isin(ranks))
+    rows = dict(hit.select(pickup_ordered_id, epoch_micros(PICKUP).alias("us")).collect())
     return _interpolate(float(rows[ranks[0]]), float(rows[ranks[-1]]), h)
 
 

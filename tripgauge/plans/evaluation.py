@@ -17,7 +17,7 @@ from tripgauge import schema as S
 from tripgauge.operators.columns import derive_measures, derive_segments, normalize_columns, parse_timestamps, require_columns
 from tripgauge.operators.errors import eta_errors
 from tripgauge.operators.estimate import global_speed, median_speed_eta, median_speeds, predictions_join, speed_medians
-from tripgauge.operators.ids import assign_trip_id
+from tripgauge.operators.ids import assign_trip_id_with_offsets
 from tripgauge.operators.metrics import error_quantiles, metrics_tables, segment_metrics
 from tripgauge.operators.quality import clean as apply_rules
 from tripgauge.operators.quality import quality_rules, reject_reason
@@ -39,6 +39,11 @@ class TripEvaluation:
     def from_sf_dir(cls, spark: SparkSession, sf_dir: str, **kw) -> "TripEvaluation":
         return cls(spark, load_raw_trips(spark, sf_dir), **kw)
 
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        """Exact order statistics come back as small local tables; approximate
+        ones are lazy aggregates and are materialised for reuse."""
+        return materialize(df, name) if self.approx else df
+
     # -- ingest -------------------------------------------------------------
     @cached_property
     def normalized(self) -> DataFrame:
@@ -52,16 +57,21 @@ class TripEvaluation:
     def labelled(self) -> DataFrame:
         return reject_reason(self.measured, self.rules)
 
+    @cached_property
+    def _numbered(self):
+        kept = apply_rules(self.measured, self.rules)
+        return assign_trip_id_with_offsets(kept, name="trips_clean")
+
     @cached_property
     def clean(self) -> DataFrame:
         """trips_clean: kept rows numbered in pickup order, with segment columns."""
-        kept = apply_rules(self.measured, self.rules)
-        return derive_segments(assign_trip_id(kept, name="trips_clean"), self.numbering)
+        return derive_segments(self._numbered[0].drop("_mid"), self.numbering)
 
     # -- split --------------------------------------------------------------
     @cached_property
     def split_us(self) -> float | None:
-        return split_time_micros(self.clean, S.SPLIT_QUANTILE, pickup_ordered_id=S.TRIP_ID)
+        numbered, offsets = self._numbered
+        return split_time_micros(numbered, S.SPLIT_QUANTILE, pickup_ordered_id=S.TRIP_ID, offsets=offsets)
 
     @cached_property
     def _split(self) -> tuple[DataFrame, DataFrame]:
@@ -79,7 +89,7 @@ class TripEvaluation:
     @cached_property
     def speed_medians(self) -> DataFrame:
         """Segment and overall median speeds of the training trips (one job, materialised)."""
-        return materialize(speed_medians(self.training, approx=self.approx), "speed_medians")
+        return self._keep(speed_medians(self.training, approx=self.approx), "speed_medians")
 
     @cached_property
     def median_speeds(self) -> DataFrame:
@@ -100,7 +110,7 @@ class TripEvaluation:
     @cached_property
     def error_quantiles(self) -> DataFrame:
         """Every order statistic over the error rows, from one sort (materialised, small)."""
-        return materialize(error_quantiles(self.errors, approx=self.approx), "error_quantiles")
+        return self._keep(error_quantiles(self.errors, approx=self.approx), "error_quantiles")
 
     @cached_property
     def metrics(self) -> DataFrame:
