@@ -68,14 +68,45 @@ def q_scan_trips_csv(spark, sf_dir):
     """Raw trips through a headed CSV file in the shared folder and back."""
     from tripgauge.operators.columns import normalize_columns, parse_timestamps, require_columns
 
+    path = _raw_csv(spark, sf_dir)
+    back = parse_timestamps(require_columns(normalize_columns(read_trips(spark, path, "csv", RAW_CSV_SCHEMA))))
+    return present(back.select(*NORM_COLS))
+
+
+RAW_CSV_SCHEMA = ("event_id long, tpep_pickup_datetime string, tpep_dropoff_datetime string, start_lat double, "
+                  "start_lon double, end_lat double, end_lon double, trip_distance double")
+
+
+def _raw_csv(spark, sf_dir, parts: int | None = None) -> str:
     raw = _ev(spark, sf_dir).raw
+    if parts:
+        raw = raw.repartition(parts, "event_id")
     path = stage_path(spark, "raw_trips_csv")
     (raw.write.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
      .mode("overwrite").csv(path))
-    schema = ("event_id long, tpep_pickup_datetime string, tpep_dropoff_datetime string, start_lat double, "
-              "start_lon double, end_lat double, end_lon double, trip_distance double")
-    back = parse_timestamps(require_columns(normalize_columns(read_trips(spark, path, "csv", schema))))
-    return present(back.select(*NORM_COLS))
+    return path
+
+
+def q_stream_clean_trips(spark, sf_dir):
+    """Raw trip CSV files streamed through the quality cascade (several micro-batches)."""
+    from tripgauge.streaming.ingest import read_stream_output, start_clean_trips_stream
+
+    src = _raw_csv(spark, sf_dir, parts=4)
+    sink, ckpt = stage_path(spark, "stream_sink"), stage_path(spark, "stream_checkpoint")
+    q = start_clean_trips_stream(spark, src, RAW_CSV_SCHEMA, sink, ckpt, max_files_per_trigger=1)
+    q.awaitTermination()
+    clean, _ = read_stream_output(spark, sink)
+    return present(clean.select("event_id", "pickup_datetime", S.DURATION, S.DISTANCE, S.HOUR, S.DOW, S.BUCKET))
+
+
+def q_stream_reject_counts(spark, sf_dir):
+    from tripgauge.streaming.ingest import read_stream_output, start_clean_trips_stream
+
+    src = _raw_csv(spark, sf_dir, parts=3)
+    sink, ckpt = stage_path(spark, "stream_sink"), stage_path(spark, "stream_checkpoint")
+    q = start_clean_trips_stream(spark, src, RAW_CSV_SCHEMA, sink, ckpt, max_files_per_trigger=1)
+    q.awaitTermination()
+    return read_stream_output(spark, sink)[1]
 
 
 def q_trip_duration(spark, sf_dir):
@@ -354,6 +385,8 @@ def queries() -> dict[str, Query]:
         "standardize": q_standardize,
         "temporal_validation_split": q_temporal_validation_split,
         "sample_trips": q_sample_trips,
+        "stream_clean_trips": q_stream_clean_trips,
+        "stream_reject_counts": q_stream_reject_counts,
         # Rows-only: no SQL oracle (seeded xxhash64 order, model training/scoring).
         "sample_trips_xxhash": q_sample_trips_xxhash,
         "predict_duration": q_predict_duration,

@@ -340,4 +340,10 @@ FROM (SELECT trip_id, row_number() OVER (ORDER BY trip_id) AS rn, count(*) OVER
     q["sample_trips"] = _with("""
 SELECT trip_id, trip_duration_sec, round(haversine_distance_km, 6) AS haversine_distance_km
 FROM clean ORDER BY (trip_id * 2654435761) % 1000003, trip_id LIMIT 1000""")
+    q["stream_clean_trips"] = _with("""
+SELECT event_id, epoch_us(pickup_datetime) AS pickup_datetime, trip_duration_sec,
+  round(haversine_distance_km, 6) AS haversine_distance_km, CAST(hour(pickup_datetime) AS INTEGER) AS hour_of_day,
+  CAST(isodow(pickup_datetime) - 1 AS INTEGER) AS day_of_week, """ + _bucket_case("haversine_distance_km") + """ AS distance_bucket
+FROM labelled WHERE reject_reason = 'ok'""")
+    q["stream_reject_counts"] = _with("SELECT reject_reason, count(*) AS n FROM labelled GROUP BY reject_reason")
     return q
