@@ -49,7 +49,21 @@ def main() -> None:
         times[name] = round(time.time() - t0, 3)
         return out
 
-    ev = timed("load_raw_trips", lambda: TripEvaluation.from_sf_dir(spark, sf_dir))
+    replicate = int(os.environ.get("BENCH_REPLICATE", "1"))
+    if replicate > 1:
+        # Scale check: the events table replicated with shifted ids (same timestamps,
+        # so every pickup time repeats `replicate` times - a tie-heavy input).
+        from tripgauge.session import materialize
+        from tripgauge.sources.fixture import trips_from_events
+
+        ev_src = spark.read.parquet(table_path(sf_dir, "events"))
+        span = ev_src.agg(F.max("event_id")).first()[0] + 1
+        big = ev_src.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(replicate - 1).cast("long")))).select(
+            (F.col("event_id") + F.col("copy") * F.lit(span)).alias("event_id"), "ts",
+            (F.col("user_id") + F.col("copy")).alias("user_id"), "event_type", "value", "props")
+        ev = timed("load_raw_trips", lambda: TripEvaluation(spark, materialize(trips_from_events(big), "raw_trips")))
+    else:
+        ev = timed("load_raw_trips", lambda: TripEvaluation.from_sf_dir(spark, sf_dir))
 
     def run(df):
         df.write.format("noop").mode("overwrite").save()
@@ -79,7 +93,7 @@ def main() -> None:
         timed("train_and_predict", model)
     total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "end_to_end_evaluation", "value": total, "unit": "sec",
-                      "queries": times, "sf": _sf(sf_dir), "cpus": int(cpus),
+                      "queries": times, "sf": _sf(sf_dir), "cpus": int(cpus), "replicate": replicate,
                       "trips_clean": ev.clean.count()}))
     spark.stop()
 

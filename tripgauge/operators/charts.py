@@ -45,11 +45,34 @@ def error_histogram(errors: DataFrame, metric: str, value: Column, bins: int = H
 
 
 def error_histograms(errors: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
-    parts = [error_histogram(errors, m, v, bins) for m, v in histogram_metrics().items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Both error histograms: one min/max pass, one binning pass over stacked metrics."""
+    metrics = histogram_metrics()
+    stacked = errors.select(F.inline(F.array(*[
+        F.struct(F.lit(m).alias("metric"), v.cast("double").alias("x")) for m, v in metrics.items()])))
+    stacked = stacked.where(F.col("x").isNotNull())
+    ranges = {r["metric"]: (r["lo"], r["hi"]) for r in
+              stacked.groupBy("metric").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).collect()}
+    edges = {}
+    for m in metrics:
+        lo, hi = ranges.get(m, (None, None))
+        if lo is None:
+            lo, hi = 0.0, 1.0
+        elif lo == hi:
+            lo, hi = lo - 0.5, hi + 0.5
+        edges[m] = (float(lo), float(hi), (float(hi) - float(lo)) / bins)
+    lo_c = F.lit(None).cast("double")
+    w_c = F.lit(None).cast("double")
+    for m, (lo, _, w) in edges.items():
+        lo_c = F.when(F.col("metric") == m, F.lit(lo)).otherwise(lo_c)
+        w_c = F.when(F.col("metric") == m, F.lit(w)).otherwise(w_c)
+    b = F.least(F.floor((F.col("x") - lo_c) / w_c).cast("long"), F.lit(bins - 1))
+    counts = stacked.groupBy("metric", b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    # metrics x bins rows by construction: safe to broadcast.
+    domain = F.broadcast(errors.sparkSession.createDataFrame(
+        [(m, i, lo + i * w, lo + (i + 1) * w) for m, (lo, _, w) in edges.items() for i in range(bins)],
+        "metric string, bin long, lo double, hi double"))
+    return (domain.join(counts, ["metric", "bin"], "left")
+            .select("metric", "bin", "lo", "hi", F.coalesce("n", F.lit(0)).cast("long").alias("n")))
 
 
 def histogram_markers(errors: DataFrame, approx: bool = False, qtable: DataFrame | None = None) -> DataFrame:

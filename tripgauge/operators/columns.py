@@ -59,12 +59,20 @@ def parse_timestamps(df: DataFrame, cols: Sequence[str] = ("pickup_datetime", "d
 
 
 def derive_measures(df: DataFrame) -> DataFrame:
-    """Trip duration (whole seconds) and haversine distance (km)."""
-    return df.withColumns({
-        DURATION: duration_seconds("pickup_datetime", "dropoff_datetime"),
-        DISTANCE: haversine_km("pickup_latitude", "pickup_longitude",
-                               "dropoff_latitude", "dropoff_longitude"),
-    })
+    """Trip duration (whole seconds) and haversine distance (km).
+
+    Both are produced by a one-element ``inline`` generator rather than a
+    projection: the optimizer substitutes projected expressions into every
+    later predicate, and filters have no common-subexpression elimination,
+    so the quality rules would evaluate the trigonometry up to five times per
+    row. A generator's output is computed once and referenced by the rules;
+    predicates on the raw columns are still pushed into the scan.
+    """
+    measures = F.struct(
+        duration_seconds("pickup_datetime", "dropoff_datetime").alias(DURATION),
+        haversine_km("pickup_latitude", "pickup_longitude", "dropoff_latitude", "dropoff_longitude").alias(DISTANCE))
+    keep = [c for c in df.columns if c not in (DURATION, DISTANCE)]
+    return df.select(*[F.col(f"`{c}`") for c in keep], F.inline(F.array(measures)))
 
 
 def segment_columns(numbering: str = "monday") -> dict:
