@@ -54,3 +54,11 @@ def test_row_numbers_dense_and_ordered(spark):
         rank = {r[0]: i + 1 for i, r in enumerate(want)}
         assert sorted(r["rn"] for r in out) == list(range(1, len(rows) + 1))
         assert all(rank[r["id"]] == r["rn"] for r in out)
+
+
+def test_driver_finish_matches_distributed(spark):
+    df, rows = _data(spark, 6)
+    kw = dict(by=["g"], names=["a", "b"], tiebreak="id", max_groups=20, count_col="n")
+    dist = sorted(tuple(r) for r in exact_percentiles(df, "x", [0.25, 0.75], **kw).collect())
+    drv = sorted(tuple(r) for r in exact_percentiles(df, "x", [0.25, 0.75], finish="driver", **kw).collect())
+    assert dist == drv

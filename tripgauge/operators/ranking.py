@@ -102,7 +102,8 @@ def exact_percentiles(df: DataFrame, value: Column | str, probs: Sequence[float]
                       by: Sequence[str] = (), names: Sequence[str] | None = None,
                       tiebreak: Column | str | None = None, approx: bool = False,
                       accuracy: int = 100_000, max_groups: int | None = None,
-                      count_col: str | None = None, name: str = "pct") -> DataFrame:
+                      count_col: str | None = None, finish: str = "distributed",
+                      name: str = "pct") -> DataFrame:
     """One row per group of ``by`` with one column per probability.
 
     Semantics of ``percentile_cont(p) WITHIN GROUP (ORDER BY value)``: nulls
@@ -110,9 +111,11 @@ def exact_percentiles(df: DataFrame, value: Column | str, probs: Sequence[float]
     high-cardinality column such as a row key) lets the range partitioner
     split runs of equal values. ``approx=True`` uses ``percentile_approx``
     (bounded sketch) instead. ``max_groups`` is a caller-proven bound on the
-    number of groups: with it (or without ``by``) the small per-partition
-    counts and the at most ``2 * len(probs) * max_groups`` bracketing rows
-    are finished on the driver; without it every step stays distributed. ``count_col`` adds the number of
+    number of groups; with it (or without ``by``) the table of wanted row
+    numbers (at most ``2 * len(probs) * max_groups`` rows) is broadcast.
+    ``finish="driver"`` (bounded groups only) trades the last shuffles for
+    two small collects - per-(group, partition) counts and the bracketing
+    rows - which lowers latency on small inputs. ``count_col`` adds the number of
     non-null values per group (known from the offsets, no extra pass).
     """
     by = list(by)
@@ -130,7 +133,8 @@ def exact_percentiles(df: DataFrame, value: Column | str, probs: Sequence[float]
     t = _sorted_numbered(base, order, name, drop=["_tb"] if tb else [])
     stats = _partition_offsets(t, by)
 
-    if not by or max_groups is not None:
+    bounded = not by or max_groups is not None
+    if finish == "driver" and bounded:
         return _bounded_tail(t, by, probs, names, count_col)
 
     # Every (group, partition) row emits the wanted ranks that fall inside it.
@@ -142,6 +146,8 @@ def exact_percentiles(df: DataFrame, value: Column | str, probs: Sequence[float]
                   F.floor("_h").cast("long"), F.ceil("_h").cast("long")))))
               .where((F.col("_r") >= F.col("_off")) & (F.col("_r") < F.col("_off") + F.col("_cnt")))
               .select(*by, "_n", "_i", "_h", "_r", (F.col("_first") + F.col("_r") - F.col("_off")).alias("_mid")))
+    if bounded:
+        wanted = F.broadcast(wanted)
     picked = t.select("_mid", "_x").join(wanted, "_mid")  # _mid is unique across the table
     lo = F.max(F.when(F.col("_r") == F.floor("_h"), F.col("_x")))
     hi = F.max(F.when(F.col("_r") == F.ceil("_h"), F.col("_x")))

@@ -40,9 +40,8 @@ class TripEvaluation:
         return cls(spark, load_raw_trips(spark, sf_dir), **kw)
 
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
-        """Exact order statistics come back as small local tables; approximate
-        ones are lazy aggregates and are materialised for reuse."""
-        return materialize(df, name) if self.approx else df
+        """Small result tables reused by several branches are materialised once."""
+        return materialize(df, name)
 
     # -- ingest -------------------------------------------------------------
     @cached_property
