@@ -43,6 +43,9 @@ def _qname(q: float) -> str:
     return f"q{round(q * 100, 4):g}".replace(".", "_")
 
 
+MEASURES = ["sec", "pct", "pct100", "duration"]
+
+
 def error_quantiles(errors: DataFrame, segments: Sequence[tuple[str, Column]] | None = None,
                     quantiles: Sequence[float] = ERROR_QUANTILES, approx: bool = False,
                     max_segments: int | None = DEFAULT_MAX_SEGMENTS) -> DataFrame:
@@ -52,25 +55,32 @@ def error_quantiles(errors: DataFrame, segments: Sequence[tuple[str, Column]] |
     ``sec`` (abs_error_sec) and ``pct`` (abs_pct_error) for overall and every
     segment; ``pct100`` (abs_pct_error * 100) and ``duration`` (actual
     seconds) overall only - the histogram markers and the calibration range.
+    Each error row becomes one sort row per (measure, segmentation) - the
+    number of distinct orders exact percentiles need - with the measure and
+    segmentation carried as small integers to keep the shuffle narrow.
     """
     segments = default_segments() if segments is None else segments
-    seg_keys = [(F.lit(OVERALL[0]), F.lit(OVERALL[1]))] + [
-        (F.lit(name), expr.cast("string")) for name, expr in segments]
-    entry = lambda m, t, v, x: F.struct(F.lit(m).alias("measure"), t.alias("segment_type"),
-                                        v.alias("segment_value"), x.cast("double").alias("x"))
+    types = [OVERALL[0]] + [name for name, _ in segments]
+    values = [F.lit(OVERALL[1])] + [expr.cast("string") for _, expr in segments]
+    entry = lambda m, t, x: F.struct(F.lit(MEASURES.index(m)).cast("byte").alias("_m"),
+                                     F.lit(t).cast("byte").alias("_t"), values[t].alias("segment_value"),
+                                     x.cast("double").alias("x"))
     entries = []
-    for t, v in seg_keys:
-        entries.append(entry("sec", t, v, F.col("abs_error_sec")))
-        entries.append(entry("pct", t, v, F.col("abs_pct_error")))
-    ot, ov = seg_keys[0]
-    entries.append(entry("pct100", ot, ov, F.col("abs_pct_error") * F.lit(100.0)))
-    entries.append(entry("duration", ot, ov, F.col(DURATION)))
+    for t in range(len(types)):
+        entries.append(entry("sec", t, F.col("abs_error_sec")))
+        entries.append(entry("pct", t, F.col("abs_pct_error")))
+    entries.append(entry("pct100", 0, F.col("abs_pct_error") * F.lit(100.0)))
+    entries.append(entry("duration", 0, F.col(DURATION)))
     tb = [TRIP_ID] if TRIP_ID in errors.columns else []
     stacked = errors.select(*tb, F.inline(F.array(*entries)))
     groups = None if max_segments is None else 2 * max_segments + 2
-    return exact_percentiles(stacked, "x", quantiles, by=["measure", "segment_type", "segment_value"],
-                             names=[_qname(q) for q in quantiles], tiebreak=tb[0] if tb else None,
-                             approx=approx, max_groups=groups, name="error_quantiles")
+    q = exact_percentiles(stacked, "x", quantiles, by=["_m", "_t", "segment_value"],
+                          names=[_qname(p) for p in quantiles], tiebreak=tb[0] if tb else None,
+                          approx=approx, max_groups=groups, name="error_quantiles")
+    measure = F.element_at(F.array(*[F.lit(m) for m in MEASURES]), F.col("_m").cast("int") + 1)
+    seg_type = F.element_at(F.array(*[F.lit(t) for t in types]), F.col("_t").cast("int") + 1)
+    return q.select(measure.alias("measure"), seg_type.alias("segment_type"), "segment_value",
+                    *[_qname(p) for p in quantiles])
 
 
 def segment_metrics(errors: DataFrame, segments: Sequence[tuple[str, Column]] | None = None,
