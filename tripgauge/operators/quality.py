@@ -22,7 +22,7 @@ def quality_rules(bbox: bool = False) -> list[tuple[str, Column]]:
     rules = [
         ("missing_datetime", c("pickup_datetime").isNotNull() & c("dropoff_datetime").isNotNull()),
         ("invalid_duration", (c(S.DURATION) > S.MIN_DURATION_SEC) & (c(S.DURATION) <= S.MAX_DURATION_SEC)),
-        ("missing_coordinates", F.lit(True) if not coords else
+        ("missing_coordinates",
          c(coords[0]).isNotNull() & c(coords[1]).isNotNull() & c(coords[2]).isNotNull() & c(coords[3]).isNotNull()),
         ("invalid_coordinate_range",
          c("pickup_latitude").between(*S.LAT_RANGE) & c("pickup_longitude").between(*S.LON_RANGE)
