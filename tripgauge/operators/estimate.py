@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tripgauge.functions import speed_kmh
 from tripgauge.operators.ranking import exact_percentiles
+from tripgauge.session import broadcast_if_small
 from tripgauge.schema import BUCKET, BUCKET_LABELS, DISTANCE, DURATION, ESTIMATE, HOUR, MIN_PREDICTION_SEC, MIN_SEGMENT_TRIPS, TRIP_ID
 
 # hour_of_day has 24 values and distance_bucket 5: the segment table is bounded.
@@ -52,10 +53,14 @@ def global_speed(training: DataFrame, approx: bool = False, medians: DataFrame |
 
 
 def median_speed_eta(evaluation: DataFrame, speeds: DataFrame, overall: float | None) -> DataFrame:
-    """LEFT JOIN segment medians (<= 120 rows, broadcast), fall back to the global median."""
-    ms = speeds.select(HOUR, BUCKET, F.col("median_speed_kmh").alias("_ms"))
+    """LEFT JOIN segment medians, falling back to the global median.
+
+    The median table has one row per (hour, bucket): at most 120 rows, checked
+    before it is broadcast (a larger table would get a shuffle join instead).
+    """
+    ms = broadcast_if_small(speeds.select(HOUR, BUCKET, F.col("median_speed_kmh").alias("_ms")), MAX_SEGMENTS)
     speed = F.coalesce(F.col("_ms"), F.lit(overall).cast("double"))
-    return (evaluation.join(F.broadcast(ms), [HOUR, BUCKET], "left")
+    return (evaluation.join(ms, [HOUR, BUCKET], "left")
             .withColumn("estimated_speed_kmh", speed)
             .withColumn(ESTIMATE, F.col(DISTANCE) / F.nullif(F.col("estimated_speed_kmh") / F.lit(3600.0), F.lit(0.0)))
             .drop("_ms"))

@@ -64,3 +64,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def table_path(sf_dir: str, table: str) -> str:
     return os.path.join(sf_dir, f"{table}.parquet")
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast hint only after checking the row count against ``max_rows``.
+
+    Beyond the bound the frame is returned unhinted, so the planner (and
+    AQE at runtime) picks a shuffle join instead. Meant for small,
+    materialised tables, where the count is cheap.
+    """
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
