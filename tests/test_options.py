@@ -48,3 +48,11 @@ def test_reference_numbering_shifts_labels(spark, exact):
 def test_bbox_rule_counts(spark, exact):
     rows = {r["reject_reason"]: r["n"] for r in filter_stats(exact.measured, quality_rules(bbox=True)).collect()}
     assert "outside_bbox" in rows and sum(rows.values()) == exact.raw.count()
+
+
+def test_empty_input(spark, exact):
+    """No clean trips: every stage returns empty results instead of failing."""
+    empty = TripEvaluation(spark, exact.raw.where(F.lit(False)))
+    assert empty.clean.count() == 0 and empty.split_us is None
+    assert empty.training.count() == 0 and empty.evaluation.count() == 0
+    assert empty.errors.count() == 0 and empty.metrics.count() == 0
