@@ -114,3 +114,22 @@ def test_oracle_equality(spark):
         if not ok:
             failures.append((name, msg))
     assert not failures, failures
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_split_filter_reaches_scan(ev):
+    plan = _plan(ev.training.select("trip_id"))
+    assert "PushedFilters: [IsNotNull(pickup_datetime), LessThanOrEqual(pickup_datetime" in plan
+    plan = _plan(ev.evaluation.select("trip_id"))
+    assert "GreaterThan(pickup_datetime" in plan
+
+
+def test_metric_scan_is_pruned(ev):
+    from tripgauge.operators.metrics import segment_long
+
+    plan = _plan(segment_long(ev.errors).groupBy("segment_type").count())
+    read = [line for line in plan.splitlines() if "ReadSchema" in line]
+    assert read and all("pickup_latitude" not in line and "trip_distance" not in line for line in read)
