@@ -4,7 +4,6 @@ import os
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from tripgauge.operators.columns import derive_measures, normalize_columns, parse_timestamps, require_columns
 from tripgauge.operators.quality import filter_stats, reject_reason

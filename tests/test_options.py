@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from conftest import SF001
 from tripgauge.operators.quality import filter_stats, quality_rules
 from tripgauge.plans.evaluation import TripEvaluation, evaluation_for
-from tripgauge.sources.fixture import load_raw_trips
 
 
 @pytest.fixture(scope="module")

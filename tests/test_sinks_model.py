@@ -3,7 +3,6 @@
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import SF001
 from tripgauge.operators.audit import fanout_audit

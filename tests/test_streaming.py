@@ -1,6 +1,5 @@
 """The streaming load step equals the batch quality cascade, and replays are idempotent."""
 
-from pyspark.sql import functions as F
 
 from conftest import SF001
 from tripgauge.plans.catalog import RAW_CSV_SCHEMA, _raw_csv

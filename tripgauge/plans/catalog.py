@@ -7,7 +7,6 @@ doubles rounded to 6 decimals, timestamps as epoch microseconds.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession

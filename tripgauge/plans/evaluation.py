@@ -11,7 +11,6 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tripgauge import schema as S
 from tripgauge.operators.columns import derive_measures, derive_segments, normalize_columns, parse_timestamps, require_columns
