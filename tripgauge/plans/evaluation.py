@@ -38,6 +38,14 @@ class TripEvaluation:
     def from_sf_dir(cls, spark: SparkSession, sf_dir: str, **kw) -> "TripEvaluation":
         return cls(spark, load_raw_trips(spark, sf_dir), **kw)
 
+    @classmethod
+    def from_clean(cls, spark: SparkSession, clean: DataFrame, **kw) -> "TripEvaluation":
+        """Start from a stored trips_clean table (trip_id dense in pickup order)."""
+        ev = cls(spark, clean, **kw)
+        ev.__dict__["clean"] = clean
+        ev.__dict__["split_us"] = split_time_micros(clean, S.SPLIT_QUANTILE, pickup_ordered_id=S.TRIP_ID)
+        return ev
+
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
         """Small result tables reused by several branches are materialised once."""
         return materialize(df, name)
