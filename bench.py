@@ -39,6 +39,8 @@ def main() -> None:
     from tripgauge.session import local_session, table_path
 
     spark = local_session(cpus, shuffle_partitions=int(cpus))
+    if os.environ.get("BENCH_AQE") == "0":  # diagnostics only
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.range(1000).selectExpr("sum(id)").collect()  # JVM warm-up, not timed
 
     times: dict[str, float] = {}

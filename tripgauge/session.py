@@ -59,7 +59,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     path = stage_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # The schema is known: read back without footer-based inference.
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def table_path(sf_dir: str, table: str) -> str:
