@@ -19,9 +19,8 @@ numbers into global ranks.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,9 +46,9 @@ def _partition_offsets(t: DataFrame, by: Sequence[str]) -> DataFrame:
     pid = F.shiftright("_mid", _LOW_BITS).alias("_pid")
     stats = t.groupBy(*by, pid).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
     # One row per (group, non-empty partition): small, bounded by partitions x groups.
-    w_run = (Window.partitionBy(*by) if by else Window).orderBy("_pid").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    w_all = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    keys = [F.col(c) for c in by] if by else [F.lit(0)]
+    w_run = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w_all = Window.partitionBy(*keys)
     return (stats.withColumn("_off", F.sum("_cnt").over(w_run) - F.col("_cnt"))
             .withColumn("_n", F.sum("_cnt").over(w_all)))
 

@@ -135,7 +135,7 @@ def q_trips_clean(spark, sf_dir):
 
 
 def q_write_trips_table(spark, sf_dir):
-    """trips_clean through the table sink (replace, then append-refusal check) and back."""
+    """trips_clean through the table sink (replace mode, row count verified) and back."""
     clean = _ev(spark, sf_dir).clean.select(*CLEAN_COLS)
     path = stage_path(spark, "trips_clean_table")
     n = write_trips_table(clean, path, mode="replace")
