@@ -66,3 +66,25 @@ def test_model_save_load_identical(spark, ev):
     a = predict_duration(model, model_input(ev.evaluation)).orderBy("trip_id").collect()
     b = predict_duration(load_model(f"{d}/m"), model_input(ev.evaluation)).orderBy("trip_id").collect()
     assert a == b and all(r["estimated_duration_sec"] >= 30.0 for r in a)
+
+
+def test_jdbc_writer_sizing():
+    from tripgauge.sources.sinks import jdbc_writers
+
+    assert [jdbc_writers(n) for n in (0, 99_999, 100_000, 450_000, 10**9)] == [1, 1, 1, 4, 200]
+
+
+def test_views_accept_plain_sql(spark, ev):
+    names = ev.register_views()
+    assert {"trips_clean", "eta_errors", "metrics_combined", "metrics_by_hour"} <= set(names)
+    row = spark.sql("""
+        SELECT COUNT(*) AS trip_count,
+               PERCENTILE_CONT(0.5) WITHIN GROUP (ORDER BY abs_error_sec) AS medae_sec,
+               AVG(CASE WHEN abs_pct_error <= 0.10 THEN 1.0 ELSE 0.0 END) AS w10
+        FROM eta_errors""").first()
+    m = spark.sql("SELECT * FROM metrics_overall").first()
+    assert row["trip_count"] == m["trip_count"]
+    assert abs(row["medae_sec"] - m["medae_sec"]) < 1e-9
+    assert abs(float(row["w10"]) - m["pct_within_10pct"]) < 1e-5
+    hours = spark.sql("SELECT hour_of_day::STRING AS h, COUNT(*) AS n FROM eta_errors GROUP BY 1").count()
+    assert hours == spark.sql("SELECT COUNT(*) FROM metrics_by_hour").first()[0]

@@ -22,6 +22,7 @@ from tripgauge.operators.quality import clean as apply_rules
 from tripgauge.operators.quality import quality_rules, reject_reason
 from tripgauge.operators.split import split_time_micros, temporal_split
 from tripgauge.session import materialize
+from tripgauge.sources.sinks import register_views
 from tripgauge.sources.fixture import load_raw_trips
 
 
@@ -125,6 +126,16 @@ class TripEvaluation:
     def tables(self) -> dict[str, DataFrame]:
         return metrics_tables(self.metrics)
 
+    def register_views(self) -> list[str]:
+        """Publish every stage as a temp view under its conventional name, so SQL
+        written against those relations runs unchanged on Spark SQL."""
+        stages = {
+            "trips_clean": self.clean, "trips_training": self.training, "trips_evaluation": self.evaluation,
+            "median_speeds": self.median_speeds, "trips_with_eta": self.with_eta, "eta_errors": self.errors,
+            **self.tables(),
+        }
+        return register_views(self.spark, stages)
+
     # -- prediction-table estimate -------------------------------------------
     def errors_from_predictions(self, preds: DataFrame) -> DataFrame:
         return eta_errors(predictions_join(self.evaluation, preds))

@@ -12,15 +12,31 @@ from tripgauge.schema import ESTIMATE, TRIP_ID
 
 _MODES = {"replace": "overwrite", "append": "append", "fail": "errorifexists"}
 
+# FIXED VALUES: JDBC write sizing - one writer per 100,000 rows, 1..200 writers,
+# 10,000-row insert batches.
+ROWS_PER_WRITER = 100_000
+MAX_WRITERS = 200
+INSERT_BATCH = 10_000
+
+
+def jdbc_writers(rows: int) -> int:
+    """Number of parallel JDBC writers for ``rows`` rows."""
+    return max(1, min(MAX_WRITERS, rows // ROWS_PER_WRITER))
+
 
 def write_trips_table(df: DataFrame, target: str, mode: str = "replace", fmt: str = "parquet",
-                      jdbc: Mapping[str, str] | None = None, batchsize: int = 10_000,
-                      num_partitions: int | None = None) -> int:
+                      jdbc: Mapping[str, str] | None = None, batchsize: int = INSERT_BATCH,
+                      num_partitions: int | str | None = None) -> int:
     """Write with mode replace / append / fail; returns the rows written.
 
     JDBC ``replace`` truncates instead of dropping, so dependent views survive.
+    ``num_partitions="auto"`` sizes the JDBC writers with ``jdbc_writers``
+    (one count first); Spark's JDBC writer coalesces to that many
+    connections, each inserting ``batchsize`` rows per round trip.
     The row count is observed during the write itself (no second pass).
     """
+    if fmt == "jdbc" and num_partitions == "auto":
+        num_partitions = jdbc_writers(df.count())
     from pyspark.sql import Observation
 
     obs = Observation("written")
