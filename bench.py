@@ -32,6 +32,7 @@ def main() -> None:
     from tripgauge.operators.charts import calibration_bins, error_histograms, histogram_markers
     from tripgauge.operators.features import scaler_fit, trip_features
     from tripgauge.operators.insights import best_worst_segment, bias_detection
+    from tripgauge.operators.metrics import segment_metrics
     from tripgauge.operators.model import predict_duration, train_duration_model
     from tripgauge.operators.quality import filter_stats
     from tripgauge.operators.split import model_input, temporal_validation_split
@@ -90,9 +91,10 @@ def main() -> None:
         train = temporal_validation_split(model_input(ev.training))
         m = train_duration_model(train)
         run(predict_duration(m, model_input(ev.evaluation)))
+        segment_metrics(ev.model_errors(m)).collect()
 
     if os.environ.get("BENCH_SKIP_MODEL") != "1":
-        timed("train_and_predict", model)
+        timed("train_score_metrics", model)
     total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "end_to_end_evaluation", "value": total, "unit": "sec",
                       "queries": times, "sf": _sf(sf_dir), "cpus": int(cpus), "replicate": replicate,

@@ -88,3 +88,17 @@ def test_views_accept_plain_sql(spark, ev):
     assert abs(float(row["w10"]) - m["pct_within_10pct"]) < 1e-5
     hours = spark.sql("SELECT hour_of_day::STRING AS h, COUNT(*) AS n FROM eta_errors GROUP BY 1").count()
     assert hours == spark.sql("SELECT COUNT(*) FROM metrics_by_hour").first()[0]
+
+
+def test_in_plan_scoring_equals_join(spark, ev):
+    from tripgauge.operators.errors import eta_errors
+    from tripgauge.operators.model import predict_duration, score_rows, train_duration_model
+    from tripgauge.operators.split import model_input, model_rows, temporal_validation_split
+
+    model = train_duration_model(temporal_validation_split(model_input(ev.training)), max_iter=3)
+    a = score_rows(model, model_rows(ev.evaluation))
+    assert a.columns[:-1] == ev.evaluation.columns and dict(a.dtypes)["hour_of_day"] == "int"
+    joined = eta_errors(ev.evaluation.join(predict_duration(model, model_input(ev.evaluation)), "trip_id"))
+    left = sorted((r["trip_id"], r["estimated_duration_sec"]) for r in eta_errors(a).collect())
+    right = sorted((r["trip_id"], r["estimated_duration_sec"]) for r in joined.collect())
+    assert left == right

@@ -10,11 +10,8 @@ from pyspark.sql import functions as F
 from tripgauge import schema as S
 
 
-def trip_features(df: DataFrame, keep: tuple[str, ...] = (S.TRIP_ID, S.DURATION)) -> DataFrame:
-    """Row-preserving projection to ``keep`` + the 16 features (doubles, fixed order).
-
-    Unknown bucket labels get all-zero one-hot columns.
-    """
+def feature_columns() -> dict:
+    """The 16 feature expressions by name (doubles). Unknown bucket labels get all-zero one-hot columns."""
     two_pi = F.lit(2 * math.pi)
     h = F.col(S.HOUR).cast("double")
     d = F.col(S.DOW).cast("double")
@@ -32,6 +29,12 @@ def trip_features(df: DataFrame, keep: tuple[str, ...] = (S.TRIP_ID, S.DURATION)
     for side in ("pickup", "dropoff"):
         feats[f"{side}_lat_norm"] = (F.col(f"{side}_latitude") - F.lit(S.LAT_CENTER)) / F.lit(S.COORD_SCALE)
         feats[f"{side}_lon_norm"] = (F.col(f"{side}_longitude") - F.lit(S.LON_CENTER)) / F.lit(S.COORD_SCALE)
+    return feats
+
+
+def trip_features(df: DataFrame, keep: tuple[str, ...] = (S.TRIP_ID, S.DURATION)) -> DataFrame:
+    """Row-preserving projection to ``keep`` + the 16 features (doubles, fixed order)."""
+    feats = feature_columns()
     kept = [c for c in keep if c in df.columns and c not in feats]
     return df.select(*kept, *[feats[c].alias(c) for c in S.FEATURE_COLUMNS])
 

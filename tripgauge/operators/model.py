@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tripgauge import schema as S
 from tripgauge.operators.estimate import clamp_prediction
-from tripgauge.operators.features import trip_features
+from tripgauge.operators.features import feature_columns, trip_features
 
 
 def train_duration_model(training: DataFrame, max_iter: int = 40, max_depth: int = 6,
@@ -38,6 +38,19 @@ def predict_duration(model: PipelineModel, df: DataFrame) -> DataFrame:
     return scored.select(S.TRIP_ID, clamp_prediction("prediction").alias(S.ESTIMATE))
 
 
+def score_rows(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """``df`` with every column kept plus ``estimated_duration_sec``, scored in-plan.
+
+    Scoring the rows themselves instead of joining a prediction table back on
+    the trip key avoids a shuffle join of the whole evaluation set.
+    """
+    types = dict(df.dtypes)
+    feats = feature_columns()
+    scored = model.transform(df.withColumns({c: feats[c] for c in S.FEATURE_COLUMNS}))
+    cols = [F.col(f"`{c}`").cast(types[c]).alias(c) if c in feats else F.col(f"`{c}`") for c in df.columns]
+    return scored.select(*cols, clamp_prediction("prediction").alias(S.ESTIMATE))
+
+
 def model_mae(model: PipelineModel, df: DataFrame) -> float:
     scored = model.transform(trip_features(df, keep=(S.TRIP_ID, S.DURATION)).withColumn(
         "label", F.col(S.DURATION).cast("double")))

@@ -88,11 +88,15 @@ MODEL_COLUMNS = [TRIP_ID, DURATION, DISTANCE, HOUR, DOW, BUCKET,
                  "pickup_latitude", "pickup_longitude", "dropoff_latitude", "dropoff_longitude", PICKUP]
 
 
+def model_rows(df: DataFrame) -> DataFrame:
+    """Validity filter used for training and scoring (all columns kept)."""
+    return df.where((F.col(DURATION) > 0) & (F.col(DISTANCE) > 0) & F.col(HOUR).isNotNull()
+                    & F.col(DOW).isNotNull() & F.col(BUCKET).isNotNull())
+
+
 def model_input(df: DataFrame) -> DataFrame:
     """Projection + validity filter used for training and scoring."""
-    return (df.select(*[c for c in MODEL_COLUMNS if c in df.columns])
-            .where((F.col(DURATION) > 0) & (F.col(DISTANCE) > 0) & F.col(HOUR).isNotNull()
-                   & F.col(DOW).isNotNull() & F.col(BUCKET).isNotNull()))
+    return model_rows(df.select(*[c for c in MODEL_COLUMNS if c in df.columns]))
 
 
 def temporal_validation_split(training: DataFrame, v: float = VALIDATION_FRACTION,

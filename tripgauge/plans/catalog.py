@@ -320,24 +320,21 @@ def q_sample_trips_xxhash(spark, sf_dir):
 _MODELS: dict = {}
 
 
-def _model_predictions(spark, sf_dir) -> DataFrame:
+def _model(spark, sf_dir):
     ev = _ev(spark, sf_dir)
-    key = (id(ev),)
+    key = id(ev)
     if key not in _MODELS:
-        train = temporal_validation_split(model_input(ev.training))
-        model = train_duration_model(train)
-        _MODELS[key] = predict_duration(model, model_input(ev.evaluation))
+        _MODELS[key] = train_duration_model(temporal_validation_split(model_input(ev.training)))
     return _MODELS[key]
 
 
 def q_predict_duration(spark, sf_dir):
-    return present(_model_predictions(spark, sf_dir))
+    return present(predict_duration(_model(spark, sf_dir), model_input(_ev(spark, sf_dir).evaluation)))
 
 
 def q_model_metrics_combined(spark, sf_dir):
     ev = _ev(spark, sf_dir)
-    errs = ev.errors_from_predictions(_model_predictions(spark, sf_dir))
-    return present(segment_metrics(errs).select(*S.METRIC_COLUMNS))
+    return present(segment_metrics(ev.model_errors(_model(spark, sf_dir))).select(*S.METRIC_COLUMNS))
 
 
 def queries() -> dict[str, Query]:

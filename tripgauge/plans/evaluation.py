@@ -136,10 +136,18 @@ class TripEvaluation:
         }
         return register_views(self.spark, stages)
 
-    # -- prediction-table estimate -------------------------------------------
+    # -- model estimate -------------------------------------------------------
     def errors_from_predictions(self, preds: DataFrame) -> DataFrame:
+        """Error rows for a stored prediction table (inner join on trip_id)."""
         return eta_errors(predictions_join(self.evaluation, preds))
 
+    def model_errors(self, model) -> DataFrame:
+        """Error rows of a fitted model, scored in-plan on the evaluation trips (no join)."""
+        from tripgauge.operators.model import score_rows
+        from tripgauge.operators.split import model_rows
+
+        return materialize(eta_errors(score_rows(model, model_rows(self.evaluation))), "model_errors")
+
 
 _CACHE: dict[tuple, TripEvaluation] = {}
 

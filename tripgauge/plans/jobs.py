@@ -9,14 +9,12 @@ noted).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tripgauge import schema as S
 from tripgauge.operators.charts import calibration_bins, error_histograms, histogram_markers
-from tripgauge.operators.errors import eta_errors
 from tripgauge.operators.insights import best_worst_segment, bias_detection, overall_insight
 from tripgauge.operators.metrics import error_quantiles, metrics_tables, segment_metrics
-from tripgauge.operators.model import load_model, model_mae, predict_duration, save_model, train_duration_model
+from tripgauge.operators.model import load_model, model_mae, save_model, train_duration_model
 from tripgauge.operators.quality import filter_stats, retention_summary
 from tripgauge.operators.split import model_input, temporal_validation_split
 from tripgauge.plans.evaluation import TripEvaluation
@@ -56,12 +54,14 @@ def train_job(spark: SparkSession, clean_table: str, model_path: str, val_fracti
 
 def score_job(spark: SparkSession, clean_table: str, model_path: str, predictions_target: str,
               metrics_dir: str | None = None) -> DataFrame:
-    """Score the evaluation split, store keyed predictions, compute and export the metrics."""
+    """Score the evaluation split, store keyed predictions, compute and export the metrics.
+
+    Rows are scored in-plan and the error rows materialised once; the keyed
+    prediction table is written from them, so no join brings predictions back.
+    """
     ev = _evaluation(spark, clean_table)
-    preds = predict_duration(load_model(model_path), model_input(ev.evaluation))
-    write_predictions(preds, predictions_target)
-    errors = materialize(eta_errors(ev.evaluation.join(
-        spark.read.parquet(predictions_target), S.TRIP_ID)), "model_errors")
+    errors = ev.model_errors(load_model(model_path))
+    write_predictions(errors.select(S.TRIP_ID, S.ESTIMATE), predictions_target)
     metrics = materialize(segment_metrics(errors), "model_metrics")
     if metrics_dir:
         write_metrics_csv(metrics_tables(metrics), metrics_dir)
