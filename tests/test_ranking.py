@@ -62,3 +62,32 @@ def test_driver_finish_matches_distributed(spark):
     dist = sorted(tuple(r) for r in exact_percentiles(df, "x", [0.25, 0.75], **kw).collect())
     drv = sorted(tuple(r) for r in exact_percentiles(df, "x", [0.25, 0.75], finish="driver", **kw).collect())
     assert dist == drv
+
+
+def test_hot_group_spreads_over_partitions(spark):
+    """A group with a third of the rows (and long runs of equal values) is split
+    across range partitions rather than landing in one task."""
+    from tripgauge.operators.ranking import _partition_offsets, _sorted_numbered
+
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    # AQE would merge the 16 small partitions of this tiny table into one.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df, _ = _data(spark, 8, n=30000)
+        base = df.select("g", F.col("x").alias("_x"), F.col("id").alias("_tb"))
+        t = _sorted_numbered(base, ["g", "_x", "_tb"], "hot_check", drop=["_tb"])
+        parts = _partition_offsets(t, ["g"]).where(F.col("g") == "hot").count()
+        assert parts >= 3
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_row_numbers_with_a_third_tied_on_the_key(spark):
+    rows = [(i, 0 if i % 3 == 0 else i) for i in range(6000)]
+    df = spark.createDataFrame(rows, "id long, k long").repartition(7)
+    out = row_numbers(df, ["k", "id"], "rn").collect()
+    assert sorted(r["rn"] for r in out) == list(range(1, 6001))
+    by_rn = [(r["k"], r["id"]) for r in sorted(out, key=lambda r: r["rn"])]
+    assert by_rn == sorted(by_rn)
