@@ -29,13 +29,15 @@ def assign_trip_id(df: DataFrame, order: Sequence[str] = ORDER,
 
 
 def assign_trip_id_with_offsets(df: DataFrame, order: Sequence[str] = ORDER,
-                                tiebreak: Sequence[str] | None = None, name: str = "trips_numbered"):
+                                tiebreak: Sequence[str] | None = None, name: str = "trips_numbered",
+                                after_sort=None):
     """Like ``assign_trip_id`` but keeps ``_mid`` and returns the partition offsets,
-    so rank lookups can be pushed down to the materialised table as ``_mid`` filters."""
+    so rank lookups can be pushed down to the materialised table as ``_mid`` filters.
+    ``after_sort``: order-preserving steps (derive, filter) applied before numbering."""
     if tiebreak is None:
         tiebreak = [c for c in ("event_id",) if c in df.columns]
     keys = [F.col(c) for c in order] + [F.col(c) for c in tiebreak]
     if not tiebreak:
         keys.append(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
-    t, offs = numbered_table(df, keys, name)
+    t, offs = numbered_table(df, keys, name, after_sort=after_sort)
     return attach_row_numbers(t, offs, TRIP_ID), offs

@@ -32,11 +32,15 @@ _LOW_BITS = 33
 
 
 def _sorted_numbered(df: DataFrame, order: Sequence[Column | str], name: str,
-                     drop: Sequence[str] = ()) -> DataFrame:
+                     drop: Sequence[str] = (), after_sort=None) -> DataFrame:
+    """Range-sort, apply the order-preserving ``after_sort`` (narrow steps such as
+    derived columns and filters, evaluated once after the shuffle instead of in
+    both the range-sampling and the map pass), number, materialise."""
     ordered = [F.col(c) if isinstance(c, str) else c for c in order]
-    numbered = (df.repartitionByRange(*ordered)
-                .sortWithinPartitions(*ordered)
-                .withColumn("_mid", F.monotonically_increasing_id()))
+    srt = df.repartitionByRange(*ordered).sortWithinPartitions(*ordered)
+    if after_sort is not None:
+        srt = after_sort(srt)
+    numbered = srt.withColumn("_mid", F.monotonically_increasing_id())
     return materialize(numbered.drop(*drop) if drop else numbered, name)
 
 
@@ -53,13 +57,14 @@ def _partition_offsets(t: DataFrame, by: Sequence[str]) -> DataFrame:
             .withColumn("_n", F.sum("_cnt").over(w_all)))
 
 
-def numbered_table(df: DataFrame, order: Sequence[Column | str], name: str = "numbered"):
+def numbered_table(df: DataFrame, order: Sequence[Column | str], name: str = "numbered", after_sort=None):
     """Sort by ``order``, materialise with ``_mid``, and return ``(table, offsets)``.
 
     ``offsets`` holds one ``(_pid, _first, _off, _cnt)`` row per non-empty
     range partition - a bound set by the partition count, not the data.
+    ``after_sort`` (order-preserving narrow steps) runs before the numbering.
     """
-    t = _sorted_numbered(df, order, name)
+    t = _sorted_numbered(df, order, name, after_sort=after_sort)
     offs = [tuple(r) for r in _partition_offsets(t, ()).select("_pid", "_first", "_off", "_cnt").collect()]
     return t, offs
 

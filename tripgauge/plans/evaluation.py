@@ -66,8 +66,13 @@ class TripEvaluation:
 
     @cached_property
     def _numbered(self):
-        kept = apply_rules(self.measured, self.rules)
-        return assign_trip_id_with_offsets(kept, name="trips_clean")
+        # Sort the normalised rows (the keys are raw columns), then derive the
+        # measures and apply the rules once, after the shuffle: the range
+        # sampling pass and the map pass only read and pre-filter the source.
+        rules = self.rules
+        return assign_trip_id_with_offsets(
+            self.normalized, name="trips_clean",
+            after_sort=lambda sorted_rows: apply_rules(derive_measures(sorted_rows), rules))
 
     @cached_property
     def clean(self) -> DataFrame:
