@@ -115,9 +115,15 @@ class TripEvaluation:
     def with_eta(self) -> DataFrame:
         return median_speed_eta(self.evaluation, self.median_speeds, self.global_speed)
 
+    ERROR_COLUMNS = [S.TRIP_ID, "pickup_datetime", S.DURATION, S.DISTANCE, S.HOUR, S.DOW, S.BUCKET,
+                     "estimated_speed_kmh", S.ESTIMATE, "error_sec", "abs_error_sec", "pct_error", "abs_pct_error"]
+
     @cached_property
     def errors(self) -> DataFrame:
-        return materialize(eta_errors(self.with_eta), "eta_errors")
+        """Error rows, materialised with the columns every downstream step reads
+        (the full evaluation row stays available lazily as ``with_eta``)."""
+        errs = eta_errors(self.with_eta)
+        return materialize(errs.select(*[c for c in self.ERROR_COLUMNS if c in errs.columns]), "eta_errors")
 
     @cached_property
     def error_quantiles(self) -> DataFrame:
