@@ -34,7 +34,6 @@ def main() -> None:
     from tripgauge.operators.insights import best_worst_segment, bias_detection
     from tripgauge.operators.metrics import segment_metrics
     from tripgauge.operators.model import predict_duration, train_duration_model
-    from tripgauge.operators.quality import filter_stats
     from tripgauge.operators.split import model_input, temporal_validation_split
     from tripgauge.plans.evaluation import TripEvaluation
     from tripgauge.session import local_session, table_path
@@ -71,8 +70,8 @@ def main() -> None:
     def run(df):
         df.write.format("noop").mode("overwrite").save()
 
-    timed("filter_stats", lambda: filter_stats(ev.measured, ev.rules).collect())
     timed("trips_clean", lambda: run(ev.clean))
+    timed("quality_report", ev.quality_report)  # observed during the numbering pass
     timed("temporal_split", lambda: ev.split_us)
     timed("median_speeds", lambda: (ev.median_speeds.collect(), ev.global_speed))
     timed("eta_errors", lambda: run(ev.errors))

@@ -133,3 +133,11 @@ def test_metric_scan_is_pruned(ev):
     plan = _plan(segment_long(ev.errors).groupBy("segment_type").count())
     read = [line for line in plan.splitlines() if "ReadSchema" in line]
     assert read and all("pickup_latitude" not in line and "trip_distance" not in line for line in read)
+
+
+def test_observed_quality_report_equals_filter_stats(ev):
+    from tripgauge.operators.quality import filter_stats
+
+    observed = ev.quality_report()
+    counted = {r["reject_reason"]: r["n"] for r in filter_stats(ev.measured, ev.rules).collect()}
+    assert observed == counted and sum(observed.values()) == ev.raw.count()

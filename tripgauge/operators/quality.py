@@ -37,14 +37,32 @@ def quality_rules(bbox: bool = False) -> list[tuple[str, Column]]:
     return [(name, F.coalesce(cond, F.lit(False))) for name, cond in rules]
 
 
+def reason_expr(rules: Sequence[tuple[str, Column]]) -> Column:
+    """Name of the first failing rule, or 'ok'."""
+    expr = None
+    for name, keep in rules:
+        expr = F.when(~keep, name) if expr is None else expr.when(~keep, name)
+    return expr.otherwise(OK)
+
+
 def reject_reason(df: DataFrame, rules: Sequence[tuple[str, Column]] | None = None,
                   col: str = "reject_reason") -> DataFrame:
     """Name of the first failing rule, or 'ok'. Sequential filter counts equal first-failure counts."""
     rules = quality_rules() if rules is None else rules
-    expr = None
-    for name, keep in rules:
-        expr = F.when(~keep, name) if expr is None else expr.when(~keep, name)
-    return df.withColumn(col, expr.otherwise(OK))
+    return df.withColumn(col, reason_expr(rules))
+
+
+def observe_reasons(df: DataFrame, observation, rules: Sequence[tuple[str, Column]] | None = None) -> DataFrame:
+    """Attach first-failure counts per rule to ``df`` as an ``Observation``.
+
+    Filled by whichever action first runs the plan; place it after any
+    exchange whose partitioner samples its input (the sampling pass would
+    count rows twice) and before the rule filter.
+    """
+    rules = quality_rules() if rules is None else rules
+    reason = reason_expr(rules)
+    names = [n for n, _ in rules] + [OK]
+    return df.observe(observation, *[F.count(F.when(reason == n, 1)).alias(n) for n in names])
 
 
 def clean(df: DataFrame, rules: Sequence[tuple[str, Column]] | None = None) -> DataFrame:

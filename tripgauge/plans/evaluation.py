@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from tripgauge import schema as S
 from tripgauge.operators.columns import derive_measures, derive_segments, normalize_columns, parse_timestamps, require_columns
@@ -19,7 +19,7 @@ from tripgauge.operators.estimate import global_speed, median_speed_eta, median_
 from tripgauge.operators.ids import assign_trip_id_with_offsets
 from tripgauge.operators.metrics import error_quantiles, metrics_tables, segment_metrics
 from tripgauge.operators.quality import clean as apply_rules
-from tripgauge.operators.quality import quality_rules, reject_reason
+from tripgauge.operators.quality import observe_reasons, quality_rules, reject_reason
 from tripgauge.operators.split import split_time_micros, temporal_split
 from tripgauge.session import materialize
 from tripgauge.sources.sinks import register_views
@@ -68,11 +68,21 @@ class TripEvaluation:
     def _numbered(self):
         # Sort the normalised rows (the keys are raw columns), then derive the
         # measures and apply the rules once, after the shuffle: the range
-        # sampling pass and the map pass only read and pre-filter the source.
+        # sampling pass and the map pass only read the source. The first-failure
+        # counts of the quality report are observed on the same pass.
         rules = self.rules
-        return assign_trip_id_with_offsets(
-            self.normalized, name="trips_clean",
-            after_sort=lambda sorted_rows: apply_rules(derive_measures(sorted_rows), rules))
+        self._quality = Observation("quality_report")
+
+        def after_sort(rows: DataFrame) -> DataFrame:
+            return apply_rules(observe_reasons(derive_measures(rows), self._quality, rules), rules)
+
+        return assign_trip_id_with_offsets(self.normalized, name="trips_clean", after_sort=after_sort)
+
+    def quality_report(self) -> dict[str, int]:
+        """First-failure counts per rule and 'ok', observed while numbering the
+        clean trips (no separate pass over the source)."""
+        self._numbered
+        return {k: int(v) for k, v in self._quality.get.items()}
 
     @cached_property
     def clean(self) -> DataFrame:
