@@ -19,7 +19,7 @@ from tripgauge.operators.estimate import clamp_prediction
 from tripgauge.operators.features import feature_columns, trip_features
 
 
-def train_duration_model(training: DataFrame, max_iter: int = 40, max_depth: int = 6,
+def train_duration_model(training: DataFrame, max_iter: int = 40, max_depth: int = 8,
                          step_size: float = 0.1, validation_tol: float = 0.01,
                          seed: int = 42) -> PipelineModel:
     """``training`` needs the model columns and a boolean ``is_val``."""
