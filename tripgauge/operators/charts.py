@@ -76,13 +76,17 @@ def error_histograms(errors: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame
 
 
 def histogram_markers(errors: DataFrame, approx: bool = False, qtable: DataFrame | None = None) -> DataFrame:
-    """(metric, median, p90) drawn over each histogram."""
+    """(metric, median, p90) drawn over each histogram; the relative-error
+    markers are 100 x the quantiles of ``abs_pct_error``."""
     from tripgauge.operators.metrics import error_quantiles
 
     qtable = error_quantiles(errors, approx=approx) if qtable is None else qtable
-    metric = F.when(F.col("measure") == "sec", "abs_error_sec").otherwise("abs_pct_error_x100")
-    return (qtable.where(F.col("measure").isin("sec", "pct100") & (F.col("segment_type") == "overall"))
-            .select(metric.alias("metric"), F.col("q50").alias("median"), F.col("q90").alias("p90")))
+    sec = F.col("measure") == "sec"
+    scale = F.when(sec, F.lit(1.0)).otherwise(F.lit(100.0))
+    metric = F.when(sec, "abs_error_sec").otherwise("abs_pct_error_x100")
+    return (qtable.where(F.col("measure").isin("sec", "pct") & (F.col("segment_type") == "overall"))
+            .select(metric.alias("metric"), (F.col("q50") * scale).alias("median"),
+                    (F.col("q90") * scale).alias("p90")))
 
 
 def calibration_bins(errors: DataFrame, edges: int = CALIBRATION_EDGES, q: float = CALIBRATION_QUANTILE,

@@ -43,7 +43,7 @@ def _qname(q: float) -> str:
     return f"q{round(q * 100, 4):g}".replace(".", "_")
 
 
-MEASURES = ["sec", "pct", "pct100", "duration"]
+MEASURES = ["sec", "pct", "duration"]
 
 
 def error_quantiles(errors: DataFrame, segments: Sequence[tuple[str, Column]] | None = None,
@@ -53,8 +53,8 @@ def error_quantiles(errors: DataFrame, segments: Sequence[tuple[str, Column]] |
 
     Rows (measure, segment_type, segment_value, q50, q90, q95):
     ``sec`` (abs_error_sec) and ``pct`` (abs_pct_error) for overall and every
-    segment; ``pct100`` (abs_pct_error * 100) and ``duration`` (actual
-    seconds) overall only - the histogram markers and the calibration range.
+    segment - also the histogram markers - and ``duration`` (actual seconds)
+    overall only, for the calibration range.
     Each error row becomes one sort row per (measure, segmentation) - the
     number of distinct orders exact percentiles need - with the measure and
     segmentation carried as small integers to keep the shuffle narrow.
@@ -69,11 +69,10 @@ def error_quantiles(errors: DataFrame, segments: Sequence[tuple[str, Column]] |
     for t in range(len(types)):
         entries.append(entry("sec", t, F.col("abs_error_sec")))
         entries.append(entry("pct", t, F.col("abs_pct_error")))
-    entries.append(entry("pct100", 0, F.col("abs_pct_error") * F.lit(100.0)))
     entries.append(entry("duration", 0, F.col(DURATION)))
     tb = [TRIP_ID] if TRIP_ID in errors.columns else []
     stacked = errors.select(*tb, F.inline(F.array(*entries)))
-    groups = None if max_segments is None else 2 * max_segments + 2
+    groups = None if max_segments is None else 2 * max_segments + 1
     q = exact_percentiles(stacked, "x", quantiles, by=["_m", "_t", "segment_value"],
                           names=[_qname(p) for p in quantiles], tiebreak=tb[0] if tb else None,
                           approx=approx, max_groups=groups, name="error_quantiles")

@@ -272,8 +272,8 @@ FROM metrics WHERE segment_type = '{seg}'""")
     q["histogram_markers"] = _with("""
 SELECT 'abs_error_sec' AS metric, round(quantile_cont(abs_error_sec, 0.5), 6) AS median,
   round(quantile_cont(abs_error_sec, 0.9), 6) AS p90 FROM errors
-UNION ALL SELECT 'abs_pct_error_x100', round(quantile_cont(abs_pct_error * 100e0, 0.5), 6),
-  round(quantile_cont(abs_pct_error * 100e0, 0.9), 6) FROM errors""")
+UNION ALL SELECT 'abs_pct_error_x100', round(quantile_cont(abs_pct_error, 0.5) * 100e0, 6),
+  round(quantile_cont(abs_pct_error, 0.9) * 100e0, 6) FROM errors""")
     q["calibration_bins"] = _with("""
 SELECT b.bin, CAST(coalesce(c.n, 0) AS BIGINT) AS n, round(c.mean_actual, 6) AS mean_actual,
   round(c.mean_estimated, 6) AS mean_estimated
