@@ -43,6 +43,7 @@ class TripEvaluation:
     def from_clean(cls, spark: SparkSession, clean: DataFrame, **kw) -> "TripEvaluation":
         """Start from a stored trips_clean table (trip_id dense in pickup order)."""
         ev = cls(spark, clean, **kw)
+        ev._from_clean = True
         ev.__dict__["clean"] = clean
         ev.__dict__["split_us"] = split_time_micros(clean, S.SPLIT_QUANTILE, pickup_ordered_id=S.TRIP_ID)
         return ev
@@ -81,6 +82,8 @@ class TripEvaluation:
     def quality_report(self) -> dict[str, int]:
         """First-failure counts per rule and 'ok', observed while numbering the
         clean trips (no separate pass over the source)."""
+        if getattr(self, "_from_clean", False):
+            raise ValueError("built from a stored clean table: use filter_stats on the raw trips")
         self._numbered
         return {k: int(v) for k, v in self._quality.get.items()}
 
