@@ -82,3 +82,37 @@ def test_within_threshold_exact_tenth(spark):
     df = spark.createDataFrame([(100, 110.0)], "trip_duration_sec long, estimated_duration_sec double")
     e = eta_errors(df).select((F.col("abs_pct_error") <= 0.10).alias("w")).first()
     assert e["w"] is True
+
+
+def _clean_rows(spark, rows):
+    schema = ("trip_id long, hour_of_day int, distance_bucket string, trip_duration_sec long, "
+              "haversine_distance_km double")
+    return spark.createDataFrame(rows, schema)
+
+
+def test_segment_fallback_below_ten_trips(spark):
+    """A segment with 9 training trips uses the global median; one with 10 its own."""
+    from tripgauge.operators.estimate import global_speed, median_speed_eta, median_speeds
+
+    rows = [(i, 8, "1-3mi", 600, 2.0) for i in range(9)]                   # 12 km/h, 9 trips
+    rows += [(100 + i, 9, "1-3mi", 360, 2.0) for i in range(10)]           # 20 km/h, 10 trips
+    training = _clean_rows(spark, rows)
+    speeds = median_speeds(training)
+    assert {(r["hour_of_day"], r["trip_count"]) for r in speeds.collect()} == {(9, 10)}
+    g = global_speed(training)
+    evaluation = _clean_rows(spark, [(1000, 8, "1-3mi", 500, 2.0), (1001, 9, "1-3mi", 500, 2.0)])
+    got = {r["trip_id"]: r["estimated_speed_kmh"] for r in median_speed_eta(evaluation, speeds, g).collect()}
+    assert got[1001] == 20.0 and got[1000] == g
+
+
+def test_equal_time_and_point_get_distinct_ids(spark):
+    import datetime as dt
+
+    from tripgauge.operators.ids import assign_trip_id
+
+    t = dt.datetime(2024, 1, 1, 8, 0)
+    df = spark.createDataFrame([(7, t, 40.7, -74.0), (3, t, 40.7, -74.0), (5, t, 40.6, -74.0)],
+                               "event_id long, pickup_datetime timestamp_ntz, pickup_latitude double, "
+                               "pickup_longitude double")
+    got = {r["event_id"]: r["trip_id"] for r in assign_trip_id(df).collect()}
+    assert got == {5: 1, 3: 2, 7: 3}
