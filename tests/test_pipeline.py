@@ -141,3 +141,14 @@ def test_observed_quality_report_equals_filter_stats(ev):
     observed = ev.quality_report()
     counted = {r["reject_reason"]: r["n"] for r in filter_stats(ev.measured, ev.rules).collect()}
     assert observed == counted and sum(observed.values()) == ev.raw.count()
+
+
+def test_metrics_scan_error_rows_once(ev):
+    """The error rows are read by the single sort job only: the metric plan reads
+    the sorted table (_m, _t, segment_value, _x, _mid), never the error columns."""
+    from tripgauge.operators.metrics import segment_metrics
+
+    plan = _plan(segment_metrics(ev.errors))
+    schemas = [line[line.index("ReadSchema"):] for line in plan.splitlines() if "ReadSchema" in line]
+    assert schemas and all("abs_error_sec" not in r and "abs_pct_error" not in r for r in schemas)
+    assert any("_mid" in r for r in schemas)

@@ -91,3 +91,18 @@ def test_row_numbers_with_a_third_tied_on_the_key(spark):
     assert sorted(r["rn"] for r in out) == list(range(1, 6001))
     by_rn = [(r["k"], r["id"]) for r in sorted(out, key=lambda r: r["rn"])]
     assert by_rn == sorted(by_rn)
+
+
+def test_group_sums_match_brute_force(spark):
+    df, rows = _data(spark, 6)
+    sums = {"s": lambda x: x, "le10": lambda x: F.when(x <= 10.0, 1.0).otherwise(0.0)}
+    want = {}
+    for _, g, x in rows:
+        s, le = want.get(g, (0.0, 0.0))
+        want[g] = (s + x, le + (1.0 if x <= 10.0 else 0.0))
+    for finish in ("distributed", "driver"):
+        got = {r["g"]: (r["s"], r["le10"]) for r in exact_percentiles(
+            df, "x", [0.5], by=["g"], tiebreak="id", max_groups=20, finish=finish, sums=sums).collect()}
+        assert got.keys() == want.keys()
+        for g in want:
+            assert abs(got[g][0] - want[g][0]) < 1e-6 and got[g][1] == want[g][1], (finish, g)

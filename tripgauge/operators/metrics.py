@@ -46,17 +46,24 @@ def _qname(q: float) -> str:
 MEASURES = ["sec", "pct", "duration"]
 
 
+def _within_name(t: float) -> str:
+    return f"n_within_{int(round(t * 100))}"
+
+
 def error_quantiles(errors: DataFrame, segments: Sequence[tuple[str, Column]] | None = None,
                     quantiles: Sequence[float] = ERROR_QUANTILES, approx: bool = False,
-                    max_segments: int | None = DEFAULT_MAX_SEGMENTS) -> DataFrame:
-    """All order statistics over the error rows from ONE distributed sort.
-
-    Rows (measure, segment_type, segment_value, q50, q90, q95):
-    ``sec`` (abs_error_sec) and ``pct`` (abs_pct_error) for overall and every
-    segment - also the histogram markers - and ``duration`` (actual seconds)
-    overall only, for the calibration range.
-    Each error row becomes one sort row per (measure, segmentation) - the
-    number of distinct orders exact percentiles need - with the measure and
+                    max_segments: int | None = DEFAULT_MAX_SEGMENTS,
+                    within: Sequence[float] = WITHIN_THRESHOLDS) -> DataFrame:
+    """Every statistic over the error rows from ONE distributed sort.
+
+    Rows (measure, segment_type, segment_value, q50, q90, q95, n, sum_x,
+    n_within_10, n_within_20): ``sec`` (abs_error_sec) and ``pct``
+    (abs_pct_error) for overall and every segment - also the histogram
+    markers - and ``duration`` (actual seconds) overall only, for the
+    calibration range. Counts, sums and threshold counts come from the same
+    per-partition stats pass, so the metric rows need no second scan. Each
+    error row becomes one sort row per (measure, segmentation) - the number of
+    distinct orders exact percentiles need - with the measure and
     segmentation carried as small integers to keep the shuffle narrow.
     """
     segments = default_segments() if segments is None else segments
@@ -73,13 +80,16 @@ def error_quantiles(errors: DataFrame, segments: Sequence[tuple[str, Column]] |
     tb = [TRIP_ID] if TRIP_ID in errors.columns else []
     stacked = errors.select(*tb, F.inline(F.array(*entries)))
     groups = None if max_segments is None else 2 * max_segments + 1
+    sums = {"sum_x": lambda x: x}
+    for w in within:
+        sums[_within_name(w)] = lambda x, w=w: F.when(x <= F.lit(float(w)), F.lit(1.0)).otherwise(F.lit(0.0))
     q = exact_percentiles(stacked, "x", quantiles, by=["_m", "_t", "segment_value"],
                           names=[_qname(p) for p in quantiles], tiebreak=tb[0] if tb else None,
-                          approx=approx, max_groups=groups, name="error_quantiles")
+                          approx=approx, max_groups=groups, count_col="n", sums=sums, name="error_quantiles")
     measure = F.element_at(F.array(*[F.lit(m) for m in MEASURES]), F.col("_m").cast("int") + 1)
     seg_type = F.element_at(F.array(*[F.lit(t) for t in types]), F.col("_t").cast("int") + 1)
     return q.select(measure.alias("measure"), seg_type.alias("segment_type"), "segment_value",
-                    *[_qname(p) for p in quantiles])
+                    *[_qname(p) for p in quantiles], F.col("n").cast("long").alias("n"), *sums)
 
 
 def segment_metrics(errors: DataFrame, segments: Sequence[tuple[str, Column]] | None = None,
@@ -88,30 +98,29 @@ def segment_metrics(errors: DataFrame, segments: Sequence[tuple[str, Column]] |
                     qtable: DataFrame | None = None) -> DataFrame:
     """The 11-column metric rows for 'overall' and every segmentation.
 
-    Means, counts and within-threshold rates are one partial/final
-    aggregation over the Expand of the error rows; medians and P90s come from
-    ``error_quantiles`` (pass ``qtable`` to reuse one already computed).
+    Everything comes from ``error_quantiles`` (pass ``qtable`` to reuse one
+    already computed): one scan and one sort of the error rows. Error rows
+    have no null error values, so per-measure counts equal ``COUNT(*)``.
     """
     if segments is not None and max_segments == DEFAULT_MAX_SEGMENTS:
         max_segments = None
-    long = segment_long(errors, segments)
+    needed = [_qname(q) for q in quantiles] + ["n", "sum_x"] + [_within_name(w) for w in within]
+    if qtable is None or any(c not in qtable.columns for c in needed):
+        qtable = error_quantiles(errors, segments, sorted(set(quantiles) | set(ERROR_QUANTILES)), approx,
+                                 max_segments, within)
     keys = ["segment_type", "segment_value"]
-    rate = lambda t: F.avg(F.when(F.col("abs_pct_error") <= F.lit(float(t)), F.lit(1.0)).otherwise(F.lit(0.0)))
-    basic = long.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("trip_count"),
-        F.avg("abs_error_sec").alias("mae_sec"),
-        F.avg("abs_pct_error").alias("mae_pct"),
-        *[rate(t).alias(f"pct_within_{int(round(t * 100))}pct") for t in within])
-    if qtable is None or any(_qname(q) not in qtable.columns for q in quantiles):
-        qtable = error_quantiles(errors, segments, quantiles, approx, max_segments)
     labels = {0.5: "medae", 0.9: "p90_abs_error"}
-    cols = []
+    pick = lambda m, c: F.max(F.when(F.col("measure") == m, F.col(c)))
+    cols = [pick("sec", "n").alias("trip_count"),
+            (pick("sec", "sum_x") / pick("sec", "n")).alias("mae_sec"),
+            (pick("pct", "sum_x") / pick("pct", "n")).alias("mae_pct")]
     for m in ("sec", "pct"):
         for q in quantiles:
             label = labels.get(q, f"p{round(q * 100, 4):g}_abs_error")
-            cols.append(F.max(F.when(F.col("measure") == m, F.col(_qname(q)))).alias(f"{label}_{m}"))
-    wide = qtable.where(F.col("measure").isin("sec", "pct")).groupBy(*keys).agg(*cols)
-    out = basic.join(wide, keys, "left")
+            cols.append(pick(m, _qname(q)).alias(f"{label}_{m}"))
+    for w in within:
+        cols.append((pick("pct", _within_name(w)) / pick("sec", "n")).alias(f"pct_within_{int(round(w * 100))}pct"))
+    out = qtable.where(F.col("measure").isin("sec", "pct")).groupBy(*keys).agg(*cols)
     ordered = [c for c in METRIC_COLUMNS if c in out.columns]
     return out.select(*ordered, *[c for c in out.columns if c not in ordered])
 

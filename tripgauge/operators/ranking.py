@@ -44,17 +44,23 @@ def _sorted_numbered(df: DataFrame, order: Sequence[Column | str], name: str,
     return materialize(numbered.drop(*drop) if drop else numbered, name)
 
 
-def _partition_offsets(t: DataFrame, by: Sequence[str]) -> DataFrame:
-    """(by..., _pid, _cnt, _first, _off, _n): rows of each group per partition,
-    with the group's rank offset at the start of that partition."""
+def _partition_offsets(t: DataFrame, by: Sequence[str], sums: dict | None = None) -> DataFrame:
+    """(by..., _pid, _cnt, _first, _off, _n[, sums]): rows of each group per partition,
+    with the group's rank offset at the start of that partition. ``sums`` maps
+    output names to per-row expressions of ``_x`` whose group totals are wanted."""
+    sums = sums or {}
     pid = F.shiftright("_mid", _LOW_BITS).alias("_pid")
-    stats = t.groupBy(*by, pid).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
+    stats = t.groupBy(*by, pid).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"),
+                                    *[F.sum(f(F.col("_x"))).alias(f"_s_{k}") for k, f in sums.items()])
     # One row per (group, non-empty partition): small, bounded by partitions x groups.
     keys = [F.col(c) for c in by] if by else [F.lit(0)]
     w_run = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     w_all = Window.partitionBy(*keys)
-    return (stats.withColumn("_off", F.sum("_cnt").over(w_run) - F.col("_cnt"))
-            .withColumn("_n", F.sum("_cnt").over(w_all)))
+    stats = (stats.withColumn("_off", F.sum("_cnt").over(w_run) - F.col("_cnt"))
+             .withColumn("_n", F.sum("_cnt").over(w_all)))
+    for k in sums:
+        stats = stats.withColumn(k, F.sum(f"_s_{k}").over(w_all))
+    return stats
 
 
 def numbered_table(df: DataFrame, order: Sequence[Column | str], name: str = "numbered", after_sort=None):
@@ -107,7 +113,7 @@ def exact_percentiles(df: DataFrame, value: Column | str, probs: Sequence[float]
                       tiebreak: Column | str | None = None, approx: bool = False,
                       accuracy: int = 100_000, max_groups: int | None = None,
                       count_col: str | None = None, finish: str = "distributed",
-                      name: str = "pct") -> DataFrame:
+                      sums: dict | None = None, name: str = "pct") -> DataFrame:
     """One row per group of ``by`` with one column per probability.
 
     Semantics of ``percentile_cont(p) WITHIN GROUP (ORDER BY value)``: nulls
@@ -121,50 +127,55 @@ def exact_percentiles(df: DataFrame, value: Column | str, probs: Sequence[float]
     two small collects - per-(group, partition) counts and the bracketing
     rows - which lowers latency on small inputs. ``count_col`` adds the number of
     non-null values per group (known from the offsets, no extra pass).
+    ``sums`` ({name: f}) adds the group total of ``f(value)`` per row - means
+    and threshold rates - computed in the same per-partition stats pass.
     """
+    sums = dict(sums or {})
     by = list(by)
     names = list(names) if names is not None else [f"p{int(round(p * 100))}" for p in probs]
     x = F.col(value) if isinstance(value, str) else value
     if approx:
         arr = F.percentile_approx(x.cast("double"), list(probs), accuracy)
-        extra = [F.count(x).alias(count_col)] if count_col else []
+        xd = x.cast("double")
+        extra = ([F.count(x).alias(count_col)] if count_col else []) + [
+            F.sum(f(xd)).alias(k) for k, f in sums.items()]
         return (df.groupBy(*by).agg(arr.alias("_q"), *extra)
                 .select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)],
-                        *([count_col] if count_col else [])))
+                        *([count_col] if count_col else []), *sums))
     tb = [F.col(tiebreak) if isinstance(tiebreak, str) else tiebreak] if tiebreak is not None else []
     base = df.where(x.isNotNull()).select(*by, x.cast("double").alias("_x"), *[c.alias("_tb") for c in tb])
     order = [*by, "_x"] + (["_tb"] if tb else [])
     t = _sorted_numbered(base, order, name, drop=["_tb"] if tb else [])
-    stats = _partition_offsets(t, by)
+    stats = _partition_offsets(t, by, sums)
 
     bounded = not by or max_groups is not None
     if finish == "driver" and bounded:
-        return _bounded_tail(t, by, probs, names, count_col)
+        return _bounded_tail(t, by, probs, names, count_col, sums)
 
-    # Every (group, partition) row emits the wanted ranks that fall inside it.
     # Every (group, partition) row emits the wanted ranks that fall inside it.
     prob_arr = F.array(*[F.lit(float(p)) for p in probs])
-    wanted = (stats.select(*by, "_n", "_cnt", "_first", "_off", F.posexplode(prob_arr).alias("_i", "_p"))
+    wanted = (stats.select(*by, "_n", *sums, "_cnt", "_first", "_off", F.posexplode(prob_arr).alias("_i", "_p"))
               .withColumn("_h", F.col("_p") * (F.col("_n") - 1).cast("double"))
               .withColumn("_r", F.explode(F.array_distinct(F.array(
                   F.floor("_h").cast("long"), F.ceil("_h").cast("long")))))
               .where((F.col("_r") >= F.col("_off")) & (F.col("_r") < F.col("_off") + F.col("_cnt")))
-              .select(*by, "_n", "_i", "_h", "_r", (F.col("_first") + F.col("_r") - F.col("_off")).alias("_mid")))
+              .select(*by, "_n", *sums, "_i", "_h", "_r",
+                      (F.col("_first") + F.col("_r") - F.col("_off")).alias("_mid")))
     if bounded:
         wanted = F.broadcast(wanted)
     picked = t.select("_mid", "_x").join(wanted, "_mid")  # _mid is unique across the table
     lo = F.max(F.when(F.col("_r") == F.floor("_h"), F.col("_x")))
     hi = F.max(F.when(F.col("_r") == F.ceil("_h"), F.col("_x")))
     per_p = (picked.groupBy(*by, "_i").agg(lo.alias("_lo"), hi.alias("_hi"), F.first("_h").alias("_h"),
-                                           F.max("_n").alias("_n"))
+                                           F.max("_n").alias("_n"), *[F.max(k).alias(k) for k in sums])
              .withColumn("_v", F.col("_lo") + (F.col("_h") - F.floor("_h")) * (F.col("_hi") - F.col("_lo"))))
-    extra = [F.max("_n").alias(count_col)] if count_col else []
+    extra = ([F.max("_n").alias(count_col)] if count_col else []) + [F.max(k).alias(k) for k in sums]
     return per_p.groupBy(*by).agg(*[F.max(F.when(F.col("_i") == i, F.col("_v"))).alias(n)
                                     for i, n in enumerate(names)], *extra)
 
 
 def _bounded_tail(t: DataFrame, by: Sequence[str], probs: Sequence[float], names: Sequence[str],
-                  count_col: str | None) -> DataFrame:
+                  count_col: str | None, sums: dict | None = None) -> DataFrame:
     """Finish on the driver when the group count is bounded.
 
     Two small jobs over the materialised sort: per-(group, partition) counts
@@ -174,10 +185,18 @@ def _bounded_tail(t: DataFrame, by: Sequence[str], probs: Sequence[float], names
     arithmetic as the distributed path.
     """
     pid = F.shiftright("_mid", _LOW_BITS).alias("_pid")
-    stats = t.groupBy(*by, pid).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first")).collect()
+    sums = sums or {}
+    stats = t.groupBy(*by, pid).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"),
+                                    *[F.sum(f(F.col("_x"))).alias(f"_s_{k}") for k, f in sums.items()]).collect()
     groups: dict[tuple, list] = {}
+    totals: dict[tuple, dict] = {}
     for r in stats:
-        groups.setdefault(tuple(r[c] for c in by), []).append((r["_pid"], r["_first"], r["_cnt"]))
+        key = tuple(r[c] for c in by)
+        groups.setdefault(key, []).append((r["_pid"], r["_first"], r["_cnt"]))
+        acc = totals.setdefault(key, {k: None for k in sums})
+        for k in sums:
+            v = r[f"_s_{k}"]
+            acc[k] = v if acc[k] is None else (acc[k] if v is None else acc[k] + v)
     plan: dict[tuple, tuple[int, list]] = {}
     wanted: dict[int, tuple] = {}
     for key, parts in groups.items():
@@ -212,8 +231,10 @@ def _bounded_tail(t: DataFrame, by: Sequence[str], probs: Sequence[float], names
             out.append(lo + (h - math.floor(h)) * (hi - lo))
         if count_col:
             out.append(n)
+        out += [None if totals[key][k] is None else float(totals[key][k]) for k in sums]
         rows.append(tuple(out))
     schema = StructType([StructField(c, fields[c], True) for c in by]
                         + [StructField(nm, DoubleType(), True) for nm in names]
-                        + ([StructField(count_col, LongType(), True)] if count_col else []))
+                        + ([StructField(count_col, LongType(), True)] if count_col else [])
+                        + [StructField(k, DoubleType(), True) for k in sums])
     return t.sparkSession.createDataFrame(rows, schema)
