@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripgauge.functions import speed_kmh
+from tripgauge.functions import bucket_rank, speed_kmh
 from tripgauge.operators.ranking import exact_percentiles
 from tripgauge.session import broadcast_if_small
 from tripgauge.schema import BUCKET, BUCKET_LABELS, DISTANCE, DURATION, ESTIMATE, HOUR, MIN_PREDICTION_SEC, MIN_SEGMENT_TRIPS, TRIP_ID
@@ -23,18 +23,23 @@ def speed_medians(training: DataFrame, approx: bool = False) -> DataFrame:
     """Median speed and trip count per (hour, bucket) and overall, in one percentile job.
 
     Rows: (level, hour_of_day, distance_bucket, median_speed_kmh, trip_count)
-    with level 'segment' or 'overall' (segment keys null).
+    with level 'segment' or 'overall' (segment keys null). The sort carries
+    the level and bucket as small integers.
     """
     moving = _moving(training)
     tb = [TRIP_ID] if TRIP_ID in training.columns else []
     entries = F.array(
-        F.struct(F.lit("segment").alias("level"), F.col(HOUR).alias(HOUR), F.col(BUCKET).alias(BUCKET)),
-        F.struct(F.lit("overall").alias("level"), F.lit(None).cast("int").alias(HOUR),
-                 F.lit(None).cast("string").alias(BUCKET)))
+        F.struct(F.lit(0).cast("byte").alias("_lvl"), F.col(HOUR).alias(HOUR),
+                 bucket_rank(F.col(BUCKET)).cast("byte").alias("_b")),
+        F.struct(F.lit(1).cast("byte").alias("_lvl"), F.lit(None).cast("int").alias(HOUR),
+                 F.lit(None).cast("byte").alias("_b")))
     stacked = moving.select(*tb, "speed_kmh", F.inline(entries))
-    return exact_percentiles(stacked, "speed_kmh", [0.5], by=["level", HOUR, BUCKET],
-                             names=["median_speed_kmh"], tiebreak=tb[0] if tb else None, approx=approx,
-                             max_groups=MAX_SEGMENTS + 1, count_col="trip_count", name="speed_medians")
+    q = exact_percentiles(stacked, "speed_kmh", [0.5], by=["_lvl", HOUR, "_b"],
+                          names=["median_speed_kmh"], tiebreak=tb[0] if tb else None, approx=approx,
+                          max_groups=MAX_SEGMENTS + 1, count_col="trip_count", name="speed_medians")
+    level = F.when(F.col("_lvl") == 0, "segment").otherwise("overall")
+    bucket = F.element_at(F.array(*[F.lit(b) for b in BUCKET_LABELS]), F.col("_b").cast("int"))
+    return q.select(level.alias("level"), HOUR, bucket.alias(BUCKET), "median_speed_kmh", "trip_count")
 
 
 def median_speeds(training: DataFrame, min_trips: int = MIN_SEGMENT_TRIPS, approx: bool = False,
