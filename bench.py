@@ -78,7 +78,7 @@ def main() -> None:
     timed("metrics_combined", lambda: ev.metrics.collect())
     timed("insights", lambda: (best_worst_segment(ev.metrics, "distance_bucket").collect(),
                                bias_detection(ev.errors).collect()))
-    timed("error_histogram", lambda: (error_histograms(ev.errors).collect(),
+    timed("error_histogram", lambda: (error_histograms(ev.errors, qtable=ev.error_quantiles).collect(),
                                       histogram_markers(ev.errors, qtable=ev.error_quantiles).collect()))
     timed("calibration_bins", lambda: calibration_bins(ev.errors, qtable=ev.error_quantiles).collect())
     orders = spark.read.parquet(table_path(sf_dir, "orders"))

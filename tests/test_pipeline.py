@@ -152,3 +152,11 @@ def test_metrics_scan_error_rows_once(ev):
     schemas = [line[line.index("ReadSchema"):] for line in plan.splitlines() if "ReadSchema" in line]
     assert schemas and all("abs_error_sec" not in r and "abs_pct_error" not in r for r in schemas)
     assert any("_mid" in r for r in schemas)
+
+
+def test_histogram_ranges_from_quantiles_are_exact(ev):
+    from tripgauge.operators.charts import error_histograms
+
+    a = sorted(tuple(r) for r in error_histograms(ev.errors).collect())
+    b = sorted(tuple(r) for r in error_histograms(ev.errors, qtable=ev.error_quantiles).collect())
+    assert a == b

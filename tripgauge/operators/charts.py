@@ -44,14 +44,35 @@ def error_histogram(errors: DataFrame, metric: str, value: Column, bins: int = H
                     F.coalesce("n", F.lit(0)).cast("long").alias("n")))
 
 
-def error_histograms(errors: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
-    """Both error histograms: one min/max pass, one binning pass over stacked metrics."""
+def _ranges_from_quantiles(qtable: DataFrame) -> dict | None:
+    """Histogram ranges from the 0 and 1 quantiles of the error-quantile table
+    (``abs_pct_error`` scaled by 100: scaling is monotone and per value, so the
+    extremes of ``x * 100`` are exactly ``100 * extremes``)."""
+    if "q0" not in qtable.columns or "q100" not in qtable.columns:
+        return None
+    rows = qtable.where(F.col("measure").isin("sec", "pct") & (F.col("segment_type") == "overall")).collect()
+    out = {}
+    for r in rows:
+        scale = 1.0 if r["measure"] == "sec" else 100.0
+        name = "abs_error_sec" if r["measure"] == "sec" else "abs_pct_error_x100"
+        out[name] = (None if r["q0"] is None else r["q0"] * scale, None if r["q100"] is None else r["q100"] * scale)
+    return out
+
+
+def error_histograms(errors: DataFrame, bins: int = HISTOGRAM_BINS, qtable: DataFrame | None = None) -> DataFrame:
+    """Both error histograms in one binning pass over the stacked metrics.
+
+    The ranges come from ``qtable`` (the error-quantile table: its 0 and 1
+    quantiles) when given, otherwise from one min/max pass.
+    """
     metrics = histogram_metrics()
     stacked = errors.select(F.inline(F.array(*[
         F.struct(F.lit(m).alias("metric"), v.cast("double").alias("x")) for m, v in metrics.items()])))
     stacked = stacked.where(F.col("x").isNotNull())
-    ranges = {r["metric"]: (r["lo"], r["hi"]) for r in
-              stacked.groupBy("metric").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).collect()}
+    ranges = _ranges_from_quantiles(qtable) if qtable is not None else None
+    if ranges is None:
+        ranges = {r["metric"]: (r["lo"], r["hi"]) for r in
+                  stacked.groupBy("metric").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).collect()}
     edges = {}
     for m in metrics:
         lo, hi = ranges.get(m, (None, None))
@@ -65,7 +86,7 @@ def error_histograms(errors: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame
     for m, (lo, _, w) in edges.items():
         lo_c = F.when(F.col("metric") == m, F.lit(lo)).otherwise(lo_c)
         w_c = F.when(F.col("metric") == m, F.lit(w)).otherwise(w_c)
-    b = F.least(F.floor((F.col("x") - lo_c) / w_c).cast("long"), F.lit(bins - 1))
+    b = F.greatest(F.least(F.floor((F.col("x") - lo_c) / w_c).cast("long"), F.lit(bins - 1)), F.lit(0))
     counts = stacked.groupBy("metric", b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     # metrics x bins rows by construction: safe to broadcast.
     domain = F.broadcast(errors.sparkSession.createDataFrame(

@@ -36,7 +36,8 @@ def segment_long(errors: DataFrame, segments: Sequence[tuple[str, Column]] | Non
     return errors.select(*keep, "abs_error_sec", "abs_pct_error", F.inline(F.array(*entries)))
 
 
-ERROR_QUANTILES = (0.5, 0.9, 0.95)
+# 0 and 1 give the exact minimum and maximum (histogram ranges) from the same sort.
+ERROR_QUANTILES = (0.0, 0.5, 0.9, 0.95, 1.0)
 
 
 def _qname(q: float) -> str:

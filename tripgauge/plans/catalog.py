@@ -222,7 +222,8 @@ def q_error_by_hour(spark, sf_dir):
 
 
 def q_error_histogram(spark, sf_dir):
-    return present(error_histograms(_ev(spark, sf_dir).errors))
+    ev = _ev(spark, sf_dir)
+    return present(error_histograms(ev.errors, qtable=ev.error_quantiles))
 
 
 def q_histogram_markers(spark, sf_dir):

@@ -82,7 +82,7 @@ def analysis_job(spark: SparkSession, errors: DataFrame, out_dir: str | None = N
     q = materialize(error_quantiles(errors), "analysis_quantiles")
     metrics = segment_metrics(errors, qtable=q)
     out = {
-        "error_histogram": error_histograms(errors),
+        "error_histogram": error_histograms(errors, qtable=q),
         "histogram_markers": histogram_markers(errors, qtable=q),
         "calibration_bins": calibration_bins(errors, qtable=q),
         "overall_insight": overall_insight(metrics),
