@@ -14,7 +14,12 @@ numbers into global ranks.
 * ``exact_percentiles``: ``percentile_cont`` per group. Only the 2 rows per
   (group, quantile) that bracket the interpolation position are looked up;
   no per-group value map is ever merged in one task, unlike the built-in
-  exact ``percentile`` aggregate.
+  exact ``percentile`` aggregate. Group counts and additive aggregates
+  (sums, threshold counts) ride along in the same per-partition stats pass.
+
+Both sort only once: the range partitioner samples its input and then
+shuffles it, so anything expensive that does not feed the sort keys belongs
+after the exchange (``after_sort``), where it runs once.
 """
 
 from __future__ import annotations
