@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +30,7 @@ def assign_trip_id(df: DataFrame, order: Sequence[str] = ORDER,
 
 def assign_trip_id_with_offsets(df: DataFrame, order: Sequence[str] = ORDER,
                                 tiebreak: Sequence[str] | None = None, name: str = "trips_numbered",
-                                after_sort=None):
+                                after_sort: Callable[[DataFrame], DataFrame] | None = None):
     """Like ``assign_trip_id`` but keeps ``_mid`` and returns the partition offsets,
     so rank lookups can be pushed down to the materialised table as ``_mid`` filters.
     ``after_sort``: order-preserving steps (derive, filter) applied before numbering."""

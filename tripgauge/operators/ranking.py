@@ -25,7 +25,7 @@ after the exchange (``after_sort``), where it runs once.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,7 +37,8 @@ _LOW_BITS = 33
 
 
 def _sorted_numbered(df: DataFrame, order: Sequence[Column | str], name: str,
-                     drop: Sequence[str] = (), after_sort=None) -> DataFrame:
+                     drop: Sequence[str] = (),
+                     after_sort: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Range-sort, apply the order-preserving ``after_sort`` (narrow steps such as
     derived columns and filters, evaluated once after the shuffle instead of in
     both the range-sampling and the map pass), number, materialise."""
@@ -68,7 +69,8 @@ def _partition_offsets(t: DataFrame, by: Sequence[str], sums: dict | None = None
     return stats
 
 
-def numbered_table(df: DataFrame, order: Sequence[Column | str], name: str = "numbered", after_sort=None):
+def numbered_table(df: DataFrame, order: Sequence[Column | str], name: str = "numbered",
+                   after_sort: Callable[[DataFrame], DataFrame] | None = None):
     """Sort by ``order``, materialise with ``_mid``, and return ``(table, offsets)``.
 
     ``offsets`` holds one ``(_pid, _first, _off, _cnt)`` row per non-empty
