@@ -43,11 +43,18 @@ def main() -> None:
         spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.range(1000).selectExpr("sum(id)").collect()  # JVM warm-up, not timed
 
-    times: dict[str, float] = {}
+    times: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
 
     def timed(name, fn):
+        """Time one stage; a failure is recorded (time null) instead of aborting the run."""
         t0 = time.time()
-        out = fn()
+        try:
+            out = fn()
+        except Exception as exc:  # noqa: BLE001 - reported in the JSON line
+            times[name] = None
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
+            return None
         times[name] = round(time.time() - t0, 3)
         return out
 
@@ -94,10 +101,16 @@ def main() -> None:
 
     if os.environ.get("BENCH_SKIP_MODEL") != "1":
         timed("train_score_metrics", model)
-    total = round(sum(times.values()), 3)
-    print(json.dumps({"metric": "end_to_end_evaluation", "value": total, "unit": "sec",
-                      "queries": times, "sf": _sf(sf_dir), "cpus": int(cpus), "replicate": replicate,
-                      "trips_clean": ev.clean.count()}))
+    total = round(sum(t for t in times.values() if t is not None), 3)
+    result = {"metric": "end_to_end_evaluation", "value": total, "unit": "sec",
+              "queries": times, "sf": _sf(sf_dir), "cpus": int(cpus), "replicate": replicate}
+    try:
+        result["trips_clean"] = ev.clean.count()
+    except Exception:  # noqa: BLE001
+        pass
+    if errors:
+        result["errors"] = errors
+    print(json.dumps(result))
     spark.stop()
 
 
