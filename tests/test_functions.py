@@ -116,3 +116,21 @@ def test_equal_time_and_point_get_distinct_ids(spark):
                                "pickup_longitude double")
     got = {r["event_id"]: r["trip_id"] for r in assign_trip_id(df).collect()}
     assert got == {5: 1, 3: 2, 7: 3}
+
+
+def test_time_arithmetic_ignores_session_zone(spark):
+    from tripgauge.functions import epoch_micros
+
+    df = spark.sql("SELECT TIMESTAMP_NTZ'2024-03-10 01:59:59.250001' AS a, TIMESTAMP_NTZ'2024-03-10 03:00:00.1' AS b "
+                   "UNION ALL SELECT TIMESTAMP_NTZ'1969-12-31 23:59:59.5', TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    got = []
+    try:
+        for tz in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            got.append([tuple(r) for r in df.select(epoch_micros("a"), epoch_micros("b"),
+                                                     duration_seconds("a", "b")).collect()])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got[0] == got[1] == got[2]
+    assert got[0] == [(1710035999250001, 1710039600100000, 3601), (-500000, 0, 1)]
