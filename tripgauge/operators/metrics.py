@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tripgauge.functions import bucket_rank, weekday_label
 from tripgauge.operators.ranking import exact_percentiles
-from tripgauge.schema import BUCKET, DOW, DURATION, HOUR, METRIC_COLUMNS, TRIP_ID, WEEKDAY_LABELS, WITHIN_THRESHOLDS
+from tripgauge.schema import BUCKET, BUCKET_LABELS, DOW, DURATION, HOUR, METRIC_COLUMNS, TRIP_ID, WEEKDAY_LABELS, WITHIN_THRESHOLDS
 
 OVERALL = ("overall", "all")
 
@@ -67,9 +67,16 @@ def error_quantiles(errors: DataFrame, segments: Sequence[tuple[str, Column]] |
     distinct orders exact percentiles need - with the measure and
     segmentation carried as small integers to keep the shuffle narrow.
     """
+    coded = segments is None
     segments = default_segments() if segments is None else segments
     types = [OVERALL[0]] + [name for name, _ in segments]
-    values = [F.lit(OVERALL[1])] + [expr.cast("string") for _, expr in segments]
+    if coded:
+        # Default segmentations: carry the small integer behind each label
+        # (bucket rank, hour, weekday) and decode on the result rows only.
+        values = [F.lit(0), bucket_rank(F.col(BUCKET)), F.col(HOUR), F.col(DOW)]
+        values = [v.cast("byte").alias("segment_value") for v in values]
+    else:
+        values = [F.lit(OVERALL[1])] + [expr.cast("string") for _, expr in segments]
     entry = lambda m, t, x: F.struct(F.lit(MEASURES.index(m)).cast("byte").alias("_m"),
                                      F.lit(t).cast("byte").alias("_t"), values[t].alias("segment_value"),
                                      x.cast("double").alias("x"))
@@ -89,7 +96,14 @@ def error_quantiles(errors: DataFrame, segments: Sequence[tuple[str, Column]] |
                           approx=approx, max_groups=groups, count_col="n", sums=sums, name="error_quantiles")
     measure = F.element_at(F.array(*[F.lit(m) for m in MEASURES]), F.col("_m").cast("int") + 1)
     seg_type = F.element_at(F.array(*[F.lit(t) for t in types]), F.col("_t").cast("int") + 1)
-    return q.select(measure.alias("measure"), seg_type.alias("segment_type"), "segment_value",
+    seg_value = F.col("segment_value")
+    if coded:
+        t, v = F.col("_t"), F.col("segment_value").cast("int")
+        seg_value = (F.when(t == 0, F.lit(OVERALL[1]))
+                     .when(t == 1, F.element_at(F.array(*[F.lit(b) for b in BUCKET_LABELS]), v))
+                     .when(t == 2, v.cast("string"))
+                     .otherwise(weekday_label(v)))
+    return q.select(measure.alias("measure"), seg_type.alias("segment_type"), seg_value.alias("segment_value"),
                     *[_qname(p) for p in quantiles], F.col("n").cast("long").alias("n"), *sums)
 
 
