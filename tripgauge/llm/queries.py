@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripgauge.llm import secrets
+from tripgauge.llm import bpe, packing, secrets, urls
 from tripgauge.session import table_path
 
 
@@ -26,9 +26,50 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("secret_spans")).alias("spans"))
 
 
+#: FIXED VALUES: the rules of the contract.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urls.judge_urls(_read(spark, sf_dir, "pages").select("page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+OP3_SQL = """
+WITH rest AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS r FROM pages),
+parts AS (
+  SELECT page_id, translate(regexp_extract(r, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+rules(h, p, v) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+best AS (
+  SELECT page_id, arg_max(h || p, length(h || p)) AS rule, arg_max(v, length(h || p)) AS v FROM parts, rules
+  WHERE (host = h OR host LIKE '%.' || h) AND starts_with(path, p) GROUP BY page_id)
+SELECT parts.page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM parts LEFT JOIN best ON parts.page_id = best.page_id
+"""
+
+
+def _tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe.encode(_read(spark, sf_dir, "documents"), _tokenizer_path(), keep=["doc_id"])
+    return bpe.decode(encoded, _tokenizer_path()).select(
+        "doc_id", F.size("token_ids").cast("long").alias("n_tokens"), F.sha2(F.concat_ws(",", F.col("token_ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = packing.pieces(_read(spark, sf_dir, "documents"), _tokenizer_path())
+    return packing.pack(items).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def queries() -> dict:
-    return {"op1_secret_scans": op1_secret_scans}
+    return {"op1_secret_scans": op1_secret_scans, "op3_url_filters": op3_url_filters, "op4_bpe": op4_bpe, "op6_best_fit_packing": op6_best_fit_packing}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_url_filters": OP3_SQL}
