@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripgauge.llm import bpe, packing, secrets, urls
+from tripgauge.llm import bpe, linededup, packing, secrets, simhash, urls
 from tripgauge.session import table_path
 
 
@@ -67,9 +67,34 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(items).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = linededup.dedup_lines(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+OP9_SQL = """
+WITH docs AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+lines AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM docs),
+keyed AS (
+  SELECT doc_id, line, pos, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines),
+often AS (SELECT k, max(doc_id) AS top FROM keyed WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
+marked AS (SELECT keyed.*, top IS NOT NULL AND doc_id <> top AS gone FROM keyed LEFT JOIN often USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
 def queries() -> dict:
-    return {"op1_secret_scans": op1_secret_scans, "op3_url_filters": op3_url_filters, "op4_bpe": op4_bpe, "op6_best_fit_packing": op6_best_fit_packing}
+    return {"op1_secret_scans": op1_secret_scans, "op3_url_filters": op3_url_filters, "op4_bpe": op4_bpe, "op6_best_fit_packing": op6_best_fit_packing,
+            "op8_simhash_near_dedup": op8_simhash_near_dedup, "op9_line_dedup": op9_line_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filters": OP3_SQL}
+    return {"op3_url_filters": OP3_SQL, "op9_line_dedup": OP9_SQL}
