@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripgauge.llm import bpe, linededup, packing, secrets, simhash, urls
+from tripgauge.llm import bpe, embeddings, linededup, packing, quality, secrets, simhash, urls
 from tripgauge.session import table_path
 
 
@@ -26,6 +26,12 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("secret_spans")).alias("spans"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Only the measures are written between the two passes, not the texts.
+    return quality.judge(_read(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good")
+
+
 #: FIXED VALUES: the rules of the contract.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -91,10 +97,30 @@ FROM marked GROUP BY doc_id
 """
 
 
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(_read(spark, sf_dir, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
+
+
+OP10_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(CAST(embedding AS DOUBLE[]), lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+          WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach(vec_id, other) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.vec_id, links.b FROM reach JOIN links ON reach.other = links.a),
+least AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id),
+counts AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n_links, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN least ON e.vec_id = least.vec_id LEFT JOIN counts ON e.vec_id = counts.vec_id
+"""
+
+
 def queries() -> dict:
-    return {"op1_secret_scans": op1_secret_scans, "op3_url_filters": op3_url_filters, "op4_bpe": op4_bpe, "op6_best_fit_packing": op6_best_fit_packing,
-            "op8_simhash_near_dedup": op8_simhash_near_dedup, "op9_line_dedup": op9_line_dedup}
+    return {"op1_secret_scans": op1_secret_scans, "op2_quality_rules": op2_quality_rules, "op3_url_filters": op3_url_filters, "op4_bpe": op4_bpe, "op6_best_fit_packing": op6_best_fit_packing,
+            "op8_simhash_near_dedup": op8_simhash_near_dedup, "op9_line_dedup": op9_line_dedup,
+            "op10_embedding_near_dedup": op10_embedding_near_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filters": OP3_SQL, "op9_line_dedup": OP9_SQL}
+    return {"op3_url_filters": OP3_SQL, "op9_line_dedup": OP9_SQL, "op10_embedding_near_dedup": OP10_SQL}
