@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripgauge.llm import bpe, embeddings, linededup, packing, quality, secrets, simhash, urls
+from tripgauge.llm import bpe, embeddings, linededup, packing, quality, repeats, secrets, simhash, urls
 from tripgauge.session import table_path
 
 
@@ -73,6 +73,11 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(items).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.remove_repeats(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_read(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"), "component_id")
@@ -118,7 +123,7 @@ FROM embeddings e JOIN least ON e.vec_id = least.vec_id LEFT JOIN counts ON e.ve
 
 def queries() -> dict:
     return {"op1_secret_scans": op1_secret_scans, "op2_quality_rules": op2_quality_rules, "op3_url_filters": op3_url_filters, "op4_bpe": op4_bpe, "op6_best_fit_packing": op6_best_fit_packing,
-            "op8_simhash_near_dedup": op8_simhash_near_dedup, "op9_line_dedup": op9_line_dedup,
+            "op7_suffix_array_dedup": op7_suffix_array_dedup, "op8_simhash_near_dedup": op8_simhash_near_dedup, "op9_line_dedup": op9_line_dedup,
             "op10_embedding_near_dedup": op10_embedding_near_dedup}
 
 
