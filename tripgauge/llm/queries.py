@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripgauge.llm import bpe, embeddings, linededup, packing, quality, repeats, secrets, simhash, urls
+from tripgauge.llm import bpe, embeddings, htmlcrf, linededup, packing, quality, repeats, secrets, simhash, urls
 from tripgauge.session import table_path
 
 
@@ -68,6 +68,11 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = htmlcrf.extract_main_text(_read(spark, sf_dir, "pages"), keep=["page_id", "url"])
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = packing.pieces(_read(spark, sf_dir, "documents"), _tokenizer_path())
     return packing.pack(items).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -122,7 +127,8 @@ FROM embeddings e JOIN least ON e.vec_id = least.vec_id LEFT JOIN counts ON e.ve
 
 
 def queries() -> dict:
-    return {"op1_secret_scans": op1_secret_scans, "op2_quality_rules": op2_quality_rules, "op3_url_filters": op3_url_filters, "op4_bpe": op4_bpe, "op6_best_fit_packing": op6_best_fit_packing,
+    return {"op1_secret_scans": op1_secret_scans, "op2_quality_rules": op2_quality_rules, "op3_url_filters": op3_url_filters, "op4_bpe": op4_bpe, "op5_html_extraction": op5_html_extraction,
+            "op6_best_fit_packing": op6_best_fit_packing,
             "op7_suffix_array_dedup": op7_suffix_array_dedup, "op8_simhash_near_dedup": op8_simhash_near_dedup, "op9_line_dedup": op9_line_dedup,
             "op10_embedding_near_dedup": op10_embedding_near_dedup}
 
