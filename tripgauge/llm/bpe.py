@@ -18,6 +18,7 @@ from __future__ import annotations
 import functools
 import json
 import os
+from array import array
 from itertools import pairwise
 
 import numpy as np
@@ -28,7 +29,9 @@ from pyspark.sql import types as T
 from tripgauge.llm.runtime import carried, map_batches, steps
 
 #: Distinct fragments that a worker remembers; beyond that it starts anew (results stay the same).
-REMEMBERED = 200_000
+REMEMBERED = 300_000
+#: FIXED VALUE: how a byte-level tokenizer parts words before merging.
+WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 def _byte_of_char() -> dict[str, int]:
@@ -66,12 +69,35 @@ class Codec:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.ranked = self._by_rank(spec, vocab)
         solid = np.zeros(256, bool)  # first bytes of characters that are never white space
         solid[0x21:0x7F] = solid[0xC3:0xE0] = solid[0xE4:0xF5] = True
         self.solid = solid
         self.alnum = np.array([chr(b).isalnum() and b < 128 for b in range(256)])
         self.known: dict[bytes, bytes] = {}
 
+    def _by_rank(self, spec: dict, vocab: dict[str, int]):
+        """A faster encoder of fragments, if the merges make tokens in the order of their ids (else None)."""
+        import tiktoken
+
+        merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
+        made = [vocab[a + b] for a, b in merges]
+        single = len(vocab) - len(merges)
+        if spec["normalizer"] or made != list(range(single, len(vocab))):
+            return None
+        ranks = {self.tokens[i]: i for i in vocab.values()}
+        return tiktoken.Encoding("fragments", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
+
+    def _encode_fragments(self, fragments: list[bytes]):
+        special = {w: self.tokens.index(w) for w in self.special}
+        if self.ranked is not None:
+            encode = self.ranked.encode_ordinary
+            for f in fragments:
+                yield [special[f]] if f in special else encode(f.decode())
+        else:
+            for made in self.tokenizer.encode_batch_fast([f.decode() for f in fragments], add_special_tokens=False):
+                yield made.ids
+
     def cuts(self, data: np.ndarray) -> np.ndarray:
         """mask[i]: a certain cut lies before byte i (i > 0)."""
         left, right = data[:-1], data[1:]
@@ -123,8 +149,8 @@ class Codec:
         fresh = list(set(pieces).difference(known))
         for start in range(0, len(fresh), 20_000):
             some = fresh[start:start + 20_000]
-            for piece, made in zip(some, self.tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)):
-                known[piece] = np.array(made.ids, np.uint32).tobytes()
+            for piece, ids in zip(some, self._encode_fragments(some)):
+                known[piece] = array("I", ids).tobytes()
         out, at = [], 0
         for n in counts.tolist():
             out.append(np.frombuffer(b"".join(map(known.__getitem__, pieces[at:at + n])), np.uint32))
@@ -152,7 +178,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", keep: list[str] |
     schema = T.StructType([*passed, T.StructField("token_ids", T.ArrayType(T.IntegerType()))])
 
     def run(batch):
-        for part, texts in steps(batch, text_col):
+        for part, texts in steps(batch, text_col, 1 << 22):
             ids = codec(path).encode(texts)
             offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
             flat = np.concatenate([np.zeros(0, np.uint32), *ids]).view(np.int32)
