@@ -114,7 +114,7 @@ def test_equal_time_and_point_get_distinct_ids(spark):
     df = spark.createDataFrame([(7, t, 40.7, -74.0), (3, t, 40.7, -74.0), (5, t, 40.6, -74.0)],
                                "event_id long, pickup_datetime timestamp_ntz, pickup_latitude double, "
                                "pickup_longitude double")
-    got = {r["event_id"]: r["trip_id"] for r in assign_trip_id(df).collect()}
+    got = {r["event_id"]: r["trip_id"] for r in assign_trip_id(df, tiebreak=["event_id"]).collect()}
     assert got == {5: 1, 3: 2, 7: 3}
 
 

@@ -53,3 +53,29 @@ def test_inferred_timestamp_columns(spark):
     df = derive_measures(parse_timestamps(require_columns(normalize_columns(raw))))
     r = df.select("pickup_datetime", "trip_duration_sec").first()
     assert dict(df.dtypes)["pickup_datetime"] == "timestamp_ntz" and r["trip_duration_sec"] == 600
+
+
+MIXED = [("tpep_pickup_datetime,tpep_dropoff_datetime,start_lat,start_lon,end_lat,end_lon,trip_distance,vendor",
+          "2024-03-10 02:30:00,2024-03-10 03:10:00,40.7,-74.0,40.75,-73.98,3.6,A"),
+         ("dropoff_datetime,pickup_datetime,pickup_lon,pickup_lat,dropoff_lon,dropoff_lat,distance",
+          "2024-03-10 03:10:00,2024-03-10 02:30:00,-74.0,40.7,-73.98,40.75,3.6")]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+@pytest.mark.parametrize("schema", [None, "distance double, trip_distance double, start_lat double, start_lon double, end_lat double, end_lon double, "
+                                          "pickup_lat double, pickup_lon double, dropoff_lat double, dropoff_lon double"])
+def test_files_with_other_column_orders_and_zones(spark, zone, schema):
+    d = tempfile.mkdtemp(prefix="tg-mixed-")
+    for i, (header, row) in enumerate(MIXED):
+        with open(os.path.join(d, f"part{i}.csv"), "w") as fh:
+            fh.write(f"{header}\n{row}\n")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = derive_measures(parse_timestamps(require_columns(normalize_columns(read_trips(spark, d, "csv", schema)))))
+        cols = ["pickup_datetime", "pickup_latitude", "pickup_longitude", "dropoff_latitude", "dropoff_longitude", "trip_distance", "trip_duration_sec"]
+        rows = df.select(*cols).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert len(rows) == 2 and rows[0] == rows[1]
+    assert rows[0]["trip_duration_sec"] == 2400 and rows[0]["pickup_datetime"].hour == 2 and rows[0]["pickup_longitude"] == -74.0

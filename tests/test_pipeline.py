@@ -58,10 +58,10 @@ def test_histogram_and_calibration(ev):
 
 
 def test_constant_histogram(spark):
-    from tripgauge.operators.charts import error_histogram
+    from tripgauge.operators.charts import error_histograms
 
-    df = spark.createDataFrame([(5.0,)] * 4, "abs_error_sec double")
-    rows = error_histogram(df, "m", F.col("abs_error_sec")).collect()
+    df = spark.createDataFrame([(5.0, 0.5)] * 4, "abs_error_sec double, abs_pct_error double")
+    rows = error_histograms(df).where("metric = 'abs_error_sec'").collect()
     assert sum(r["n"] for r in rows) == 4 and [r["bin"] for r in rows if r["n"]] == [25]
 
 
@@ -128,9 +128,9 @@ def test_split_filter_reaches_scan(ev):
 
 
 def test_metric_scan_is_pruned(ev):
-    from tripgauge.operators.metrics import segment_long
+    from tripgauge.operators.metrics import error_quantiles
 
-    plan = _plan(segment_long(ev.errors).groupBy("segment_type").count())
+    plan = _plan(error_quantiles(ev.errors, approx=True))
     read = [line for line in plan.splitlines() if "ReadSchema" in line]
     assert read and all("pickup_latitude" not in line and "trip_distance" not in line for line in read)
 

@@ -10,7 +10,7 @@ from tripgauge.streaming.ingest import read_stream_output, start_clean_trips_str
 
 def test_stream_matches_batch(spark):
     ev = evaluation_for(spark, SF001)
-    src = _raw_csv(spark, SF001, parts=3)
+    src = _raw_csv(spark, SF001)
     sink, ckpt = stage_path(spark, "sink"), stage_path(spark, "ckpt")
     q = start_clean_trips_stream(spark, src, RAW_CSV_SCHEMA, sink, ckpt, max_files_per_trigger=1)
     q.awaitTermination()

@@ -32,17 +32,20 @@ def fanout_audit(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
     rc = per_key(right, right_keys).withColumnRenamed("c", "r")
     j = lc.join(rc, ks, "full")
     l, r = F.coalesce("l", F.lit(0)), F.coalesce("r", F.lit(0))
+    # Two hot keys of a few billion rows overflow a long.
+    product = l.cast("decimal(19,0)") * r.cast("decimal(19,0)")
     out = j.agg(
         F.sum(l).alias("left_rows"), F.sum(r).alias("right_rows"),
         F.count(F.col("l")).alias("left_keys"), F.count(F.col("r")).alias("right_keys"),
         F.count(F.when(l > 1, 1)).alias("left_dup_keys"), F.count(F.when(r > 1, 1)).alias("right_dup_keys"),
         F.count(F.when((l > 0) & (r > 0), 1)).alias("matched_keys"),
-        F.sum(l * r).alias("join_rows"), F.max(l * r).alias("max_key_rows"))
+        F.sum(product).alias("join_rows"), F.max(product).alias("max_key_rows"))
     out = out.select(
         *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in
-          ("left_rows", "right_rows", "left_keys", "right_keys", "left_dup_keys", "right_dup_keys",
-           "matched_keys", "join_rows", "max_key_rows")])
-    out = out.withColumn("fanout_ratio", F.when(F.col("left_rows") > 0, F.col("join_rows") / F.col("left_rows")))
+          ("left_rows", "right_rows", "left_keys", "right_keys", "left_dup_keys", "right_dup_keys", "matched_keys")],
+        *[F.coalesce(F.col(c), F.lit(0)).cast("decimal(38,0)").alias(c) for c in ("join_rows", "max_key_rows")])
+    out = out.withColumn("fanout_ratio", F.when(
+        F.col("left_rows") > 0, F.col("join_rows").cast("double") / F.col("left_rows")))
     out = out.withColumn("keys_unique", (F.col("left_dup_keys") == 0) & (F.col("right_dup_keys") == 0))
     if label is not None:
         out = out.select(F.lit(label).alias("audit"), *out.columns)

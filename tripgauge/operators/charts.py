@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripgauge.operators.ranking import exact_percentiles
-from tripgauge.schema import CALIBRATION_EDGES, CALIBRATION_QUANTILE, DURATION, ESTIMATE, HISTOGRAM_BINS, TRIP_ID
+from tripgauge.schema import CALIBRATION_EDGES, CALIBRATION_QUANTILE, DURATION, ESTIMATE, HISTOGRAM_BINS
 
 def histogram_metrics() -> dict[str, Column]:
     return {
@@ -16,32 +16,7 @@ def histogram_metrics() -> dict[str, Column]:
 
 
 def _bin_domain(df: DataFrame, bins: int) -> DataFrame:
-    # ``bins`` rows by construction: safe to broadcast.
-    return F.broadcast(df.sparkSession.range(bins).select(F.col("id").alias("bin")))
-
-
-def error_histogram(errors: DataFrame, metric: str, value: Column, bins: int = HISTOGRAM_BINS) -> DataFrame:
-    """(metric, bin, lo, hi, n) for ``bins`` equal-width bins from min to max.
-
-    Bins are left-closed, the last one also right-closed. Min == max spreads
-    the bins over [v - 0.5, v + 0.5], as the plotting library does.
-    """
-    vals = errors.select(value.cast("double").alias("x")).where(F.col("x").isNotNull())
-    mm = vals.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).collect()[0]
-    if mm["lo"] is None:
-        lo, hi = 0.0, 1.0
-    else:
-        lo, hi = float(mm["lo"]), float(mm["hi"])
-        if lo == hi:
-            lo, hi = lo - 0.5, hi + 0.5
-    width = (hi - lo) / bins
-    b = F.least(F.floor((F.col("x") - F.lit(lo)) / F.lit(width)).cast("long"), F.lit(bins - 1))
-    counts = vals.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    return (_bin_domain(errors, bins).join(counts, "bin", "left")
-            .select(F.lit(metric).alias("metric"), "bin",
-                    (F.lit(lo) + F.col("bin") * F.lit(width)).alias("lo"),
-                    (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("hi"),
-                    F.coalesce("n", F.lit(0)).cast("long").alias("n")))
+    return df.sparkSession.range(bins).select(F.col("id").alias("bin"))
 
 
 def _ranges_from_quantiles(qtable: DataFrame) -> dict | None:
@@ -88,11 +63,11 @@ def error_histograms(errors: DataFrame, bins: int = HISTOGRAM_BINS, qtable: Data
         w_c = F.when(F.col("metric") == m, F.lit(w)).otherwise(w_c)
     b = F.greatest(F.least(F.floor((F.col("x") - lo_c) / w_c).cast("long"), F.lit(bins - 1)), F.lit(0))
     counts = stacked.groupBy("metric", b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    # metrics x bins rows by construction: safe to broadcast.
-    domain = F.broadcast(errors.sparkSession.createDataFrame(
+    domain = errors.sparkSession.createDataFrame(
         [(m, i, lo + i * w, lo + (i + 1) * w) for m, (lo, _, w) in edges.items() for i in range(bins)],
-        "metric string, bin long, lo double, hi double"))
-    return (domain.join(counts, ["metric", "bin"], "left")
+        "metric string, bin long, lo double, hi double")
+    # metrics x bins counts at most: safe to broadcast.
+    return (domain.join(F.broadcast(counts), ["metric", "bin"], "left")
             .select("metric", "bin", "lo", "hi", F.coalesce("n", F.lit(0)).cast("long").alias("n")))
 
 
@@ -117,13 +92,12 @@ def calibration_bins(errors: DataFrame, edges: int = CALIBRATION_EDGES, q: float
     Actual durations of 0 or above the q-quantile fall outside every bin.
     Empty bins are kept with n = 0 and null means.
     """
-    tb = TRIP_ID if TRIP_ID in errors.columns else None
     qname = f"q{round(q * 100, 4):g}".replace(".", "_")
     if qtable is not None and qname in qtable.columns:
         row = (qtable.where((F.col("measure") == "duration") & (F.col("segment_type") == "overall"))
                .select(F.col(qname).alias("q")).collect())
     else:
-        row = exact_percentiles(errors, DURATION, [q], names=["q"], tiebreak=tb, approx=approx,
+        row = exact_percentiles(errors, DURATION, [q], names=["q"], approx=approx,
                                 name="calibration_q").collect()
     nb = edges - 1
     domain = _bin_domain(errors, nb)

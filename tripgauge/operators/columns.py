@@ -39,7 +39,7 @@ def normalize_columns(df: DataFrame,
 def require_columns(df: DataFrame, names: Sequence[str] = REQUIRED_COLUMNS) -> DataFrame:
     missing = [c for c in names if c not in df.columns]
     if missing:
-        raise ValueError(f"Missing required columns: {missing}. Available columns: {df.columns}")
+        raise ValueError(f"trip table lacks {missing}; it has {df.columns}")
     return df
 
 

@@ -23,19 +23,17 @@ def speed_medians(training: DataFrame, approx: bool = False) -> DataFrame:
     """Median speed and trip count per (hour, bucket) and overall, in one percentile job.
 
     Rows: (level, hour_of_day, distance_bucket, median_speed_kmh, trip_count)
-    with level 'segment' or 'overall' (segment keys null). The sort carries
-    the level and bucket as small integers.
+    with level 'segment' or 'overall' (segment keys null).
     """
     moving = _moving(training)
-    tb = [TRIP_ID] if TRIP_ID in training.columns else []
     entries = F.array(
         F.struct(F.lit(0).cast("byte").alias("_lvl"), F.col(HOUR).alias(HOUR),
                  bucket_rank(F.col(BUCKET)).cast("byte").alias("_b")),
         F.struct(F.lit(1).cast("byte").alias("_lvl"), F.lit(None).cast("int").alias(HOUR),
                  F.lit(None).cast("byte").alias("_b")))
-    stacked = moving.select(*tb, "speed_kmh", F.inline(entries))
+    stacked = moving.select("speed_kmh", F.inline(entries))
     q = exact_percentiles(stacked, "speed_kmh", [0.5], by=["_lvl", HOUR, "_b"],
-                          names=["median_speed_kmh"], tiebreak=tb[0] if tb else None, approx=approx,
+                          names=["median_speed_kmh"], approx=approx,
                           max_groups=MAX_SEGMENTS + 1, count_col="trip_count", name="speed_medians")
     level = F.when(F.col("_lvl") == 0, "segment").otherwise("overall")
     bucket = F.element_at(F.array(*[F.lit(b) for b in BUCKET_LABELS]), F.col("_b").cast("int"))

@@ -15,17 +15,13 @@ ORDER = ("pickup_datetime", "pickup_latitude", "pickup_longitude")
 
 def assign_trip_id(df: DataFrame, order: Sequence[str] = ORDER,
                    tiebreak: Sequence[str] | None = None, name: str = "trips_numbered") -> DataFrame:
-    """trip_id = 1..n in ``order`` (ascending); ties broken by ``tiebreak``.
+    """trip_id = 1..n in ``order`` (ascending); ties broken by ``tiebreak``, then by a hash of every
+    column, so only fully identical rows can swap ids (which changes nothing observable)."""
+    return row_numbers(df, _sort_keys(df, order, tiebreak), TRIP_ID, start=1, name=name)
 
-    Without a tie-break, a hash of every column breaks ties, so only fully
-    identical rows can swap ids (which changes nothing observable).
-    """
-    if tiebreak is None:
-        tiebreak = [c for c in ("event_id",) if c in df.columns]
-    keys = [F.col(c) for c in order] + [F.col(c) for c in tiebreak]
-    if not tiebreak:
-        keys.append(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
-    return row_numbers(df, keys, TRIP_ID, start=1, name=name)
+
+def _sort_keys(df: DataFrame, order: Sequence[str], tiebreak: Sequence[str] | None) -> list:
+    return [F.col(c) for c in [*order, *(tiebreak or ())]] + [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
 
 
 def assign_trip_id_with_offsets(df: DataFrame, order: Sequence[str] = ORDER,
@@ -34,10 +30,5 @@ def assign_trip_id_with_offsets(df: DataFrame, order: Sequence[str] = ORDER,
     """Like ``assign_trip_id`` but keeps ``_mid`` and returns the partition offsets,
     so rank lookups can be pushed down to the materialised table as ``_mid`` filters.
     ``after_sort``: order-preserving steps (derive, filter) applied before numbering."""
-    if tiebreak is None:
-        tiebreak = [c for c in ("event_id",) if c in df.columns]
-    keys = [F.col(c) for c in order] + [F.col(c) for c in tiebreak]
-    if not tiebreak:
-        keys.append(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
-    t, offs = numbered_table(df, keys, name, after_sort=after_sort)
+    t, offs = numbered_table(df, _sort_keys(df, order, tiebreak), name, after_sort=after_sort)
     return attach_row_numbers(t, offs, TRIP_ID), offs

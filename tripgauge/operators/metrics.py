@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripgauge.functions import bucket_rank, weekday_label
 from tripgauge.operators.ranking import exact_percentiles
-from tripgauge.schema import BUCKET, BUCKET_LABELS, DOW, DURATION, HOUR, METRIC_COLUMNS, TRIP_ID, WEEKDAY_LABELS, WITHIN_THRESHOLDS
+from tripgauge.schema import BUCKET, BUCKET_LABELS, DOW, DURATION, HOUR, METRIC_COLUMNS, WEEKDAY_LABELS, WITHIN_THRESHOLDS
 
 OVERALL = ("overall", "all")
 
@@ -26,17 +26,7 @@ def default_segments() -> list[tuple[str, Column]]:
 DEFAULT_MAX_SEGMENTS = 37
 
 
-def segment_long(errors: DataFrame, segments: Sequence[tuple[str, Column]] | None = None) -> DataFrame:
-    """One row per (error row, segmentation incl. overall): the Expand of GROUPING SETS."""
-    segments = default_segments() if segments is None else segments
-    entries = [F.struct(F.lit(OVERALL[0]).alias("segment_type"), F.lit(OVERALL[1]).alias("segment_value"))]
-    entries += [F.struct(F.lit(name).alias("segment_type"), expr.cast("string").alias("segment_value"))
-                for name, expr in segments]
-    keep = [c for c in (TRIP_ID,) if c in errors.columns]
-    return errors.select(*keep, "abs_error_sec", "abs_pct_error", F.inline(F.array(*entries)))
-
-
-# 0 and 1 give the exact minimum and maximum (histogram ranges) from the same sort.
+# 0 and 1 are the exact minimum and maximum (histogram ranges).
 ERROR_QUANTILES = (0.0, 0.5, 0.9, 0.95, 1.0)
 
 
@@ -55,19 +45,20 @@ def error_quantiles(errors: DataFrame, segments: Sequence[tuple[str, Column]] |
                     quantiles: Sequence[float] = ERROR_QUANTILES, approx: bool = False,
                     max_segments: int | None = DEFAULT_MAX_SEGMENTS,
                     within: Sequence[float] = WITHIN_THRESHOLDS) -> DataFrame:
-    """Every statistic over the error rows from ONE distributed sort.
+    """Every statistic over the error rows, by bracket selection (see ``exact_percentiles``).
 
     Rows (measure, segment_type, segment_value, q50, q90, q95, n, sum_x,
     n_within_10, n_within_20): ``sec`` (abs_error_sec) and ``pct``
     (abs_pct_error) for overall and every segment - also the histogram
     markers - and ``duration`` (actual seconds) overall only, for the
-    calibration range. Counts, sums and threshold counts come from the same
-    per-partition stats pass, so the metric rows need no second scan. Each
-    error row becomes one sort row per (measure, segmentation) - the number of
-    distinct orders exact percentiles need - with the measure and
-    segmentation carried as small integers to keep the shuffle narrow.
+    calibration range. Each error row feeds one group per (measure,
+    segmentation), combined inside its task: only sketches, counts and the few
+    rows inside a bracket are shuffled. Measure and segmentation are carried as
+    small integers.
     """
     coded = segments is None
+    if not coded and max_segments == DEFAULT_MAX_SEGMENTS:
+        max_segments = None  # the caller's own segmentations have no proven bound
     segments = default_segments() if segments is None else segments
     types = [OVERALL[0]] + [name for name, _ in segments]
     if coded:
@@ -85,14 +76,13 @@ def error_quantiles(errors: DataFrame, segments: Sequence[tuple[str, Column]] |
         entries.append(entry("sec", t, F.col("abs_error_sec")))
         entries.append(entry("pct", t, F.col("abs_pct_error")))
     entries.append(entry("duration", 0, F.col(DURATION)))
-    tb = [TRIP_ID] if TRIP_ID in errors.columns else []
-    stacked = errors.select(*tb, F.inline(F.array(*entries)))
+    stacked = errors.select(F.inline(F.array(*entries)))
     groups = None if max_segments is None else 2 * max_segments + 1
     sums = {"sum_x": lambda x: x}
     for w in within:
         sums[_within_name(w)] = lambda x, w=w: F.when(x <= F.lit(float(w)), F.lit(1.0)).otherwise(F.lit(0.0))
     q = exact_percentiles(stacked, "x", quantiles, by=["_m", "_t", "segment_value"],
-                          names=[_qname(p) for p in quantiles], tiebreak=tb[0] if tb else None,
+                          names=[_qname(p) for p in quantiles],
                           approx=approx, max_groups=groups, count_col="n", sums=sums, name="error_quantiles")
     measure = F.element_at(F.array(*[F.lit(m) for m in MEASURES]), F.col("_m").cast("int") + 1)
     seg_type = F.element_at(F.array(*[F.lit(t) for t in types]), F.col("_t").cast("int") + 1)
@@ -114,11 +104,9 @@ def segment_metrics(errors: DataFrame, segments: Sequence[tuple[str, Column]] |
     """The 11-column metric rows for 'overall' and every segmentation.
 
     Everything comes from ``error_quantiles`` (pass ``qtable`` to reuse one
-    already computed): one scan and one sort of the error rows. Error rows
+    already computed). Error rows
     have no null error values, so per-measure counts equal ``COUNT(*)``.
     """
-    if segments is not None and max_segments == DEFAULT_MAX_SEGMENTS:
-        max_segments = None
     needed = [_qname(q) for q in quantiles] + ["n", "sum_x"] + [_within_name(w) for w in within]
     if qtable is None or any(c not in qtable.columns for c in needed):
         qtable = error_quantiles(errors, segments, sorted(set(quantiles) | set(ERROR_QUANTILES)), approx,
@@ -140,6 +128,16 @@ def segment_metrics(errors: DataFrame, segments: Sequence[tuple[str, Column]] |
     return out.select(*ordered, *[c for c in out.columns if c not in ordered])
 
 
+def compare_methods(errors: Mapping[str, DataFrame]) -> DataFrame:
+    """The metric rows of several estimators over the same trips, with a leading ``method`` column."""
+    out = None
+    for method, rows in errors.items():
+        part = segment_metrics(rows)
+        part = part.select(F.lit(method).alias("method"), *part.columns)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def segment_order(metrics: DataFrame) -> DataFrame:
     """Presentation order: overall, buckets short to long, hours, weekdays."""
     t = F.col("segment_type")

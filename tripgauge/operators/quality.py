@@ -83,8 +83,8 @@ def filter_stats(df: DataFrame, rules: Sequence[tuple[str, Column]] | None = Non
     counts = reject_reason(df, rules).groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
     order = F.array(*[F.lit(n) for n in names])
     domain = counts.sparkSession.range(1).select(F.posexplode(order).alias("step", "reject_reason"))
-    # The domain has len(rules)+1 rows by construction: broadcasting it is size-bounded.
-    return (F.broadcast(domain).join(counts, "reject_reason", "left")
+    # At most len(rules)+1 counts: broadcasting them is size-bounded.
+    return (domain.join(F.broadcast(counts), "reject_reason", "left")
             .select(F.col("step").cast("int").alias("step"), "reject_reason",
                     F.coalesce("n", F.lit(0)).cast("long").alias("n")))
 

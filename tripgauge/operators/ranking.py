@@ -11,25 +11,22 @@ numbers into global ranks.
 
 * ``row_numbers``: dense 1..n numbering in a total order (``row_number()`` over
   an unpartitioned window, without moving every row into one partition).
-* ``exact_percentiles``: ``percentile_cont`` per group. Only the 2 rows per
-  (group, quantile) that bracket the interpolation position are looked up;
-  no per-group value map is ever merged in one task, unlike the built-in
-  exact ``percentile`` aggregate. Group counts and additive aggregates
-  (sums, threshold counts) ride along in the same per-partition stats pass.
-
-Both sort only once: the range partitioner samples its input and then
-shuffles it, so anything expensive that does not feed the sort keys belongs
-after the exchange (``after_sort``), where it runs once.
+* ``exact_percentiles``: ``percentile_cont`` per group by bracket selection:
+  sketches give a narrow value bracket around each wanted rank, and only rows
+  inside one are sorted. No per-group value map is ever merged in one task,
+  unlike the built-in exact ``percentile`` aggregate.
+
+``row_numbers`` sorts only once: the range partitioner samples its input and
+then shuffles it, so anything expensive that does not feed the sort keys
+belongs after the exchange (``after_sort``), where it runs once.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from tripgauge.session import materialize
 
@@ -50,23 +47,15 @@ def _sorted_numbered(df: DataFrame, order: Sequence[Column | str], name: str,
     return materialize(numbered.drop(*drop) if drop else numbered, name)
 
 
-def _partition_offsets(t: DataFrame, by: Sequence[str], sums: dict | None = None) -> DataFrame:
-    """(by..., _pid, _cnt, _first, _off, _n[, sums]): rows of each group per partition,
-    with the group's rank offset at the start of that partition. ``sums`` maps
-    output names to per-row expressions of ``_x`` whose group totals are wanted."""
-    sums = sums or {}
+def _partition_offsets(t: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(by..., _pid, _cnt, _first, _off): rows of each group per partition, with
+    the group's rank offset at the start of that partition."""
     pid = F.shiftright("_mid", _LOW_BITS).alias("_pid")
-    stats = t.groupBy(*by, pid).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"),
-                                    *[F.sum(f(F.col("_x"))).alias(f"_s_{k}") for k, f in sums.items()])
+    stats = t.groupBy(*by, pid).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
     # One row per (group, non-empty partition): small, bounded by partitions x groups.
     keys = [F.col(c) for c in by] if by else [F.lit(0)]
     w_run = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    w_all = Window.partitionBy(*keys)
-    stats = (stats.withColumn("_off", F.sum("_cnt").over(w_run) - F.col("_cnt"))
-             .withColumn("_n", F.sum("_cnt").over(w_all)))
-    for k in sums:
-        stats = stats.withColumn(k, F.sum(f"_s_{k}").over(w_all))
-    return stats
+    return stats.withColumn("_off", F.sum("_cnt").over(w_run) - F.col("_cnt"))
 
 
 def numbered_table(df: DataFrame, order: Sequence[Column | str], name: str = "numbered",
@@ -117,131 +106,119 @@ def row_numbers(df: DataFrame, order: Sequence[Column | str], id_col: str,
 
 def exact_percentiles(df: DataFrame, value: Column | str, probs: Sequence[float],
                       by: Sequence[str] = (), names: Sequence[str] | None = None,
-                      tiebreak: Column | str | None = None, approx: bool = False,
-                      accuracy: int = 100_000, max_groups: int | None = None,
-                      count_col: str | None = None, finish: str = "distributed",
-                      sums: dict | None = None, name: str = "pct") -> DataFrame:
+                      approx: bool = False, accuracy: int = 10_000, max_groups: int | None = None,
+                      count_col: str | None = None, sums: dict | None = None, name: str = "pct") -> DataFrame:
     """One row per group of ``by`` with one column per probability.
 
     Semantics of ``percentile_cont(p) WITHIN GROUP (ORDER BY value)``: nulls
-    ignored, position ``p*(n-1)`` linearly interpolated. ``tiebreak`` (a
-    high-cardinality column such as a row key) lets the range partitioner
-    split runs of equal values. ``approx=True`` uses ``percentile_approx``
-    (bounded sketch) instead. ``max_groups`` is a caller-proven bound on the
-    number of groups; with it (or without ``by``) the table of wanted row
-    numbers (at most ``2 * len(probs) * max_groups`` rows) is broadcast.
-    ``finish="driver"`` (bounded groups only) trades the last shuffles for
-    two small collects - per-(group, partition) counts and the bracketing
-    rows - which lowers latency on small inputs. ``count_col`` adds the number of
-    non-null values per group (known from the offsets, no extra pass).
-    ``sums`` ({name: f}) adds the group total of ``f(value)`` per row - means
-    and threshold rates - computed in the same per-partition stats pass.
+    ignored, position ``p*(n-1)`` linearly interpolated. ``approx=True`` stops
+    at the sketch (``percentile_approx``). ``max_groups`` is a caller-proven
+    bound on the number of groups; with it (or without ``by``) the bracket
+    table (one row per group) is broadcast. ``count_col`` adds the number of
+    non-null values per group; ``sums`` ({name: f}) the group total of
+    ``f(value)`` per row (means and threshold counts).
+
+    Exact results by bracket selection, so that only a sliver of the rows is
+    ever shuffled: (1) one map-side combined aggregate gives each group's
+    count, extremes, sums and a quantile sketch, hence a value bracket around
+    every wanted rank; (2) a second scan counts the rows below, at and inside
+    each bracket; (3) rows strictly inside a bracket whose end values don't
+    hold the wanted ranks - about ``4 / accuracy`` of the group at most, and
+    none among ties - are range-sorted and the ranks looked up. A bracket that
+    missed its rank is widened to the extremes, so the result is always exact.
     """
     sums = dict(sums or {})
     by = list(by)
     names = list(names) if names is not None else [f"p{int(round(p * 100))}" for p in probs]
-    x = F.col(value) if isinstance(value, str) else value
+    x = (F.col(value) if isinstance(value, str) else value).cast("double")
+    base = df.select(*by, x.alias("_x")).where(F.col("_x").isNotNull())
+    extra = [F.sum(f(F.col("_x"))).alias(k) for k, f in sums.items()]
     if approx:
-        arr = F.percentile_approx(x.cast("double"), list(probs), accuracy)
-        xd = x.cast("double")
-        extra = ([F.count(x).alias(count_col)] if count_col else []) + [
-            F.sum(f(xd)).alias(k) for k, f in sums.items()]
-        return (df.groupBy(*by).agg(arr.alias("_q"), *extra)
-                .select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)],
+        arr = F.percentile_approx("_x", list(probs), accuracy)
+        return (base.groupBy(*by).agg(arr.alias("_q"), F.min("_x").alias("_min"), F.max("_x").alias("_max"),
+                                      *([F.count("_x").alias(count_col)] if count_col else []), *extra)
+                .select(*by, *[(F.col("_min") if p <= 0 else F.col("_max") if p >= 1 else F.col("_q")[i]).alias(n)
+                               for i, (p, n) in enumerate(zip(probs, names))],
                         *([count_col] if count_col else []), *sums))
-    tb = [F.col(tiebreak) if isinstance(tiebreak, str) else tiebreak] if tiebreak is not None else []
-    base = df.where(x.isNotNull()).select(*by, x.cast("double").alias("_x"), *[c.alias("_tb") for c in tb])
-    order = [*by, "_x"] + (["_tb"] if tb else [])
-    t = _sorted_numbered(base, order, name, drop=["_tb"] if tb else [])
-    stats = _partition_offsets(t, by, sums)
 
+    step = 2.0 / accuracy
+    marks = [m for p in probs for m in (max(0.0, p - step), min(1.0, p + step))]
+    stats = base.groupBy(*by).agg(F.count("_x").alias("_n"), F.min("_x").alias("_min"), F.max("_x").alias("_max"),
+                                  F.percentile_approx("_x", marks, accuracy).alias("_q"), *extra)
+    if not by:
+        stats = stats.where(F.col("_n") > 0)
+    stats = materialize(stats, f"{name}_stats")  # one row per group
     bounded = not by or max_groups is not None
-    if finish == "driver" and bounded:
-        return _bounded_tail(t, by, probs, names, count_col, sums)
-
-    # Every (group, partition) row emits the wanted ranks that fall inside it.
-    prob_arr = F.array(*[F.lit(float(p)) for p in probs])
-    wanted = (stats.select(*by, "_n", *sums, "_cnt", "_first", "_off", F.posexplode(prob_arr).alias("_i", "_p"))
-              .withColumn("_h", F.col("_p") * (F.col("_n") - 1).cast("double"))
-              .withColumn("_r", F.explode(F.array_distinct(F.array(
-                  F.floor("_h").cast("long"), F.ceil("_h").cast("long")))))
-              .where((F.col("_r") >= F.col("_off")) & (F.col("_r") < F.col("_off") + F.col("_cnt")))
-              .select(*by, "_n", *sums, "_i", "_h", "_r",
-                      (F.col("_first") + F.col("_r") - F.col("_off")).alias("_mid")))
-    if bounded:
-        wanted = F.broadcast(wanted)
-    picked = t.select("_mid", "_x").join(wanted, "_mid")  # _mid is unique across the table
-    lo = F.max(F.when(F.col("_r") == F.floor("_h"), F.col("_x")))
-    hi = F.max(F.when(F.col("_r") == F.ceil("_h"), F.col("_x")))
-    per_p = (picked.groupBy(*by, "_i").agg(lo.alias("_lo"), hi.alias("_hi"), F.first("_h").alias("_h"),
-                                           F.max("_n").alias("_n"), *[F.max(k).alias(k) for k in sums])
-             .withColumn("_v", F.col("_lo") + (F.col("_h") - F.floor("_h")) * (F.col("_hi") - F.col("_lo"))))
-    extra = ([F.max("_n").alias(count_col)] if count_col else []) + [F.max(k).alias(k) for k in sums]
-    return per_p.groupBy(*by).agg(*[F.max(F.when(F.col("_i") == i, F.col("_v"))).alias(n)
-                                    for i, n in enumerate(names)], *extra)
-
-
-def _bounded_tail(t: DataFrame, by: Sequence[str], probs: Sequence[float], names: Sequence[str],
-                  count_col: str | None, sums: dict | None = None) -> DataFrame:
-    """Finish on the driver when the group count is bounded.
-
-    Two small jobs over the materialised sort: per-(group, partition) counts
-    (at most groups x partitions rows) and the bracketing rows, fetched by a
-    ``_mid IN (..)`` filter the Parquet scan pushes down (at most
-    2 x len(probs) x groups rows). Interpolation uses the same double
-    arithmetic as the distributed path.
-    """
-    pid = F.shiftright("_mid", _LOW_BITS).alias("_pid")
-    sums = sums or {}
-    stats = t.groupBy(*by, pid).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"),
-                                    *[F.sum(f(F.col("_x"))).alias(f"_s_{k}") for k, f in sums.items()]).collect()
-    groups: dict[tuple, list] = {}
-    totals: dict[tuple, dict] = {}
-    for r in stats:
-        key = tuple(r[c] for c in by)
-        groups.setdefault(key, []).append((r["_pid"], r["_first"], r["_cnt"]))
-        acc = totals.setdefault(key, {k: None for k in sums})
-        for k in sums:
-            v = r[f"_s_{k}"]
-            acc[k] = v if acc[k] is None else (acc[k] if v is None else acc[k] + v)
-    plan: dict[tuple, tuple[int, list]] = {}
-    wanted: dict[int, tuple] = {}
-    for key, parts in groups.items():
-        parts.sort()
-        offsets, off = [], 0
-        for p_, first, cnt in parts:
-            offsets.append((p_, first, off, cnt))
-            off += cnt
-        n = off
-        hs = [p * (n - 1) for p in probs]
-        plan[key] = (n, hs)
-        ranks = {r for h in hs for r in (math.floor(h), math.ceil(h))}
-        for r, m in zip(sorted(ranks), mids_for_ranks(offsets, sorted(ranks))):
-            wanted[m] = (key, r)
-    values: dict[tuple, float] = {}
-    if wanted:
-        mids = list(wanted)
-        src = t.select("_mid", "_x")
-        if len(mids) <= 20_000:
-            hit = src.where(F.col("_mid").isin(mids))
-        else:
-            local = t.sparkSession.createDataFrame([(m,) for m in mids], "_mid long")
-            hit = src.join(F.broadcast(local), "_mid")
-        for r in hit.collect():
-            values[wanted[r["_mid"]]] = r["_x"]
-    fields = {f.name: f.dataType for f in t.schema.fields}
-    rows = []
-    for key, (n, hs) in plan.items():
-        out = list(key)
-        for h in hs:
-            lo, hi = values[(key, math.floor(h))], values[(key, math.ceil(h))]
-            out.append(lo + (h - math.floor(h)) * (hi - lo))
-        if count_col:
-            out.append(n)
-        out += [None if totals[key][k] is None else float(totals[key][k]) for k in sums]
-        rows.append(tuple(out))
-    schema = StructType([StructField(c, fields[c], True) for c in by]
-                        + [StructField(nm, DoubleType(), True) for nm in names]
-                        + ([StructField(count_col, LongType(), True)] if count_col else [])
-                        + [StructField(k, DoubleType(), True) for k in sums])
-    return t.sparkSession.createDataFrame(rows, schema)
+
+    def targets(widened: DataFrame | None) -> DataFrame:
+        """(by..., _targets): one struct per probability with the ranks wanted and the bracket's ends."""
+        rows = stats
+        wide = F.lit(False)
+        if widened is not None:
+            rows, wide = _left_on(rows, widened, by), F.coalesce("_wide", F.lit(False))
+        items = []
+        for i, p in enumerate(probs):
+            h = F.lit(float(p)) * (F.col("_n") - 1).cast("double")
+            low = F.col("_min") if marks[2 * i] <= 0 else F.when(wide, F.col("_min")).otherwise(F.col("_q")[2 * i])
+            high = F.col("_max") if marks[2 * i + 1] >= 1 else F.when(wide, F.col("_max")).otherwise(F.col("_q")[2 * i + 1])
+            items.append(F.struct(h.alias("h"), F.floor(h).cast("long").alias("r0"), F.ceil(h).cast("long").alias("r1"),
+                                  low.alias("lo"), high.alias("hi")))
+        return rows.select(*by, F.array(*items).alias("_targets"))
+
+    def counted(goal: DataFrame) -> DataFrame:
+        """Per group and probability: rows below lo, up to lo, and below hi."""
+        joined = _left_on(base, F.broadcast(goal) if bounded else goal, by)
+        aggs = []
+        for i in range(len(probs)):
+            t = F.col("_targets")[i]
+            aggs += [F.count(F.when(F.col("_x") < t["lo"], 1)).alias(f"_b{i}"), F.count(F.when(F.col("_x") <= t["lo"], 1)).alias(f"_e{i}"),
+                     F.count(F.when(F.col("_x") < t["hi"], 1)).alias(f"_u{i}"), F.count(F.when(F.col("_x") <= t["hi"], 1)).alias(f"_v{i}")]
+        out = _left_on(goal, joined.groupBy(*by).agg(*aggs), by)
+        items = F.array(*[F.struct(F.lit(i).alias("i"), *[F.col("_targets")[i][c].alias(c) for c in ("h", "r0", "r1", "lo", "hi")],
+                                   F.col(f"_b{i}").alias("b"), F.col(f"_e{i}").alias("e"), F.col(f"_u{i}").alias("u"),
+                                   F.col(f"_v{i}").alias("v")) for i in range(len(probs))])
+        return out.select(*by, F.inline(items))
+
+    found = materialize(counted(targets(None)), f"{name}_counts")
+    missed = found.where((F.col("r0") < F.col("b")) | (F.col("r1") >= F.col("v"))).select(*by).distinct()
+    if missed.limit(1).count():
+        wide = missed.withColumn("_wide", F.lit(True))
+        found = materialize(counted(targets(wide)), f"{name}_widened")
+    # A rank is at the lower end, at the upper end, or strictly inside.
+    inside = found.where(((F.col("r0") >= F.col("e")) & (F.col("r0") < F.col("u"))) | ((F.col("r1") >= F.col("e")) & (F.col("r1") < F.col("u"))))
+    goals = materialize(inside, f"{name}_goals")
+    keys = [*by, "i"]
+    nest = goals.groupBy(*by).agg(F.collect_list(F.struct("i", "lo", "hi")).alias("_goal"))  # at most one per probability
+    sliver = (_left_on(base, F.broadcast(nest) if bounded else nest, by, how="inner")
+              .select(*by, "_x", F.explode("_goal").alias("_g"))
+              .where((F.col("_x") > F.col("_g.lo")) & (F.col("_x") < F.col("_g.hi"))).select(*by, F.col("_g.i").alias("i"), "_x"))
+    t = _sorted_numbered(sliver, [*keys, "_x"], f"{name}_sliver")
+    offsets = _partition_offsets(t, keys)
+    want = goals.select(*keys, F.explode(F.array_distinct(F.array("r0", "r1"))).alias("_r"), "e", "u").where(
+        (F.col("_r") >= F.col("e")) & (F.col("_r") < F.col("u"))).withColumn("_k", F.col("_r") - F.col("e"))
+    spots = (_left_on(want, offsets, keys, how="inner").where((F.col("_k") >= F.col("_off")) & (F.col("_k") < F.col("_off") + F.col("_cnt")))
+             .select(*keys, "_r", (F.col("_first") + F.col("_k") - F.col("_off")).alias("_mid")))
+    picked = t.select("_mid", "_x").join(F.broadcast(spots) if bounded else spots, "_mid").select(*keys, "_r", "_x")
+    hit = picked.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_r", "_x"))).alias("_at"))  # two ranks at most
+    rows = _left_on(found, hit, keys)
+
+    def at(rank: str) -> Column:
+        r = F.col(rank)
+        return F.when(r < F.col("e"), F.col("lo")).when(r >= F.col("u"), F.col("hi")).otherwise(F.element_at("_at", r))
+
+    rows = rows.withColumn("_v", at("r0") + (F.col("h") - F.floor("h")) * (at("r1") - at("r0")))
+    per_group = rows.groupBy(*by).agg(*[F.max(F.when(F.col("i") == i, F.col("_v"))).alias(n) for i, n in enumerate(names)])
+    totals = stats.select(*by, *([F.col("_n").alias(count_col)] if count_col else []), *sums)
+    out = _left_on(per_group, totals, by) if by or count_col or sums else per_group
+    return out if by else out.where(F.col(names[0]).isNotNull())  # no rows: no result row
+
+
+def _left_on(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "left") -> DataFrame:
+    """Join on ``by`` with null keys equal to each other; without keys, ``right`` has one row at most."""
+    if not by:
+        return left.join(right, F.lit(True), how)
+    renamed = right.select(*[F.col(c).alias(f"_by_{c}") if c in by else F.col(c) for c in right.columns])
+    cond = F.lit(True)
+    for c in by:
+        cond = cond & left[c].eqNullSafe(renamed[f"_by_{c}"])
+    return left.join(renamed, cond, how).drop(*[f"_by_{c}" for c in by])

@@ -76,10 +76,8 @@ RAW_CSV_SCHEMA = ("event_id long, tpep_pickup_datetime string, tpep_dropoff_date
                   "start_lon double, end_lat double, end_lon double, trip_distance double")
 
 
-def _raw_csv(spark, sf_dir, parts: int | None = None) -> str:
+def _raw_csv(spark, sf_dir) -> str:
     raw = _ev(spark, sf_dir).raw
-    if parts:
-        raw = raw.repartition(parts, "event_id")
     path = stage_path(spark, "raw_trips_csv")
     (raw.write.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
      .mode("overwrite").csv(path))
@@ -90,7 +88,7 @@ def q_stream_clean_trips(spark, sf_dir):
     """Raw trip CSV files streamed through the quality cascade (several micro-batches)."""
     from tripgauge.streaming.ingest import read_stream_output, start_clean_trips_stream
 
-    src = _raw_csv(spark, sf_dir, parts=4)
+    src = _raw_csv(spark, sf_dir)
     sink, ckpt = stage_path(spark, "stream_sink"), stage_path(spark, "stream_checkpoint")
     q = start_clean_trips_stream(spark, src, RAW_CSV_SCHEMA, sink, ckpt, max_files_per_trigger=1)
     q.awaitTermination()
@@ -101,7 +99,7 @@ def q_stream_clean_trips(spark, sf_dir):
 def q_stream_reject_counts(spark, sf_dir):
     from tripgauge.streaming.ingest import read_stream_output, start_clean_trips_stream
 
-    src = _raw_csv(spark, sf_dir, parts=3)
+    src = _raw_csv(spark, sf_dir)
     sink, ckpt = stage_path(spark, "stream_sink"), stage_path(spark, "stream_checkpoint")
     q = start_clean_trips_stream(spark, src, RAW_CSV_SCHEMA, sink, ckpt, max_files_per_trigger=1)
     q.awaitTermination()
@@ -287,7 +285,8 @@ def q_join_fanout_audit(spark, sf_dir):
     a = fanout_audit(ev.evaluation, ev.with_eta, [S.TRIP_ID], label="trip_id")
     b = fanout_audit(minute(ev.evaluation), minute(ev.with_eta), ["_m"], label="pickup_minute")
     c = fanout_audit(orders, lineitem, ["o_orderkey"], ["l_orderkey"], label="o_orderkey")
-    return present(a.unionByName(b).unionByName(c))
+    out = a.unionByName(b).unionByName(c)
+    return present(out.withColumns({c: F.col(c).cast("long") for c in ("join_rows", "max_key_rows")}))
 
 
 def q_trip_features(spark, sf_dir):
@@ -310,7 +309,7 @@ def q_temporal_validation_split(spark, sf_dir):
 def q_sample_trips(spark, sf_dir):
     clean = _ev(spark, sf_dir).clean
     h = (F.col(S.TRIP_ID) * F.lit(2654435761)) % F.lit(1000003)
-    sample = clean.withColumn("_h", h).orderBy("_h", S.TRIP_ID).limit(1000).drop("_h")
+    sample = sample_trips(clean, 1000, hashed=h, span=(0, 1000002))
     return present(sample.select(S.TRIP_ID, S.DURATION, S.DISTANCE))
 
 

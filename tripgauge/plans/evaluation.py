@@ -11,9 +11,10 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tripgauge import schema as S
-from tripgauge.operators.columns import derive_measures, derive_segments, normalize_columns, parse_timestamps, require_columns
+from tripgauge.operators.columns import derive_measures, derive_segments, fill_derived, normalize_columns, parse_timestamps, require_columns
 from tripgauge.operators.errors import eta_errors
 from tripgauge.operators.estimate import global_speed, median_speed_eta, median_speeds, predictions_join, speed_medians
 from tripgauge.operators.ids import assign_trip_id_with_offsets
@@ -28,24 +29,29 @@ from tripgauge.sources.fixture import load_raw_trips
 
 class TripEvaluation:
     def __init__(self, spark: SparkSession, raw: DataFrame, numbering: str = "monday",
-                 approx: bool = False, bbox: bool = False):
+                 approx: bool = False, bbox: bool = False, tiebreak: tuple[str, ...] = ()):
         self.spark = spark
         self.raw = raw
         self.numbering = numbering
         self.approx = approx
         self.rules = quality_rules(bbox=bbox)
+        self.tiebreak = tiebreak
 
     @classmethod
     def from_sf_dir(cls, spark: SparkSession, sf_dir: str, **kw) -> "TripEvaluation":
-        return cls(spark, load_raw_trips(spark, sf_dir), **kw)
+        return cls(spark, load_raw_trips(spark, sf_dir), tiebreak=("event_id",), **kw)
 
     @classmethod
     def from_clean(cls, spark: SparkSession, clean: DataFrame, **kw) -> "TripEvaluation":
-        """Start from a stored trips_clean table (trip_id dense in pickup order)."""
+        """Start from a stored trips_clean table; segment columns that are absent or null are filled in.
+
+        The split comes from the pickup times themselves: after an append the
+        ids no longer follow them.
+        """
         ev = cls(spark, clean, **kw)
         ev._from_clean = True
-        ev.__dict__["clean"] = clean
-        ev.__dict__["split_us"] = split_time_micros(clean, S.SPLIT_QUANTILE, pickup_ordered_id=S.TRIP_ID)
+        ev.__dict__["clean"] = fill_derived(clean, ev.numbering)
+        ev.__dict__["split_us"] = split_time_micros(clean, S.SPLIT_QUANTILE)
         return ev
 
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
@@ -67,25 +73,39 @@ class TripEvaluation:
 
     @cached_property
     def _numbered(self):
-        # Sort the normalised rows (the keys are raw columns), then derive the
-        # measures and apply the rules once, after the shuffle: the range
-        # sampling pass and the map pass only read the source. The first-failure
-        # counts of the quality report are observed on the same pass.
+        # Sort the rows whose raw columns are complete (the keys are raw
+        # columns), then derive the measures and apply the rules once, after the
+        # shuffle: the range sampling pass and the map pass only read the
+        # source, and blank rows, all equal, never meet in one partition. The
+        # first-failure counts are observed on the same pass.
         rules = self.rules
         self._quality = Observation("quality_report")
 
         def after_sort(rows: DataFrame) -> DataFrame:
             return apply_rules(observe_reasons(derive_measures(rows), self._quality, rules), rules)
 
-        return assign_trip_id_with_offsets(self.normalized, name="trips_clean", after_sort=after_sort)
+        return assign_trip_id_with_offsets(self.normalized.where(self._complete), tiebreak=self.tiebreak,
+                                           name="trips_clean", after_sort=after_sort)
+
+    @property
+    def _complete(self):
+        cond = F.lit(True)
+        for c in ("pickup_datetime", "dropoff_datetime", "pickup_latitude", "pickup_longitude",
+                  "dropoff_latitude", "dropoff_longitude"):
+            cond = cond & F.col(c).isNotNull()
+        return cond
 
     def quality_report(self) -> dict[str, int]:
-        """First-failure counts per rule and 'ok', observed while numbering the
-        clean trips (no separate pass over the source)."""
+        """First-failure counts per rule and 'ok': observed while numbering the
+        complete rows, plus one count of the rows with blanks."""
         if getattr(self, "_from_clean", False):
             raise ValueError("built from a stored clean table: use filter_stats on the raw trips")
         self._numbered
-        return {k: int(v) for k, v in self._quality.get.items()}
+        out = {k: int(v) for k, v in self._quality.get.items()}
+        blank = reject_reason(derive_measures(self.normalized.where(~self._complete)), self.rules)
+        for reason, n in blank.groupBy("reject_reason").count().collect():  # one row per rule
+            out[reason] += n
+        return out
 
     @cached_property
     def clean(self) -> DataFrame:

@@ -9,11 +9,12 @@ noted).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripgauge import schema as S
 from tripgauge.operators.charts import calibration_bins, error_histograms, histogram_markers
 from tripgauge.operators.insights import best_worst_segment, bias_detection, overall_insight
-from tripgauge.operators.metrics import error_quantiles, metrics_tables, segment_metrics
+from tripgauge.operators.metrics import compare_methods, error_by_segment, error_quantiles, metrics_tables, segment_metrics
 from tripgauge.operators.model import load_model, model_mae, save_model, train_duration_model
 from tripgauge.operators.split import model_input, temporal_validation_split
 from tripgauge.plans.evaluation import TripEvaluation
@@ -23,15 +24,24 @@ from tripgauge.sources.sinks import verify_row_count, write_metrics_csv, write_p
 
 
 def load_job(spark: SparkSession, source: str, target: str, fmt: str = "csv", mode: str = "replace",
-             schema=None, sample_size: int | None = None, bbox: bool = False) -> dict:
-    """Raw trip files -> trips_clean table. Returns the filter statistics."""
+             schema=None, sample_size: int | None = None, bbox: bool = False,
+             tiebreak: tuple[str, ...] = ()) -> dict:
+    """Raw trip files -> trips_clean table. Returns the filter statistics.
+
+    ``append`` numbers on from the stored maximum, so ids stay dense and unique
+    over all loads. The table's row count is verified in every mode.
+    """
     raw = read_trips(spark, source, fmt, schema)
     if sample_size:
         raw = first_n(raw, sample_size)
-    ev = TripEvaluation(spark, raw, bbox=bbox)
-    written = write_trips_table(ev.clean, target, mode)
-    if mode == "replace":
-        verify_row_count(spark.read.parquet(target), written)
+    ev = TripEvaluation(spark, raw, bbox=bbox, tiebreak=tiebreak)
+    clean, before = ev.clean, 0
+    if mode == "append":
+        held = spark.read.parquet(target).agg(F.count(F.lit(1)).alias("n"), F.max(S.TRIP_ID).alias("top")).first()
+        before = held["n"]
+        clean = clean.withColumn(S.TRIP_ID, F.col(S.TRIP_ID) + F.lit(held["top"] or 0))
+    written = write_trips_table(clean, target, mode)
+    verify_row_count(spark.read.parquet(target), before + written)
     stats = ev.quality_report()  # observed while numbering: no extra pass over the source
     total, kept = sum(stats.values()), stats.get("ok", 0)
     return {"rejects": stats, "initial_count": total, "final_count": kept, "filtered_out": total - kept,
@@ -77,6 +87,12 @@ def median_speed_job(spark: SparkSession, clean_table: str, metrics_dir: str | N
     return ev.metrics
 
 
+def comparison_job(spark: SparkSession, clean_table: str, model_path: str) -> DataFrame:
+    """Metric rows of the stored model and of the median-speed baseline, told apart by ``method``."""
+    ev = _evaluation(spark, clean_table)
+    return compare_methods({"model": ev.model_errors(load_model(model_path)), "median_speed": ev.errors})
+
+
 def analysis_job(spark: SparkSession, errors: DataFrame, out_dir: str | None = None) -> dict[str, DataFrame]:
     """Chart data and insights for a table of error rows."""
     q = materialize(error_quantiles(errors), "analysis_quantiles")
@@ -89,6 +105,8 @@ def analysis_job(spark: SparkSession, errors: DataFrame, out_dir: str | None = N
         "best_worst_segment": best_worst_segment(metrics, "distance_bucket").unionByName(
             best_worst_segment(metrics, "hour_of_day")),
         "bias_detection": bias_detection(errors),
+        "error_by_distance": error_by_segment(metrics, "distance_bucket"),
+        "error_by_hour": error_by_segment(metrics, "hour_of_day"),
     }
     if out_dir:
         for name, df in out.items():

@@ -2,12 +2,13 @@
 
 Materialised stages are Parquet tables under the shared folder named by
 ``spark.checkpoint.dir``. That setting is read from the session; a private
-folder is created only when it is unset (local tests).
+folder is created only when it is unset and the master is local (tests).
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -41,6 +42,8 @@ def shared_dir(spark: SparkSession) -> str:
         return d
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="tripgauge-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir()

@@ -2,21 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampNTZType, TimestampType
+
+from tripgauge.operators.columns import normalize_columns
+from tripgauge.operators.ranking import row_numbers
 
 
 def read_trips(spark: SparkSession, path: str, fmt: str = "csv",
                schema: StructType | str | None = None) -> DataFrame:
-    """CSV with a header row (explicit schema: one pass; none: inferred, an extra pass) or Parquet."""
+    """CSV with a header row (explicit schema: one pass; none: inferred, an extra pass) or Parquet.
+
+    CSV columns go by their names: files are read per distinct header, and
+    where headers differ the standard spellings are normalised before the
+    parts are united by name (columns that a file lacks are null). ``schema``
+    gives types by name. Inferred date and time columns stay text, so the
+    session's time zone never touches them. One header line per file is read
+    on top of the data.
+    """
     if fmt == "parquet":
         return spark.read.parquet(path)
     if fmt != "csv":
         return spark.read.format(fmt).load(path)
     reader = spark.read.option("header", True)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return reader.csv(path)
+    files = [r["path"] for r in spark.read.format("binaryFile").load(path).select("path").collect()]  # no contents
+    by_header: dict[tuple, list[str]] = {}
+    for file in sorted(files):
+        by_header.setdefault(tuple(reader.csv(file).columns), []).append(file)
+    typed = {}
+    if schema is not None:
+        wanted = spark.createDataFrame([], schema).schema if isinstance(schema, str) else schema
+        typed = {f.name: f.dataType for f in wanted.fields}
+        if not by_header or list(by_header) == [()]:
+            return spark.createDataFrame([], wanted)
+    parts = []
+    for header, some in by_header.items():
+        types = typed or {f.name: f.dataType for f in spark.read.option("header", True).option("inferSchema", True).csv(some).schema.fields}
+        own = StructType([StructField(c, _untimed(types.get(c, StringType())) if schema is None else types.get(c, StringType())) for c in header])
+        parts.append(spark.read.option("header", True).schema(own).csv(some))
+    if len(parts) == 1:
+        return parts[0]
+    out = normalize_columns(parts[0])
+    for part in parts[1:]:
+        out = out.unionByName(normalize_columns(part), allowMissingColumns=True)
+    return out
+
+
+def _untimed(kind):
+    return StringType() if isinstance(kind, (DateType, TimestampType, TimestampNTZType)) else kind
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, key: str, lower: int, upper: int,
@@ -33,14 +67,23 @@ def read_jdbc(spark: SparkSession, url: str, table: str, key: str, lower: int, u
             .options(**options).load())
 
 
-def sample_trips(df: DataFrame, n: int, seed: int = 42, key: str = "trip_id") -> DataFrame:
-    """Reproducible fixed-size sample: the n rows with the smallest seeded hash of ``key``.
+def sample_trips(df: DataFrame, n: int, seed: int = 42, key: str = "trip_id", hashed: Column | None = None,
+                 span: tuple[int, int] = (-(1 << 63), (1 << 63) - 1)) -> DataFrame:
+    """Reproducible fixed-size sample: the n rows with the smallest hash of ``key`` (ties by ``key``).
 
-    A top-k (each task keeps its best n, then one merge of k*tasks rows), so
-    the sample never depends on partitioning or row order.
+    ``hashed`` replaces the seeded 64-bit hash; ``span`` is the range of its
+    values. A threshold a little above the n-th hash lets few more than n rows
+    into a distributed numbering, so no task ever holds the sample, and the
+    result never depends on partitioning or row order.
     """
-    h = F.xxhash64(F.col(key), F.lit(seed))
-    return df.withColumn("_h", h).orderBy("_h", key).limit(n).drop("_h")
+    h = F.xxhash64(F.col(key), F.lit(seed)) if hashed is None else hashed
+    rows = df.withColumn("_h", h)
+    total = df.count()
+    share = min(1.0, (n + 6 * n ** 0.5 + 10) / max(total, 1))
+    some = rows.where(F.col("_h") <= F.lit(int(span[0] + share * (span[1] - span[0]))))
+    if share < 1 and some.count() < n:  # an uneven hash
+        some = rows
+    return row_numbers(some, ["_h", key], "_rank", name="sample").where(F.col("_rank") <= n).drop("_h", "_rank")
 
 
 def first_n(df: DataFrame, n: int) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripgauge.operators.estimate import dedupe_predictions
@@ -19,26 +19,21 @@ MAX_WRITERS = 200
 INSERT_BATCH = 10_000
 
 
-def jdbc_writers(rows: int) -> int:
-    """Number of parallel JDBC writers for ``rows`` rows."""
-    return max(1, min(MAX_WRITERS, rows // ROWS_PER_WRITER))
+def jdbc_writers(rows: int, most: int = MAX_WRITERS) -> int:
+    """Number of parallel JDBC writers for ``rows`` rows; ``most`` is what the database accepts."""
+    return max(1, min(most, rows // ROWS_PER_WRITER))
 
 
 def write_trips_table(df: DataFrame, target: str, mode: str = "replace", fmt: str = "parquet",
                       jdbc: Mapping[str, str] | None = None, batchsize: int = INSERT_BATCH,
-                      num_partitions: int | str | None = None) -> int:
+                      num_partitions: int | None = None) -> int:
     """Write with mode replace / append / fail; returns the rows written.
 
     JDBC ``replace`` truncates instead of dropping, so dependent views survive.
-    ``num_partitions="auto"`` sizes the JDBC writers with ``jdbc_writers``
-    (one count first); Spark's JDBC writer coalesces to that many
-    connections, each inserting ``batchsize`` rows per round trip.
+    ``num_partitions`` bounds the JDBC connections (``jdbc_writers`` sizes it
+    from a known row count); each inserts ``batchsize`` rows per round trip.
     The row count is observed during the write itself (no second pass).
     """
-    if fmt == "jdbc" and num_partitions == "auto":
-        num_partitions = jdbc_writers(df.count())
-    from pyspark.sql import Observation
-
     obs = Observation("written")
     df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     w = df.write.mode(_MODES[mode])
@@ -63,9 +58,17 @@ def verify_row_count(written: DataFrame, expected: int) -> int:
 
 def write_predictions(preds: DataFrame, target: str, order_col: str | None = None,
                       fmt: str = "parquet", jdbc: Mapping[str, str] | None = None) -> int:
-    """Keyed prediction table: one row per trip_id (latest ``order_col`` wins), then overwrite."""
+    """Keyed prediction table: one row per trip_id (latest ``order_col`` wins), then overwrite.
+
+    Without ``order_col`` a key that occurs twice is an error: a join on such a
+    table would multiply trips.
+    """
     if order_col is not None:
         preds = dedupe_predictions(preds, order_col)
+    else:
+        twice = preds.groupBy(TRIP_ID).count().where("count > 1").limit(1).collect()
+        if twice:
+            raise ValueError(f"{TRIP_ID} {twice[0][TRIP_ID]} has {twice[0]['count']} predictions: give order_col to choose one")
     return write_trips_table(preds.select(TRIP_ID, F.col(ESTIMATE).cast("double").alias(ESTIMATE)),
                              target, "replace", fmt=fmt, jdbc=jdbc)
 

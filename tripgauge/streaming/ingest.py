@@ -12,7 +12,7 @@ order and stays a batch step over the accumulated table
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -39,11 +39,16 @@ def start_clean_trips_stream(spark: SparkSession, source_dir: str, schema: Struc
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     labelled = labelled_stream(reader.load(source_dir))
     base = sink_dir.rstrip("/")
+    reasons = [name for name, _ in quality_rules()] + [OK]
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        clean = derive_segments(batch.where(F.col("reject_reason") == OK).drop("reject_reason"), numbering)
+        # One read of the batch: the reject counts are observed while its clean rows are written.
+        seen = Observation(f"rejects_{batch_id}")
+        counted = batch.observe(seen, *[F.count(F.when(F.col("reject_reason") == r, 1)).alias(r) for r in reasons])
+        clean = derive_segments(counted.where(F.col("reject_reason") == OK).drop("reject_reason"), numbering)
         clean.write.mode("overwrite").parquet(f"{base}/clean/batch_id={batch_id}")
-        (batch.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
+        counts = [(r, int(n)) for r, n in seen.get.items() if n]
+        (batch.sparkSession.createDataFrame(counts, "reject_reason string, n long").coalesce(1)
          .write.mode("overwrite").parquet(f"{base}/rejects/batch_id={batch_id}"))
 
     writer = labelled.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
