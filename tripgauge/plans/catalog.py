@@ -22,12 +22,14 @@ from tripgauge.operators.estimate import clamp_prediction, dedupe_predictions, p
 from tripgauge.operators.errors import eta_errors
 from tripgauge.operators.features import scaler_fit, standardize, trip_features
 from tripgauge.operators.insights import best_worst_segment, bias_detection, overall_insight
-from tripgauge.operators.metrics import error_by_segment, metrics_tables, segment_metrics
-from tripgauge.operators.model import predict_duration, train_duration_model
-from tripgauge.operators.quality import filter_stats, retention_summary
+from tripgauge.operators.metrics import compare_methods, error_by_segment, metrics_tables, segment_metrics
+from tripgauge.operators.model import load_model, predict_duration, save_model, train_duration_model
+from tripgauge.operators.quality import filter_stats, quality_rules, reject_reason, retention_summary
+from tripgauge.operators.ranking import exact_percentiles, row_numbers
 from tripgauge.operators.split import dataset_summary, model_input, split_labels, temporal_validation_split
-from tripgauge.plans.evaluation import evaluation_for
-from tripgauge.session import stage_path, table_path
+from tripgauge.plans.evaluation import TripEvaluation, evaluation_for
+from tripgauge.plans.jobs import load_trips
+from tripgauge.session import materialize, stage_path, table_path
 from tripgauge.sources.readers import read_trips, sample_trips
 from tripgauge.sources.sinks import verify_row_count, write_metrics_csv, write_predictions, write_trips_table
 
@@ -317,6 +319,110 @@ def q_sample_trips_xxhash(spark, sf_dir):
     return present(sample_trips(_ev(spark, sf_dir).clean, 1000).select(S.TRIP_ID, S.DURATION, S.DISTANCE))
 
 
+def q_append_load(spark, sf_dir):
+    """Even events loaded, odd ones appended: ids go on densely, the split is that of all trips."""
+    raw = _ev(spark, sf_dir).raw
+    target = stage_path(spark, "appended_trips")
+    for odd, mode in ((0, "replace"), (1, "append")):
+        part = materialize(raw.where(F.col("event_id") % 2 == odd), "half_of_trips")
+        load_trips(TripEvaluation(spark, part, tiebreak=("event_id",)), target, mode)
+    ev = TripEvaluation.from_clean(spark, spark.read.parquet(target))
+    return split_labels(ev.clean, ev.split_us).select("event_id", S.TRIP_ID, "split")
+
+
+def q_scan_trips_csv_mixed(spark, sf_dir):
+    """Two CSV files with other column orders and spellings, without a schema."""
+    from tripgauge.operators.columns import normalize_columns, parse_timestamps, require_columns
+
+    raw = _ev(spark, sf_dir).raw
+    other = {"tpep_dropoff_datetime": "dropoff_time", "tpep_pickup_datetime": "pickup_time", "start_lon": "pickup_lon", "start_lat": "pickup_lat",
+             "end_lon": "dropoff_lon", "end_lat": "dropoff_lat", "trip_distance": "distance"}
+    base = stage_path(spark, "mixed_csv")
+    halves = (raw.where("event_id % 2 = 0"), raw.where("event_id % 2 = 1").select(*[F.col(a).alias(b) for a, b in other.items()], "event_id"))
+    for k, half in enumerate(halves):
+        half.write.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(f"{base}/half{k}")
+    back = parse_timestamps(require_columns(normalize_columns(read_trips(spark, f"{base}/*", "csv"))))
+    return present(back.select(F.col("event_id").cast("long").alias("event_id"), *NORM_COLS[1:]))
+
+
+def q_model_input_evaluation(spark, sf_dir):
+    return present(model_input(_ev(spark, sf_dir).evaluation).select(
+        S.TRIP_ID, S.DURATION, S.DISTANCE, S.HOUR, S.DOW, S.BUCKET))
+
+
+def q_bbox_filter(spark, sf_dir):
+    return reject_reason(_ev(spark, sf_dir).measured, quality_rules(bbox=True)).select("event_id", "reject_reason")
+
+
+def q_fill_derived_partial(spark, sf_dir):
+    """A third of the rows lacks one column, another third has a wrong old value that must stay."""
+    third = F.col(S.TRIP_ID) % 3
+    clean = _ev(spark, sf_dir).clean
+    clean = clean.withColumns({S.HOUR: F.when(third == 1, F.lit(99)).otherwise(F.col(S.HOUR)),
+                               S.BUCKET: F.when(third == 0, F.lit(None)).otherwise(F.col(S.BUCKET))})
+    return fill_derived(clean).select(S.TRIP_ID, S.HOUR, S.DOW, S.BUCKET)
+
+
+def q_write_predictions(spark, sf_dir):
+    """Three versions per key through the keyed sink; the latest is stored."""
+    eta = _ev(spark, sf_dir).with_eta.select(S.TRIP_ID, S.ESTIMATE)
+    versions = eta.withColumn("version", F.explode(F.array(*(F.lit(v) for v in range(3))))).withColumn(S.ESTIMATE, F.col(S.ESTIMATE) + F.col("version"))
+    path = stage_path(spark, "versioned_predictions")
+    write_predictions(versions, path, order_col="version")
+    return present(spark.read.parquet(path))
+
+
+def q_metrics_order(spark, sf_dir):
+    """The order in which the published tables list their segments, as a rank."""
+    rows = metrics_tables(_ev(spark, sf_dir).metrics)["metrics_combined"].select("segment_type", "segment_value")
+    return row_numbers(rows.select("*", F.monotonically_increasing_id().alias("_at")), ["_at"], "place").drop("_at")
+
+
+def q_metrics_csv_tables(spark, sf_dir):
+    """All five metric tables through the CSV sink and back."""
+    out = None
+    for name, path in write_metrics_csv(metrics_tables(_ev(spark, sf_dir).metrics), stage_path(spark, "metric_tables_csv")).items():
+        back = spark.read.option("header", True).csv(path)
+        part = back.select(F.lit(name).alias("table_name"), "segment_type", "segment_value", F.col("trip_count").cast("long").alias("trip_count"),
+                           F.col("medae_sec").cast("double").alias("medae_sec"))
+        out = part if out is None else out.unionByName(part)
+    return present(out)
+
+
+def q_views_sql(spark, sf_dir):
+    _ev(spark, sf_dir).register_views()
+    return present(spark.sql("SELECT hour_of_day, count(*) AS trips, avg(abs_error_sec) AS mae_sec FROM eta_errors GROUP BY hour_of_day"))
+
+
+def q_segment_metrics_custom(spark, sf_dir):
+    """Segmentations of the caller's own, with many values and with nulls."""
+    segments = [("residue", F.col(S.TRIP_ID) % 701), ("long", F.when(F.col(S.DURATION) > 600, "yes"))]
+    out = segment_metrics(_ev(spark, sf_dir).errors, segments)
+    return present(out.select("segment_type", "segment_value", "trip_count", "mae_sec", "medae_sec", "p90_abs_error_pct"))
+
+
+def q_model_facts(spark, sf_dir):
+    """The model as one row: rows scored, floor kept, better than the training median, equal after save and load."""
+    ev, model = _ev(spark, sf_dir), _model(spark, sf_dir)
+    path = stage_path(spark, "duration_model")
+    save_model(model, path)
+    rows = model_input(ev.evaluation)
+    a = predict_duration(model, rows).select(S.TRIP_ID, F.col(S.ESTIMATE).alias("a"))
+    b = predict_duration(load_model(path), rows).select(S.TRIP_ID, F.col(S.ESTIMATE).alias("b"))
+    middle = exact_percentiles(ev.training, S.DURATION, [0.5], names=["m"]).first()["m"]
+    actual = rows.select(S.TRIP_ID, F.col(S.DURATION).alias("y"))
+    return a.join(b, S.TRIP_ID).join(actual, S.TRIP_ID).agg(
+        F.count(F.lit(1)).alias("n_rows"), (F.min("a") >= 30).alias("at_least_30_sec"),
+        (F.avg(F.abs(F.col("a") - F.col("y"))) < F.avg(F.abs(F.lit(middle) - F.col("y")))).alias("beats_training_median"),
+        F.bool_and(F.col("a") == F.col("b")).alias("reload_equal"))
+
+
+def q_model_vs_baseline(spark, sf_dir):
+    ev = _ev(spark, sf_dir)
+    out = compare_methods({"model": ev.model_errors(_model(spark, sf_dir)), "median_speed": ev.errors})
+    return present(out.select("method", *S.METRIC_COLUMNS))
+
+
 _MODELS: dict = {}
 
 
@@ -381,11 +487,23 @@ def queries() -> dict[str, Query]:
         "standardize": q_standardize,
         "temporal_validation_split": q_temporal_validation_split,
         "sample_trips": q_sample_trips,
+        "append_load": q_append_load,
+        "scan_trips_csv_mixed": q_scan_trips_csv_mixed,
+        "model_input_evaluation": q_model_input_evaluation,
+        "bbox_filter": q_bbox_filter,
+        "fill_derived_partial": q_fill_derived_partial,
+        "write_predictions": q_write_predictions,
+        "metrics_order": q_metrics_order,
+        "metrics_csv_tables": q_metrics_csv_tables,
+        "views_sql": q_views_sql,
+        "segment_metrics_custom": q_segment_metrics_custom,
+        "model_facts": q_model_facts,
         "stream_clean_trips": q_stream_clean_trips,
         "stream_reject_counts": q_stream_reject_counts,
         # Rows-only: no SQL oracle (seeded xxhash64 order, model training/scoring).
         "sample_trips_xxhash": q_sample_trips_xxhash,
         "predict_duration": q_predict_duration,
         "model_metrics_combined": q_model_metrics_combined,
+        "model_vs_baseline": q_model_vs_baseline,
     }
     return q

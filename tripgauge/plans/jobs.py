@@ -23,6 +23,18 @@ from tripgauge.sources.readers import first_n, read_trips
 from tripgauge.sources.sinks import verify_row_count, write_metrics_csv, write_predictions, write_trips_table
 
 
+def load_trips(ev: TripEvaluation, target: str, mode: str = "replace") -> int:
+    """Write the clean trips and verify the table's row count; ``append`` continues the stored numbering."""
+    spark, clean, before = ev.spark, ev.clean, 0
+    if mode == "append":
+        held = spark.read.parquet(target).agg(F.count(F.lit(1)).alias("n"), F.max(S.TRIP_ID).alias("top")).first()
+        before = held["n"]
+        clean = clean.withColumn(S.TRIP_ID, F.col(S.TRIP_ID) + F.lit(held["top"] or 0))
+    written = write_trips_table(clean, target, mode)
+    verify_row_count(spark.read.parquet(target), before + written)
+    return written
+
+
 def load_job(spark: SparkSession, source: str, target: str, fmt: str = "csv", mode: str = "replace",
              schema=None, sample_size: int | None = None, bbox: bool = False,
              tiebreak: tuple[str, ...] = ()) -> dict:
@@ -35,13 +47,7 @@ def load_job(spark: SparkSession, source: str, target: str, fmt: str = "csv", mo
     if sample_size:
         raw = first_n(raw, sample_size)
     ev = TripEvaluation(spark, raw, bbox=bbox, tiebreak=tiebreak)
-    clean, before = ev.clean, 0
-    if mode == "append":
-        held = spark.read.parquet(target).agg(F.count(F.lit(1)).alias("n"), F.max(S.TRIP_ID).alias("top")).first()
-        before = held["n"]
-        clean = clean.withColumn(S.TRIP_ID, F.col(S.TRIP_ID) + F.lit(held["top"] or 0))
-    written = write_trips_table(clean, target, mode)
-    verify_row_count(spark.read.parquet(target), before + written)
+    written = load_trips(ev, target, mode)
     stats = ev.quality_report()  # observed while numbering: no extra pass over the source
     total, kept = sum(stats.values()), stats.get("ok", 0)
     return {"rejects": stats, "initial_count": total, "final_count": kept, "filtered_out": total - kept,

@@ -9,7 +9,10 @@ queries present them.
 
 from __future__ import annotations
 
-from tripgauge.schema import BUCKET_EDGES_KM, BUCKET_LABELS, WEEKDAY_LABELS
+# Written out here, not taken from the engine, so that a wrong value on either side shows.
+BUCKET_EDGES_KM = (1.609, 4.828, 8.047, 16.093)
+BUCKET_LABELS = ('<1mi', '1-3mi', '3-5mi', '5-10mi', '10+mi')
+WEEKDAY_LABELS = ('Monday', 'Tuesday', 'Wednesday', 'Thursday', 'Friday', 'Saturday', 'Sunday')
 
 
 def _bucket_case(km: str) -> str:
@@ -340,6 +343,40 @@ FROM (SELECT trip_id, row_number() OVER (ORDER BY trip_id) AS rn, count(*) OVER
     q["sample_trips"] = _with("""
 SELECT trip_id, trip_duration_sec, round(haversine_distance_km, 6) AS haversine_distance_km
 FROM clean ORDER BY (trip_id * 2654435761) % 1000003, trip_id LIMIT 1000""")
+    # Stored after two loads: even events first, then odd ones, numbered on.
+    q["append_load"] = _with("""
+SELECT event_id, trip_id, CASE WHEN CAST(epoch_us(pickup_datetime) AS DOUBLE) <= split_us THEN 'training' ELSE 'evaluation' END AS split
+FROM (SELECT event_id, pickup_datetime,
+        row_number() OVER (ORDER BY event_id % 2, pickup_datetime, pickup_latitude, pickup_longitude, event_id) AS trip_id FROM clean) c, split""")
+    q["scan_trips_csv_mixed"] = q["normalize_columns"]
+    q["model_input_evaluation"] = q["model_input"].replace("FROM training", "FROM evaluation")
+    q["bbox_filter"] = _with("""
+SELECT event_id, CASE WHEN reject_reason = 'ok' AND NOT (pickup_latitude BETWEEN 404e-1 AND 409e-1 AND pickup_longitude BETWEEN -743e-1 AND -737e-1
+    AND dropoff_latitude BETWEEN 404e-1 AND 409e-1 AND dropoff_longitude BETWEEN -743e-1 AND -737e-1) THEN 'outside_bbox' ELSE reject_reason END AS reject_reason
+FROM labelled""")
+    q["fill_derived_partial"] = _with("""
+SELECT trip_id, CASE WHEN trip_id % 3 = 1 THEN 99 ELSE hour_of_day END AS hour_of_day, day_of_week, distance_bucket FROM clean""")
+    q["write_predictions"] = _with("""
+SELECT trip_id, round(estimated_duration_sec + 2, 6) AS estimated_duration_sec FROM eta""")
+    q["metrics_order"] = _with(f"""
+SELECT segment_type, segment_value, row_number() OVER (ORDER BY
+  CASE segment_type WHEN 'overall' THEN 0 WHEN 'distance_bucket' THEN 1 WHEN 'hour_of_day' THEN 2 ELSE 3 END,
+  CASE segment_type WHEN 'distance_bucket' THEN {bucket_rank} WHEN 'hour_of_day' THEN CAST(segment_value AS INTEGER)
+    WHEN 'day_of_week' THEN list_position({list(WEEKDAY_LABELS)!r}, segment_value) END) AS place FROM metrics""")
+    q["metrics_csv_tables"] = _with("""
+SELECT t.name AS table_name, segment_type, segment_value, trip_count, round(medae_sec, 6) AS medae_sec
+FROM metrics JOIN (VALUES ('metrics_overall', 'overall'), ('metrics_by_distance', 'distance_bucket'), ('metrics_by_hour', 'hour_of_day'),
+  ('metrics_by_day_of_week', 'day_of_week'), ('metrics_combined', NULL)) t(name, kind) ON t.kind IS NULL OR t.kind = segment_type""")
+    q["views_sql"] = _with("""
+SELECT hour_of_day, count(*) AS trips, round(avg(abs_error_sec), 6) AS mae_sec FROM errors GROUP BY hour_of_day""")
+    q["segment_metrics_custom"] = _with("""
+SELECT segment_type, segment_value, count(*) AS trip_count, round(avg(abs_error_sec), 6) AS mae_sec,
+  round(quantile_cont(abs_error_sec, 0.5), 6) AS medae_sec, round(quantile_cont(abs_pct_error, 0.9), 6) AS p90_abs_error_pct
+FROM (SELECT 'overall' AS segment_type, 'all' AS segment_value, * FROM errors
+      UNION ALL SELECT 'residue', CAST(trip_id % 701 AS VARCHAR), * FROM errors
+      UNION ALL SELECT 'long', CASE WHEN trip_duration_sec > 600 THEN 'yes' END, * FROM errors) GROUP BY 1, 2""")
+    q["model_facts"] = _with("""
+SELECT count(*) AS n_rows, true AS at_least_30_sec, true AS beats_training_median, true AS reload_equal FROM evaluation""")
     q["stream_clean_trips"] = _with("""
 SELECT event_id, epoch_us(pickup_datetime) AS pickup_datetime, trip_duration_sec,
   round(haversine_distance_km, 6) AS haversine_distance_km, CAST(hour(pickup_datetime) AS INTEGER) AS hour_of_day,
