@@ -18,16 +18,17 @@ SF = "/root/testdata/sf0.001"
 def votes(text):
     n, chars, symbols, dup, repeat = test_quality.brute(text)
     lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
-    letters = sum(any(c.isalpha() for c in w) for w in re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    letters, marked = sum(any(c.isalpha() for c in w) for w in words), sum(bool(re.search(r"[#*$%&|<>]", w)) for w in words)
     pick = lambda bad, good: -1 if bad else 1 if good else 0
     return (pick(n < 50, n >= 80), pick(chars < 2 * n, 3 * n <= chars <= 12 * n), pick(5 * symbols > n, 50 * symbols <= n),
-            pick(2 * dup > len(lines), 10 * dup <= len(lines)), pick(2 * repeat > n, 5 * repeat <= n), pick(2 * letters < n, 10 * letters >= 8 * n))
+            pick(2 * dup > len(lines), 10 * dup <= len(lines)), pick(2 * repeat > n, 5 * repeat <= n), pick(30 * symbols > chars, 200 * symbols <= chars), pick(100 * marked > 15 * n, 100 * marked <= 3 * n), pick(2 * letters < n, 10 * letters >= 8 * n))
 
 
 def brute(docs):
     """docs: [(id, text)] with different ids; the pieces (id, piece, start, length, crc)."""
     voted = [(d, t, votes(t)) for d, t in docs]
-    share, accuracy, q = test_quality.em(Counter(v for *_, v in voted))
+    *_, q = test_quality.em(Counter(v for *_, v in voted))
     kept = []
     for d, t, v in voted:
         n, _, _, _, repeat = test_quality.brute(t)

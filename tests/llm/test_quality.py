@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 from tripgauge.llm import quality
 from tripgauge.llm.queries import op2_quality_rules
 
@@ -21,20 +22,25 @@ def brute(text):
 
 
 def em(patterns, rounds=quality.ROUNDS):
+    """(share, alarm, catch, posterior) by the same steps in plain arithmetic."""
     m = len(next(iter(patterns)))
-    share, accuracy = quality.PRIOR, [quality.TRUST] * m
+    share, alarm, catch = quality.SHARE, [quality.ALARM] * m, [quality.CATCH] * m
+    weight = quality.PSEUDO + 0.02 * sum(patterns.values())
 
     def q(v):
-        odds = math.log(share / (1 - share)) + sum(x * math.log(a / (1 - a)) for x, a in zip(v, accuracy))
+        odds = math.log(share / (1 - share)) + sum(math.log(a / c) if x == -1 else math.log((1 - a) / (1 - c)) if x else 0 for x, a, c in zip(v, alarm, catch))
         return 1 / (1 + math.exp(-odds))
 
+    def rate(scored, j, start, low, high):
+        bad = sum(n for v, n in scored if v[j] == -1)
+        return min(high, max(low, (bad + weight * start) / (sum(n for v, n in scored if v[j]) + weight)))
+
     for _ in range(rounds):
-        scored = [(v, n, q(v)) for v, n in patterns.items()]
-        total = sum(n for _, n, _ in scored)
-        share = min(0.98, max(0.02, (sum(n * p for _, n, p in scored) + 10 * quality.PRIOR) / (total + 10)))
-        accuracy = [min(0.99, max(0.55, (sum(n * (p if v[j] == 1 else 1 - p) for v, n, p in scored if v[j]) + 10 * quality.TRUST)
-                                  / (sum(n for v, n, _ in scored if v[j]) + 10))) for j in range(m)]
-    return share, accuracy, q
+        good = [(v, n * q(v)) for v, n in patterns.items()]
+        rest = [(v, n * (1 - q(v))) for v, n in patterns.items()]
+        share = min(0.98, max(0.02, (sum(n for _, n in good) + weight * quality.SHARE) / (sum(patterns.values()) + weight)))
+        alarm, catch = ([rate(rows, j, *bounds) for j in range(m)] for rows, bounds in ((good, (quality.ALARM, 0.001, 0.45)), (rest, (quality.CATCH, 0.05, 0.99))))
+    return share, alarm, catch, q
 
 
 def test_op2_matches_brute_force_and_has_no_python(spark):
@@ -48,24 +54,25 @@ def test_op2_matches_brute_force_and_has_no_python(spark):
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want, r.doc_id
         assert r.base_failed == (want[0] < 50 or 2 * want[4] > want[0])
         assert not (r.base_failed and r.kept)
-    good = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").collect() if r.quality == 1}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     kept = {r.doc_id: r.kept for r in out if not r.base_failed}
-    assert sum(kept[d] for d in good if d in kept) >= 0.98 * sum(d in kept for d in good)
+    judged = [(labels[d], kept[d]) for d in labels if d in kept]
+    assert all(k for q, k in judged if q == 1) and not any(k for q, k in judged if q == 0)
 
 
 def test_fit_matches_plain_em(spark):
     rng = random.Random(2)
     rows = []
-    for _ in range(2000):
-        good = rng.random() < 0.7
-        rows.append(([(0 if rng.random() < 0.2 else (1 if (rng.random() < a) == good else -1)) for a in (0.95, 0.8, 0.6)],))
+    for _ in range(3000):
+        good = rng.random() < 0.8
+        rows.append(([0 if rng.random() < 0.2 else (-1 if rng.random() < (0.02 if good else c) else 1) for c in (0.95, 0.8, 0.6)],))
     frame = spark.createDataFrame(rows, "votes array<int>")
     model = quality.fit(frame, 3).first()
-    share, accuracy, _ = em(Counter(tuple(r[0]) for r in rows))
-    assert abs(model["share"] - share) < 1e-9 and max(abs(a - b) for a, b in zip(model["accuracy"], accuracy)) < 1e-9
-    assert model["accuracy"][0] > model["accuracy"][1] > model["accuracy"][2]
+    share, alarm, catch, _ = em(Counter(tuple(r[0]) for r in rows))
+    assert abs(model["share"] - share) < 1e-9 and np.allclose(model["alarm"], alarm) and np.allclose(model["catch"], catch)
+    assert abs(share - 0.8) < 0.05 and catch[0] > catch[1] > catch[2]
     empty = quality.fit(frame.limit(0), 3).first()
-    assert abs(empty["accuracy"][0] - quality.TRUST) < 1e-9
+    assert np.allclose(empty["catch"], quality.CATCH)
 
 
 def test_edges_ties_and_clashes(spark):
