@@ -31,4 +31,31 @@ def test_workflow(spark):
 
     charts = jobs.analysis_job(spark, ev.errors, f"{d}/analysis")
     assert charts["calibration_bins"].count() == 19
+    assert charts["error_by_distance"].count() == 5 and charts["error_by_hour"].count() == 24
+    both = jobs.comparison_job(spark, f"{d}/trips_clean", f"{d}/model")
+    assert {r["method"] for r in both.select("method").collect()} == {"model", "median_speed"}
     assert charts["bias_detection"].first()["direction"] in ("overestimate", "underestimate", "none")
+
+
+def test_append_and_incomplete_stored_tables(spark):
+    ev = evaluation_for(spark, SF001)
+    d = tempfile.mkdtemp(prefix="tg-append-")
+    for odd, mode in ((0, "replace"), (1, "append")):
+        half = jobs.TripEvaluation(spark, ev.raw.where(F.col("event_id") % 2 == odd), tiebreak=("event_id",))
+        jobs.load_trips(half, f"{d}/trips", mode)
+    stored = spark.read.parquet(f"{d}/trips")
+    ids = sorted(r["trip_id"] for r in stored.select("trip_id").collect())
+    assert ids == list(range(1, ev.clean.count() + 1))
+    again = jobs.TripEvaluation.from_clean(spark, stored.drop("hour_of_day", "day_of_week", "distance_bucket"))
+    assert again.split_us == ev.split_us and again.evaluation.count() == ev.evaluation.count()
+    assert again.clean.where("distance_bucket IS NULL").count() == 0
+
+
+def test_blank_rows_do_not_pile_up(spark):
+    """Equal blank rows stay out of the numbering sort but are counted."""
+    ev = evaluation_for(spark, SF001)
+    blank = ev.raw.limit(1).select(*[F.lit(None).cast(t).alias(c) for c, t in ev.raw.dtypes]).withColumn("_n", F.explode(F.sequence(F.lit(1), F.lit(500)))).drop("_n")
+    half = jobs.TripEvaluation(spark, ev.raw.unionByName(blank), tiebreak=("event_id",))
+    report = half.quality_report()
+    assert report["ok"] == ev.clean.count() and report["missing_datetime"] == ev.quality_report()["missing_datetime"] + 500
+    assert half._numbered[0].count() == report["ok"]

@@ -3,6 +3,7 @@
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF001
 from tripgauge.operators.audit import fanout_audit
@@ -97,3 +98,24 @@ def test_in_plan_scoring_equals_join(spark, ev):
     left = sorted((r["trip_id"], r["estimated_duration_sec"]) for r in eta_errors(a).collect())
     right = sorted((r["trip_id"], r["estimated_duration_sec"]) for r in joined.collect())
     assert left == right
+
+
+def test_prediction_keys_are_enforced(spark):
+    from tripgauge.sources.sinks import write_predictions
+
+    d = tempfile.mkdtemp(prefix="tg-keys-")
+    preds = spark.createDataFrame([(1, 10.0, 1), (1, 20.0, 2), (2, 30.0, 1)], "trip_id long, estimated_duration_sec double, version int")
+    with pytest.raises(ValueError, match="2 predictions"):
+        write_predictions(preds, f"{d}/p")
+    assert write_predictions(preds, f"{d}/p", order_col="version") == 2
+    assert sorted(tuple(r) for r in spark.read.parquet(f"{d}/p").collect()) == [(1, 20.0), (2, 30.0)]
+
+
+def test_fanout_of_huge_keys_does_not_overflow(spark, monkeypatch):
+    from tripgauge.operators import audit
+
+    rows = spark.createDataFrame([(1,)], "k int")
+    big = 4_000_000_000
+    monkeypatch.setattr(audit.F, "count", lambda c, count=audit.F.count: F.lit(big) * F.max(F.lit(1)) if str(c) == str(F.lit(1)) else count(c))
+    out = audit.fanout_audit(rows, rows, ["k"]).first()
+    assert out["join_rows"] == big * big
