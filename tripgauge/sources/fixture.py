@@ -46,8 +46,8 @@ def trips_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def load_raw_trips(spark: SparkSession, sf_dir: str, materialized: bool = True) -> DataFrame:
-    """Raw trips for ``sf_dir``; by default written once as a Parquet source table
-    in the shared folder, the way trip records arrive as files in production."""
+def load_raw_trips(spark: SparkSession, sf_dir: str, materialized: bool = False) -> DataFrame:
+    """Raw trips for ``sf_dir``, derived as they are read; ``materialized`` writes them
+    as a Parquet source table in the shared folder first."""
     raw = trips_from_events(spark.read.parquet(table_path(sf_dir, "events")))
     return materialize(raw, "raw_trips") if materialized else raw
