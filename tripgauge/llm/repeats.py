@@ -29,8 +29,8 @@ from tripgauge.llm.runtime import carried, map_batches, ship, steps
 from tripgauge.llm.suffixes import permuted_prefixes, suffix_array
 from tripgauge.session import materialize
 
-TILE = 1 << 20  # bytes hashed at a time; windows of longer texts are walked tile by tile
-SHARD = 1 << 21  # segment bytes in one suffix array, but for a larger anchor (below ``crowd`` segments)
+TILE = 1 << 18  # bytes hashed at a time; windows of longer texts are walked tile by tile
+SHARD = 1 << 20  # segment bytes in one suffix array, but for a larger anchor (below ``crowd`` segments)
 #: 64-bit words of a bloom filter at most (32 MB); beyond that it lets more through.
 MAX_WORDS = 1 << 22
 _LONG, _INT = T.LongType(), T.IntegerType()
@@ -198,7 +198,7 @@ def _fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The bytes of ``wanted`` (anchor, h1, h2, alone, doc, body, start, bytes) from their documents; documents without any don't move."""
     filled = docs.sparkSession.sparkContext.broadcast(_bloom(wanted.select("doc", "body").distinct(), F.xxhash64("doc", "body")))
     lists = wanted.groupBy("doc", "body").agg(F.collect_list(F.struct("anchor", "h1", "h2", "alone", "start", "bytes")).alias("list"))
-    joined = _sifted(docs, filled, True).join(lists, ["doc", "body"]).select("text", "list")
+    joined = _sifted(docs, filled).join(lists, ["doc", "body"]).select("text", "list")
     schema = _fields(("anchor", _LONG), ("h1", _LONG), ("h2", _LONG), ("alone", T.BooleanType()), ("segment", T.BinaryType()))
 
     def cut(batch):
@@ -212,12 +212,11 @@ def _fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return map_batches(joined, cut, schema)
 
 
-def _sifted(docs: DataFrame, filled, inside: bool, by: tuple[str, str] = ("doc", "body")) -> DataFrame:
-    """Documents that may be in the bloom filter of their key, or those that surely aren't."""
+def _sifted(docs: DataFrame, filled, by: tuple[str, str] = ("doc", "body")) -> DataFrame:
+    """Documents that may be in the bloom filter of their key."""
     def run(batches):
         for batch in batches:
-            passed = _passes(filled.value, batch.column(batch.num_columns - 1).to_numpy())
-            yield batch.filter(pa.array(passed if inside else ~passed))
+            yield batch.filter(pa.array(_passes(filled.value, batch.column(batch.num_columns - 1).to_numpy())))
 
     keyed = docs.withColumn("_key", F.xxhash64(*by))
     return keyed.mapInArrow(run, keyed.schema).drop("_key")
@@ -244,7 +243,7 @@ def _crowded(fetched: DataFrame, length: int) -> DataFrame:
     return map_batches(hit, merge, _SPANS)
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, gram: int = 64, crowd: int = 4096) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, gram: int = 64, crowd: int = 2048) -> DataFrame:
     """All rows with ``n_bytes``, ``n_removed``, ``n_spans`` (long) and ``kept`` (binary): the text's UTF-8 bytes without those
     covered by a string of ``length`` bytes that also starts anywhere else, in any row.
 
@@ -260,7 +259,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     base = base.filter(F.octet_length("text") >= length)
 
     def anchors(batch):
-        for part, texts in steps(batch, "text"):
+        for part, texts in steps(batch, "text", 1 << 22):
             found = segments(texts, length, gram)[3]
             yield {"anchor": found}
 
@@ -269,7 +268,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     listed = spark.sparkContext.broadcast(_bloom(again, F.col("anchor")))
 
     def cut(batch):
-        for part, texts in steps(batch, "text"):
+        for part, texts in steps(batch, "text", 1 << 22):
             row, start, size, anchor, h1, h2 = segments(texts, length, gram)
             may = _passes(listed.value, anchor)
             at = pa.array(row[may])
@@ -310,14 +309,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     filled = spark.sparkContext.broadcast(_bloom(cuts, F.xxhash64("doc", "body")))
     by, names = ("_doc", "_body"), [f.name for f in passed]
     named = docs.select(*names, F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63) + 1)).alias("_doc"), F.xxhash64(text_col).alias("_body"))
-    hit = _sifted(named, filled, True, by).join(cuts.toDF("_doc", "_body", "_cuts"), list(by), "left").select(*names, "_cuts")
-    clear = _sifted(named, filled, False, by).select(*names, F.lit(None).cast("array<bigint>").alias("_cuts"))
+    hit = _sifted(named, filled, by).join(cuts.toDF("_doc", "_body", "_cuts"), list(by), "left").select(*names, "_cuts")
+    clear = named.withColumn("_key", F.xxhash64(*by))
     schema = T.StructType([*passed, *_fields(("n_bytes", _LONG), ("n_removed", _LONG), ("n_spans", _LONG), ("kept", T.BinaryType())).fields])
 
-    def finish(batch):
-        for part, texts in steps(batch, text_col):
+    def finish(batch, cuts_of=lambda part: part.column(part.num_columns - 1).to_pylist()):
+        for part, texts in steps(batch, text_col, 1 << 22):
             gone, count, kept = [], [], []
-            for text, cuts in zip(texts, part.column(part.num_columns - 1).to_pylist()):
+            for text, cuts in zip(texts, cuts_of(part)):
                 edges = [0, *(cuts or []), len(text)]
                 rest = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
                 gone.append(len(text) - len(rest))
@@ -325,4 +324,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 kept.append(rest)
             yield {f.name: part.column(k) for k, f in enumerate(passed)} | {"n_bytes": [len(t) for t in texts], "n_removed": gone, "n_spans": count, "kept": kept}
 
-    return map_batches(hit, finish, schema).unionByName(map_batches(clear, finish, schema))
+    def uncut(batch):  # sifts and finishes in one pass, by one Python worker a task
+        surely = ~_passes(filled.value, batch.column(batch.num_columns - 1).to_numpy())
+        yield from finish(batch.filter(pa.array(surely)), lambda part: [None] * part.num_rows)
+
+    return map_batches(hit, finish, schema).unionByName(map_batches(clear, uncut, schema))

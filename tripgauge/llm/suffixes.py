@@ -15,7 +15,7 @@ def _types(s: np.ndarray) -> np.ndarray:
     """True where a suffix is smaller than its right neighbour (S); the last character must be the unique smallest."""
     n = len(s)
     differs = np.append(s[1:] != s[:-1], True)
-    nxt = np.where(differs, np.arange(n), n)
+    nxt = np.where(differs, np.arange(n, dtype=np.int32), np.int32(n))
     nxt = np.minimum.accumulate(nxt[::-1])[::-1]  # the last place of the run of equal characters
     small = np.empty(n, bool)
     inner = nxt < n - 1
@@ -39,7 +39,7 @@ def _induce(s: np.ndarray, small: np.ndarray, lms: np.ndarray, k: int) -> np.nda
     n = len(s)
     size = np.bincount(s, minlength=k)
     head, tail = np.cumsum(size) - size, np.cumsum(size) - 1
-    sa = np.full(n, -1, np.int64)
+    sa = np.full(n, -1, np.int32)
     _push(sa, tail.copy(), lms[::-1], s[lms[::-1]], -1)
     seeds = np.bincount(s[lms], minlength=k)
     at = head.copy()
@@ -98,8 +98,7 @@ def _ranked(names: np.ndarray) -> np.ndarray:
 
 
 def suffix_array(s: np.ndarray) -> np.ndarray:
-    """Places of the suffixes of ``s`` in order. Characters are small integers; the last one is the unique smallest."""
-    s = s.astype(np.int64) if s.dtype.kind != "i" else s
+    """Places of the suffixes of ``s`` in order. Characters are small non-negative integers (int32); the last one is the unique smallest."""
     n, k = len(s), int(s.max()) + 1 if len(s) else 1
     if n < 2:
         return np.arange(n)
@@ -109,7 +108,7 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     mark = np.zeros(n, bool)
     mark[lms] = True
     first = order[mark[order]]  # leftmost-smaller substrings in order
-    end = np.empty(n, np.int64)
+    end = np.empty(n, np.int32)
     end[lms] = np.append(lms[1:], n - 1)  # a substring runs to the next one
     a, b = first[:-1], first[1:]
     length = end[a] - a
@@ -121,7 +120,7 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
         live = live[equal]
         d += 1
         live = live[d <= length[live]]
-    names = np.empty(n, np.int64)
+    names = np.empty(n, np.int32)
     names[first] = np.append(0, np.cumsum(~same))
     if same.any():
         first = lms[_ranked(names[lms])]
@@ -134,14 +133,14 @@ def permuted_prefixes(s: np.ndarray, sa: np.ndarray) -> np.ndarray:
     Only where the characters to the left differ are prefixes compared; elsewhere it is one less than its left neighbour's.
     """
     n = len(s)
-    before = np.full(n, -1, np.int64)
+    before = np.full(n, -1, np.int32)
     before[sa[1:]] = sa[:-1]
-    i = np.arange(n)
+    i = np.arange(n, dtype=np.int32)
     has = before >= 0
     own = np.ones(n, bool)
     inner = has & (i > 0) & (before > 0)
     own[inner] = s[i[inner] - 1] != s[before[inner] - 1]
-    plcp = np.zeros(n, np.int64)
+    plcp = np.zeros(n, np.int32)
     live = np.flatnonzero(own & has)
     other = before[live]
     d = 0
@@ -153,5 +152,5 @@ def permuted_prefixes(s: np.ndarray, sa: np.ndarray) -> np.ndarray:
         plcp[live[~equal]] = d
         live, other = live[equal], other[equal]
         d += 1
-    at = np.maximum.accumulate(np.where(own, i, 0))
+    at = np.maximum.accumulate(np.where(own, i, np.int32(0)))
     return np.where(own, plcp, np.maximum(plcp[at] - (i - at), 0))
