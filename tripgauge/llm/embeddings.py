@@ -30,7 +30,7 @@ def _matrix(column: pa.Array, dims: int) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def fit_cells(vectors: DataFrame, dims: int, count: int, per_cell: int = 512, turns: int = 6) -> np.ndarray:
+def fit_cells(vectors: DataFrame, dims: int, count: int, per_cell: int = 4096, turns: int = 6) -> np.ndarray:
     """Spherical k-means centroids, fitted on SAMPLE vectors picked by hash (all of them if there are fewer)."""
     share = min(1.0, 1.2 * SAMPLE / max(count, 1))
     picked = vectors.filter(F.pmod(F.xxhash64("rep"), F.lit(1 << 30)) < int(share * (1 << 30))).orderBy(F.xxhash64("rep")).limit(SAMPLE)
@@ -38,7 +38,7 @@ def fit_cells(vectors: DataFrame, dims: int, count: int, per_cell: int = 512, tu
     k = int(min(MAX_CELLS, max(1, count // per_cell), max(1, len(x) // 4)))
     if not x:
         return np.eye(1, dims)
-    x = _matrix(pa.array(x, pa.list_(pa.float64())), dims)
+    x = _matrix(pa.array([list(v) for v in x], pa.list_(pa.float64())), dims)
     rng = np.random.default_rng(0)
     centres = x[rng.choice(len(x), k, replace=False)]
     for _ in range(turns):
@@ -73,7 +73,7 @@ def _cells(vectors: DataFrame, centres: np.ndarray, dims: int, least: float) ->
 
 
 def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", group_col: str = "label", least: float = 0.98,
-                    limit: int = 1024) -> DataFrame:
+                    limit: int = 2048) -> DataFrame:
     """All rows with ``n_links``, ``component_id`` and ``kept``.
 
     Two rows link if their groups are equal and not null and the cosine of their vectors, in double precision, is at least
@@ -84,10 +84,11 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
     they share an id, are all kept or all not. Input columns of the new names are replaced. An empty table gives an empty one.
     """
     new = ["n_links", "component_id", "kept"]
+    kind = rows.schema[vector_col].dataType.elementType
     wide = F.transform(vector_col, lambda v: v.cast("double"))
     sound = F.coalesce(F.forall(wide, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists(wide, lambda v: v != 0), F.lit(False))
     base = materialize(rows.drop(*new).withColumn("_good", sound & F.col(group_col).isNotNull() & F.col(id_col).isNotNull())
-                       .withColumn("_vector", F.when(F.col("_good"), wide)), "vectors")
+                       .withColumn("_vector", F.when(F.col("_good"), F.col(vector_col) if isinstance(kind, T.FloatType) else wide)), "vectors")
     classes = base.filter("_good").groupBy(F.col(group_col).alias("group"), F.col("_vector").alias("vector")).agg(
         F.min(F.col(id_col).cast("long")).alias("rep"), F.count("*").alias("copies"))
     classes = materialize(classes.select("group", F.size("vector").alias("dims"), "vector", "rep", "copies"), "vector_classes")
@@ -131,15 +132,21 @@ def _linker(dims: int, least: float):
                 continue
             x = _matrix(vectors.slice(a, b - a), dims)
             ids, at_home, times, chunk = node[a:b], home[a:b], copies[a:b], own[a:b]
-            link = x @ x.T >= least
-            np.fill_diagonal(link, False)
-            # Each pair counts once: where both are at home, or where the one at home has the smaller number.
-            both = at_home[:, None] & at_home[None, :]
-            left = at_home[:, None] & ~at_home[None, :] & (ids[:, None] < ids[None, :])
-            link &= both | left | left.T
-            if i[a] != j[a]:  # pairs within a chunk are counted in the chunk's own block
-                link &= chunk[:, None] != chunk[None, :]
-            weight = link @ times
+            link, weight = np.zeros((b - a, b - a), bool), np.zeros(b - a, np.int64)
+            own_rows = np.flatnonzero(at_home)
+            for t in range(0, len(own_rows), 512):  # some rows that are at home against all
+                part = own_rows[t:t + 512]
+                i1, j1 = np.nonzero(x[part] @ x.T >= least)
+                i1 = part[i1]
+                # Each pair counts once: where both are at home, or where the one at home has the smaller number.
+                good = (i1 != j1) & (at_home[j1] | (ids[i1] < ids[j1]))
+                if i[a] != j[a]:  # pairs within a chunk are counted in the chunk's own block
+                    good &= chunk[i1] != chunk[j1]
+                i1, j1 = i1[good], j1[good]
+                np.add.at(weight, i1, times[j1])
+                guest = ~at_home[j1]  # a guest has no row of its own here
+                np.add.at(weight, j1[guest], times[i1[guest]])
+                link[i1, j1] = link[j1, i1] = True
             rows = np.flatnonzero(weight)
             if not len(rows):
                 continue
