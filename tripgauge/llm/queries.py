@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripgauge.llm import bpe, embeddings, htmlcrf, linededup, packing, quality, repeats, secrets, simhash, urls
+from tripgauge.llm import bpe, embeddings, fillmiddle, htmlcrf, linededup, packing, quality, repeats, secrets, sharding, simhash, urls, whitening
 from tripgauge.session import table_path
 
 
@@ -126,12 +126,55 @@ FROM embeddings e JOIN least ON e.vec_id = least.vec_id LEFT JOIN counts ON e.ve
 """
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    placed = sharding.shard_documents(docs.withColumn("text_crc32", crc), 24, keep=["doc_id", "text_crc32"])
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = fillmiddle.fill_in_middle(_read(spark, sf_dir, "documents"), keep=["doc_id"])
+    return fillmiddle.restore(moved).select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                                            F.sha2("restored", 256).alias("restored_sha256"))
+
+
+OP12_SQL = """
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d FROM documents),
+lines AS (
+  SELECT *, string_split(text, chr(10)) AS l, CAST('0x' || substr(d, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(d, 9, 8) AS BIGINT) AS h2,
+         CAST('0x' || substr(d, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(d, 25, 8) AS BIGINT) AS h4 FROM docs),
+counted AS (SELECT *, len(l) - CASE WHEN l[-1] = '' THEN 1 ELSE 0 END AS n FROM lines),
+cuts AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b FROM counted),
+places AS (
+  SELECT *, least(length(text), a + coalesce(list_sum(list_transform(l[1:a], lambda x: length(x))), 0)) AS p,
+         least(length(text), b + coalesce(list_sum(list_transform(l[1:b], lambda x: length(x))), 0)) AS q FROM cuts),
+parts AS (
+  SELECT *, substr(text, 1, CAST(p AS BIGINT)) AS pre, substr(text, CAST(p AS BIGINT) + 1, CAST(q - p AS BIGINT)) AS mid, substr(text, CAST(q AS BIGINT) + 1) AS suf,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+              WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM places)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(p AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(q - p AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || suf || '<P>' || pre || '<M>' || mid
+                        ELSE '<P>' || pre || '<S>' || suf || '<M>' || mid END) AS output_sha256, sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.whiten(rows, scale=64, shift=1_000_000, most=32).select(
+        "vec_id", "component", "n", F.col("deviation").cast("long").alias("deviation"), "whitened", "explained", "identity_error")
+
+
 def queries() -> dict:
     return {"op1_secret_scans": op1_secret_scans, "op2_quality_rules": op2_quality_rules, "op3_url_filters": op3_url_filters, "op4_bpe": op4_bpe, "op5_html_extraction": op5_html_extraction,
             "op6_best_fit_packing": op6_best_fit_packing,
             "op7_suffix_array_dedup": op7_suffix_array_dedup, "op8_simhash_near_dedup": op8_simhash_near_dedup, "op9_line_dedup": op9_line_dedup,
-            "op10_embedding_near_dedup": op10_embedding_near_dedup}
+            "op10_embedding_near_dedup": op10_embedding_near_dedup, "op11_sharding": op11_sharding, "op12_fill_in_middle": op12_fill_in_middle,
+            "op13_embedding_whitening": op13_embedding_whitening}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filters": OP3_SQL, "op9_line_dedup": OP9_SQL, "op10_embedding_near_dedup": OP10_SQL}
+    return {"op3_url_filters": OP3_SQL, "op9_line_dedup": OP9_SQL, "op10_embedding_near_dedup": OP10_SQL,
+            "op12_fill_in_middle": OP12_SQL}
