@@ -1,6 +1,7 @@
 """BPE against the tokenizers library; packing against its rules and the lower bound."""
 
 import hashlib
+import json
 import random
 import zlib
 
@@ -43,6 +44,27 @@ def test_any_characters_match_the_library(library):
         assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_files_of_another_kind_are_refused(tmp_path):
+    with open(PATH, encoding="utf-8") as f:
+        spec = json.load(f)
+    for change in ({"pre_tokenizer": {"type": "Whitespace"}}, {"pre_tokenizer": None}, {"normalizer": {"type": "Lowercase"}},
+                   {"pre_tokenizer": spec["pre_tokenizer"] | {"add_prefix_space": True}}, {"model": spec["model"] | {"ignore_merges": True}},
+                   {"added_tokens": [spec["added_tokens"][0] | {"lstrip": True}]}):
+        path = tmp_path / "other.json"
+        path.write_text(json.dumps(spec | change), encoding="utf-8")
+        with pytest.raises(ValueError):
+            bpe.Codec(str(path))
+
+
+def test_what_is_remembered_is_bounded_in_bytes(library, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 100_000)
+    codec, rng = bpe.Codec(PATH), random.Random(3)
+    for _ in range(30):
+        texts = [" ".join("".join(rng.choice("abcdefgh") for _ in range(rng.choice([3, 800]))) for _ in range(20)) for _ in range(5)]
+        assert [x.tolist() for x in codec.encode([t.encode() for t in texts])] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert sum(len(k) + len(v) for k, v in codec.known.items()) < 300_000
+
+
 def test_forced_pairs_are_in_no_token():
     codec = bpe.Codec(PATH)
     for token in random.Random(1).sample(codec.tokens[:-1], 3000):

@@ -74,3 +74,11 @@ def test_stages_on_awkward_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, SF)
         assert empty.count() == 0
+
+
+def test_unlike_texts_of_one_id_survive_near_dedup(spark):
+    text = lambda k: " ".join(f"w{k}x{i * (k + 3) % 97}" for i in range(80))
+    rows = [(1, text(1)), (1, text(2)), (2, text(1)), (1, text(1)), (0, text(3)), (3, text(3)), (3, text(4)), (None, text(1)), (5, None), (6, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.near_dedup(spark, docs, SF).collect()
+    assert sorted((str(r.doc_id), r.text or "") for r in out) == sorted([("1", text(1)), ("1", text(2)), ("0", text(3)), ("3", text(4)), ("None", text(1)), ("5", "")])

@@ -78,3 +78,20 @@ def test_rows_nulls_long_pages_and_clashes(spark):
     by = {r.page_id: r.text for r in out}
     assert len(out) == 5 and by[1] == "" and by[2] == "" and by[4] == "" and by[3].count("\n") == 19999
     assert htmlcrf.extract_main_text(pages.limit(0)).count() == 0
+
+
+def test_deeply_nested_pages_in_bounded_memory():
+    import time
+    import tracemalloc
+
+    model = htmlcrf.default_model()
+    pages = {"open": "<div>x" * 100_000, "named": "".join(f"<div class='n{i} m{i}'>x" for i in range(20_000)), "unclosed items": "<div>" * 50_000 + "<li>x</ul>" * 50_000,
+             "stray ends": "<div>x</p></section>" * 50_000, "links": "<ul>" + "<li><a href=x>y" * 50_000}
+    for name, page in pages.items():
+        htmlcrf.main_text("<p>warm", model)
+        tracemalloc.start()
+        begin = time.time()
+        htmlcrf.main_text(page, model)
+        found = blocks(page, model.names)
+        assert len(found) >= 20_000 and tracemalloc.get_traced_memory()[1] < 300 << 20 and time.time() - begin < 60, name
+        tracemalloc.stop()

@@ -38,3 +38,17 @@ def test_edge_urls_and_bloom_overload(spark, max_blocks):
         assert (out[i].host, out[i].path, out[i].rule, out[i].verdict) == (host, path, best[1], best[2]), text
     assert urls.judge_urls(pages.limit(0), frame).count() == 0
     assert {r.verdict for r in urls.judge_urls(pages, frame.limit(0)).collect()} == {"allow"}
+
+
+def test_any_number_of_path_lengths_labels_and_copies(spark, monkeypatch):
+    monkeypatch.setattr(urls, "HOT_ROWS", 20)
+    path = "/" + "p" * 5000
+    rules = [("a.test", path[:n], "block" if n % 2 else "allow") for n in range(1, 5001)] + [("test", "/p", "allow"), (".".join(["l"] * 300) + ".deep", "/", "block")]
+    frame = spark.createDataFrame(rules, "host string, path string, verdict string")
+    texts = [f"http://x.a.test{path}", f"http://a.test{path[:4200]}?q", f"http://a.test{path}pp", "http://b.test/p", "http://a.test", "http://" + ".".join(["k"] * 10_000) + ".test/pq",
+             "http://" + ".".join(["l"] * 10_000) + ".deep/", "http://" + ".".join(["l"] * 200) + ".deep/"] + [None, "http://hot.a.test/ppp"] * 50
+    pages = spark.createDataFrame(list(enumerate(texts)), "page_id long, url string")
+    out = {r.page_id: (len(r.rule or ""), r.verdict) for r in urls.judge_urls(pages, frame).collect()}
+    deep = 2 * 300 + 5
+    assert [out[i] for i in range(8)] == [(5006, "allow"), (4206, "allow"), (5006, "allow"), (6, "allow"), (0, "allow"), (6, "allow"), (deep, "block"), (0, "allow")]
+    assert len(out) == len(texts) and all(out[i] == ((0, "allow") if texts[i] is None else (10, "allow")) for i in range(8, len(texts)))

@@ -28,8 +28,8 @@ from pyspark.sql import types as T
 
 from tripgauge.llm.runtime import carried, map_batches, steps
 
-#: Distinct fragments that a worker remembers; beyond that it starts anew (results stay the same).
-REMEMBERED = 300_000
+#: Bytes of fragments and their ids that a worker remembers, overheads included; beyond that it starts anew (results stay the same).
+REMEMBERED = 96 << 20
 #: FIXED VALUE: how a byte-level tokenizer parts words before merging.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -50,6 +50,13 @@ class Codec:
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        words = spec["pre_tokenizer"] or {}
+        plain = spec["model"].get("type") == "BPE" and not spec["normalizer"] and not any(
+            spec["model"].get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+        if not plain or (words.get("type"), words.get("add_prefix_space"), words.get("use_regex", True)) != ("ByteLevel", False, True):
+            raise ValueError(f"{path}: the cuts hold for byte-level BPE without a normalizer that splits words like {WORDS}; this file differs")
+        if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in spec["added_tokens"]):
+            raise ValueError(f"{path}: added tokens must match as they are written")
         to_byte = _byte_of_char()
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         vocab = {t: i for t, i in spec["model"]["vocab"].items() if t not in special}
@@ -75,6 +82,7 @@ class Codec:
         self.solid = solid
         self.alnum = np.array([chr(b).isalnum() and b < 128 for b in range(256)])
         self.known: dict[bytes, bytes] = {}
+        self.held = 0
 
     def _by_rank(self, spec: dict, vocab: dict[str, int]):
         """A faster encoder of fragments, if the merges make tokens in the order of their ids (else None)."""
@@ -144,13 +152,15 @@ class Codec:
         """The ids (unsigned 32-bit) of every text."""
         pieces, counts = self.fragments(texts)
         known = self.known
-        if len(known) > REMEMBERED:
+        if self.held > REMEMBERED:
             known.clear()
+            self.held = 0
         fresh = list(set(pieces).difference(known))
         for start in range(0, len(fresh), 20_000):
             some = fresh[start:start + 20_000]
             for piece, ids in zip(some, self._encode_fragments(some)):
                 known[piece] = array("I", ids).tobytes()
+                self.held += len(piece) + 4 * len(ids) + 180  # two objects and a place in the table
         out, at = [], 0
         for n in counts.tolist():
             out.append(np.frombuffer(b"".join(map(known.__getitem__, pieces[at:at + n])), np.uint32))

@@ -20,18 +20,38 @@ _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SPACE = re.compile(r"\s+")
 
 
+class Node:
+    """An open element: tag, name parts, the element it is in, and what its blocks' features share. Blocks of one element share the node,
+    and an element that adds no tag or name of its own shares its parent's sets, so deep pages cost no more than their elements."""
+
+    __slots__ = ("tag", "names", "parent", "depth", "parts", "near", "shared")
+
+    def __init__(self, tag, names, parent, known):
+        self.tag, self.names, self.parent, self.shared = tag, names, parent, None
+        self.depth = parent.depth + 1 if parent else 1
+        own = {f"under {tag}", *(f"name {p}" for p in names)}
+        if known is not None:
+            own &= known
+        above = parent.parts if parent else frozenset()
+        self.parts = above if own <= above else above | own
+        # The nearest element with names, or that is a section.
+        self.near = self if names or tag in SECTION else parent.near if parent else None
+
+
 class Block:
-    """A run of text between block edges: its ancestors (tag, name parts), text, and characters in links."""
+    """A run of text between block edges: the element it is in (None: none), text, and characters in links."""
 
-    __slots__ = ("path", "text", "linked")
+    __slots__ = ("node", "text", "linked")
 
-    def __init__(self, path, text, linked):
-        self.path, self.text, self.linked = path, text, linked
+    def __init__(self, node, text, linked):
+        self.node, self.text, self.linked = node, text, linked
 
 
-def blocks(page: str) -> list[Block]:
-    """The leaf blocks with text, in page order. Character references are decoded; white space becomes one space."""
-    stack: list[tuple[str, tuple[str, ...]]] = []
+def blocks(page: str, known=None) -> list[Block]:
+    """The leaf blocks with text, in page order. Character references are decoded; white space becomes one space.
+    Features of ancestors outside ``known`` (a set of names, default: all) are left out, as a model has no weights for them."""
+    stack: list[Node] = []
+    places: dict[str, list[int]] = {}  # where in the stack each tag is open, so that no search walks the stack
     out: list[Block] = []
     run: list[str] = []
     linked = link = 0
@@ -41,10 +61,17 @@ def blocks(page: str) -> list[Block]:
         if run:
             text = _SPACE.sub(" ", html.unescape("".join(run))).strip()
             if text:
-                out.append(Block(tuple(stack), text, linked))
+                out.append(Block(stack[-1] if stack else None, text, linked))
             run.clear()
         linked = link = 0
 
+    def close(size):
+        while len(stack) > size:
+            places[stack.pop().tag].pop()
+
+    def innermost(tags):
+        return max((places[t][-1] for t in tags if places.get(t)), default=-1)
+
     at, n = 0, len(page)
     while at < n:
         m = _TOKEN.search(page, at)
@@ -64,10 +91,8 @@ def blocks(page: str) -> list[Block]:
                 link = 0
             elif tag in BLOCK:
                 flush()
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == tag:
-                        del stack[k:]
-                        break
+                if places.get(tag):
+                    close(places[tag][-1])
             continue
         if tag in HIDDEN:
             if not m[3].rstrip().endswith("/"):
@@ -80,34 +105,37 @@ def blocks(page: str) -> list[Block]:
             run.append(" ")
         elif tag in BLOCK:
             flush()
-            if any(t == "p" for t, _ in stack[-1:]):
-                stack.pop()
+            if stack and stack[-1].tag == "p":
+                close(len(stack) - 1)
             if tag in CLOSES:
                 ends, bounds = CLOSES[tag]
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] in ends:
-                        del stack[k:]
-                        break
-                    if stack[k][0] in bounds:
-                        break
+                if (at_end := innermost(ends)) > innermost(bounds):
+                    close(at_end)
             if tag not in VOID:
                 names = tuple(p.lower() for a in _NAMES.findall(m[3]) for p in _PARTS.findall(a[1] or a[2] or a[3])) if m[3] else ()
-                stack.append((tag, names))
+                places.setdefault(tag, []).append(len(stack))
+                stack.append(Node(tag, names, stack[-1] if stack else None, known))
     flush()
     return out
 
 
+def _shared(node: Node | None) -> list[str]:
+    """What the features of an element's blocks have in common; made once an element."""
+    if node is None:
+        return ["bias", "in -", "depth 0"]
+    if node.shared is None:
+        parts, near = node.parts, node.near
+        if near:
+            parts = parts | {f"near {p}" for p in near.names} | ({f"near <{near.tag}>"} if near.tag in SECTION else set())
+        node.shared = ["bias", *sorted(parts), f"in {node.tag}", f"depth {min(node.depth, 8)}"]
+    return node.shared
+
+
 def features(found: list[Block]) -> list[list[str]]:
     """For each block: its ancestors' tags and name parts, and its text's size, links, punctuation and first and last characters."""
     out = []
-    known: dict[tuple, list[str]] = {}
     for b in found:
-        shared = known.get(b.path)
-        if shared is None:
-            parts = {f"under {t}" for t, _ in b.path} | {f"name {p}" for _, names in b.path for p in names}
-            near = next(((t, names) for t, names in reversed(b.path) if names or t in SECTION), ("-", ()))
-            parts |= {f"near {p}" for p in near[1]} | ({f"near <{near[0]}>"} if near[0] in SECTION else set())
-            shared = known[b.path] = ["bias", *sorted(parts), f"in {b.path[-1][0] if b.path else '-'}", f"depth {min(len(b.path), 8)}"]
+        shared = _shared(b.node)
         text = b.text
         words = text.count(" ") + 1
         share = b.linked / max(1, len(text))

@@ -99,6 +99,10 @@ class Crf:
             out.append(label)
         return [bool(v) for v in reversed(out)]
 
+    @functools.cached_property
+    def names(self) -> frozenset[str]:
+        return frozenset(self.index)
+
     @functools.cached_property
     def _rows(self) -> list[list[float]]:
         return self.weights.tolist()
@@ -111,7 +115,7 @@ def default_model(pages: int = PAGES, seed: int = 17) -> Crf:
 
 
 def main_text(page: str, model: Crf) -> str:
-    found = blocks(page)
+    found = blocks(page, model.names)
     return "\n".join(b.text for b, keep in zip(found, model.decode(features(found))) if keep)
 
 

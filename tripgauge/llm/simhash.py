@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from itertools import combinations
 
 import numpy as np
@@ -37,16 +38,17 @@ def fingerprint(text: bytes, shingle: int = 4) -> int:
     return int(np.packbits(2 * count > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
-    """(id, simhash): the fingerprint of every row's whole text as a signed long; a null text has no words."""
-    schema = T.StructType([*carried(docs.select(id_col), set()), T.StructField("simhash", T.LongType())])
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, keep: Sequence[str] = ()) -> DataFrame:
+    """(id, the columns in ``keep``, simhash): the fingerprint of every row's whole text as a signed long; a null text has no words."""
+    passed = [id_col, *keep]
+    schema = T.StructType([*carried(docs.select(*passed), set()), T.StructField("simhash", T.LongType())])
 
     def run(batch):
         for part, texts in steps(batch, text_col):
             made = np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)
-            yield {id_col: part.column(0), "simhash": made}
+            yield {c: part.column(k) for k, c in enumerate(passed)} | {"simhash": made}
 
-    return map_batches(docs.select(id_col, text_col), run, schema)
+    return map_batches(docs.select(*passed, text_col), run, schema)
 
 
 def _masks(bits: int, distance: int, agree: int) -> list[int]:
@@ -90,8 +92,9 @@ def links(marks: DataFrame, distance: int = 4, agree: int = 2, limit: int = 4096
     return compare(deal(rows, ["_mask", "_part"], "simhash", limit), ["_mask", "_part"], check, schema)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, distance: int = 4) -> DataFrame:
-    """(id, simhash, component_id) for every row: rows whose fingerprints are within ``distance`` bits are linked.
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, distance: int = 4,
+                    keep: Sequence[str] = ()) -> DataFrame:
+    """(id, simhash, component_id, the columns in ``keep``) for every row: rows whose fingerprints are within ``distance`` bits are linked.
 
     component_id is the smallest id reachable. Equal fingerprints (copies, texts without words) are one class that stands
     for all its rows, so a huge group of copies costs one row in the comparison. Null and empty texts have fingerprint 0
@@ -99,8 +102,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     has a null component unless its class has other rows; it names no component. An empty table gives an empty one. The id
     must be an integer; only it and the text are read, so clashing column names don't matter.
     """
-    made = materialize(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    made = materialize(fingerprints(docs, id_col, text_col, shingle, keep), "fingerprints")
     marks = materialize(made.groupBy("simhash").agg(F.min(F.col(id_col).cast("long")).alias("rep")), "marks")
     found = components(links(marks.filter("rep is not null"), distance))
     named = marks.join(found, marks["rep"] == found["node"], "left").select("simhash", F.coalesce("component", "rep").alias("component_id"))
-    return made.join(named, "simhash").select(id_col, "simhash", "component_id")
+    return made.join(named, "simhash").select(id_col, "simhash", "component_id", *keep)
