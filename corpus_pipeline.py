@@ -38,10 +38,12 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each near-duplicate group the document with the smallest id, one row of it. Rows with a null id can't be named by a group and stay."""
-    found = simhash.near_duplicates(docs)
-    stay = found.filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """Keeps of each near-duplicate group the document with the smallest id. Of its rows (an id may occur with several texts) one a
+    fingerprint stays, so that no text is lost to another of its id. Rows with a null id can't be named by a group and stay."""
+    bodied = lambda rows: rows.withColumn("_body", F.xxhash64(F.coalesce("text", F.lit(""))))
+    found = simhash.near_duplicates(bodied(docs), keep=["_body"]).filter("doc_id = component_id")
+    stay = found.groupBy("doc_id", "simhash").agg(F.min("_body").alias("_body")).select("doc_id", "_body")
+    named = bodied(docs).join(stay, ["doc_id", "_body"], "left_semi").dropDuplicates(["doc_id", "_body"])
     return named.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
 
 

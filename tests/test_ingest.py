@@ -7,7 +7,7 @@ import pytest
 
 from tripgauge.operators.columns import derive_measures, normalize_columns, parse_timestamps, require_columns
 from tripgauge.operators.quality import filter_stats, reject_reason
-from tripgauge.sources.readers import read_trips
+from tripgauge.sources.readers import csv_headers, read_trips
 
 CSV = """lpep_pickup_datetime,lpep_dropoff_datetime,pickup_lat,pickup_lon,dropoff_lat,dropoff_lon,distance_miles,vendor
 2024-01-07 10:00:00,2024-01-07 10:10:00,40.70,-74.00,40.75,-73.98,3.6,A
@@ -79,3 +79,29 @@ def test_files_with_other_column_orders_and_zones(spark, zone, schema):
         spark.conf.set("spark.sql.session.timeZone", old)
     assert len(rows) == 2 and rows[0] == rows[1]
     assert rows[0]["trip_duration_sec"] == 2400 and rows[0]["pickup_datetime"].hour == 2 and rows[0]["pickup_longitude"] == -74.0
+
+
+@pytest.mark.parametrize("small", [0, 1 << 20])
+def test_headers_of_many_files_take_a_constant_number_of_jobs(spark, small):
+    d = tempfile.mkdtemp(prefix="tg headers+%41-")
+    shapes = ["a,b", "b,a", '"a, c",b']
+    for i in range(90):
+        with open(os.path.join(d, f"f {i}+%.csv"), "w") as fh:
+            fh.write("\n" * (i % 3 == 1) + shapes[i % 3] + "\n" + "1,2\n" * i)
+    open(os.path.join(d, "empty.csv"), "w").close()
+    group = spark.sparkContext.statusTracker()
+    before = len(group.getJobIdsForGroup(None))
+    found = csv_headers(spark, d, small).collect()
+    assert len(group.getJobIdsForGroup(None)) - before <= 4
+    assert {r["path"].rsplit("/", 1)[1]: r["header"] for r in found} == {f"f {i}+%.csv": shapes[i % 3] for i in range(90)}
+    rows = read_trips(spark, d, "csv", "a int, b int, `a, c` int")
+    assert rows.columns == ["a", "b", "a, c"] and rows.count() == sum(range(90))
+    sums = rows.selectExpr("sum(a)", "sum(b)", "sum(`a, c`)").first()
+    n = [sum(range(k, 90, 3)) for k in range(3)]
+    assert tuple(sums) == (n[0] + 2 * n[1], 2 * n[0] + n[1] + 2 * n[2], n[2])
+
+
+def test_folder_without_headers(spark):
+    d = tempfile.mkdtemp(prefix="tg-nothing-")
+    open(os.path.join(d, "empty.csv"), "w").close()
+    assert read_trips(spark, d, "csv", "a int").count() == 0 and read_trips(spark, d, "csv").columns == []

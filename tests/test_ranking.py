@@ -5,7 +5,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from tripgauge.operators.ranking import exact_percentiles, row_numbers
+from tripgauge.operators.ranking import exact_percentiles, group_sketches, merge_sketches, row_numbers
 
 
 def _data(spark, parts, seed=7, n=3000):
@@ -124,3 +124,28 @@ def test_group_sums_match_brute_force(spark):
         assert got.keys() == want.keys()
         for g in want:
             assert abs(got[g][0] - want[g][0]) < 1e-6 and got[g][1] == want[g][1], (bound, g)
+
+
+def test_stored_sketches_give_the_same_percentiles(spark):
+    rows = spark.range(60_000).select((F.col("id") % 7).alias("g"), F.expr("CASE WHEN id % 3 = 0 THEN 5D ELSE sqrt(id) * (id % 11) END").alias("x"), (F.col("id") % 2).alias("load"))
+    rows = rows.unionByName(spark.createDataFrame([(None, 1.0, 0), (None, 2.0, 1), (9, None, 0)], "g long, x double, load long"))
+    sums = {"total": lambda x: x}
+    stored = [group_sketches(rows.where(F.col("load") == k), "x", ["g"], sums) for k in (0, 1)]
+    probs, names = [0.0, 0.25, 0.5, 0.9, 1.0], list("abcde")
+    got = exact_percentiles(rows, "x", probs, ["g"], names, count_col="n", sums=sums, sketches=merge_sketches(stored, ["g"]))
+    want = exact_percentiles(rows, "x", probs, ["g"], names, count_col="n", sums=sums)
+    key = lambda r: (r["g"] is None, r["g"])
+    a, b = sorted(got.collect(), key=key), sorted(want.collect(), key=key)
+    assert [r.asDict() | {"total": round(r["total"], 3)} for r in a] == [r.asDict() | {"total": round(r["total"], 3)} for r in b] and len(a) == 8
+
+
+def test_sketched_percentiles_scan_the_rows_once_less(spark):
+    rows = spark.range(1000).select(F.col("id").cast("double").alias("x"))
+    made = group_sketches(rows, "x")
+    stored = spark.createDataFrame(made.collect(), made.schema)
+    seen = spark.sparkContext.accumulator(0)
+    counted = rows.mapInPandas(lambda it: (seen.add(len(b)) or b for b in it), "x double")
+    assert exact_percentiles(counted, "x", [0.5], sketches=stored).first()[0] == 499.5
+    with_sketches = seen.value
+    assert exact_percentiles(counted, "x", [0.5], accuracy=100).first()[0] == 499.5  # wide brackets, so that both sort a sliver
+    assert seen.value - with_sketches == with_sketches + 1000

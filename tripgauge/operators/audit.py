@@ -7,6 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripgauge.session import materialize
+
+#: Keys that a summary keeps per task, and those it tells at last. A key it does not tell occurs less often than the least
+#: of those told, or than 3.5 / TRACKED of all rows, whichever is more.
+TRACKED, CANDIDATES = 10_000, 1_000
+
 
 def fanout_audit(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
                  right_keys: Sequence[str] | None = None, label: str | None = None) -> DataFrame:
@@ -50,3 +56,48 @@ def fanout_audit(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
     if label is not None:
         out = out.select(F.lit(label).alias("audit"), *out.columns)
     return out
+
+
+def worst_keys(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str] | None = None, n: int = 10,
+               candidates: int = CANDIDATES) -> DataFrame:
+    """The ``n`` keys that make most rows in an inner join: (keys..., left_rows, right_rows, join_rows, place), place from 1, ties by key.
+
+    A mergeable frequent-items summary of each side (one scan, no exchange of rows) names candidates; only their rows are
+    counted exactly. A key that is no candidate occurs at most as often as the summaries' bounds say; if the product of
+    the bounds could still reach the n-th place, all keys are counted instead. Hence exact either way. Null keys never match.
+    """
+    right_keys = list(left_keys) if right_keys is None else list(right_keys)
+    names, candidates = list(left_keys), min(candidates, TRACKED)
+
+    def sound(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        out = df.select(*[F.col(k).alias(a) for k, a in zip(keys, names)])
+        return out.dropna().withColumn("_hash", F.xxhash64(*names))
+
+    sides = [sound(left, left_keys), sound(right, right_keys)]
+    bounds, hashes = [], []
+    for side in sides:
+        told = side.agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(_hash, {candidates}, {TRACKED})").alias("top")).first()
+        top = [(r["item"], r["count"]) for r in told["top"] or []]  # at most ``candidates``
+        least = min((c for _, c in top), default=0) if len(top) >= candidates else 0
+        bounds.append(max(least, 3.5 * told["n"] / TRACKED))
+        hashes += [(h,) for h, _ in top]
+
+    def counted(some: DataFrame | None) -> DataFrame:
+        per_key = []
+        for side, total in zip(sides, ("left_rows", "right_rows")):
+            rows = side if some is None else side.join(F.broadcast(some), "_hash", "left_semi")
+            per_key.append(rows.groupBy(*names).agg(F.count(F.lit(1)).alias(total)))
+        both = per_key[0].join(per_key[1], names)
+        product = F.col("left_rows").cast("decimal(19,0)") * F.col("right_rows").cast("decimal(19,0)")
+        top = both.withColumn("join_rows", product.cast("decimal(38,0)")).orderBy(F.desc("join_rows"), *names).limit(n)
+        return materialize(top, "worst_keys")
+
+    spark = left.sparkSession
+    listed = spark.createDataFrame(sorted(set(hashes)), "_hash long")  # at most 2 * ``candidates`` rows
+    out = counted(listed)
+    worst = [r["join_rows"] for r in out.select("join_rows").collect()]  # n rows
+    if len(worst) < n or min(worst) <= bounds[0] * bounds[1]:
+        out = counted(None)
+    rows = [tuple(r) for r in out.orderBy(F.desc("join_rows"), *names).collect()]  # n rows
+    shape = out.schema.add("place", "long")
+    return spark.createDataFrame([(*r, k + 1) for k, r in enumerate(rows)], shape)

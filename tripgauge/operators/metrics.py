@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripgauge.functions import bucket_rank, weekday_label
-from tripgauge.operators.ranking import exact_percentiles
+from tripgauge.operators.ranking import exact_percentiles, group_sketches, merge_sketches
 from tripgauge.schema import BUCKET, BUCKET_LABELS, DOW, DURATION, HOUR, METRIC_COLUMNS, WEEKDAY_LABELS, WITHIN_THRESHOLDS
 
 OVERALL = ("overall", "all")
@@ -41,25 +41,10 @@ def _within_name(t: float) -> str:
     return f"n_within_{int(round(t * 100))}"
 
 
-def error_quantiles(errors: DataFrame, segments: Sequence[tuple[str, Column]] | None = None,
-                    quantiles: Sequence[float] = ERROR_QUANTILES, approx: bool = False,
-                    max_segments: int | None = DEFAULT_MAX_SEGMENTS,
-                    within: Sequence[float] = WITHIN_THRESHOLDS) -> DataFrame:
-    """Every statistic over the error rows, by bracket selection (see ``exact_percentiles``).
-
-    Rows (measure, segment_type, segment_value, q50, q90, q95, n, sum_x,
-    n_within_10, n_within_20): ``sec`` (abs_error_sec) and ``pct``
-    (abs_pct_error) for overall and every segment - also the histogram
-    markers - and ``duration`` (actual seconds) overall only, for the
-    calibration range. Each error row feeds one group per (measure,
-    segmentation), combined inside its task: only sketches, counts and the few
-    rows inside a bracket are shuffled. Measure and segmentation are carried as
-    small integers.
-    """
+def _stacked(errors: DataFrame, segments: Sequence[tuple[str, Column]] | None) -> tuple[DataFrame, list[str]]:
+    """(_m, _t, segment_value, x) rows, one per error row, measure and segmentation, and the segmentations' names."""
     coded = segments is None
-    if not coded and max_segments == DEFAULT_MAX_SEGMENTS:
-        max_segments = None  # the caller's own segmentations have no proven bound
-    segments = default_segments() if segments is None else segments
+    segments = default_segments() if coded else segments
     types = [OVERALL[0]] + [name for name, _ in segments]
     if coded:
         # Default segmentations: carry the small integer behind each label
@@ -76,14 +61,54 @@ def error_quantiles(errors: DataFrame, segments: Sequence[tuple[str, Column]] |
         entries.append(entry("sec", t, F.col("abs_error_sec")))
         entries.append(entry("pct", t, F.col("abs_pct_error")))
     entries.append(entry("duration", 0, F.col(DURATION)))
-    stacked = errors.select(F.inline(F.array(*entries)))
-    groups = None if max_segments is None else 2 * max_segments + 1
+    return errors.select(F.inline(F.array(*entries))), types
+
+
+STACK_KEYS = ["_m", "_t", "segment_value"]
+
+
+def _stack_sums(within: Sequence[float]) -> dict:
     sums = {"sum_x": lambda x: x}
     for w in within:
         sums[_within_name(w)] = lambda x, w=w: F.when(x <= F.lit(float(w)), F.lit(1.0)).otherwise(F.lit(0.0))
-    q = exact_percentiles(stacked, "x", quantiles, by=["_m", "_t", "segment_value"],
-                          names=[_qname(p) for p in quantiles],
-                          approx=approx, max_groups=groups, count_col="n", sums=sums, name="error_quantiles")
+    return sums
+
+
+def error_sketches(errors: DataFrame, segments: Sequence[tuple[str, Column]] | None = None,
+                   within: Sequence[float] = WITHIN_THRESHOLDS) -> DataFrame:
+    """The mergeable part of ``error_quantiles``, to be stored beside a load of error rows (a row per measure and segment)."""
+    return group_sketches(_stacked(errors, segments)[0], "x", STACK_KEYS, _stack_sums(within))
+
+
+def merged_error_sketches(tables: Sequence[DataFrame]) -> DataFrame:
+    """The stored ``error_sketches`` of several loads as those of all their rows."""
+    return merge_sketches(tables, STACK_KEYS)
+
+
+def error_quantiles(errors: DataFrame, segments: Sequence[tuple[str, Column]] | None = None,
+                    quantiles: Sequence[float] = ERROR_QUANTILES, approx: bool = False,
+                    max_segments: int | None = DEFAULT_MAX_SEGMENTS,
+                    within: Sequence[float] = WITHIN_THRESHOLDS, sketches: DataFrame | None = None) -> DataFrame:
+    """Every statistic over the error rows, by bracket selection (see ``exact_percentiles``).
+
+    Rows (measure, segment_type, segment_value, q50, q90, q95, n, sum_x,
+    n_within_10, n_within_20): ``sec`` (abs_error_sec) and ``pct``
+    (abs_pct_error) for overall and every segment - also the histogram
+    markers - and ``duration`` (actual seconds) overall only, for the
+    calibration range. Each error row feeds one group per (measure,
+    segmentation), combined inside its task: only sketches, counts and the few
+    rows inside a bracket are shuffled. Measure and segmentation are carried as
+    small integers. ``sketches``: stored ``error_sketches`` of all the rows,
+    made with the same ``segments`` and ``within``; they save the first scan.
+    """
+    coded = segments is None
+    if not coded and max_segments == DEFAULT_MAX_SEGMENTS:
+        max_segments = None  # the caller's own segmentations have no proven bound
+    stacked, types = _stacked(errors, segments)
+    groups = None if max_segments is None else 2 * max_segments + 1
+    sums = _stack_sums(within)
+    q = exact_percentiles(stacked, "x", quantiles, by=STACK_KEYS, names=[_qname(p) for p in quantiles],
+                          approx=approx, max_groups=groups, count_col="n", sums=sums, name="error_quantiles", sketches=sketches)
     measure = F.element_at(F.array(*[F.lit(m) for m in MEASURES]), F.col("_m").cast("int") + 1)
     seg_type = F.element_at(F.array(*[F.lit(t) for t in types]), F.col("_t").cast("int") + 1)
     seg_value = F.col("segment_value")

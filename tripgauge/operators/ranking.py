@@ -104,10 +104,38 @@ def row_numbers(df: DataFrame, order: Sequence[Column | str], id_col: str,
     return attach_row_numbers(t, offs, id_col, start).drop("_mid")
 
 
+#: Size parameter of a stored sketch: a rank it gives is off by 0.13 % of the group at most, nearly always.
+SKETCH_SIZE = 4096
+SKETCH_ERROR = 0.0013
+
+
+def group_sketches(df: DataFrame, value: Column | str, by: Sequence[str] = (), sums: dict | None = None) -> DataFrame:
+    """What ``exact_percentiles`` must know of a table before it looks for ranks, in a form that can be kept and merged.
+
+    One row per group: count, extremes and a KLL sketch of the values, and the totals of ``sums`` (as there). Nulls are left out.
+    """
+    x = (F.col(value) if isinstance(value, str) else value).cast("double")
+    base = df.select(*by, x.alias("_x")).where(F.col("_x").isNotNull())
+    return base.groupBy(*by).agg(F.count("_x").alias("_n"), F.min("_x").alias("_min"), F.max("_x").alias("_max"),
+                                 F.kll_sketch_agg_double("_x", SKETCH_SIZE).alias("_sketch"),
+                                 *[F.sum(f(F.col("_x"))).alias(k) for k, f in dict(sums or {}).items()])
+
+
+def merge_sketches(tables: Sequence[DataFrame], by: Sequence[str] = ()) -> DataFrame:
+    """The sketches of several parts of a table as those of the whole; they must have been made with the same ``by`` and ``sums``."""
+    both = tables[0]
+    for t in tables[1:]:
+        both = both.unionByName(t)
+    totals = [c for c in both.columns if c not in (*by, "_n", "_min", "_max", "_sketch")]
+    return both.groupBy(*by).agg(F.sum("_n").alias("_n"), F.min("_min").alias("_min"), F.max("_max").alias("_max"),
+                                 F.kll_merge_agg_double("_sketch", SKETCH_SIZE).alias("_sketch"), *[F.sum(c).alias(c) for c in totals])
+
+
 def exact_percentiles(df: DataFrame, value: Column | str, probs: Sequence[float],
                       by: Sequence[str] = (), names: Sequence[str] | None = None,
                       approx: bool = False, accuracy: int = 10_000, max_groups: int | None = None,
-                      count_col: str | None = None, sums: dict | None = None, name: str = "pct") -> DataFrame:
+                      count_col: str | None = None, sums: dict | None = None, name: str = "pct",
+                      sketches: DataFrame | None = None) -> DataFrame:
     """One row per group of ``by`` with one column per probability.
 
     Semantics of ``percentile_cont(p) WITHIN GROUP (ORDER BY value)``: nulls
@@ -126,6 +154,9 @@ def exact_percentiles(df: DataFrame, value: Column | str, probs: Sequence[float]
     hold the wanted ranks - about ``4 / accuracy`` of the group at most, and
     none among ties - are range-sorted and the ranks looked up. A bracket that
     missed its rank is widened to the extremes, so the result is always exact.
+    ``sketches`` (``group_sketches`` of ``df`` with the same value, ``by`` and
+    ``sums``, or ``merge_sketches`` of its parts') replaces the first scan: of an
+    appended-to table only the new rows are sketched.
     """
     sums = dict(sums or {})
     by = list(by)
@@ -141,10 +172,14 @@ def exact_percentiles(df: DataFrame, value: Column | str, probs: Sequence[float]
                                for i, (p, n) in enumerate(zip(probs, names))],
                         *([count_col] if count_col else []), *sums))
 
-    step = 2.0 / accuracy
+    step = 2.0 / accuracy if sketches is None else 3 * SKETCH_ERROR
     marks = [m for p in probs for m in (max(0.0, p - step), min(1.0, p + step))]
-    stats = base.groupBy(*by).agg(F.count("_x").alias("_n"), F.min("_x").alias("_min"), F.max("_x").alias("_max"),
-                                  F.percentile_approx("_x", marks, accuracy).alias("_q"), *extra)
+    if sketches is None:
+        stats = base.groupBy(*by).agg(F.count("_x").alias("_n"), F.min("_x").alias("_min"), F.max("_x").alias("_max"),
+                                      F.percentile_approx("_x", marks, accuracy).alias("_q"), *extra)
+    else:
+        told = F.array(*[F.kll_sketch_get_quantile_double("_sketch", F.lit(float(m))) for m in marks])
+        stats = sketches.select(*by, "_n", "_min", "_max", told.alias("_q"), *sums)
     if not by:
         stats = stats.where(F.col("_n") > 0)
     stats = materialize(stats, f"{name}_stats")  # one row per group

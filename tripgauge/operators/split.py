@@ -48,7 +48,7 @@ def split_time_micros(clean: DataFrame, q: float = SPLIT_QUANTILE,
     return _interpolate(float(rows[ranks[0]]), float(rows[ranks[-1]]), h)
 
 
-def _ntz_literal(micros: int):
+def ntz_literal(micros: int):
     ts = _dt.datetime(1970, 1, 1) + _dt.timedelta(microseconds=micros)
     return F.expr(f"TIMESTAMP_NTZ'{ts.isoformat(sep=' ')}'")
 
@@ -62,20 +62,20 @@ def temporal_split(clean: DataFrame, split_us: float) -> tuple[DataFrame, DataFr
     """
     if split_us is None:  # no clean trips: both sides empty
         return clean.where(F.lit(False)), clean.where(F.lit(False))
-    cut = _ntz_literal(math.floor(split_us))
+    cut = ntz_literal(math.floor(split_us))
     return clean.where(F.col(PICKUP) <= cut), clean.where(F.col(PICKUP) > cut)
 
 
 def split_labels(clean: DataFrame, split_us: float | None) -> DataFrame:
     if split_us is None:
         return clean.withColumn("split", F.lit(None).cast("string"))
-    cut = _ntz_literal(math.floor(split_us))
+    cut = ntz_literal(math.floor(split_us))
     return clean.withColumn("split", F.when(F.col(PICKUP) <= cut, "training").otherwise("evaluation"))
 
 
 def dataset_summary(clean: DataFrame, split_us: float | None) -> DataFrame:
     """(metric, value) rows for total / training / evaluation counts, one scan."""
-    cut = _ntz_literal(math.floor(split_us)) if split_us is not None else F.lit(None).cast("timestamp_ntz")
+    cut = ntz_literal(math.floor(split_us)) if split_us is not None else F.lit(None).cast("timestamp_ntz")
     agg = clean.agg(F.count(F.lit(1)).alias("t"),
                     F.count(F.when(F.col(PICKUP) <= cut, 1)).alias("a"),
                     F.count(F.when(F.col(PICKUP) > cut, 1)).alias("b"))

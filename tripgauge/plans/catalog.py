@@ -7,6 +7,7 @@ doubles rounded to 6 decimals, timestamps as epoch microseconds.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,14 +16,15 @@ from pyspark.sql.types import DoubleType, FloatType, TimestampNTZType, Timestamp
 
 from tripgauge import schema as S
 from tripgauge.functions import day_of_week, epoch_micros, speed_kmh, weekday_label
-from tripgauge.operators.audit import fanout_audit
+from tripgauge.operators.audit import fanout_audit, worst_keys
 from tripgauge.operators.charts import calibration_bins, error_histograms, histogram_markers
 from tripgauge.operators.columns import add_columns_if_absent, fill_derived
 from tripgauge.operators.estimate import clamp_prediction, dedupe_predictions, predictions_join
 from tripgauge.operators.errors import eta_errors
 from tripgauge.operators.features import scaler_fit, standardize, trip_features
 from tripgauge.operators.insights import best_worst_segment, bias_detection, overall_insight
-from tripgauge.operators.metrics import compare_methods, error_by_segment, metrics_tables, segment_metrics
+from tripgauge.operators.metrics import (
+    compare_methods, error_by_segment, error_quantiles, error_sketches, merged_error_sketches, metrics_tables, segment_metrics)
 from tripgauge.operators.model import load_model, predict_duration, save_model, train_duration_model
 from tripgauge.operators.quality import filter_stats, quality_rules, reject_reason, retention_summary
 from tripgauge.operators.ranking import exact_percentiles, row_numbers
@@ -30,8 +32,11 @@ from tripgauge.operators.split import dataset_summary, model_input, split_labels
 from tripgauge.plans.evaluation import TripEvaluation, evaluation_for
 from tripgauge.plans.jobs import load_trips
 from tripgauge.session import materialize, stage_path, table_path
+from tripgauge.sources.batches import read_batched, write_batched
+from tripgauge.sources.bucketed import bucketed_predictions_join, write_bucketed
 from tripgauge.sources.readers import read_trips, sample_trips
-from tripgauge.sources.sinks import verify_row_count, write_metrics_csv, write_predictions, write_trips_table
+from tripgauge.sources.sinks import observed_content, verify_content, verify_row_count, write_metrics_csv, write_predictions, write_trips_table
+from tripgauge.sources.triptable import TripTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -330,17 +335,142 @@ def q_append_load(spark, sf_dir):
     return split_labels(ev.clean, ev.split_us).select("event_id", S.TRIP_ID, "split")
 
 
+def _clean_rows(spark, sf_dir) -> DataFrame:
+    return _ev(spark, sf_dir).clean.drop(S.TRIP_ID)
+
+
+def q_replace_interrupted(spark, sf_dir):
+    """A replace that fails on some rows, and one that another writer outruns, leave the table with its old rows."""
+    rows = _clean_rows(spark, sf_dir)
+    table = TripTable(spark, stage_path(spark, "replaced_trips"), tiebreak=("event_id",))
+    even = table.replace(rows.where("event_id % 2 = 0"), "even")
+    broken = rows.withColumn(S.BUCKET, F.when(F.col("event_id") % 100 == 99, F.raise_error(F.lit("the source is gone"))).otherwise(F.col(S.BUCKET)))
+    late = TripTable(spark, table.path, tiebreak=("event_id",))
+    late.snapshot = lambda version=None: {"version": 0, "loads": []}  # as it was before the even trips came
+    for attempt in (lambda: table.replace(broken, "all"), lambda: late.replace(rows, "all")):
+        try:
+            attempt()
+        except Exception as error:  # noqa: BLE001 - both must fail
+            if not ("the source is gone" in str(error) or isinstance(error, FileExistsError)):
+                raise
+        else:
+            raise AssertionError("the replace should have failed")
+    if table.snapshot() != even:
+        raise AssertionError("a failed replace changed the table")
+    return table.read().select("event_id", S.TRIP_ID)
+
+
+def q_append_replayed(spark, sf_dir):
+    """Two loads, each repeated: appends to a table that isn't there, then appends that must change nothing."""
+    rows = _clean_rows(spark, sf_dir)
+    table = TripTable(spark, stage_path(spark, "replayed_trips"), tiebreak=("event_id",))
+    for name in ("even", "odd", "odd", "even"):
+        table.append(rows.where(F.col("event_id") % 2 == int(name == "odd")), name)
+    ev = TripEvaluation.from_clean(spark, table.read())
+    return split_labels(ev.clean, ev.split_us).select("event_id", S.TRIP_ID, "split")
+
+
+def q_append_in_pickup_order(spark, sf_dir):
+    """Loads that interleave in time, a later one, and one that is corrected afterwards: ids are places in pickup order."""
+    rows = _clean_rows(spark, sf_dir)
+    late, third = F.col("pickup_datetime") >= F.expr("TIMESTAMP_NTZ'2024-01-21'"), F.col("event_id") % 3
+    table = TripTable(spark, stage_path(spark, "ordered_trips"), tiebreak=("event_id",))
+    table.append(rows.where(~late & (third == 0)), "a")
+    table.append(rows.where(~late & (third == 1) & (F.col("event_id") % 2 == 0)), "b")
+    table.append(rows.where(late), "late")
+    table.append(rows.where(~late & (third == 2)), "c")
+    table.append(rows.where(~late & (third == 1)), "b")
+    return present(table.read().select(*CLEAN_COLS))
+
+
+def q_metrics_after_append(spark, sf_dir):
+    """Metrics over two loads of error rows: the first one's stored sketches and the second one's are merged, no row is sketched twice."""
+    errors = _ev(spark, sf_dir).errors
+    loads = [materialize(errors.where(F.col(S.TRIP_ID) % 2 == k), "error_load") for k in (0, 1)]
+    stored = [materialize(error_sketches(load), "error_sketches") for load in loads]
+    q = error_quantiles(loads[0].unionByName(loads[1]), sketches=merged_error_sketches(stored))
+    return present(segment_metrics(errors, qtable=materialize(q, "error_quantiles")).select(*S.METRIC_COLUMNS))
+
+
+def q_verify_content(spark, sf_dir):
+    """The content sum of the clean trips as written, and of copies in which two trips swapped a value, one is doubled for another, or nothing changed."""
+    rows = _ev(spark, sf_dir).clean.select(*CLEAN_COLS)
+    top = F.col(S.TRIP_ID) <= 2
+    swapped = rows.withColumn(S.TRIP_ID, F.when(top, 3 - F.col(S.TRIP_ID)).otherwise(F.col(S.TRIP_ID)))
+    doubled = rows.where(F.col(S.TRIP_ID) != 1).unionByName(rows.where(F.col(S.TRIP_ID) == 2))
+    told = rows.agg(*observed_content(rows)).first()
+    found = []
+    for name, copy in (("same", rows.repartition(3)), ("swapped", swapped), ("doubled", doubled)):
+        try:
+            verify_content(materialize(copy, f"content_{name}"), told["rows"], int(told["content"]))
+            found.append((name, told["rows"], True))
+        except AssertionError:
+            found.append((name, told["rows"], False))
+    return spark.createDataFrame(found, "copy string, n_rows long, accepted boolean")
+
+
+def q_write_batched(spark, sf_dir):
+    """The clean trips through the batched writer, in two loads with a failed one between them, and back."""
+    rows = _ev(spark, sf_dir).clean.select(*CLEAN_COLS)
+    path = stage_path(spark, "trip_batches")
+    broken = rows.withColumn(S.BUCKET, F.when(F.col("event_id") % 100 == 99, F.raise_error(F.lit("the source is gone"))).otherwise(F.col(S.BUCKET)))
+    write_batched(rows.where("event_id % 2 = 0"), path, batchsize=1000)
+    try:
+        write_batched(broken, path, rows=400_000)
+    except Exception as error:  # noqa: BLE001 - it must fail
+        if "the source is gone" not in str(error):
+            raise
+    else:
+        raise AssertionError("the write should have failed")
+    write_batched(rows.where("event_id % 2 = 1"), path)
+    return present(read_batched(spark, path).select(*CLEAN_COLS))
+
+
+def q_predictions_join_bucketed(spark, sf_dir):
+    """Evaluation trips and predictions stored in buckets of trip_id and joined without an exchange."""
+    ev = _ev(spark, sf_dir)
+    stamp = uuid.uuid4().hex
+    names = [f"tripgauge_{kind}_{stamp}" for kind in ("trips", "predictions")]
+    for name, rows in zip(names, (ev.evaluation, _prediction_table(spark, sf_dir))):
+        write_bucketed(rows, name, 8, path=stage_path(spark, name))
+    errs = eta_errors(bucketed_predictions_join(spark, *names))
+    return present(errs.select(S.TRIP_ID, S.DURATION, S.ESTIMATE, "abs_error_sec"))
+
+
+def q_join_worst_keys(spark, sf_dir):
+    """The ten keys with the largest fan-out, of three joins."""
+    ev = _ev(spark, sf_dir)
+    minute = lambda df: df.select(epoch_micros(F.date_trunc("minute", F.col("pickup_datetime")).cast("timestamp_ntz")).alias("k"))
+    orders, lineitem, events = (spark.read.parquet(table_path(sf_dir, t)) for t in ("orders", "lineitem", "events"))
+    joins = {"pickup_minute": (minute(ev.evaluation), minute(ev.with_eta), ["k"], ["k"]), "o_orderkey": (orders, lineitem, ["o_orderkey"], ["l_orderkey"]),
+             "user_id": (events, events, ["user_id"], ["user_id"])}
+    out = None
+    for name, (a, b, left, right) in joins.items():
+        part = worst_keys(a, b, left, right).select(F.lit(name).alias("audit"), F.col(left[0]).cast("long").alias("key"), "left_rows", "right_rows",
+                                                    F.col("join_rows").cast("long").alias("join_rows"), "place")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def q_scan_trips_csv_mixed(spark, sf_dir):
-    """Two CSV files with other column orders and spellings, without a schema."""
+    """CSV files with four headers (other orders, other spellings, a column of their own), small and large, without a schema."""
     from tripgauge.operators.columns import normalize_columns, parse_timestamps, require_columns
 
     raw = _ev(spark, sf_dir).raw
-    other = {"tpep_dropoff_datetime": "dropoff_time", "tpep_pickup_datetime": "pickup_time", "start_lon": "pickup_lon", "start_lat": "pickup_lat",
-             "end_lon": "dropoff_lon", "end_lat": "dropoff_lat", "trip_distance": "distance"}
+    spelt = [
+        {c: c for c in raw.columns},
+        {"tpep_dropoff_datetime": "dropoff_time", "tpep_pickup_datetime": "pickup_time", "start_lon": "pickup_lon", "start_lat": "pickup_lat",
+         "end_lon": "dropoff_lon", "end_lat": "dropoff_lat", "trip_distance": "distance", "event_id": "event_id"},
+        {"event_id": "event_id", "trip_distance": "trip_distance_miles", "end_lat": "dropoff_latitude", "end_lon": "dropoff_longitude",
+         "start_lat": "pickup_latitude", "start_lon": "pickup_longitude", "tpep_pickup_datetime": "lpep_pickup_datetime", "tpep_dropoff_datetime": "lpep_dropoff_datetime"},
+        {"start_lon": "start_lon", "start_lat": "start_lat", "tpep_pickup_datetime": "trip_pickup_datetime", "event_id": "event_id",
+         "tpep_dropoff_datetime": "trip_dropoff_datetime", "trip_distance": "distance_miles", "end_lon": "end_lon", "end_lat": "end_lat"}]
     base = stage_path(spark, "mixed_csv")
-    halves = (raw.where("event_id % 2 = 0"), raw.where("event_id % 2 = 1").select(*[F.col(a).alias(b) for a, b in other.items()], "event_id"))
-    for k, half in enumerate(halves):
-        half.write.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(f"{base}/half{k}")
+    for k, names in enumerate(spelt):
+        part = raw.where(F.col("event_id") % len(spelt) == k).select(*[F.col(a).alias(b) for a, b in names.items()])
+        if k == 3:
+            part = part.withColumn("vendor", F.lit("a \"quoted\", name"))
+        part.write.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(f"{base}/part{k}")
     back = parse_timestamps(require_columns(normalize_columns(read_trips(spark, f"{base}/*", "csv"))))
     return present(back.select(F.col("event_id").cast("long").alias("event_id"), *NORM_COLS[1:]))
 
@@ -488,6 +618,14 @@ def queries() -> dict[str, Query]:
         "temporal_validation_split": q_temporal_validation_split,
         "sample_trips": q_sample_trips,
         "append_load": q_append_load,
+        "replace_interrupted": q_replace_interrupted,
+        "append_replayed": q_append_replayed,
+        "append_in_pickup_order": q_append_in_pickup_order,
+        "metrics_after_append": q_metrics_after_append,
+        "verify_content": q_verify_content,
+        "write_batched": q_write_batched,
+        "predictions_join_bucketed": q_predictions_join_bucketed,
+        "join_worst_keys": q_join_worst_keys,
         "scan_trips_csv_mixed": q_scan_trips_csv_mixed,
         "model_input_evaluation": q_model_input_evaluation,
         "bbox_filter": q_bbox_filter,

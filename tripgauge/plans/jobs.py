@@ -19,14 +19,16 @@ from tripgauge.operators.model import load_model, model_mae, save_model, train_d
 from tripgauge.operators.split import model_input, temporal_validation_split
 from tripgauge.plans.evaluation import TripEvaluation
 from tripgauge.session import materialize
+from tripgauge.sources.files import list_names
 from tripgauge.sources.readers import first_n, read_trips
 from tripgauge.sources.sinks import verify_row_count, write_metrics_csv, write_predictions, write_trips_table
+from tripgauge.sources.triptable import TripTable
 
 
 def load_trips(ev: TripEvaluation, target: str, mode: str = "replace") -> int:
-    """Write the clean trips and verify the table's row count; ``append`` continues the stored numbering."""
+    """Write the clean trips and verify the table's row count; ``append`` continues the stored numbering, or creates the table."""
     spark, clean, before = ev.spark, ev.clean, 0
-    if mode == "append":
+    if mode == "append" and list_names(spark, target):
         held = spark.read.parquet(target).agg(F.count(F.lit(1)).alias("n"), F.max(S.TRIP_ID).alias("top")).first()
         before = held["n"]
         clean = clean.withColumn(S.TRIP_ID, F.col(S.TRIP_ID) + F.lit(held["top"] or 0))
@@ -35,11 +37,23 @@ def load_trips(ev: TripEvaluation, target: str, mode: str = "replace") -> int:
     return written
 
 
+def load_versioned(ev: TripEvaluation, target: str, load_id: str, mode: str = "append") -> dict:
+    """The clean trips as the load ``load_id`` of a ``TripTable``: atomic, repeatable, ids in pickup order over all loads.
+
+    ``append`` or ``replace``; content is verified before the load becomes visible. Returns the table's snapshot.
+    """
+    table = TripTable(ev.spark, target, ev.tiebreak)
+    return {"append": table.append, "replace": table.replace}[mode](ev.clean, load_id)
+
+
 def load_job(spark: SparkSession, source: str, target: str, fmt: str = "csv", mode: str = "replace",
              schema=None, sample_size: int | None = None, bbox: bool = False,
-             tiebreak: tuple[str, ...] = ()) -> dict:
+             tiebreak: tuple[str, ...] = (), load_id: str | None = None) -> dict:
     """Raw trip files -> trips_clean table. Returns the filter statistics.
 
+    With a ``load_id`` the target is a ``TripTable``: a failed load leaves it as
+    it was, a repeated one changes nothing, and ids follow pickup order over all loads.
+
     ``append`` numbers on from the stored maximum, so ids stay dense and unique
     over all loads. The table's row count is verified in every mode.
     """
@@ -47,7 +61,10 @@ def load_job(spark: SparkSession, source: str, target: str, fmt: str = "csv", mo
     if sample_size:
         raw = first_n(raw, sample_size)
     ev = TripEvaluation(spark, raw, bbox=bbox, tiebreak=tiebreak)
-    written = load_trips(ev, target, mode)
+    if load_id is None:
+        written = load_trips(ev, target, mode)
+    else:
+        written = next(load["rows"] for load in load_versioned(ev, target, load_id, mode)["loads"] if load["id"] == load_id)
     stats = ev.quality_report()  # observed while numbering: no extra pass over the source
     total, kept = sum(stats.values()), stats.get("ok", 0)
     return {"rejects": stats, "initial_count": total, "final_count": kept, "filtered_out": total - kept,

@@ -348,6 +348,26 @@ FROM clean ORDER BY (trip_id * 2654435761) % 1000003, trip_id LIMIT 1000""")
 SELECT event_id, trip_id, CASE WHEN CAST(epoch_us(pickup_datetime) AS DOUBLE) <= split_us THEN 'training' ELSE 'evaluation' END AS split
 FROM (SELECT event_id, pickup_datetime,
         row_number() OVER (ORDER BY event_id % 2, pickup_datetime, pickup_latitude, pickup_longitude, event_id) AS trip_id FROM clean) c, split""")
+    q["replace_interrupted"] = _with("""
+SELECT event_id, row_number() OVER (ORDER BY pickup_datetime, pickup_latitude, pickup_longitude, event_id) AS trip_id FROM clean WHERE event_id % 2 = 0""")
+    q["append_replayed"] = _with(
+        "SELECT event_id, trip_id, CASE WHEN CAST(epoch_us(pickup_datetime) AS DOUBLE) <= split_us THEN 'training' ELSE 'evaluation' END AS split FROM clean, split")
+    q["append_in_pickup_order"] = q["trips_clean"]
+    q["metrics_after_append"] = q["metrics_combined"]
+    q["verify_content"] = _with("""
+SELECT t.name AS copy, n.n AS n_rows, t.ok AS accepted FROM (VALUES ('same', true), ('swapped', false), ('doubled', false)) t(name, ok), (SELECT count(*) AS n FROM clean) n""")
+    q["write_batched"] = q["trips_clean"]
+    q["predictions_join_bucketed"] = q["predictions_join"]
+    q["join_worst_keys"] = _with("""
+, pairs AS (
+  SELECT 'pickup_minute' AS audit, a.k AS key, a.n AS l, b.n AS r
+  FROM (SELECT epoch_us(date_trunc('minute', pickup_datetime)) AS k, count(*) AS n FROM evaluation GROUP BY 1) a
+  JOIN (SELECT epoch_us(date_trunc('minute', pickup_datetime)) AS k, count(*) AS n FROM eta GROUP BY 1) b ON a.k = b.k
+  UNION ALL SELECT 'o_orderkey', a.k, a.n, b.n FROM (SELECT o_orderkey AS k, count(*) AS n FROM orders GROUP BY 1) a
+  JOIN (SELECT l_orderkey AS k, count(*) AS n FROM lineitem GROUP BY 1) b ON a.k = b.k
+  UNION ALL SELECT 'user_id', user_id, count(*), count(*) FROM events WHERE user_id IS NOT NULL GROUP BY user_id),
+placed AS (SELECT audit, key, l AS left_rows, r AS right_rows, CAST(l * r AS BIGINT) AS join_rows, row_number() OVER (PARTITION BY audit ORDER BY l * r DESC, key) AS place FROM pairs)
+SELECT audit, key, left_rows, right_rows, join_rows, place FROM placed WHERE place <= 10""")
     q["scan_trips_csv_mixed"] = q["normalize_columns"]
     q["model_input_evaluation"] = q["model_input"].replace("FROM training", "FROM evaluation")
     q["bbox_filter"] = _with("""

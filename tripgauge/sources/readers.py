@@ -2,12 +2,65 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampNTZType, TimestampType
 
 from tripgauge.operators.columns import normalize_columns
 from tripgauge.operators.ranking import row_numbers
+from tripgauge.session import materialize
+
+
+#: Files up to this size are read whole for their header, many to a task; of a larger file only the first lines are.
+SMALL_FILE = 1 << 20
+
+
+def _one_file_a_task(spark: SparkSession):
+    """Settings under which a scan gives every file a task of its own, whole."""
+    whole = str(1 << 50)
+    return {"spark.sql.files.maxPartitionBytes": whole, "spark.sql.files.openCostInBytes": whole,
+            "spark.sql.execution.arrow.maxRecordsPerBatch": "16"}
+
+
+def csv_headers(spark: SparkSession, path: str | list[str], small: int = SMALL_FILE) -> DataFrame:
+    """(path, header): the first line that isn't blank of every file, read on the executors by two scans, whatever the number of files.
+
+    Small files are read whole, packed many to a task, and reduced to their first line inside it. Each larger file
+    is a task that stops after the first lines, so its other bytes are never read. Files without such a line give no row.
+    """
+    lines = spark.read.text(path)
+    # The metadata column holds an encoded URI; readers take the plain path.
+    plain = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
+    lines = lines.select(plain.alias("path"), F.col("_metadata.file_size").alias("size"),
+                         F.col("_metadata.file_block_start").alias("start"), F.col("value").alias("header"))
+    shown = F.trim("header") != ""
+    packed = lines.where(shown & (F.col("size") <= small)).withColumn("at", F.monotonically_increasing_id()).groupBy("path").agg(
+        F.min_by("header", F.struct("start", "at")).alias("header"))
+
+    def first(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
+    alone = lines.where(shown & (F.col("size") > small)).select("path", "header").mapInArrow(first, "path string, header string")
+    with _settings(spark, _one_file_a_task(spark)):  # the scan is planned, and run, under these
+        alone = materialize(alone, "csv_headers")
+    return packed.unionByName(alone)
+
+
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]):
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def read_trips(spark: SparkSession, path: str, fmt: str = "csv",
@@ -18,29 +71,40 @@ def read_trips(spark: SparkSession, path: str, fmt: str = "csv",
     where headers differ the standard spellings are normalised before the
     parts are united by name (columns that a file lacks are null). ``schema``
     gives types by name. Inferred date and time columns stay text, so the
-    session's time zone never touches them. One header line per file is read
-    on top of the data.
+    session's time zone never touches them. Headers are found by
+    ``csv_headers``: the number of jobs grows with the distinct headers, not
+    the files; a folder with one header is read as it is, without a list of files.
+    Files without any line that isn't blank hold no trips.
     """
     if fmt == "parquet":
         return spark.read.parquet(path)
     if fmt != "csv":
         return spark.read.format(fmt).load(path)
     reader = spark.read.option("header", True)
-    files = [r["path"] for r in spark.read.format("binaryFile").load(path).select("path").collect()]  # no contents
+    headers = materialize(csv_headers(spark, path), "csv_headers")
+    groups = headers.groupBy("header").agg(F.min("path").alias("one")).orderBy("one").collect()  # a row per distinct header
+    # How Spark names the columns of a header (quotes, blanks, repeats) is left to its reader, once a header.
+    names = {r["header"]: tuple(reader.csv(r["one"]).columns) for r in groups}
     by_header: dict[tuple, list[str]] = {}
-    for file in sorted(files):
-        by_header.setdefault(tuple(reader.csv(file).columns), []).append(file)
+    for r in groups:
+        by_header.setdefault(names[r["header"]], []).append(r["header"])
     typed = {}
     if schema is not None:
         wanted = spark.createDataFrame([], schema).schema if isinstance(schema, str) else schema
         typed = {f.name: f.dataType for f in wanted.fields}
-        if not by_header or list(by_header) == [()]:
+        if not by_header:
             return spark.createDataFrame([], wanted)
     parts = []
-    for header, some in by_header.items():
+    for header, spellings in by_header.items():
+        if len(by_header) == 1:
+            some = path
+        else:  # Spark's own file index holds the files' names on the driver as well
+            some = [r["path"] for r in headers.where(F.col("header").isin(spellings)).select("path").orderBy("path").collect()]
         types = typed or {f.name: f.dataType for f in spark.read.option("header", True).option("inferSchema", True).csv(some).schema.fields}
         own = StructType([StructField(c, _untimed(types.get(c, StringType())) if schema is None else types.get(c, StringType())) for c in header])
         parts.append(spark.read.option("header", True).schema(own).csv(some))
+    if not parts:
+        return spark.createDataFrame([], StructType([]))
     if len(parts) == 1:
         return parts[0]
     out = normalize_columns(parts[0])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripgauge.operators.estimate import dedupe_predictions
@@ -26,16 +26,21 @@ def jdbc_writers(rows: int, most: int = MAX_WRITERS) -> int:
 
 def write_trips_table(df: DataFrame, target: str, mode: str = "replace", fmt: str = "parquet",
                       jdbc: Mapping[str, str] | None = None, batchsize: int = INSERT_BATCH,
-                      num_partitions: int | None = None) -> int:
+                      num_partitions: int | None = None, verify: bool = False) -> int:
     """Write with mode replace / append / fail; returns the rows written.
 
     JDBC ``replace`` truncates instead of dropping, so dependent views survive.
     ``num_partitions`` bounds the JDBC connections (``jdbc_writers`` sizes it
     from a known row count); each inserts ``batchsize`` rows per round trip.
-    The row count is observed during the write itself (no second pass).
+    The row count is observed during the write itself (no second pass). With
+    ``verify`` (mode replace or fail, a file format that keeps types) so is a
+    sum of row hashes, and the table is read back and compared.
     """
+    if verify and mode == "append":
+        raise ValueError("an appended-to table holds other rows as well: verify the load (TripTable does)")
     obs = Observation("written")
-    df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    schema = df.schema
+    df = df.observe(obs, *(observed_content(df) if verify else [F.count(F.lit(1)).alias("rows")]))
     w = df.write.mode(_MODES[mode])
     if fmt == "jdbc":
         w = w.format("jdbc").options(**(jdbc or {})).option("dbtable", target).option("batchsize", batchsize)
@@ -46,9 +51,30 @@ def write_trips_table(df: DataFrame, target: str, mode: str = "replace", fmt: st
         w.save()
     else:
         w.format(fmt).option("header", True).save(target) if fmt == "csv" else w.format(fmt).save(target)
+    if verify:
+        verify_content(df.sparkSession.read.schema(schema).format(fmt).load(target), int(obs.get["rows"]), int(obs.get["content"] or 0))
     return int(obs.get["rows"])
 
 
+def content_hash(rows: DataFrame) -> Column:
+    """A 64-bit hash of all columns of a row; which of them are null counts, too."""
+    cols = [F.col(f"`{c}`") for c in sorted(rows.columns)]
+    return F.xxhash64(*cols, F.array(*[c.isNull() for c in cols]))
+
+
+def observed_content(rows: DataFrame) -> list[Column]:
+    """Aggregates ``rows`` (count) and ``content``: the sum of the rows' hashes, whatever their order. For ``observe`` or ``agg``."""
+    return [F.count(F.lit(1)).alias("rows"), F.sum(content_hash(rows).cast("decimal(38,0)")).alias("content")]
+
+
+def verify_content(written: DataFrame, rows: int, content: int) -> None:
+    """AssertionError unless the table holds as many rows, and the same ones, as were told: a changed, swapped or
+    doubled value with the right count is found."""
+    found = written.agg(*observed_content(written)).first()
+    if (found["rows"], int(found["content"] or 0)) != (rows, content):
+        raise AssertionError(f"the table is not what was written: {found['rows']} rows with content {found['content']}, wrote {rows} with {content}")
+
+
 def verify_row_count(written: DataFrame, expected: int) -> int:
     n = written.count()
     if n != expected:
