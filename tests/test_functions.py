@@ -134,3 +134,41 @@ def test_time_arithmetic_ignores_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got[0] == got[1] == got[2]
     assert got[0] == [(1710035999250001, 1710039600100000, 3601), (-500000, 0, 1)]
+
+
+def test_first_rows_stay_spread(spark, tmp_path):
+    from tripgauge.sources.readers import first_n
+
+    path = str(tmp_path / "rows")
+    spark.range(0, 1000, 1, 5).write.parquet(path)
+    rows = spark.read.parquet(path)
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 40))  # a partition a file
+    try:
+        order = [r["id"] for r in rows.collect()]
+        for n in (0, 1, 199, 200, 201, 650, 1000, 5000):
+            some = first_n(rows, n)
+            assert [r["id"] for r in some.collect()] == order[:n]
+        assert first_n(rows, 650).rdd.getNumPartitions() == rows.rdd.getNumPartitions()
+        assert first_n(rows.limit(0), 3).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_stages_are_removed_on_request():
+    import subprocess
+    import sys
+    import tempfile
+
+    code = """
+import os, sys
+from tripgauge.session import close_stages, local_session, materialize
+spark = local_session(1, 1)
+spark.sparkContext.setCheckpointDir(sys.argv[1])
+base = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+os.makedirs(base + "/tripgauge/other")
+assert not close_stages(spark)
+a, b = materialize(spark.range(3), "a"), materialize(spark.range(4), "b")
+assert a.count() + b.count() == 7 and len(os.listdir(base + "/tripgauge")) == 2
+assert close_stages(spark) and os.listdir(base + "/tripgauge") == ["other"]
+"""
+    subprocess.run([sys.executable, "-c", code, tempfile.mkdtemp(prefix="tg-close-")], check=True, cwd=__file__.rsplit("/", 2)[0])

@@ -182,9 +182,14 @@ def exact_percentiles(df: DataFrame, value: Column | str, probs: Sequence[float]
         stats = sketches.select(*by, "_n", "_min", "_max", told.alias("_q"), *sums)
     if not by:
         stats = stats.where(F.col("_n") > 0)
-    stats = materialize(stats, f"{name}_stats")  # one row per group
     bounded = not by or max_groups is not None
 
+    def kept(rows: DataFrame, stage: str) -> DataFrame:
+        """A row per group, or per group and probability: a local table where the groups are bounded, else a stored one."""
+        return _local(rows) if bounded else materialize(rows, f"{name}_{stage}")
+
+    stats = kept(stats, "stats")
+
     def targets(widened: DataFrame | None) -> DataFrame:
         """(by..., _targets): one struct per probability with the ranks wanted and the bracket's ends."""
         rows = stats
@@ -214,14 +219,16 @@ def exact_percentiles(df: DataFrame, value: Column | str, probs: Sequence[float]
                                    F.col(f"_v{i}").alias("v")) for i in range(len(probs))])
         return out.select(*by, F.inline(items))
 
-    found = materialize(counted(targets(None)), f"{name}_counts")
+    found = kept(counted(targets(None)), "counts")
     missed = found.where((F.col("r0") < F.col("b")) | (F.col("r1") >= F.col("v"))).select(*by).distinct()
     if missed.limit(1).count():
         wide = missed.withColumn("_wide", F.lit(True))
-        found = materialize(counted(targets(wide)), f"{name}_widened")
+        found = kept(counted(targets(wide)), "widened")
     # A rank is at the lower end, at the upper end, or strictly inside.
     inside = found.where(((F.col("r0") >= F.col("e")) & (F.col("r0") < F.col("u"))) | ((F.col("r1") >= F.col("e")) & (F.col("r1") < F.col("u"))))
-    goals = materialize(inside, f"{name}_goals")
+    goals = kept(inside, "goals")
+    if bounded and goals.isEmpty():  # every rank is an end of its bracket: nothing is sorted
+        return _at_ranks(found.withColumn("_at", F.lit(None).cast("map<bigint,double>")), stats, by, names, count_col, sums)
     keys = [*by, "i"]
     nest = goals.groupBy(*by).agg(F.collect_list(F.struct("i", "lo", "hi")).alias("_goal"))  # at most one per probability
     sliver = (_left_on(base, F.broadcast(nest) if bounded else nest, by, how="inner")
@@ -235,7 +242,11 @@ def exact_percentiles(df: DataFrame, value: Column | str, probs: Sequence[float]
              .select(*keys, "_r", (F.col("_first") + F.col("_k") - F.col("_off")).alias("_mid")))
     picked = t.select("_mid", "_x").join(F.broadcast(spots) if bounded else spots, "_mid").select(*keys, "_r", "_x")
     hit = picked.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_r", "_x"))).alias("_at"))  # two ranks at most
-    rows = _left_on(found, hit, keys)
+    return _at_ranks(_left_on(found, hit, keys), stats, by, names, count_col, sums)
+
+
+def _at_ranks(rows: DataFrame, stats: DataFrame, by: Sequence[str], names: Sequence[str], count_col: str | None, sums: dict) -> DataFrame:
+    """One row per group from one per group and probability with the values found strictly inside its bracket (``_at``: rank -> value)."""
 
     def at(rank: str) -> Column:
         r = F.col(rank)
@@ -248,6 +259,11 @@ def exact_percentiles(df: DataFrame, value: Column | str, probs: Sequence[float]
     return out if by else out.where(F.col(names[0]).isNotNull())  # no rows: no result row
 
 
+def _local(rows: DataFrame) -> DataFrame:
+    """The rows as a local table; only for tables whose size the caller has bounded."""
+    return rows.sparkSession.createDataFrame(rows.toArrow())
+
+
 def _left_on(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "left") -> DataFrame:
     """Join on ``by`` with null keys equal to each other; without keys, ``right`` has one row at most."""
     if not by:

@@ -34,7 +34,7 @@ from tripgauge.plans.jobs import load_trips
 from tripgauge.session import materialize, stage_path, table_path
 from tripgauge.sources.batches import read_batched, write_batched
 from tripgauge.sources.bucketed import bucketed_predictions_join, write_bucketed
-from tripgauge.sources.readers import read_trips, sample_trips
+from tripgauge.sources.readers import first_n, read_trips, sample_trips
 from tripgauge.sources.sinks import observed_content, verify_content, verify_row_count, write_metrics_csv, write_predictions, write_trips_table
 from tripgauge.sources.triptable import TripTable
 
@@ -553,6 +553,16 @@ def q_model_vs_baseline(spark, sf_dir):
     return present(out.select("method", *S.METRIC_COLUMNS))
 
 
+def q_model_vs_baseline_speed(spark, sf_dir):
+    """The baseline's half of the comparison with the model, over the same trips."""
+    return q_model_vs_baseline(spark, sf_dir).where("method = 'median_speed'")
+
+
+def q_first_n(spark, sf_dir):
+    """The first 5,000 events as read."""
+    return first_n(spark.read.parquet(table_path(sf_dir, "events")), 5000).select("event_id", "event_type")
+
+
 _MODELS: dict = {}
 
 
@@ -624,6 +634,8 @@ def queries() -> dict[str, Query]:
         "metrics_after_append": q_metrics_after_append,
         "verify_content": q_verify_content,
         "write_batched": q_write_batched,
+        "first_n": q_first_n,
+        "model_vs_baseline_speed": q_model_vs_baseline_speed,
         "predictions_join_bucketed": q_predictions_join_bucketed,
         "join_worst_keys": q_join_worst_keys,
         "scan_trips_csv_mixed": q_scan_trips_csv_mixed,

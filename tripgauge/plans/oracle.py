@@ -357,6 +357,8 @@ SELECT event_id, row_number() OVER (ORDER BY pickup_datetime, pickup_latitude, p
     q["verify_content"] = _with("""
 SELECT t.name AS copy, n.n AS n_rows, t.ok AS accepted FROM (VALUES ('same', true), ('swapped', false), ('doubled', false)) t(name, ok), (SELECT count(*) AS n FROM clean) n""")
     q["write_batched"] = q["trips_clean"]
+    q["first_n"] = "SELECT event_id, event_type FROM events LIMIT 5000"
+    q["model_vs_baseline_speed"] = _with(METRIC_SELECT.replace("SELECT segment_type", "SELECT 'median_speed' AS method, segment_type", 1))
     q["predictions_join_bucketed"] = q["predictions_join"]
     q["join_worst_keys"] = _with("""
 , pairs AS (

@@ -49,9 +49,20 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def _stages(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/tripgauge/{spark.sparkContext.applicationId}"
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
-    base = shared_dir(spark).rstrip("/")
-    return f"{base}/tripgauge/{uuid.uuid4().hex}/{name}"
+    return f"{_stages(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def close_stages(spark: SparkSession) -> bool:
+    """Deletes all that this application has materialised in the shared folder, and nothing else. Frames over it can't be
+    read any more: call it when the results are written elsewhere. True if there was anything."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(_stages(spark))
+    return bool(folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True))
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
