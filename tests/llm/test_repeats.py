@@ -45,8 +45,9 @@ def brute(texts, length):
     return out
 
 
-@pytest.mark.parametrize("crowd", [3, 4096])
-def test_random_texts(spark, crowd):
+@pytest.mark.parametrize("crowd", [1, 3, 4096])
+def test_random_texts(spark, crowd, monkeypatch):
+    monkeypatch.setattr(repeats._crowded, "__defaults__", ((7, 1),))
     rng = random.Random(crowd)
     passages = ["".join(rng.choice("abé \n") for _ in range(rng.randrange(20, 140))) for _ in range(12)]
     texts = []
@@ -80,3 +81,16 @@ def test_op7_matches_brute_force(spark):
     out = op7_suffix_array_dedup(spark, SF).collect()
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out} == want and len(out) == len(docs)
     assert sum(w[1] for w in want.values()) > 0
+
+
+def test_thue_morse_texts(spark):
+    """Strings on which polynomials modulo a power of two collide, whatever their base."""
+    t = "a"
+    while len(t) < 4096:
+        t += t.translate(str.maketrans("ab", "ba"))
+    u = t.translate(str.maketrans("ab", "ba"))
+    texts = [f"{i}{x}{i}" for i, x in enumerate([t[:2048], u[:2048], t, "x" + u[100:1500], u[2048:] + "y"])]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for crowd in (1, 2048):
+        out = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in repeats.remove_repeats(frame, crowd=crowd).collect()}
+        assert [out[i] for i in range(len(texts))] == brute(texts, 400)

@@ -10,9 +10,13 @@ are dealt to shards by their anchor, and all equal windows meet in one shard:
    Equal segments are combined before any text moves: all their windows repeat.
 3. One copy of each distinct segment goes to its anchor's shard. There the
    suffix array and the permuted common prefixes tell which windows repeat.
-   An anchor with more than ``crowd`` distinct segments is too large for a
-   shard; its windows are counted one by one by their 128-bit hashes.
-4. The spans found go back to every occurrence, and each document is cut.
+4. An anchor with more than ``crowd`` distinct segments is too large for a
+   shard. Equal windows also have their anchor at the same place, so its
+   segments are sliced by that place; all windows of a slice have some bytes
+   around the anchor in common, the more the narrower the slice, and the
+   slices are dealt to shards by those bytes. Slices that are still crowded
+   are sliced again, at last into single windows, whose bytes are all common.
+5. The spans found go back to every occurrence, and each document is cut.
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ import functools
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,7 +35,8 @@ from tripgauge.llm.suffixes import permuted_prefixes, suffix_array
 from tripgauge.session import materialize
 
 TILE = 1 << 18  # bytes hashed at a time; windows of longer texts are walked tile by tile
-SHARD = 1 << 20  # segment bytes in one suffix array, but for a larger anchor (below ``crowd`` segments)
+SHARD = 1 << 20  # segment bytes in one suffix array, but for a larger anchor (up to ``crowd`` segments)
+SLICES = (32, 1)  # windows in a slice of a crowded anchor, and in one of a crowded slice
 #: 64-bit words of a bloom filter at most (32 MB); beyond that it lets more through.
 MAX_WORDS = 1 << 22
 _LONG, _INT = T.LongType(), T.IntegerType()
@@ -46,8 +52,8 @@ def _powers(base: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-@functools.lru_cache(maxsize=2)
-def _hash_tables(seed: int):
+@functools.lru_cache(maxsize=1)
+def _hash_tables(seed: int = 1):
     """A polynomial hash modulo 2^64: byte values, powers of the odd base, powers of its inverse."""
     rng = np.random.default_rng(seed)
     values = rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -58,8 +64,8 @@ def _hash_tables(seed: int):
 class _Hashes:
     """Hashes of any byte ranges of ``data`` (at most a tile)."""
 
-    def __init__(self, data: np.ndarray, which: int):
-        values, powers, self.inverse = _hash_tables(which + 1)
+    def __init__(self, data: np.ndarray):
+        values, powers, self.inverse = _hash_tables()
         self.prefix = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(values[data] * powers[:len(data)], out=self.prefix[1:])
 
@@ -89,12 +95,13 @@ def _tiles(texts: list[bytes], length: int):
 
 
 def segments(texts: list[bytes], length: int, gram: int):
-    """Arrays (row, start, bytes, anchor, h1, h2) of all segments: maximal runs of windows with one anchor."""
+    """Arrays (row, start, bytes, anchor, place) of all segments: maximal runs of windows with one anchor, which begins at
+    ``place`` in them. The anchors' hash only has to deal the windows; that segments are equal is told by ``_digests``."""
     out = []
     for held in _tiles(texts, length):
         data = np.frombuffer(b"".join(p for _, _, p in held), np.uint8)
         ends = np.cumsum([len(p) for _, _, p in held])
-        one, two = _Hashes(data, 0), _Hashes(data, 1)
+        one = _Hashes(data)
         place = np.arange(len(data) - gram + 1)
         grams = _mixed(one(place, place + gram))
         least = (grams & np.uint64(0xFFFFFFFF00000000)) | place.astype(np.uint64)  # the leftmost of equals
@@ -112,13 +119,17 @@ def segments(texts: list[bytes], length: int, gram: int):
         fresh = np.append(True, (anchor[1:] != anchor[:-1]) | (part[1:] != part[:-1]))
         first = np.flatnonzero(fresh)
         begin, last, at, own = window[first], window[np.append(first[1:], len(window)) - 1], anchor[first], part[first]
-        shift = (at - begin).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + (last - begin).astype(np.uint64)
         rows, offsets = np.array([r for r, _, _ in held]), np.array([a for _, a, _ in held])
         starts = ends - np.array([len(p) for _, _, p in held])
-        out.append((rows[own], begin - starts[own] + offsets[own], last - begin + length, grams[at].view(np.int64),
-                    _mixed(one(begin, last + length) + shift).view(np.int64), _mixed(two(begin, last + length) ^ shift).view(np.int64)))
-    kinds = (np.int64, np.int64, np.int64, np.int64, np.int64, np.int64)
-    return [np.concatenate([np.zeros(0, k), *(o[i] for o in out)]) for i, k in enumerate(kinds)]
+        out.append((rows[own], begin - starts[own] + offsets[own], last - begin + length, grams[at].view(np.int64), at - begin))
+    return [np.concatenate([np.zeros(0, np.int64), *(o[i] for o in out)]) for i in range(5)]
+
+
+def _digests(parts) -> tuple[np.ndarray, np.ndarray]:
+    """XXH3 of 128 bits, as two signed longs, of each byte string."""
+    joined = b"".join(map(xxhash.xxh3_128_digest, parts))
+    both = np.frombuffer(joined, "<i8").reshape(-1, 2) if joined else np.zeros((0, 2), np.int64)
+    return both[:, 0], both[:, 1]
 
 
 def _bloom(keys: DataFrame, key) -> np.ndarray:
@@ -195,11 +206,11 @@ def _shards(length: int):
 
 
 def _fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The bytes of ``wanted`` (anchor, h1, h2, alone, doc, body, start, bytes) from their documents; documents without any don't move."""
+    """The bytes of ``wanted`` (anchor, h1, h2, alone, place, doc, body, start, bytes) from their documents; documents without any don't move."""
     filled = docs.sparkSession.sparkContext.broadcast(_bloom(wanted.select("doc", "body").distinct(), F.xxhash64("doc", "body")))
-    lists = wanted.groupBy("doc", "body").agg(F.collect_list(F.struct("anchor", "h1", "h2", "alone", "start", "bytes")).alias("list"))
+    lists = wanted.groupBy("doc", "body").agg(F.collect_list(F.struct("anchor", "h1", "h2", "alone", "place", "start", "bytes")).alias("list"))
     joined = _sifted(docs, filled).join(lists, ["doc", "body"]).select("text", "list")
-    schema = _fields(("anchor", _LONG), ("h1", _LONG), ("h2", _LONG), ("alone", T.BooleanType()), ("segment", T.BinaryType()))
+    schema = _fields(("anchor", _LONG), ("h1", _LONG), ("h2", _LONG), ("alone", T.BooleanType()), ("place", _INT), ("segment", T.BinaryType()))
 
     def cut(batch):
         for part, texts in steps(batch, "text"):
@@ -207,7 +218,7 @@ def _fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             flat = lists.flatten()
             owner = np.repeat(np.arange(len(texts)), lists.value_lengths().to_numpy()).tolist()
             start, size = flat.field("start").to_pylist(), flat.field("bytes").to_pylist()
-            yield {c: flat.field(c) for c in ("anchor", "h1", "h2", "alone")} | {"segment": [texts[o][a:a + n] for o, a, n in zip(owner, start, size)]}
+            yield {c: flat.field(c) for c in ("anchor", "h1", "h2", "alone", "place")} | {"segment": [texts[o][a:a + n] for o, a, n in zip(owner, start, size)]}
 
     return map_batches(joined, cut, schema)
 
@@ -222,25 +233,82 @@ def _sifted(docs: DataFrame, filled, by: tuple[str, str] = ("doc", "body")) -> D
     return keyed.mapInArrow(run, keyed.schema).drop("_key")
 
 
-def _crowded(fetched: DataFrame, length: int) -> DataFrame:
-    """The spans of segments whose anchor has too many of them for a shard: windows counted one by one, by hash."""
-    schema = _fields(("anchor", _LONG), ("h1", _LONG), ("h2", _LONG), ("alone", T.BooleanType()), ("at", _INT), ("w1", _LONG), ("w2", _LONG))
+def _several(distinct: DataFrame, crowd: int) -> DataFrame:
+    """(anchor, crowded) of the anchors with several distinct segments, one of them at least with an open fate."""
+    several = distinct.groupBy("anchor").agg(F.count("*").alias("n"), F.max("alone").alias("open")).filter("n > 1 AND open")
+    return materialize(several.select("anchor", (F.col("n") > crowd).alias("crowded")), "shared_anchors")
+
+
+def _slices(fetched: DataFrame, length: int, width: int) -> DataFrame:
+    """The slices of crowded segments: whose (anchor, h1, h2, alone), from where, their new anchor (the hash of the bytes that all
+    windows of the slice have in common) and its place, their digests and bytes."""
+    schema = _fields(("_anchor", _LONG), ("_h1", _LONG), ("_h2", _LONG), ("alone", T.BooleanType()), ("_from", _INT), ("anchor", _LONG), ("place", _INT),
+                     ("h1", _LONG), ("h2", _LONG), ("segment", T.BinaryType()))
+
+    def run(batch):
+        for start in range(0, batch.num_rows, 256):
+            part = batch.slice(start, 256)
+            owner, begins, anchors, places, bodies = [], [], [], [], []
+            for k, (place, segment) in enumerate(zip(part.column("place").to_pylist(), part.column("segment").to_pylist())):
+                last = len(segment) - length  # the windows begin at 0 to last, the anchor ``place`` behind the segment's begin
+                for q in range((place - last) // width, place // width + 1):
+                    a, b = max(0, place - (q + 1) * width + 1), min(last, place - q * width)
+                    if a > b:
+                        continue
+                    common = segment[place - q * width:place - (q + 1) * width + 1 + length]
+                    owner.append(k)
+                    begins.append(a)
+                    anchors.append(xxhash.xxh3_64_intdigest(common, q))
+                    places.append(place - a)
+                    bodies.append(segment[a:b + length])
+            h1, h2 = _digests(bodies)
+            at = pa.array(owner, pa.int64())
+            yield {"_" + c: part.column(c).take(at) for c in ("anchor", "h1", "h2")} | {
+                "alone": part.column("alone").take(at), "_from": begins, "anchor": np.array(anchors, np.uint64).view(np.int64), "place": places,
+                "h1": h1, "h2": h2, "segment": pa.array(bodies, pa.binary())}
+
+    return map_batches(fetched, run, schema)
+
+
+def _crowded(fetched: DataFrame, length: int, crowd: int, widths: tuple[int, ...] = SLICES) -> DataFrame:
+    """The spans of segments whose anchor has too many of them for a shard: sliced, and the slices solved like segments."""
+    rows = materialize(_slices(fetched, length, widths[0]), "slices")
+    key = ["anchor", "h1", "h2"]
+    distinct = rows.groupBy(*key).agg(F.count("*").alias("n"), F.max("alone").alias("open"), F.min("alone").alias("all"), F.min("place").alias("place"))
+    # A slice that is also elsewhere, in whatever segment, repeats whole; so do those of segments that do.
+    distinct = materialize(distinct.select(*key, ((F.col("n") == 1) & F.col("all")).alias("alone"), "open", "place"), "distinct_slices")
+    several = _several(distinct, crowd)
+    texts = rows.groupBy(*key).agg(F.min("segment").alias("segment"))
+    wanted = distinct.join(several, "anchor").join(texts, key)
+    spans = _by_shard(wanted.filter("NOT crowded"), length)
+    if several.filter("crowded").limit(1).count():
+        spans = spans.unionByName(_crowded(wanted.filter("crowded"), length, crowd, widths[1:]))
+    size = rows.filter("alone").groupBy(*key).agg(F.max(F.octet_length("segment")).alias("size"))
+    whole = distinct.filter("NOT alone AND open").join(size, key).select(*key, F.array(F.lit(0), F.col("size")).alias("spans"))
+    found = materialize(spans.unionByName(whole), "slice_spans")
+    back = rows.filter("alone").select("_anchor", "_h1", "_h2", "_from", *key).join(found, key)
+    lists = back.groupBy("_anchor", "_h1", "_h2").agg(F.collect_list(F.struct(F.col("_from").alias("start"), "spans")).alias("list"))  # as many as a segment has slices
+
+    def merge(batch):
+        yield {c: batch.column("_" + c) for c in ("anchor", "h1", "h2")} | {"spans": [_united(found) for found in batch.column("list")]}
+
+    return map_batches(lists, merge, _SPANS)
 
-    def windows(batch):
-        for row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "h1", "h2", "alone", "segment"))):
-            data = np.frombuffer(row[4], np.uint8)
-            at = np.arange(len(data) - length + 1)
-            fixed = {c: np.full(len(at), v) for c, v in zip(("anchor", "h1", "h2", "alone"), row)}
-            yield fixed | {"at": at, "w1": _Hashes(data, 0)(at, at + length).view(np.int64), "w2": _Hashes(data, 1)(at, at + length).view(np.int64)}
 
-    rows = materialize(map_batches(fetched, windows, schema), "windows")
-    often = rows.groupBy("w1", "w2").agg(F.count("*").alias("n")).filter("n > 1").select("w1", "w2")
-    hit = rows.filter("alone").join(often, ["w1", "w2"]).groupBy("anchor", "h1", "h2").agg(F.sort_array(F.collect_set("at")).alias("at"))
+def _united(found) -> list[int]:
+    """Merged [from, to) pairs, in one list, of a list of (start, spans)."""
+    parts = found.values
+    spans = parts.field("spans")
+    pairs = spans.flatten().to_numpy().reshape(-1, 2) + np.repeat(parts.field("start").to_numpy(), spans.value_lengths().to_numpy() // 2)[:, None]
+    pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
+    reach = np.maximum.accumulate(pairs[:, 1])
+    first = np.flatnonzero(np.append(True, pairs[1:, 0] > reach[:-1]))
+    return np.column_stack([pairs[first, 0], reach[np.append(first[1:], len(pairs)) - 1]]).reshape(-1).tolist()
 
-    def merge(batch):
-        yield {c: batch.column(c) for c in ("anchor", "h1", "h2")} | {"spans": [_spans(x.values.to_numpy(), length) for x in batch.column("at")]}
 
-    return map_batches(hit, merge, _SPANS)
+def _by_shard(fetched: DataFrame, length: int) -> DataFrame:
+    rows = fetched.select("anchor", "h1", "h2", "alone", "segment")
+    return rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_shards(length), _SPANS)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, gram: int = 64, crowd: int = 2048) -> DataFrame:
@@ -269,41 +337,30 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def cut(batch):
         for part, texts in steps(batch, "text", 1 << 22):
-            row, start, size, anchor, h1, h2 = segments(texts, length, gram)
-            may = _passes(listed.value, anchor)
-            at = pa.array(row[may])
-            yield {"anchor": anchor[may], "h1": h1[may], "h2": h2[may], "doc": part.column(0).take(at), "body": part.column(1).take(at),
-                   "start": start[may], "bytes": size[may]}
-
-    shape = _fields(("anchor", _LONG), ("h1", _LONG), ("h2", _LONG), ("doc", _LONG), ("body", _LONG), ("start", _INT), ("bytes", _INT))
+            found = segments(texts, length, gram)
+            may = _passes(listed.value, found[3])
+            row, start, size, anchor, place = (x[may] for x in found)
+            h1, h2 = _digests(texts[r][a:a + n] for r, a, n in zip(row.tolist(), start.tolist(), size.tolist()))
+            at = pa.array(row)
+            yield {"anchor": anchor, "h1": h1, "h2": h2, "doc": part.column(0).take(at), "body": part.column(1).take(at),
+                   "start": start, "bytes": size, "place": place}
+
+    shape = _fields(("anchor", _LONG), ("h1", _LONG), ("h2", _LONG), ("doc", _LONG), ("body", _LONG), ("start", _INT), ("bytes", _INT), ("place", _INT))
     rows = materialize(map_batches(base, cut, shape), "segments")
     key = ["anchor", "h1", "h2"]
-    distinct = rows.groupBy(*key).agg(F.count("*").alias("n"), F.max("bytes").alias("bytes"), F.min(F.struct("doc", "body", "start")).alias("one"))
+    distinct = rows.groupBy(*key).agg(F.count("*").alias("n"), F.max("bytes").alias("bytes"), F.min(F.struct("doc", "body", "start", "place")).alias("one"))
     distinct = materialize(distinct.select(*key, (F.col("n") == 1).alias("alone"), "bytes", "one.*"), "distinct_segments")
-    several = distinct.groupBy("anchor").agg(F.count("*").alias("n"), F.max("alone").alias("open")).filter("n > 1 AND open")
-    several = materialize(several.select("anchor", (F.col("n") > crowd).alias("crowded")), "shared_anchors")
+    several = _several(distinct, crowd)
     wanted = distinct.join(several, "anchor")
-    crowded = several.filter("crowded").limit(1).count() > 0
-    fetched = _fetch(base, wanted.filter("NOT crowded"))
-    by_shard = fetched.repartition("anchor").sortWithinPartitions("anchor")
-    spans = by_shard.mapInArrow(_shards(length), _SPANS)
-    if crowded:
-        spans = spans.unionByName(_crowded(_fetch(base, wanted.filter("crowded")), length))
+    spans = _by_shard(_fetch(base, wanted.filter("NOT crowded")), length)
+    if several.filter("crowded").limit(1).count():
+        spans = spans.unionByName(_crowded(_fetch(base, wanted.filter("crowded")), length, crowd))
     whole = distinct.filter("NOT alone").select(*key, F.array(F.lit(0), F.col("bytes")).alias("spans"))
     spans = materialize(spans.unionByName(whole), "segment_spans")
     lists = rows.join(spans, key).groupBy("doc", "body").agg(F.collect_list(F.struct("start", "spans")).alias("list"))
 
     def union(batch):
-        out = []
-        for found in batch.column("list"):
-            parts = found.values
-            spans = parts.field("spans")
-            pairs = spans.flatten().to_numpy().reshape(-1, 2) + np.repeat(parts.field("start").to_numpy(), spans.value_lengths().to_numpy() // 2)[:, None]
-            pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
-            reach = np.maximum.accumulate(pairs[:, 1])
-            first = np.flatnonzero(np.append(True, pairs[1:, 0] > reach[:-1]))
-            out.append(np.column_stack([pairs[first, 0], reach[np.append(first[1:], len(pairs)) - 1]]).reshape(-1).tolist())
-        yield {"doc": batch.column("doc"), "body": batch.column("body"), "cuts": out}
+        yield {"doc": batch.column("doc"), "body": batch.column("body"), "cuts": [_united(found) for found in batch.column("list")]}
 
     cuts = materialize(map_batches(lists, union, _fields(("doc", _LONG), ("body", _LONG), ("cuts", T.ArrayType(_LONG)))), "cuts")
     filled = spark.sparkContext.broadcast(_bloom(cuts, F.xxhash64("doc", "body")))
