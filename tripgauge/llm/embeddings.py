@@ -4,6 +4,11 @@ Vectors go to the cell of their nearest centroid, and as visitors to every
 other cell in which a vector within the angle could live: if y's centroid is
 c and x's is o, then y.(c - o) >= 0, so x within angle t of y has
 x.(c - o) >= -sin(t) |c - o|. Hence all pairs meet, whatever the centroids.
+
+A label's cell is compared in blocks of two chunks of at most ``limit``
+vectors, so what moves is a vector's visits times the chunks of a cell; cells
+are made for PER_CELL vectors of the largest label, not sooner, as each
+visit moves a vector again.
 """
 
 from __future__ import annotations
@@ -14,13 +19,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripgauge.llm.blocks import compare, deal, forest
+from tripgauge.llm.blocks import compare, deal
 from tripgauge.llm.components import components
 from tripgauge.llm.runtime import map_batches
 from tripgauge.session import materialize
 
 #: Vectors that the centroids are fitted on, and centroids, at most. Every vector is assigned; the fit only steers the work.
 SAMPLE, MAX_CELLS = 8192, 1024
+#: Vectors of one label that a cell is made for, and of a chunk. Two chunks are compared in a task: 2 x 16,384 vectors.
+PER_CELL, CHUNK = 32_768, 16_384
+#: Products that a task holds at a time.
+PRODUCTS = 1 << 21
 
 
 def _matrix(column: pa.Array, dims: int) -> np.ndarray:
@@ -30,12 +39,13 @@ def _matrix(column: pa.Array, dims: int) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def fit_cells(vectors: DataFrame, dims: int, count: int, per_cell: int = 4096, turns: int = 6) -> np.ndarray:
-    """Spherical k-means centroids, fitted on SAMPLE vectors picked by hash (all of them if there are fewer)."""
+def fit_cells(vectors: DataFrame, dims: int, count: int, largest: int, per_cell: int = PER_CELL, turns: int = 6) -> np.ndarray:
+    """Spherical k-means centroids, fitted on SAMPLE of ``count`` vectors picked by hash (all of them if there are fewer);
+    their number follows from the ``largest`` label."""
     share = min(1.0, 1.2 * SAMPLE / max(count, 1))
     picked = vectors.filter(F.pmod(F.xxhash64("rep"), F.lit(1 << 30)) < int(share * (1 << 30))).orderBy(F.xxhash64("rep")).limit(SAMPLE)
     x = picked.select("vector").toPandas()["vector"].to_list()
-    k = int(min(MAX_CELLS, max(1, count // per_cell), max(1, len(x) // 4)))
+    k = int(min(MAX_CELLS, max(1, -(-largest // per_cell)), max(1, len(x) // 4)))
     if not x:
         return np.eye(1, dims)
     x = _matrix(pa.array([list(v) for v in x], pa.list_(pa.float64())), dims)
@@ -51,7 +61,7 @@ def fit_cells(vectors: DataFrame, dims: int, count: int, per_cell: int = 4096, t
 
 
 def _cells(vectors: DataFrame, centres: np.ndarray, dims: int, least: float) -> DataFrame:
-    """A row per vector and cell: its own (home) and those it visits."""
+    """A row per vector and cell: its own (home) and those it visits. Vectors of other lengths than ``dims`` share cell 0."""
     names = vectors.columns
     schema = T.StructType([*vectors.schema.fields, T.StructField("cell", T.IntegerType()), T.StructField("home", T.BooleanType())])
     sine = float(np.sqrt(max(0.0, 1 - least * least))) + 1e-7
@@ -60,6 +70,13 @@ def _cells(vectors: DataFrame, centres: np.ndarray, dims: int, least: float) ->
     def run(batch):
         for start in range(0, batch.num_rows, 2048):
             part = batch.slice(start, 2048)
+            fits = part.column(names.index("dims")).to_numpy() == dims
+            other = part.filter(pa.array(~fits))
+            if other.num_rows:
+                yield {name: other.column(k) for k, name in enumerate(names)} | {"cell": np.zeros(other.num_rows, int), "home": np.ones(other.num_rows, bool)}
+            part = part.filter(pa.array(fits))
+            if not part.num_rows:
+                continue
             near = _matrix(part.column(names.index("vector")), dims) @ centres.T
             own = near.argmax(axis=1)
             rows = np.arange(len(own))
@@ -73,7 +90,7 @@ def _cells(vectors: DataFrame, centres: np.ndarray, dims: int, least: float) ->
 
 
 def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", group_col: str = "label", least: float = 0.98,
-                    limit: int = 2048) -> DataFrame:
+                    limit: int = CHUNK) -> DataFrame:
     """All rows with ``n_links``, ``component_id`` and ``kept``.
 
     Two rows link if their groups are equal and not null and the cosine of their vectors, in double precision, is at least
@@ -95,16 +112,16 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
     # The id may be shared by unequal vectors, so classes have numbers of their own.
     classes = classes.withColumn("node", F.monotonically_increasing_id())
     classes = materialize(classes, "vector_nodes")
-    found = None
-    for dims, count in [tuple(r) for r in classes.groupBy("dims").count().orderBy("dims").collect()]:  # a table has few lengths
-        some = classes.filter(F.col("dims") == dims)
-        centres = fit_cells(some, dims, count)
-        dealt = deal(_cells(some, centres, dims, least), ["group", "cell"], "node", limit)
-        part = compare(dealt, ["group", "cell"], _linker(dims, least), _LINK)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
+    # The length that most vectors have gets cells; all lengths are compared, each with its own.
+    main = classes.groupBy("dims").count().agg(F.max(F.struct("count", "dims")).alias("m")).first()["m"]
+    if main is None:
         return base.drop("_good", "_vector").withColumns({"n_links": F.lit(0).cast("long"), "component_id": F.col(id_col).cast("long"),
                                                           "kept": F.col(id_col).isNotNull()})
+    dims, some = main["dims"], classes.filter(F.col("dims") == main["dims"])
+    largest = some.groupBy("group").count().agg(F.max("count")).first()[0]
+    centres = fit_cells(some, dims, main["count"], largest)
+    dealt = deal(_cells(classes, centres, dims, least), ["group", "dims", "cell"], "node", limit)
+    found = compare(dealt, ["group", "dims", "cell"], _linker(least), _LINK)
     found = materialize(found, "vector_links")
     weight = found.filter("v is null").groupBy("u").agg(F.sum("weight").alias("weight"))
     joined = components(found.filter("v is not null").select("u", "v"))
@@ -123,21 +140,22 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
 _LINK = T.StructType([T.StructField("u", T.LongType()), T.StructField("v", T.LongType()), T.StructField("weight", T.LongType())])
 
 
-def _linker(dims: int, least: float):
+def _linker(least: float):
     def check(table, bounds):
         node, home, copies, own, i, j = (table.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in ("node", "home", "copies", "_own", "_ci", "_cj"))
-        vectors = table.column("vector").combine_chunks()
+        vectors, dims = table.column("vector").combine_chunks(), table.column("dims").to_numpy()
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-            if not home[a:b].any() or b - a < 2:
+            n = b - a
+            if not home[a:b].any() or n < 2:
                 continue
-            x = _matrix(vectors.slice(a, b - a), dims)
+            x = _matrix(vectors.slice(a, n), int(dims[a]))
             ids, at_home, times, chunk = node[a:b], home[a:b], copies[a:b], own[a:b]
-            link, weight = np.zeros((b - a, b - a), bool), np.zeros(b - a, np.int64)
-            own_rows = np.flatnonzero(at_home)
-            for t in range(0, len(own_rows), 512):  # some rows that are at home against all
-                part = own_rows[t:t + 512]
-                i1, j1 = np.nonzero(x[part] @ x.T >= least)
-                i1 = part[i1]
+            weight, part_of, edges = np.zeros(n, np.int64), np.arange(n), []
+            own_rows, strip = np.flatnonzero(at_home), max(1, PRODUCTS // n)
+            for t in range(0, len(own_rows), strip):  # some rows that are at home against all
+                rows = own_rows[t:t + strip]
+                i1, j1 = np.nonzero(x[rows] @ x.T >= least)
+                i1 = rows[i1]
                 # Each pair counts once: where both are at home, or where the one at home has the smaller number.
                 good = (i1 != j1) & (at_home[j1] | (ids[i1] < ids[j1]))
                 if i[a] != j[a]:  # pairs within a chunk are counted in the chunk's own block
@@ -146,11 +164,19 @@ def _linker(dims: int, least: float):
                 np.add.at(weight, i1, times[j1])
                 guest = ~at_home[j1]  # a guest has no row of its own here
                 np.add.at(weight, j1[guest], times[i1[guest]])
-                link[i1, j1] = link[j1, i1] = True
+                # A link goes out where it joins two parts of the block: a dense group of n vectors gives n - 1, not all pairs.
+                first = np.flatnonzero(np.append(True, i1[1:] != i1[:-1])) if len(i1) else []
+                for u, v in zip(first, np.append(first[1:], len(i1))):
+                    row, near = int(i1[u]), j1[u:v]
+                    parts, at = np.unique(part_of[near], return_index=True)
+                    fresh = parts != part_of[row]
+                    if fresh.any():
+                        edges += [(row, k) for k in near[at[fresh]].tolist()]
+                        part_of[np.isin(part_of, parts[fresh])] = part_of[row]
             rows = np.flatnonzero(weight)
             if not len(rows):
                 continue
-            edges = np.array(forest(lambda k, rest: link[k, rest], b - a), np.int64).reshape(-1, 2) if len(rows) > 64 else np.argwhere(np.triu(link))  # noqa: B023
+            edges = np.array(edges, np.int64).reshape(-1, 2)
             yield {"u": np.concatenate([ids[rows], ids[edges[:, 0]]]), "v": pa.array([None] * len(rows) + ids[edges[:, 1]].tolist(), pa.int64()),
                    "weight": pa.array(weight[rows].tolist() + [None] * len(edges), pa.int64())}
 

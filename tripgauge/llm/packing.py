@@ -140,6 +140,8 @@ def pack(items: DataFrame, capacity: int = 1024, region_size: int = 4096, island
     repeated rows, are packed one by one. Regions are dealt by a hash of the row's place in the written table, so no key
     can be hot. An empty table gives an empty one. Input columns ``sequence_id`` and ``offset`` are replaced.
     """
+    if not 1 <= rounds <= 7:
+        raise ValueError("1 to 7 rounds: a sequence's number holds the round in three bits")
     spark = items.sparkSession
     ship(spark)
     kept = [f.name for f in carried(items, {"sequence_id", "offset"})]
