@@ -22,7 +22,7 @@ def test_workflow(spark):
     got = {(r["segment_type"], r["segment_value"]): r["medae_sec"] for r in speed.collect()}
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
 
-    info = jobs.train_job(spark, f"{d}/trips_clean", f"{d}/model", max_iter=5)
+    info = jobs.train_job(spark, f"{d}/trips_clean", f"{d}/model", max_iter=5, median_trees=1)
     assert info["trees"] >= 1 and info["validation_mae_sec"] > 0
     metrics = jobs.score_job(spark, f"{d}/trips_clean", f"{d}/model", f"{d}/predictions", f"{d}/metrics")
     overall = metrics.where(F.col("segment_type") == "overall").first()

@@ -61,7 +61,7 @@ def test_model_save_load_identical(spark, ev):
     from tripgauge.operators.split import model_input, temporal_validation_split
 
     train = temporal_validation_split(model_input(ev.training))
-    model = train_duration_model(train, max_iter=5)
+    model = train_duration_model(train, max_iter=5, median_trees=1)
     d = tempfile.mkdtemp(prefix="tg-model-")
     save_model(model, f"{d}/m")
     a = predict_duration(model, model_input(ev.evaluation)).orderBy("trip_id").collect()
@@ -91,7 +91,7 @@ def test_in_plan_scoring_equals_join(spark, ev):
     from tripgauge.operators.model import predict_duration, score_rows, train_duration_model
     from tripgauge.operators.split import model_input, model_rows, temporal_validation_split
 
-    model = train_duration_model(temporal_validation_split(model_input(ev.training)), max_iter=3)
+    model = train_duration_model(temporal_validation_split(model_input(ev.training)), max_iter=3, median_trees=1)
     a = score_rows(model, model_rows(ev.evaluation))
     assert a.columns[:-1] == ev.evaluation.columns and dict(a.dtypes)["hour_of_day"] == "int"
     joined = eta_errors(ev.evaluation.join(predict_duration(model, model_input(ev.evaluation)), "trip_id"))
@@ -119,3 +119,23 @@ def test_fanout_of_huge_keys_does_not_overflow(spark, monkeypatch):
     monkeypatch.setattr(audit.F, "count", lambda c, count=audit.F.count: F.lit(big) * F.max(F.lit(1)) if str(c) == str(F.lit(1)) else count(c))
     out = audit.fanout_audit(rows, rows, ["k"]).first()
     assert out["join_rows"] == big * big
+
+
+def test_median_trees_lower_the_absolute_error(spark):
+    """Skewed errors: the mean of a leaf is far from its median, and the trees for absolute loss find it; a saved model agrees."""
+    from pyspark.sql import functions as F
+
+    from tripgauge.operators.model import count_trees, load_model, model_mae, save_model, train_duration_model
+
+    rows = spark.range(4000).select(
+        F.col("id").alias("trip_id"), ((F.col("id") * 7919) % 100 / 10.0 + 0.2).alias("haversine_distance_km"), (F.col("id") % 24).cast("int").alias("hour_of_day"),
+        (F.col("id") % 7).cast("int").alias("day_of_week"), F.lit("1-3mi").alias("distance_bucket"), F.lit(40.7).alias("pickup_latitude"), F.lit(-74.0).alias("pickup_longitude"),
+        F.lit(40.8).alias("dropoff_latitude"), F.lit(-73.9).alias("dropoff_longitude"), (F.col("id") >= 3500).alias("is_val"))
+    late = F.when(F.xxhash64("trip_id") % 5 == 0, 3000).otherwise(0)
+    rows = rows.withColumn("trip_duration_sec", (F.col("haversine_distance_km") * 100 + late).cast("long"))
+    plain, median = (train_duration_model(rows, max_iter=3, max_depth=4, median_trees=n) for n in (0, 3))
+    a, b = model_mae(plain, rows), model_mae(median, rows)
+    assert b < 0.9 * a and count_trees(plain) < count_trees(median) <= count_trees(plain) + 3
+    d = tempfile.mkdtemp(prefix="tg-median-")
+    save_model(median, f"{d}/m")
+    assert model_mae(load_model(f"{d}/m"), rows) == b

@@ -15,7 +15,7 @@ from tripgauge import schema as S
 from tripgauge.operators.charts import calibration_bins, error_histograms, histogram_markers
 from tripgauge.operators.insights import best_worst_segment, bias_detection, overall_insight
 from tripgauge.operators.metrics import compare_methods, error_by_segment, error_quantiles, metrics_tables, segment_metrics
-from tripgauge.operators.model import load_model, model_mae, save_model, train_duration_model
+from tripgauge.operators.model import count_trees, load_model, model_mae, save_model, train_duration_model
 from tripgauge.operators.split import model_input, temporal_validation_split
 from tripgauge.plans.evaluation import TripEvaluation
 from tripgauge.session import materialize
@@ -83,7 +83,7 @@ def train_job(spark: SparkSession, clean_table: str, model_path: str, val_fracti
     model = train_duration_model(train, **params)
     save_model(model, model_path)
     return {"validation_mae_sec": model_mae(model, train.where("is_val")),
-            "trees": model.stages[-1].getNumTrees}
+            "trees": count_trees(model)}
 
 
 def score_job(spark: SparkSession, clean_table: str, model_path: str, predictions_target: str,

@@ -39,6 +39,8 @@ MAX_CUTS = 50_000
 #: Steps that a read broadcasts at most (24 MB); more are joined, by blocks of BLOCK ids.
 MAX_STEPS = 1_000_000
 BLOCK = 256
+#: Steps that stand in the snapshot itself at most.
+SHORT = 10_000
 
 
 class TripTable:
@@ -55,8 +57,10 @@ class TripTable:
     def snapshot(self, version: int | None = None) -> dict:
         """{"version", "loads": [...]} as of ``version`` (default: the newest; version 0 without loads if there is none).
 
-        A load has its "id", "rows" and "content" sum, the folder "data" of its rows, the folder "steps" of its step
-        functions, how many steps place it ("placed") and move the earlier rows ("moved"), and its "last" pickup time.
+        A load has its "id", "rows" and "content" sum, its "first" and "last" pickup time, the folder "data" of its rows with
+        the place of each file's first row ("offsets"), and two step functions, which place its rows ("placed") and move
+        the earlier ones ("moved"; null: they keep their ids). A step function is a list of (lo, hi, shift), or the folder of
+        a longer one.
         """
         found = self.versions()
         if version is None:
@@ -85,27 +89,29 @@ class TripTable:
         """The rows of ``loads`` with their ids among each other: every load's own, moved by the loads behind it."""
         out = None
         for k, load in enumerate(loads):
-            rows = self._moved(self._ranked(load), f"{load['steps']}/placed", load["placed"])
+            rows = self._moved(self._ranked(load), load["placed"])
             for later in loads[k + 1:]:
                 if later["moved"]:
-                    rows = self._moved(rows, f"{later['steps']}/moved", later["moved"])
+                    rows = self._moved(rows, later["moved"])
             out = rows if out is None else out.unionByName(rows)
         return out
 
     def _ranked(self, load: dict) -> DataFrame:
         """The rows of a load with their place in it, from 1, as trip_id."""
         rows = self.spark.read.parquet(f"{load['data']}/rows")
-        offsets = [tuple(r) for r in self.spark.read.parquet(f"{load['data']}/offsets").select("_pid", "_first", "_off").collect()]  # a row per file
-        return attach_row_numbers(rows, offsets, TRIP_ID).drop("_mid")
-
-    def _moved(self, rows: DataFrame, steps_dir: str, count: int) -> DataFrame:
-        """trip_id moved by a stored step function: rows (lo, hi, shift), ids from lo to hi move by shift."""
-        steps = self.spark.read.parquet(steps_dir)
-        if count > MAX_STEPS:
-            blocks = steps.withColumn("_block", F.explode(F.sequence(F.expr(f"lo div {BLOCK}"), F.expr(f"hi div {BLOCK}"))))
-            found = rows.withColumn("_block", F.expr(f"{TRIP_ID} div {BLOCK}")).join(blocks, "_block").where(F.col(TRIP_ID).between(F.col("lo"), F.col("hi")))
-            return found.withColumn(TRIP_ID, F.col(TRIP_ID) + F.col("shift")).drop("_block", "lo", "hi", "shift")
-        table = steps.orderBy("lo").toPandas()
+        return attach_row_numbers(rows, [tuple(r) for r in load["offsets"]], TRIP_ID).drop("_mid") if load["rows"] else rows.withColumn(TRIP_ID, F.col("_mid")).drop("_mid")
+
+    def _moved(self, rows: DataFrame, steps: list | str) -> DataFrame:
+        """trip_id moved by a step function: ids from lo to hi move by shift."""
+        if isinstance(steps, str):
+            stored = self.spark.read.parquet(steps)
+            if stored.count() > MAX_STEPS:
+                blocks = stored.withColumn("_block", F.explode(F.sequence(F.expr(f"lo div {BLOCK}"), F.expr(f"hi div {BLOCK}"))))
+                found = rows.withColumn("_block", F.expr(f"{TRIP_ID} div {BLOCK}")).join(blocks, "_block").where(F.col(TRIP_ID).between(F.col("lo"), F.col("hi")))
+                return found.withColumn(TRIP_ID, F.col(TRIP_ID) + F.col("shift")).drop("_block", "lo", "hi", "shift")
+            table = stored.orderBy("lo").toPandas()
+        else:
+            table = pd.DataFrame(steps, columns=["lo", "hi", "shift"], dtype=np.int64)
         if len(table) == 1:
             return rows.withColumn(TRIP_ID, F.col(TRIP_ID) + F.lit(int(table["shift"][0])))
         shared = self.spark.sparkContext.broadcast((table["lo"].to_numpy(), table["shift"].to_numpy()))
@@ -136,11 +142,13 @@ class TripTable:
             given = {f.name: f.dataType for f in rows.schema if f.name not in (TRIP_ID, "_mid")}
             if stored != given:
                 raise ValueError(f"the table's columns are {stored}, the load's {given}")
-        new = self._staged(rows, load_id)
         at = next((k for k, load in enumerate(loads) if load["id"] == load_id), len(loads))
-        if at < len(loads) and all(loads[at][c] == new[c] for c in ("rows", "content")):
-            delete_tree(self.spark, new["data"])
-            return before
+        if at < len(loads):  # one scan tells a replay, before anything is sorted or written
+            own = rows.drop(TRIP_ID, "_mid")
+            told = own.agg(*observed_content(own)).first()
+            if (told["rows"], int(told["content"] or 0)) == (loads[at]["rows"], loads[at]["content"]):
+                return before
+        new = self._staged(rows, load_id)
         out = self._appended(loads[:at], new)
         for later in loads[at + 1:]:  # their rows stay as they are; their places are found anew
             out = self._appended(out, later)
@@ -154,7 +162,8 @@ class TripTable:
         """Deletes all but the newest ``keep`` snapshots and the folders that none of those refers to (of old rows and of
         failed writes). Not to be run while another writer is at work. Returns the folders' names."""
         versions = self.versions()
-        held = {load[c].rsplit("/", 1)[1] for v in versions[-keep:] for load in self.snapshot(v)["loads"] for c in ("data", "steps")}
+        held = {load[c].split("/loads/")[1].split("/")[0] for v in versions[-keep:] for load in self.snapshot(v)["loads"]
+                for c in ("data", "placed", "moved") if isinstance(load[c], str)}
         for v in versions[:-keep]:
             delete_tree(self.spark, f"{self.path}/snapshots/{v}.json")
         gone = [n for n in list_names(self.spark, f"{self.path}/loads") if n not in held]
@@ -172,7 +181,8 @@ class TripTable:
         keys = [*[F.col(c) for c in (*ORDER, *self.tiebreak)], content_hash(rows)]
         seen = Observation("staged")
         ordered = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).observe(
-            seen, *observed_content(rows), F.max(epoch_micros(PICKUP)).alias("last"), F.count_if(F.col(PICKUP).isNull()).alias("blank"))
+            seen, *observed_content(rows), F.min(epoch_micros(PICKUP)).alias("first"), F.max(epoch_micros(PICKUP)).alias("last"),
+            F.count_if(F.col(PICKUP).isNull()).alias("blank"))
         ordered = ordered.withColumn("_mid", F.monotonically_increasing_id())
         ordered.write.parquet(f"{folder}/rows")
         told = seen.get
@@ -181,36 +191,35 @@ class TripTable:
         rows_told, content = int(told["rows"]), int(told["content"] or 0)
         back = self.spark.read.schema(ordered.schema).parquet(f"{folder}/rows")
         verify_content(back.drop("_mid"), rows_told, content)
-        _partition_offsets(back.select("_mid"), ()).coalesce(1).write.parquet(f"{folder}/offsets")  # a row per file
-        return {"id": load_id, "data": folder, "rows": rows_told, "content": content, "last": told["last"]}
+        offsets = [list(r) for r in _partition_offsets(back.select("_mid"), ()).select("_pid", "_first", "_off").collect()]  # a row per file
+        return {"id": load_id, "data": folder, "rows": rows_told, "content": content, "first": told["first"], "last": told["last"], "offsets": offsets}
 
     def _appended(self, loads: list[dict], new: dict) -> list[dict]:
         """``loads`` and ``new`` behind them, with the step functions that place its rows and move the earlier ones."""
-        folder, stored = self._folder(), sum(load["rows"] for load in loads)
-        placed, moved = self._steps(loads, stored, new)
-        counts = {}
-        for name, steps in (("placed", placed), ("moved", moved)):
-            # Ids and the ids they become rise together, so ids of one shift are one run of ids.
-            merged = steps.groupBy("shift").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).select("lo", "hi", "shift")
-            merged.write.parquet(f"{folder}/{name}")
-            said = self.spark.read.parquet(f"{folder}/{name}").agg(F.count("*").alias("n"), F.max(F.abs("shift")).alias("most")).first()
-            counts[name] = said["n"] if name == "placed" or said["most"] else 0  # 0 moved: the earlier rows keep their ids
-        return [*loads, {**new, "steps": folder, **counts}]
-
-    def _steps(self, loads: list[dict], stored: int, new: dict) -> tuple[DataFrame, DataFrame]:
+        placed, moved = self._steps(loads, sum(load["rows"] for load in loads), new)
+        still = isinstance(moved, list) and not any(shift for *_, shift in moved)
+        return [*loads, {**new, "placed": placed, "moved": None if still else moved}]
+
+    def _kept(self, steps: DataFrame) -> list | str:
+        """A step function as a list, if it is short, or as the folder it is stored in; empty if it moves nothing."""
+        # Ids and the ids they become rise together, so ids of one shift are one run of ids.
+        folder = f"{self._folder()}/steps"
+        steps.groupBy("shift").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).select("lo", "hi", "shift").write.parquet(folder)
+        stored = self.spark.read.parquet(folder)
+        some = [list(r) for r in stored.orderBy("lo").limit(SHORT + 1).collect()]
+        return folder if len(some) > SHORT else some
+
+    def _steps(self, loads: list[dict], stored: int, new: dict) -> tuple[list | str, list | str]:
+        """How the ids of ``new`` become its places among all rows, and how those of the stored rows change (empty: not at all)."""
         spark, count = self.spark, new["rows"]
         table = lambda rows: spark.createDataFrame(rows, "lo long, hi long, shift long")
-        behind = table([(1, max(count, 1), stored)]), table([(1, max(stored, 1), 0)])
-        if not stored or not count:
-            return behind
+        if not stored or not count or new["first"] > max(load["last"] for load in loads if load["rows"]):
+            return [[1, max(count, 1), stored]], []  # later than all that is stored: nothing is read of it
         fresh = self._ranked(new)
         us = epoch_micros(PICKUP)
-        first = fresh.agg(F.min(us)).first()[0]
-        if first > max(load["last"] for load in loads if load["rows"]):  # later than all that is stored: nothing is read of it
-            return behind
-        times = fresh.select(us.alias("us")).distinct()
-        if times.count() <= MAX_CUTS:
-            cuts = times.toPandas()["us"].to_numpy()
+        times = fresh.select(us.alias("us")).distinct().limit(MAX_CUTS + 1).toPandas()["us"].to_numpy()
+        if len(times) <= MAX_CUTS:
+            cuts = times
         else:  # about MAX_CUTS / 10 places of equal shares of the new rows
             marks = [k / (MAX_CUTS // 10) for k in range(MAX_CUTS // 10 + 1)]
             cuts = np.array(fresh.agg(F.percentile_approx(us, marks, MAX_CUTS)).first()[0])
@@ -245,9 +254,12 @@ class TripTable:
         sides = []
         for n, own in ((n_new, start_new), (n_old, start_old)):
             at = np.flatnonzero((n > 0) & ~shared_cells)
-            sides.append(table(pd.DataFrame({"lo": own[at], "hi": own[at] + n[at] - 1, "shift": (start_all - own)[at]})))
+            sides.append(pd.DataFrame({"lo": own[at], "hi": own[at] + n[at] - 1, "shift": (start_all - own)[at]}))
+        if not shared_cells.any() and max(map(len, sides)) <= SHORT:
+            return tuple(side.groupby("shift", as_index=False).agg({"lo": "min", "hi": "max"})[["lo", "hi", "shift"]].to_numpy().tolist() for side in sides)
+        sides = [table(side) for side in sides]
         if not shared_cells.any():
-            return sides[0], sides[1]
+            return tuple(map(self._kept, sides))
         # Rows of cells that both sides have rows in are sorted together.
         at = np.flatnonzero(shared_cells)
         both = (n_old + n_new)[at]
@@ -259,4 +271,4 @@ class TripTable:
             *keys, content_hash(rows.select(*data)).alias("_hash"), F.lit(side).alias("_side"), TRIP_ID, "_ahead")
         ranked = row_numbers(pick(old, 1).unionByName(pick(fresh, 0)), [*keys, "_hash", "_side", TRIP_ID], "_at", start=0, name="merged_trips")
         moved = ranked.select("_side", F.col(TRIP_ID).alias("lo"), F.col(TRIP_ID).alias("hi"), (F.col("_at") + F.col("_ahead") - F.col(TRIP_ID)).alias("shift"))
-        return tuple(sides[k].unionByName(moved.where(F.col("_side") == k).drop("_side")) for k in (0, 1))
+        return tuple(self._kept(sides[k].unionByName(moved.where(F.col("_side") == k).drop("_side"))) for k in (0, 1))
