@@ -94,3 +94,38 @@ def test_thue_morse_texts(spark):
     for crowd in (1, 2048):
         out = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in repeats.remove_repeats(frame, crowd=crowd).collect()}
         assert [out[i] for i in range(len(texts))] == brute(texts, 400)
+
+
+def brute_passages(texts, words):
+    split = [tuple((t or "").encode().split()) for t in texts]
+    often = Counter(t[i:i + words] for t in split for i in range(len(t) - words + 1))
+    out = []
+    for t in split:
+        held = np.zeros(len(t), bool)
+        for i in range(len(t) - words + 1):
+            if often[t[i:i + words]] > 1:
+                held[i:i + words] = True
+        out.append((len(t), int(held.sum())))
+    return out
+
+
+@pytest.mark.parametrize("crowd", [2, 2048])
+def test_passages_match_brute_force(spark, crowd):
+    rng = random.Random(crowd)
+    shared = [" ".join(rng.choice(["of", "the", "é", "sea", "a"]) for _ in range(rng.randrange(8, 40))) for _ in range(10)]
+    texts = []
+    for _ in range(120):
+        parts = [rng.choice(shared).replace(" ", rng.choice([" ", "\n", "\t "])) if rng.random() < 0.5 else " ".join(f"w{rng.randrange(300)}" for _ in range(rng.randrange(0, 30)))
+                 for _ in range(rng.randrange(0, 6))]
+        texts.append("  ".join(parts))
+    long = [f"w{rng.randrange(5000)}" for _ in range(100_000)]  # several tiles
+    texts += [None, "", "x " * 4000, "one word", " ".join(long), " ".join(long[40_000:46_000]), " ".join(long[86_000:88_500])]
+    frame = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, n_words int")
+    out = {r.doc_id: (r.n_words, r.n_passage_words) for r in repeats.passages(frame, words=12, crowd=crowd).collect()}
+    assert [out[i] for i in range(len(texts))] == brute_passages(texts, 12)
+
+
+def test_op7_passages_on_the_table(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    want = {d: n for (d, _), (_, n) in zip(docs, brute_passages([t for _, t in docs], 51))}
+    assert {r.doc_id: r.n_passage_words for r in op7_suffix_array_dedup(spark, SF).collect()} == want and sum(want.values()) > 0

@@ -79,8 +79,12 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = repeats.remove_repeats(_read(spark, sf_dir, "documents").select("doc_id", "text"))
-    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
+    cut = repeats.remove_repeats(docs).select("doc_id", "text_hash", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    # A further column: words in passages of over 50 words that are also elsewhere; many of those are shorter than 400 bytes.
+    held = repeats.passages(docs).filter("n_passage_words > 0").select("doc_id", "text_hash", "n_passage_words").distinct()
+    both = cut.join(held, cut["doc_id"].eqNullSafe(held["doc_id"]) & (cut["text_hash"] == held["text_hash"]), "left")
+    return both.select(cut["doc_id"], "n_bytes", "n_removed", "n_spans", "kept_sha256", F.coalesce("n_passage_words", F.lit(0)).cast("long").alias("n_passage_words"))
 
 
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

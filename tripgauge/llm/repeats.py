@@ -79,12 +79,13 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def _tiles(texts: list[bytes], length: int):
+def _tiles(texts: list[bytes], length: int, stride: int):
     """(texts' numbers, their starts in the text, joined bytes, ends) of buffers of about a tile."""
     held, size = [], 0
+    step = TILE // 2 // stride * stride
     for row, text in enumerate(texts):
-        for at in range(0, max(0, len(text) - length + 1), TILE // 2):
-            part = text[at:at + TILE // 2 + length - 1]
+        for at in range(0, max(0, len(text) - length + 1), step):
+            part = text[at:at + step + length - stride]
             if size + len(part) > TILE and held:
                 yield held
                 held, size = [], 0
@@ -94,18 +95,19 @@ def _tiles(texts: list[bytes], length: int):
         yield held
 
 
-def segments(texts: list[bytes], length: int, gram: int):
+def segments(texts: list[bytes], length: int, gram: int, stride: int = 1):
     """Arrays (row, start, bytes, anchor, place) of all segments: maximal runs of windows with one anchor, which begins at
-    ``place`` in them. The anchors' hash only has to deal the windows; that segments are equal is told by ``_digests``."""
+    ``place`` in them. The anchors' hash only has to deal the windows; that segments are equal is told by ``_digests``.
+    Windows and anchors begin at multiples of ``stride``, of which all texts, ``length`` and ``gram`` are multiples."""
     out = []
-    for held in _tiles(texts, length):
+    for held in _tiles(texts, length, stride):
         data = np.frombuffer(b"".join(p for _, _, p in held), np.uint8)
         ends = np.cumsum([len(p) for _, _, p in held])
         one = _Hashes(data)
-        place = np.arange(len(data) - gram + 1)
+        place = np.arange(0, len(data) - gram + 1, stride)
         grams = _mixed(one(place, place + gram))
-        least = (grams & np.uint64(0xFFFFFFFF00000000)) | place.astype(np.uint64)  # the leftmost of equals
-        width, span = 1, length - gram + 1
+        least = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)  # the leftmost of equals
+        width, span = 1, (length - gram) // stride + 1
         while 2 * width <= span:
             least = np.minimum(least[:-width], least[width:])
             width *= 2
@@ -113,15 +115,15 @@ def segments(texts: list[bytes], length: int, gram: int):
             least = np.minimum(least[:len(least) - (span - width)], least[span - width:])
         anchor = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
         window = np.arange(len(anchor))
-        part = np.searchsorted(ends, window, "right")
-        good = window + length <= ends[part]
+        part = np.searchsorted(ends, window * stride, "right")
+        good = window * stride + length <= ends[part]
         window, anchor, part = window[good], anchor[good], part[good]
         fresh = np.append(True, (anchor[1:] != anchor[:-1]) | (part[1:] != part[:-1]))
         first = np.flatnonzero(fresh)
         begin, last, at, own = window[first], window[np.append(first[1:], len(window)) - 1], anchor[first], part[first]
         rows, offsets = np.array([r for r, _, _ in held]), np.array([a for _, a, _ in held])
         starts = ends - np.array([len(p) for _, _, p in held])
-        out.append((rows[own], begin - starts[own] + offsets[own], last - begin + length, grams[at].view(np.int64), at - begin))
+        out.append((rows[own], begin * stride - starts[own] + offsets[own], (last - begin) * stride + length, grams[at].view(np.int64), (at - begin) * stride))
     return [np.concatenate([np.zeros(0, np.int64), *(o[i] for o in out)]) for i in range(5)]
 
 
@@ -311,13 +313,15 @@ def _by_shard(fetched: DataFrame, length: int) -> DataFrame:
     return rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_shards(length), _SPANS)
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, gram: int = 64, crowd: int = 2048) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, gram: int = 64, crowd: int = 2048,
+                   stride: int = 1) -> DataFrame:
     """All rows with ``n_bytes``, ``n_removed``, ``n_spans`` (long) and ``kept`` (binary): the text's UTF-8 bytes without those
     covered by a string of ``length`` bytes that also starts anywhere else, in any row.
 
     Strings are judged on the input and never cross rows; overlapping ones count. A null text is empty. Repeated rows are
     each other's copies and lose all such strings. Rows with a null id take part like others. Texts are read whole, tile by
-    tile. Input columns of the new names are replaced. An empty table gives an empty one.
+    tile. Input columns of the new names are replaced. An empty table gives an empty one. The text may be binary;
+    with a ``stride`` only strings that begin at its multiples count (see ``segments``).
     """
     spark = docs.sparkSession
     ship(spark)
@@ -328,7 +332,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def anchors(batch):
         for part, texts in steps(batch, "text", 1 << 22):
-            found = segments(texts, length, gram)[3]
+            found = segments(texts, length, gram, stride)[3]
             yield {"anchor": found}
 
     again = map_batches(base, anchors, _fields(("anchor", _LONG))).groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
@@ -337,7 +341,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def cut(batch):
         for part, texts in steps(batch, "text", 1 << 22):
-            found = segments(texts, length, gram)
+            found = segments(texts, length, gram, stride)
             may = _passes(listed.value, found[3])
             row, start, size, anchor, place = (x[may] for x in found)
             h1, h2 = _digests(texts[r][a:a + n] for r, a, n in zip(row.tolist(), start.tolist(), size.tolist()))
@@ -386,3 +390,39 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         yield from finish(batch.filter(pa.array(surely)), lambda part: [None] * part.num_rows)
 
     return map_batches(hit, finish, schema).unionByName(map_batches(clear, uncut, schema))
+
+
+#: Bytes that stand for a word: a hash, so words that differ in a passage of 51 words go unseen once in 16 million.
+CODE = 3
+
+
+class _Codes(dict):
+    """The code of each word met."""
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) > 200_000:
+            self.clear()
+        code = self[word] = xxhash.xxh3_64_digest(word)[:CODE]
+        return code
+
+
+def passages(docs: DataFrame, text_col: str = "text", words: int = 51, crowd: int = 2048) -> DataFrame:
+    """The rows without the text, with ``n_words`` and ``n_passage_words``: the words covered by a passage of ``words`` words that
+    also begins anywhere else, in any row.
+
+    Words are parted by white space (x20, x09 to x0D); a passage is a sequence of words, whatever white space is between
+    them. The method is that of ``remove_repeats``, on texts in which a code of 3 bytes stands for a word. Nulls are empty.
+    """
+    names = [c for c in docs.columns if c not in (text_col, "n_words", "n_passage_words", "codes")]
+    source = docs.select(*names, text_col)
+    fields = [f for f in source.schema.fields if f.name in names]
+    schema = T.StructType([*fields, T.StructField("codes", T.BinaryType())])
+
+    def run(batch):
+        codes = _Codes()
+        for part, texts in steps(batch, text_col):
+            yield {f.name: part.column(k) for k, f in enumerate(fields)} | {"codes": pa.array([b"".join(map(codes.__getitem__, t.split())) for t in texts], pa.binary())}
+
+    coded = materialize(map_batches(source, run, schema).withColumn("_row", F.monotonically_increasing_id()), "word_codes")
+    found = remove_repeats(coded, "_row", "codes", length=words * CODE, gram=8 * CODE, crowd=crowd, stride=CODE)
+    return found.select(*names, (F.col("n_bytes") / CODE).cast("long").alias("n_words"), (F.col("n_removed") / CODE).cast("long").alias("n_passage_words"))
