@@ -6,7 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from tripgauge.llm import repeats
+from tripgauge.llm import repeats, suffixes
 from tripgauge.llm.queries import op7_suffix_array_dedup
 from tripgauge.llm.suffixes import permuted_prefixes, suffix_array
 
@@ -31,6 +31,24 @@ def test_suffix_array_and_prefixes(alphabet):
             assert plcp[i] == n
 
 
+@pytest.mark.parametrize("free, window", [(1 << 40, (1, 4)), (0, (256, 1 << 17)), (3, (8, 64)), (32, (256, 1 << 17))])
+def test_walks_in_windows_and_singly(free, window, monkeypatch):
+    """The same order whether the walk takes steps of any width, goes entry by entry or changes over; several levels of recursion."""
+    monkeypatch.setattr(suffixes, "FREE", free)
+    monkeypatch.setattr(suffixes, "WINDOW", window)
+    rng = random.Random(free)
+    words = ["".join(rng.choice("abc") for _ in range(rng.randrange(1, 6))) for _ in range(40)]
+    lines = [" ".join(rng.choice(words) for _ in range(30)) for _ in range(12)]
+    texts = ["".join(rng.choice(lines) for _ in range(25)), "".join(chr(200 - i // 20) for i in range(3000)), "a" * 2500, "ab" * 900 + "aab" * 300,
+             "".join(chr(rng.randrange(1, 250)) for _ in range(5000)), "".join(rng.choice(words) for _ in range(1500))]
+    for text in texts:
+        b = text.encode("latin-1") + b"\0"
+        assert suffix_array(np.frombuffer(b, np.uint8).astype(np.int32)).tolist() == sorted(range(len(b)), key=lambda i: b[i:])
+    # An alphabet beyond 16 bits.
+    x = np.append(np.array([rng.randrange(1, 90_000) for _ in range(400)] * 4, np.int32), np.int32(0))
+    assert suffix_array(x).tolist() == sorted(range(len(x)), key=lambda i: x[i:].tolist())
+
+
 def brute(texts, length):
     raw = [(t or "").encode() for t in texts]
     often = Counter(t[i:i + length] for t in raw for i in range(len(t) - length + 1))

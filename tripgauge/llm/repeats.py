@@ -313,21 +313,11 @@ def _by_shard(fetched: DataFrame, length: int) -> DataFrame:
     return rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_shards(length), _SPANS)
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, gram: int = 64, crowd: int = 2048,
-                   stride: int = 1) -> DataFrame:
-    """All rows with ``n_bytes``, ``n_removed``, ``n_spans`` (long) and ``kept`` (binary): the text's UTF-8 bytes without those
-    covered by a string of ``length`` bytes that also starts anywhere else, in any row.
-
-    Strings are judged on the input and never cross rows; overlapping ones count. A null text is empty. Repeated rows are
-    each other's copies and lose all such strings. Rows with a null id take part like others. Texts are read whole, tile by
-    tile. Input columns of the new names are replaced. An empty table gives an empty one. The text may be binary;
-    with a ``stride`` only strings that begin at its multiples count (see ``segments``).
-    """
-    spark = docs.sparkSession
-    ship(spark)
-    passed = carried(docs, {"n_bytes", "n_removed", "n_spans", "kept"})
-    # Rows are told apart by id and text; rows equal in both have equal results.
-    base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63) + 1)).alias("doc"), F.xxhash64(text_col).alias("body"), F.col(text_col).alias("text"))
+def _covered(base: DataFrame, length: int, gram: int, crowd: int, stride: int = 1) -> DataFrame:
+    """(doc, body, cuts, covered) of the rows of ``base`` (doc, body, text) with strings of ``length`` bytes that also start elsewhere:
+    the merged [from, to) pairs of the bytes they cover, in one list, and their number. With a ``stride`` only strings that begin
+    at its multiples count (see ``segments``). Rows equal in doc and body have equal texts."""
+    spark = base.sparkSession
     base = base.filter(F.octet_length("text") >= length)
 
     def anchors(batch):
@@ -364,9 +354,28 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     lists = rows.join(spans, key).groupBy("doc", "body").agg(F.collect_list(F.struct("start", "spans")).alias("list"))
 
     def union(batch):
-        yield {"doc": batch.column("doc"), "body": batch.column("body"), "cuts": [_united(found) for found in batch.column("list")]}
+        cuts = [_united(found) for found in batch.column("list")]
+        yield {"doc": batch.column("doc"), "body": batch.column("body"), "cuts": cuts, "covered": [sum(c[1::2]) - sum(c[::2]) for c in cuts]}
+
+    return materialize(map_batches(lists, union, _fields(("doc", _LONG), ("body", _LONG), ("cuts", T.ArrayType(_LONG)), ("covered", _LONG))), "cuts")
 
-    cuts = materialize(map_batches(lists, union, _fields(("doc", _LONG), ("body", _LONG), ("cuts", T.ArrayType(_LONG)))), "cuts")
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, gram: int = 64, crowd: int = 2048,
+                   stride: int = 1) -> DataFrame:
+    """All rows with ``n_bytes``, ``n_removed``, ``n_spans`` (long) and ``kept`` (binary): the text's UTF-8 bytes without those
+    covered by a string of ``length`` bytes that also starts anywhere else, in any row.
+
+    Strings are judged on the input and never cross rows; overlapping ones count. A null text is empty. Repeated rows are
+    each other's copies and lose all such strings. Rows with a null id take part like others. Texts are read whole, tile by
+    tile. Input columns of the new names are replaced. An empty table gives an empty one. The text may be binary;
+    with a ``stride`` only strings that begin at its multiples count (see ``segments``).
+    """
+    spark = docs.sparkSession
+    ship(spark)
+    passed = carried(docs, {"n_bytes", "n_removed", "n_spans", "kept"})
+    # Rows are told apart by id and text; rows equal in both have equal results.
+    base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63) + 1)).alias("doc"), F.xxhash64(text_col).alias("body"), F.col(text_col).alias("text"))
+    cuts = _covered(base, length, gram, crowd, stride).select("doc", "body", "cuts")
     filled = spark.sparkContext.broadcast(_bloom(cuts, F.xxhash64("doc", "body")))
     by, names = ("_doc", "_body"), [f.name for f in passed]
     named = docs.select(*names, F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63) + 1)).alias("_doc"), F.xxhash64(text_col).alias("_body"))
@@ -416,13 +425,16 @@ def passages(docs: DataFrame, text_col: str = "text", words: int = 51, crowd: in
     names = [c for c in docs.columns if c not in (text_col, "n_words", "n_passage_words", "codes")]
     source = docs.select(*names, text_col)
     fields = [f for f in source.schema.fields if f.name in names]
-    schema = T.StructType([*fields, T.StructField("codes", T.BinaryType())])
+    schema = T.StructType([*fields, T.StructField("n_words", _LONG), T.StructField("codes", T.BinaryType())])
 
     def run(batch):
         codes = _Codes()
         for part, texts in steps(batch, text_col):
-            yield {f.name: part.column(k) for k, f in enumerate(fields)} | {"codes": pa.array([b"".join(map(codes.__getitem__, t.split())) for t in texts], pa.binary())}
+            coded = [b"".join(map(codes.__getitem__, t.split())) for t in texts]
+            yield {f.name: part.column(k) for k, f in enumerate(fields)} | {"n_words": [len(c) // CODE for c in coded], "codes": pa.array(coded, pa.binary())}
 
     coded = materialize(map_batches(source, run, schema).withColumn("_row", F.monotonically_increasing_id()), "word_codes")
-    found = remove_repeats(coded, "_row", "codes", length=words * CODE, gram=8 * CODE, crowd=crowd, stride=CODE)
-    return found.select(*names, (F.col("n_bytes") / CODE).cast("long").alias("n_words"), (F.col("n_removed") / CODE).cast("long").alias("n_passage_words"))
+    base = coded.select(F.col("_row").alias("doc"), F.lit(0).cast("long").alias("body"), F.col("codes").alias("text"))
+    found = _covered(base, words * CODE, 8 * CODE, crowd, CODE).select(F.col("doc").alias("_row"), (F.col("covered") / CODE).cast("long").alias("n_passage_words"))
+    # Only the counts are joined; no text moves.
+    return coded.select(*names, "n_words", "_row").join(found, "_row", "left").select(*names, "n_words", F.coalesce("n_passage_words", F.lit(0)).cast("long").alias("n_passage_words"))

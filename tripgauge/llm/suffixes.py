@@ -1,13 +1,16 @@
 """Suffix arrays by induced sorting, and permuted common prefixes, on numpy arrays.
 
-The induction walks the buckets of the first character in order; what a bucket
-induces goes out in one step, and steps repeat only where a bucket feeds
-itself (runs of one character). So the number of array operations depends on
-the alphabet and the longest run, and the work is linear in the text.
+The induction walks the suffix array in windows. All entries of a window up to
+the first place that the window itself fills are final, so what they induce
+goes out in one step of array operations. Where steps turn out short (strings of
+substring names, in the recursion, and long runs) the walk goes on entry by
+entry. So the work is linear in the text, whatever its alphabet.
 """
 
 from __future__ import annotations
 
+from itertools import islice
+
 import numpy as np
 
 
@@ -24,77 +27,89 @@ def _types(s: np.ndarray) -> np.ndarray:
     return small
 
 
-def _push(sa, at, preds, chars, sign):
+def _push(sa, at, preds, chars, sign=1):
     """Puts ``preds`` at the open ends of their buckets, in order; sign is 1 for heads and -1 for tails."""
-    order = np.argsort(chars, kind="stable")
+    order = chars.argsort(kind="stable")
     c = chars[order]
-    count = np.bincount(c, minlength=len(at))
-    first = np.cumsum(count) - count
-    sa[at[c] + sign * (np.arange(len(c)) - first[c])] = preds[order]
-    at += sign * count
+    edge = np.ones(len(c) + 1, bool)
+    np.not_equal(c[1:], c[:-1], out=edge[1:-1])
+    first = edge.nonzero()[0]
+    count, first = first[1:] - first[:-1], first[:-1]
+    head = c[first]
+    sa[np.repeat(at[head] - sign * first, count) + sign * np.arange(len(c))] = preds[order]
+    at[head] += sign * count
+
+
+#: Entries looked at in one step of the walk, at least and at most.
+WINDOW = (256, 1 << 17)
+#: Entries that a step must settle on average to be worth its array operations, and steps that are free.
+WORTH, FREE = 192, 32
+
+
+def _walk(sa: np.ndarray, s: np.ndarray, wanted: np.ndarray, at: np.ndarray) -> None:
+    """Goes through ``sa`` from the left; where the character left of a suffix is ``wanted``, the suffix that begins there
+    goes to the head ``at`` of its bucket, which is always further on."""
+    n, done, width, taken = len(sa), 0, WINDOW[0], 0
+    while done < n:
+        if done < WORTH * (taken - FREE):
+            return _walk_singly(sa, s, wanted, at, done)
+        taken += 1
+        part = sa[done:done + width]
+        place = np.flatnonzero(part > 0)
+        preds = part[place] - 1
+        own = wanted[preds]
+        place, preds = place[own] + done, preds[own]
+        stop = end = min(n, done + width)
+        if len(preds):
+            chars = s[preds]
+            filled = np.minimum.accumulate(at[chars])  # the first place that these entries fill
+            late = place[1:] >= filled[:-1]
+            fits = int(late.argmax()) + 1 if late.any() else len(place)
+            stop = min(end, int(filled[fits - 1]))
+            _push(sa, at, preds[:fits], chars[:fits])
+        width = min(WINDOW[1], 2 * width) if stop == end else max(WINDOW[0], min(width, 2 * (stop - done)))
+        done = stop
+
+
+def _walk_singly(sa: np.ndarray, s: np.ndarray, wanted: np.ndarray, at: np.ndarray, done: int) -> None:
+    """The walk from place ``done`` on, entry by entry."""
+    out, chars, wish, heads = sa.tolist(), s.tolist(), wanted.tolist(), at.tolist()
+    for i in islice(out, done, None):  # entries put in further on are met later
+        if i > 0 and wish[i - 1]:
+            c = chars[i - 1]
+            out[heads[c]] = i - 1
+            heads[c] += 1
+    sa[:] = out
 
 
 def _induce(s: np.ndarray, small: np.ndarray, lms: np.ndarray, k: int) -> np.ndarray:
     """The suffix array that follows from the order of ``lms`` (leftmost-smaller suffixes, or substrings)."""
     n = len(s)
     size = np.bincount(s, minlength=k)
-    head, tail = np.cumsum(size) - size, np.cumsum(size) - 1
+    tail = np.cumsum(size) - 1
     sa = np.full(n, -1, np.int32)
     _push(sa, tail.copy(), lms[::-1], s[lms[::-1]], -1)
-    seeds = np.bincount(s[lms], minlength=k)
-    at = head.copy()
-
-    def step(batch, wanted, sign):
-        preds = batch[batch > 0] - 1
-        preds = preds[small[preds] == wanted]
-        if len(preds):
-            _push(sa, at, preds, s[preds], sign)
-
-    for c in np.flatnonzero(size).tolist():  # larger suffixes, from the left
-        done = int(head[c])
-        while done < at[c]:
-            stop = int(at[c])
-            step(sa[done:stop], False, 1)
-            done = stop
-        if seeds[c]:
-            step(sa[tail[c] - seeds[c] + 1:tail[c] + 1], False, 1)
-    larger = at.copy()
-    at = tail.copy()
-    for c in np.flatnonzero(size)[::-1].tolist():  # smaller suffixes, from the right
-        done = int(tail[c])
-        while done > at[c]:
-            stop = int(at[c])
-            step(sa[stop + 1:done + 1][::-1], True, -1)
-            done = stop
-        if larger[c] > head[c]:
-            step(sa[head[c]:larger[c]][::-1], True, -1)
+    seeds = np.flatnonzero(sa >= 0)
+    _walk(sa, s, ~small, tail - size + 1)  # larger suffixes, from the left
+    sa[seeds] = -1
+    _walk(sa[::-1], s, small, n - 1 - tail)  # smaller suffixes, from the right
     sa[0] = n - 1
     return sa
 
 
-def _ranked(names: np.ndarray) -> np.ndarray:
-    """The suffix order of a string of names: equal ranks are sorted by the rank of their next part, with parts doubling."""
-    m, width = len(names), 1
-    rank = names.astype(np.int64)
-    order = np.argsort(rank, kind="stable")
-    while True:
-        r = rank[order]
-        edge = np.append(True, r[1:] != r[:-1])
-        group = np.flatnonzero(edge)
-        rank[order] = group[np.cumsum(edge) - 1]  # a rank is the first place of its group
-        loose = ~(edge & np.append(edge[1:], True))
-        if not loose.any():
-            return order
-        at = np.flatnonzero(loose)
-        some = order[at]
-        after = np.where(some + width < m, rank[np.minimum(some + width, m - 1)] + 1, 0)
-        key = rank[some] * (m + 1) + after
-        by = np.argsort(key, kind="stable")
-        order[at] = some[by]
-        key = key[by]
-        fresh = np.append(True, key[1:] != key[:-1])
-        rank[order[at]] = at[np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))]
-        width *= 2
+def _settled(names: np.ndarray, single: np.ndarray, lms: np.ndarray) -> np.ndarray:
+    """The places ``lms`` whose name is not ``single``, in the order of their suffixes, by the suffix array of the names.
+
+    Two suffixes differ at the first single name at the latest, so single names behind another single name are left out.
+    """
+    keep = ~(single & np.append(False, single[:-1]))
+    keep[-1] = True
+    at = np.flatnonzero(keep)
+    short = names[at]
+    seen = np.zeros(int(names.max()) + 1, bool)
+    seen[short] = True
+    order = at[suffix_array((np.cumsum(seen, dtype=np.int32) - 1)[short])]
+    return lms[order[~single[order]]]
 
 
 def suffix_array(s: np.ndarray) -> np.ndarray:
@@ -102,6 +117,8 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     n, k = len(s), int(s.max()) + 1 if len(s) else 1
     if n < 2:
         return np.arange(n)
+    if k <= 1 << 16:
+        s = s.astype(np.uint16)  # numpy sorts these by radix
     small = _types(s)
     lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
     order = _induce(s, small, lms, k)
@@ -120,10 +137,14 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
         live = live[equal]
         d += 1
         live = live[d <= length[live]]
-    names = np.empty(n, np.int32)
-    names[first] = np.append(0, np.cumsum(~same))
     if same.any():
-        first = lms[_ranked(names[lms])]
+        fresh = np.append(True, ~same)
+        alone = fresh & np.append(fresh[1:], True)  # substrings unlike all others
+        names = np.empty(n, np.int32)
+        names[first] = np.cumsum(fresh) - 1
+        single = np.empty(n, bool)
+        single[first] = alone
+        first[~alone] = _settled(names[lms], single[lms], lms)
     return _induce(s, small, first, k)
 
 
