@@ -139,3 +139,23 @@ def test_median_trees_lower_the_absolute_error(spark):
     d = tempfile.mkdtemp(prefix="tg-median-")
     save_model(median, f"{d}/m")
     assert model_mae(load_model(f"{d}/m"), rows) == b
+
+
+def test_training_rows_are_dealt_to_tasks_of_bounded_size(spark, monkeypatch):
+    """All rows in one partition: every tree is fitted on rows dealt evenly, and the model is the same as without."""
+    from tripgauge.operators import model as m
+
+    rows = spark.range(0, 4000, 1, 1).select(
+        F.lit(7).cast("long").alias("trip_id"), ((F.col("id") * 7919) % 100 / 10.0 + 0.2).alias("haversine_distance_km"), (F.col("id") % 24).cast("int").alias("hour_of_day"),
+        (F.col("id") % 7).cast("int").alias("day_of_week"), F.lit("1-3mi").alias("distance_bucket"), F.lit(40.7).alias("pickup_latitude"), F.lit(-74.0).alias("pickup_longitude"),
+        F.lit(40.8).alias("dropoff_latitude"), F.lit(-73.9).alias("dropoff_longitude"), (F.col("id") >= 3500).alias("is_val"),
+        ((F.col("id") * 31) % 997 + 60).alias("trip_duration_sec"))
+    a = m.model_mae(m.train_duration_model(rows, max_iter=2, max_depth=3, median_trees=1), rows)
+    sizes = []
+    for kind in (m.Pipeline, m.DecisionTreeRegressor):
+        fit = kind.fit
+        monkeypatch.setattr(kind, "fit", lambda self, data, fit=fit: (sizes.append(data.rdd.glom().map(len).collect()), fit(self, data))[1])
+    monkeypatch.setattr(m, "ROWS_PER_TASK", 500, raising=False)
+    b = m.model_mae(m.train_duration_model(rows, max_iter=2, max_depth=3, median_trees=1), rows)
+    assert len(sizes) == 2 and all(max(s) <= 510 for s in sizes) and sum(sizes[0]) == 4000
+    assert b == pytest.approx(a, rel=1e-6)
