@@ -147,3 +147,43 @@ def test_op7_passages_on_the_table(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     want = {d: n for (d, _), (_, n) in zip(docs, brute_passages([t for _, t in docs], 51))}
     assert {r.doc_id: r.n_passage_words for r in op7_suffix_array_dedup(spark, SF).collect()} == want and sum(want.values()) > 0
+
+
+def test_shards_leave_out_segments_without_a_common_window_and_take_whole_words():
+    """Of one anchor's segments only those that may share a window are sorted; words are single characters of the suffix array."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tripgauge.llm import repeats
+
+    rng = np.random.default_rng(5)
+    gram, part = rng.bytes(24), lambda n: rng.bytes(n)
+    left, right = part(60), part(69)
+    segments = [left + gram + right, left + gram + part(69), part(60) + gram + right, left[1:] + gram + right + b"x", part(60) + gram + part(69)]
+    names = ["anchor", "h1", "h2", "alone", "segment", "place"]
+    batch = pa.RecordBatch.from_pylist([dict(zip(names, (9, i, i, True, s, s.index(gram)))) for i, s in enumerate(segments)])
+    kept = [r[1] for r in repeats._alike([tuple(r.values()) for r in batch.to_pylist()], 120)]
+    assert 4 not in kept and {0, 3} <= set(kept)
+    found = {r["h1"]: r["spans"] for b in repeats._shards(120)(iter([batch])) for r in b.to_pylist()}
+    assert found == {0: [1, 153], 3: [0, 152]}
+    # With words of 3 bytes a repeated string that begins inside a word doesn't count: these share bytes 2 to 152 alone.
+    a, b = bytearray(part(153)), None
+    b = bytearray(a)
+    b[0] ^= 1
+    words = pa.RecordBatch.from_pylist([dict(zip(names, (9, i, i, True, bytes(s), 60))) for i, s in enumerate((a, b))])
+    assert not list(repeats._shards(153, 3)(iter([words]))) and list(repeats._shards(150, 3)(iter([words])))
+
+
+def test_word_codes_tell_words_apart_at_any_place():
+    from tripgauge.llm import repeats
+
+    long = b"w" * (repeats.TILE + 5)
+    texts = [b"", b" \t", b"one two\nthree", b"three\x0b one  two ", "é ü one".encode(), long + b" one", b"one " * 100_000, b"\xc2\xa0one"]
+    codes = [[c[i:i + repeats.CODE] for i in range(0, len(c), repeats.CODE)] for c in repeats._word_codes(texts)]
+    assert [len(c) for c in codes] == [len(t.split()) for t in texts]
+    table = {}
+    for text, made in zip(texts, codes):
+        for word, code in zip(text.split(), made):
+            assert table.setdefault(word, code) == code
+    assert len(set(table.values())) == len(table)
+    assert repeats._word_codes([]) == []

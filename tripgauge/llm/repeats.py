@@ -22,6 +22,8 @@ are dealt to shards by their anchor, and all equal windows meet in one shard:
 from __future__ import annotations
 
 import functools
+import re
+from itertools import groupby, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,7 @@ from tripgauge.llm.suffixes import permuted_prefixes, suffix_array
 from tripgauge.session import materialize
 
 TILE = 1 << 18  # bytes hashed at a time; windows of longer texts are walked tile by tile
-SHARD = 1 << 20  # segment bytes in one suffix array, but for a larger anchor (up to ``crowd`` segments)
+SHARD = 1 << 19  # segment bytes in one suffix array, but for a larger anchor (up to ``crowd`` segments)
 SLICES = (32, 1)  # windows in a slice of a crowded anchor, and in one of a crowded slice
 #: 64-bit words of a bloom filter at most (32 MB); beyond that it lets more through.
 MAX_WORDS = 1 << 22
@@ -167,40 +169,71 @@ def _spans(starts: np.ndarray, length: int) -> list[int]:
 _SPANS = _fields(("anchor", _LONG), ("h1", _LONG), ("h2", _LONG), ("spans", T.ArrayType(_INT)))
 
 
-def _shards(length: int):
-    """Repeated windows of the segments of a partition, sorted by anchor: suffix arrays over whole anchors of about SHARD bytes."""
+def _alike(rows: list[tuple], length: int) -> list[tuple]:
+    """Those of one anchor's ``rows`` that may have a window in common, at least one of the two with an open fate.
+
+    Equal windows have the anchor at the same place. So their place in the segment, in steps, and the bytes that all windows
+    of the step have in common are equal too: segments whose steps are all unlike the others' have no repeated window.
+    """
+    step = max(1, length // 16)
+    holders: dict[tuple[int, int], list[int]] = {}
+    for k, (_, _, _, _, segment, place) in enumerate(rows):
+        for q in range((place - len(segment) + length) // step, place // step + 1):
+            first = place - q * step
+            holders.setdefault((q, xxhash.xxh3_64_intdigest(segment[max(0, first):first - step + 1 + length])), []).append(k)
+    kept = {k for held in holders.values() if len(held) > 1 and any(rows[k][3] for k in held) for k in held}
+    return [rows[k] for k in sorted(kept)]
+
+
+def _symbols(joined: bytes, stride: int) -> np.ndarray:
+    """Small numbers in the order of the parts of ``stride`` bytes."""
+    parts = np.frombuffer(joined, np.uint8).reshape(-1, stride)
+    if stride == 1:
+        return parts[:, 0]
+    number = np.zeros(len(parts), np.int64)
+    for column in parts.T:
+        number = number << 8 | column
+    return np.unique(number, return_inverse=True)[1]
+
+
+def _shards(length: int, stride: int = 1):
+    """Repeated windows of the segments of a partition, sorted by anchor: suffix arrays over whole anchors of about SHARD bytes.
+    Windows that begin at multiples of ``stride`` count (up to 7, of which all sizes are multiples); its parts are the characters."""
     arrow = pa.schema([("anchor", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("spans", pa.list_(pa.int32()))])
 
     def solve(rows):
-        sizes = np.array([len(r[4]) for r in rows])
-        s = np.frombuffer(b"\0".join([*(r[4] for r in rows), b""]), np.uint8).astype(np.int32) + 2
+        sizes = np.array([len(r[4]) // stride for r in rows])
         begins = np.cumsum(sizes + 1) - sizes - 1
-        s[begins + sizes] = 1
-        s = np.append(s, np.int32(0))
+        s = np.ones(int(sizes.sum()) + len(rows) + 1, np.int32)
+        inner = np.ones(len(s), bool)
+        inner[begins + sizes] = inner[-1] = False
+        s[inner] = _symbols(b"".join(r[4] for r in rows), stride)
+        s[inner] += 2
+        s[-1] = 0
         sa = suffix_array(s)
-        far = permuted_prefixes(s, sa) >= length
+        far = permuted_prefixes(s, sa) >= length // stride
         after = np.zeros(len(s), bool)
         after[sa[:-1]] = far[sa[1:]]
         repeated = np.flatnonzero(far | after)
         owner = np.searchsorted(begins, repeated, "right") - 1
         inside = repeated - begins[owner]
-        fits = inside + length <= sizes[owner]
-        owner, inside = owner[fits], inside[fits]
+        fits = inside + length // stride <= sizes[owner]
+        owner, inside = owner[fits], inside[fits] * stride
         bounds = np.searchsorted(owner, np.arange(len(rows) + 1))
         found = [(r[0], r[1], r[2], _spans(inside[bounds[i]:bounds[i + 1]], length)) for i, r in enumerate(rows) if r[3] and bounds[i] < bounds[i + 1]]
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), arrow.types)], schema=arrow)
 
     def run(batches):
-        held, size, anchor = [], 0, None
-        for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "h1", "h2", "alone", "segment"))):
-                if row[0] != anchor and size > SHARD:
-                    yield from solve(held)
-                    held, size = [], 0
-                anchor = row[0]
-                held.append(row)
-                size += len(row[4])
+        named = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "h1", "h2", "alone", "segment", "place"))))
+        held, size = [], 0
+        for _, group in groupby(named, key=lambda row: row[0]):
+            some = _alike(list(group), length)
+            held += some
+            size += sum(len(row[4]) for row in some)
+            if size > SHARD:
+                yield from solve(held)
+                held, size = [], 0
         if held:
             yield from solve(held)
 
@@ -308,9 +341,9 @@ def _united(found) -> list[int]:
     return np.column_stack([pairs[first, 0], reach[np.append(first[1:], len(pairs)) - 1]]).reshape(-1).tolist()
 
 
-def _by_shard(fetched: DataFrame, length: int) -> DataFrame:
-    rows = fetched.select("anchor", "h1", "h2", "alone", "segment")
-    return rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_shards(length), _SPANS)
+def _by_shard(fetched: DataFrame, length: int, stride: int = 1) -> DataFrame:
+    rows = fetched.select("anchor", "h1", "h2", "alone", "segment", "place")
+    return rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_shards(length, stride), _SPANS)
 
 
 def _covered(base: DataFrame, length: int, gram: int, crowd: int, stride: int = 1) -> DataFrame:
@@ -346,7 +379,7 @@ def _covered(base: DataFrame, length: int, gram: int, crowd: int, stride: int =
     distinct = materialize(distinct.select(*key, (F.col("n") == 1).alias("alone"), "bytes", "one.*"), "distinct_segments")
     several = _several(distinct, crowd)
     wanted = distinct.join(several, "anchor")
-    spans = _by_shard(_fetch(base, wanted.filter("NOT crowded")), length)
+    spans = _by_shard(_fetch(base, wanted.filter("NOT crowded")), length, stride)
     if several.filter("crowded").limit(1).count():
         spans = spans.unionByName(_crowded(_fetch(base, wanted.filter("crowded")), length, crowd))
     whole = distinct.filter("NOT alone").select(*key, F.array(F.lit(0), F.col("bytes")).alias("spans"))
@@ -405,14 +438,32 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 CODE = 3
 
 
-class _Codes(dict):
-    """The code of each word met."""
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) > 200_000:
-            self.clear()
-        code = self[word] = xxhash.xxh3_64_digest(word)[:CODE]
-        return code
+_WHITE = np.isin(np.arange(256), [*range(0x09, 0x0E), 0x20])
+_GAP = re.compile(rb"[\x09-\x0D\x20]")
+
+
+def _word_codes(texts: list[bytes]) -> list[bytes]:
+    """The codes of each text's words: polynomial hashes of all words of about a tile at a time."""
+    values, powers, _ = _hash_tables()
+    joined = b" ".join([*texts, b""])
+    begins, codes, at = [], [], 0
+    while at < len(joined):
+        stop = _GAP.search(joined, min(at + TILE, len(joined) - 1)).end()
+        data = np.frombuffer(joined, np.uint8, stop - at, at)
+        white = _WHITE[data]
+        edges = np.flatnonzero(np.diff(white, prepend=True))
+        first, size = edges[::2], edges[1::2] - edges[::2]
+        if len(first):
+            begin = np.cumsum(size) - size
+            place = np.arange(int(size.sum())) - np.repeat(begin, size)
+            hashes = np.add.reduceat(values[data[~white]] * powers[place % TILE], begin)
+            codes.append(_mixed(hashes + size.astype(np.uint64)) >> np.uint64(64 - 8 * CODE))
+            begins.append(first + at)
+        at = stop
+    begins = np.concatenate([np.zeros(0, np.int64), *begins])
+    raw = np.concatenate([np.zeros(0, np.uint64), *codes]).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :CODE].tobytes()
+    bounds = CODE * np.searchsorted(begins, np.cumsum([0, *(len(t) + 1 for t in texts)]))
+    return [raw[a:b] for a, b in pairwise(bounds.tolist())]
 
 
 def passages(docs: DataFrame, text_col: str = "text", words: int = 51, crowd: int = 2048) -> DataFrame:
@@ -428,9 +479,8 @@ def passages(docs: DataFrame, text_col: str = "text", words: int = 51, crowd: in
     schema = T.StructType([*fields, T.StructField("n_words", _LONG), T.StructField("codes", T.BinaryType())])
 
     def run(batch):
-        codes = _Codes()
-        for part, texts in steps(batch, text_col):
-            coded = [b"".join(map(codes.__getitem__, t.split())) for t in texts]
+        for part, texts in steps(batch, text_col, 1 << 20):
+            coded = _word_codes(texts)
             yield {f.name: part.column(k) for k, f in enumerate(fields)} | {"n_words": [len(c) // CODE for c in coded], "codes": pa.array(coded, pa.binary())}
 
     coded = materialize(map_batches(source, run, schema).withColumn("_row", F.monotonically_increasing_id()), "word_codes")
