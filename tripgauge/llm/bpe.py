@@ -155,15 +155,19 @@ class Codec:
         if self.held > REMEMBERED:
             known.clear()
             self.held = 0
-        fresh = list(set(pieces).difference(known))
+        found = list(map(known.get, pieces))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        fresh = list({pieces[i] for i in missing})
         for start in range(0, len(fresh), 20_000):
             some = fresh[start:start + 20_000]
             for piece, ids in zip(some, self._encode_fragments(some)):
                 known[piece] = array("I", ids).tobytes()
                 self.held += len(piece) + 4 * len(ids) + 180  # two objects and a place in the table
+        for i in missing:
+            found[i] = known[pieces[i]]
         out, at = [], 0
         for n in counts.tolist():
-            out.append(np.frombuffer(b"".join(map(known.__getitem__, pieces[at:at + n])), np.uint32))
+            out.append(np.frombuffer(b"".join(found[at:at + n]), np.uint32))
             at += n
         return out
 
