@@ -135,3 +135,22 @@ def test_many_regions_and_migration_stay_whole(spark):
     out = packing.pack(spark.createDataFrame(rows, "doc_id int, length long"), region_size=256).collect()
     assert sorted((r.doc_id, r.length) for r in out) == rows
     assert _check_layout(out, 1024) <= 1.03 * sum(n for _, n in rows) / 1024 + 1
+
+
+def test_a_worker_stays_small_while_it_encodes_a_long_text():
+    import tracemalloc
+
+    codec = bpe.Codec(PATH)
+    codec.decode([0, 1])
+    assert not {"ranked", "tokenizer"} & vars(codec).keys()  # a worker that decodes needs no encoder
+    text = "x-1 zq. " * 250_000
+    want = codec.encode([text[:800].encode()])[0].tolist()
+    tracemalloc.start()
+    try:
+        ids = codec.encode([b"", text.encode(), b""])
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert [len(ids[0]), len(ids[2])] == [0, 0] and ids[1].tolist()[:len(want) - 8] == want[:-8]
+    assert codec.decode(ids[1].tolist()) == text
+    assert peak < 45 * len(text), peak / len(text)  # 90 with all fragments as objects at once

@@ -30,6 +30,8 @@ from tripgauge.llm.runtime import carried, map_batches, steps
 
 #: Bytes of fragments and their ids that a worker remembers, overheads included; beyond that it starts anew (results stay the same).
 REMEMBERED = 96 << 20
+#: Fragments that are objects at a time while encoding, and text bytes of a step, so that a worker stays small whatever comes in a batch.
+BLOCK, STEP = 1 << 17, 1 << 20
 #: FIXED VALUE: how a byte-level tokenizer parts words before merging.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -45,9 +47,6 @@ class Codec:
     """Tables of one byte-level BPE file, and the fragments met so far."""
 
     def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         words = spec["pre_tokenizer"] or {}
@@ -73,10 +72,11 @@ class Codec:
         for a, b in ("'s", "'t", "'r", "re", "'v", "ve", "'m", "'l", "ll", "'d"):  # FIXED VALUES: the expression's own suffixes
             inside[ord(a) << 8 | ord(b)] = True
         self.forced = ~inside
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.ranked = self._by_rank(spec, vocab)
+        self.path = path
+        merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
+        made, single = [vocab[a + b] for a, b in merges], len(vocab) - len(merges)
+        #: The vocabulary's ids, if the merges make tokens in the order of their ids (else None).
+        self.in_order = array("I", vocab.values()) if made == list(range(single, len(vocab))) else None
         solid = np.zeros(256, bool)  # first bytes of characters that are never white space
         solid[0x21:0x7F] = solid[0xC3:0xE0] = solid[0xE4:0xF5] = True
         self.solid = solid
@@ -84,18 +84,28 @@ class Codec:
         self.known: dict[bytes, bytes] = {}
         self.held = 0
 
-    def _by_rank(self, spec: dict, vocab: dict[str, int]):
+    # Made when first needed: a worker that decodes holds neither.
+    @functools.cached_property
+    def ranked(self):
         """A faster encoder of fragments, if the merges make tokens in the order of their ids (else None)."""
         import tiktoken
 
-        merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
-        made = [vocab[a + b] for a, b in merges]
-        single = len(vocab) - len(merges)
-        if spec["normalizer"] or made != list(range(single, len(vocab))):
+        if self.in_order is None:
             return None
-        ranks = {self.tokens[i]: i for i in vocab.values()}
+        ranks = {self.tokens[i]: i for i in self.in_order}
         return tiktoken.Encoding("fragments", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
 
+    @functools.cached_property
+    def tokenizer(self):
+        """The library's own encoder, where there is no faster one."""
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        made = Tokenizer.from_file(self.path)
+        made.no_truncation()
+        made.no_padding()
+        return made
+
     def _encode_fragments(self, fragments: list[bytes]):
         special = {w: self.tokens.index(w) for w in self.special}
         if self.ranked is not None:
@@ -123,8 +133,8 @@ class Codec:
         mask[1:] = self.forced[pair] & solid[:-1] & ~inner[1:] & ((right != 0x27) | self.alnum[left])
         return mask
 
-    def fragments(self, texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
-        """All fragments in order, and the number of them in each text."""
+    def fragments(self, texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
+        """The joined texts, the places in them where fragments begin (and the end), and the number of fragments in each text."""
         joined = b"".join(texts)
         ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
         mask = self.cuts(np.frombuffer(joined, np.uint8))
@@ -145,12 +155,10 @@ class Codec:
         mask[starts[inside]] = True
         begins = np.flatnonzero(mask)
         counts = np.searchsorted(begins, ends) - np.searchsorted(begins, starts)
-        bounds = [*begins.tolist(), len(joined)]
-        return [joined[a:b] for a, b in pairwise(bounds)], counts
+        return joined, np.append(begins, len(joined)), counts
 
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        """The ids (unsigned 32-bit) of every text."""
-        pieces, counts = self.fragments(texts)
+    def _looked_up(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each fragment, as bytes; those not met yet are encoded once."""
         known = self.known
         if self.held > REMEMBERED:
             known.clear()
@@ -165,11 +173,19 @@ class Codec:
                 self.held += len(piece) + 4 * len(ids) + 180  # two objects and a place in the table
         for i in missing:
             found[i] = known[pieces[i]]
-        out, at = [], 0
-        for n in counts.tolist():
-            out.append(np.frombuffer(b"".join(found[at:at + n]), np.uint32))
-            at += n
-        return out
+        return found
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids (unsigned 32-bit) of every text."""
+        joined, bounds, counts = self.fragments(texts)
+        ids, sizes = [], [np.zeros(1, np.int64)]
+        for start in range(0, len(bounds) - 1, BLOCK):
+            found = self._looked_up([joined[a:b] for a, b in pairwise(bounds[start:start + BLOCK + 1].tolist())])
+            ids.append(b"".join(found))
+            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+        flat = np.frombuffer(b"".join(ids), np.uint32)
+        ends = np.cumsum(np.concatenate(sizes))[np.cumsum(counts)] // 4
+        return [flat[a:b] for a, b in pairwise([0, *ends.tolist()])]
 
     def decode(self, ids: list[int]) -> str:
         """Special tokens included; bytes that aren't UTF-8 become U+FFFD."""
@@ -192,7 +208,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", keep: list[str] |
     schema = T.StructType([*passed, T.StructField("token_ids", T.ArrayType(T.IntegerType()))])
 
     def run(batch):
-        for part, texts in steps(batch, text_col, 1 << 22):
+        for part, texts in steps(batch, text_col, STEP):
             ids = codec(path).encode(texts)
             offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
             flat = np.concatenate([np.zeros(0, np.uint32), *ids]).view(np.int32)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripgauge.llm.bpe import codec
+from tripgauge.llm.bpe import STEP, codec
 from tripgauge.llm.runtime import carried, map_batches, ship, steps
 from tripgauge.session import materialize
 
@@ -36,7 +36,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2, id
                            T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType())])
 
     def run(batch):
-        for part, texts in steps(batch, text_col):
+        for part, texts in steps(batch, text_col, STEP):
             owner, number, start, length, crc = [], [], [], [], []
             for row, ids in enumerate(codec(path).encode(texts)):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
