@@ -187,3 +187,20 @@ def test_word_codes_tell_words_apart_at_any_place():
             assert table.setdefault(word, code) == code
     assert len(set(table.values())) == len(table)
     assert repeats._word_codes([]) == []
+
+
+def test_a_worker_cuts_segments_from_a_megabyte_of_text_at_a_time(spark, monkeypatch):
+    import pyarrow as pa
+
+    docs = spark.createDataFrame([(1, 1, "x")], "doc long, body long, text string")
+    wanted = spark.createDataFrame([(1, 1, 1, True, 0, 1, 1, 0, 1)], "anchor long, h1 long, h2 long, alone boolean, place int, doc long, body long, start int, bytes int")
+    monkeypatch.setattr(repeats, "map_batches", lambda frame, fn, schema: fn)
+    cut = repeats._fetch(docs, wanted)
+    texts = [f"{i:04d}" * 256 for i in range(5000)]
+    lists = [[{"anchor": i, "h1": k, "h2": 0, "alone": True, "place": 0, "start": a, "bytes": 600} for k, a in enumerate((0, 171, 424))] for i in range(5000)]
+    found = list(cut(pa.RecordBatch.from_pydict({"text": texts, "list": lists})))
+    assert [s for part in found for s in part["segment"]] == [t[a:a + 600].encode() for t in texts for a in (0, 171, 424)]
+    assert max(sum(map(len, part["segment"])) for part in found) <= 2 << 20  # 9 MB with all 5 MB of text in one step
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    parts = list(repeats._slim(batch))
+    assert pa.Table.from_batches(parts).combine_chunks().to_pydict() == batch.to_pydict() and max(p.num_rows for p in parts) <= 512

@@ -37,6 +37,7 @@ from tripgauge.llm.suffixes import permuted_prefixes, suffix_array
 from tripgauge.session import materialize
 
 TILE = 1 << 18  # bytes hashed at a time; windows of longer texts are walked tile by tile
+STEP = 1 << 20  # text bytes that a worker cuts into segments, or copies, at a time
 SHARD = 1 << 19  # segment bytes in one suffix array, but for a larger anchor (up to ``crowd`` segments)
 SLICES = (32, 1)  # windows in a slice of a crowded anchor, and in one of a crowded slice
 #: 64-bit words of a bloom filter at most (32 MB); beyond that it lets more through.
@@ -248,7 +249,7 @@ def _fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     schema = _fields(("anchor", _LONG), ("h1", _LONG), ("h2", _LONG), ("alone", T.BooleanType()), ("place", _INT), ("segment", T.BinaryType()))
 
     def cut(batch):
-        for part, texts in steps(batch, "text"):
+        for part, texts in steps(batch, "text", STEP):
             lists = part.column(1)
             flat = lists.flatten()
             owner = np.repeat(np.arange(len(texts)), lists.value_lengths().to_numpy()).tolist()
@@ -258,11 +259,17 @@ def _fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return map_batches(joined, cut, schema)
 
 
+def _slim(batch: pa.RecordBatch):
+    """Parts of a batch of documents, so that what a filter copies stays small."""
+    return (batch.slice(start, 512) for start in range(0, batch.num_rows, 512))
+
+
 def _sifted(docs: DataFrame, filled, by: tuple[str, str] = ("doc", "body")) -> DataFrame:
     """Documents that may be in the bloom filter of their key."""
     def run(batches):
         for batch in batches:
-            yield batch.filter(pa.array(_passes(filled.value, batch.column(batch.num_columns - 1).to_numpy())))
+            for part in _slim(batch):
+                yield part.filter(pa.array(_passes(filled.value, part.column(part.num_columns - 1).to_numpy())))
 
     keyed = docs.withColumn("_key", F.xxhash64(*by))
     return keyed.mapInArrow(run, keyed.schema).drop("_key")
@@ -354,7 +361,7 @@ def _covered(base: DataFrame, length: int, gram: int, crowd: int, stride: int =
     base = base.filter(F.octet_length("text") >= length)
 
     def anchors(batch):
-        for part, texts in steps(batch, "text", 1 << 22):
+        for part, texts in steps(batch, "text", STEP):
             found = segments(texts, length, gram, stride)[3]
             yield {"anchor": found}
 
@@ -363,7 +370,7 @@ def _covered(base: DataFrame, length: int, gram: int, crowd: int, stride: int =
     listed = spark.sparkContext.broadcast(_bloom(again, F.col("anchor")))
 
     def cut(batch):
-        for part, texts in steps(batch, "text", 1 << 22):
+        for part, texts in steps(batch, "text", STEP):
             found = segments(texts, length, gram, stride)
             may = _passes(listed.value, found[3])
             row, start, size, anchor, place = (x[may] for x in found)
@@ -417,7 +424,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     schema = T.StructType([*passed, *_fields(("n_bytes", _LONG), ("n_removed", _LONG), ("n_spans", _LONG), ("kept", T.BinaryType())).fields])
 
     def finish(batch, cuts_of=lambda part: part.column(part.num_columns - 1).to_pylist()):
-        for part, texts in steps(batch, text_col, 1 << 22):
+        for part, texts in steps(batch, text_col, STEP):
             gone, count, kept = [], [], []
             for text, cuts in zip(texts, cuts_of(part)):
                 edges = [0, *(cuts or []), len(text)]
@@ -428,8 +435,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield {f.name: part.column(k) for k, f in enumerate(passed)} | {"n_bytes": [len(t) for t in texts], "n_removed": gone, "n_spans": count, "kept": kept}
 
     def uncut(batch):  # sifts and finishes in one pass, by one Python worker a task
-        surely = ~_passes(filled.value, batch.column(batch.num_columns - 1).to_numpy())
-        yield from finish(batch.filter(pa.array(surely)), lambda part: [None] * part.num_rows)
+        for few in _slim(batch):
+            surely = ~_passes(filled.value, few.column(few.num_columns - 1).to_numpy())
+            yield from finish(few.filter(pa.array(surely)), lambda part: [None] * part.num_rows)
 
     return map_batches(hit, finish, schema).unionByName(map_batches(clear, uncut, schema))
 
@@ -479,7 +487,7 @@ def passages(docs: DataFrame, text_col: str = "text", words: int = 51, crowd: in
     schema = T.StructType([*fields, T.StructField("n_words", _LONG), T.StructField("codes", T.BinaryType())])
 
     def run(batch):
-        for part, texts in steps(batch, text_col, 1 << 20):
+        for part, texts in steps(batch, text_col, STEP):
             coded = _word_codes(texts)
             yield {f.name: part.column(k) for k, f in enumerate(fields)} | {"n_words": [len(c) // CODE for c in coded], "codes": pa.array(coded, pa.binary())}
 
