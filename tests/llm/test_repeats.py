@@ -204,3 +204,19 @@ def test_a_worker_cuts_segments_from_a_megabyte_of_text_at_a_time(spark, monkeyp
     batch = pa.RecordBatch.from_pydict({"text": texts})
     parts = list(repeats._slim(batch))
     assert pa.Table.from_batches(parts).combine_chunks().to_pydict() == batch.to_pydict() and max(p.num_rows for p in parts) <= 512
+
+
+def test_only_the_cuts_stay_on_disk(spark):
+    from pathlib import Path
+
+    from pyspark.sql import functions as F
+    from tripgauge.session import shared_dir
+
+    stages = Path(shared_dir(spark).removeprefix("file:")) / "tripgauge" / spark.sparkContext.applicationId
+    rng = random.Random(4)
+    same = "".join(rng.choice("abcd") for _ in range(90))
+    frame = spark.createDataFrame([(i, same[:60 + i] + str(i) * 50) for i in range(9)], "doc long, text string")
+    before = set(stages.glob("*/*"))
+    cuts = repeats._covered(frame.select("doc", F.lit(0).cast("long").alias("body"), "text"), 40, 8, 2)
+    assert {p.name for p in set(stages.glob("*/*")) - before} == {"cuts"}
+    assert {r.doc for r in cuts.collect()} == set(range(9))

@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from tripgauge.llm.runtime import carried, map_batches, ship, steps
 from tripgauge.llm.suffixes import permuted_prefixes, suffix_array
-from tripgauge.session import materialize
+from tripgauge.session import drop_stages, materialize
 
 TILE = 1 << 18  # bytes hashed at a time; windows of longer texts are walked tile by tile
 STEP = 1 << 20  # text bytes that a worker cuts into segments, or copies, at a time
@@ -275,10 +275,10 @@ def _sifted(docs: DataFrame, filled, by: tuple[str, str] = ("doc", "body")) -> D
     return keyed.mapInArrow(run, keyed.schema).drop("_key")
 
 
-def _several(distinct: DataFrame, crowd: int) -> DataFrame:
+def _several(distinct: DataFrame, crowd: int, made: list[str]) -> DataFrame:
     """(anchor, crowded) of the anchors with several distinct segments, one of them at least with an open fate."""
     several = distinct.groupBy("anchor").agg(F.count("*").alias("n"), F.max("alone").alias("open")).filter("n > 1 AND open")
-    return materialize(several.select("anchor", (F.col("n") > crowd).alias("crowded")), "shared_anchors")
+    return materialize(several.select("anchor", (F.col("n") > crowd).alias("crowded")), "shared_anchors", made)
 
 
 def _slices(fetched: DataFrame, length: int, width: int) -> DataFrame:
@@ -312,22 +312,22 @@ def _slices(fetched: DataFrame, length: int, width: int) -> DataFrame:
     return map_batches(fetched, run, schema)
 
 
-def _crowded(fetched: DataFrame, length: int, crowd: int, widths: tuple[int, ...] = SLICES) -> DataFrame:
+def _crowded(fetched: DataFrame, length: int, crowd: int, made: list[str], widths: tuple[int, ...] = SLICES) -> DataFrame:
     """The spans of segments whose anchor has too many of them for a shard: sliced, and the slices solved like segments."""
-    rows = materialize(_slices(fetched, length, widths[0]), "slices")
+    rows = materialize(_slices(fetched, length, widths[0]), "slices", made)
     key = ["anchor", "h1", "h2"]
     distinct = rows.groupBy(*key).agg(F.count("*").alias("n"), F.max("alone").alias("open"), F.min("alone").alias("all"), F.min("place").alias("place"))
     # A slice that is also elsewhere, in whatever segment, repeats whole; so do those of segments that do.
-    distinct = materialize(distinct.select(*key, ((F.col("n") == 1) & F.col("all")).alias("alone"), "open", "place"), "distinct_slices")
-    several = _several(distinct, crowd)
+    distinct = materialize(distinct.select(*key, ((F.col("n") == 1) & F.col("all")).alias("alone"), "open", "place"), "distinct_slices", made)
+    several = _several(distinct, crowd, made)
     texts = rows.groupBy(*key).agg(F.min("segment").alias("segment"))
     wanted = distinct.join(several, "anchor").join(texts, key)
     spans = _by_shard(wanted.filter("NOT crowded"), length)
     if several.filter("crowded").limit(1).count():
-        spans = spans.unionByName(_crowded(wanted.filter("crowded"), length, crowd, widths[1:]))
+        spans = spans.unionByName(_crowded(wanted.filter("crowded"), length, crowd, made, widths[1:]))
     size = rows.filter("alone").groupBy(*key).agg(F.max(F.octet_length("segment")).alias("size"))
     whole = distinct.filter("NOT alone AND open").join(size, key).select(*key, F.array(F.lit(0), F.col("size")).alias("spans"))
-    found = materialize(spans.unionByName(whole), "slice_spans")
+    found = materialize(spans.unionByName(whole), "slice_spans", made)
     back = rows.filter("alone").select("_anchor", "_h1", "_h2", "_from", *key).join(found, key)
     lists = back.groupBy("_anchor", "_h1", "_h2").agg(F.collect_list(F.struct(F.col("_from").alias("start"), "spans")).alias("list"))  # as many as a segment has slices
 
@@ -357,7 +357,7 @@ def _covered(base: DataFrame, length: int, gram: int, crowd: int, stride: int =
     """(doc, body, cuts, covered) of the rows of ``base`` (doc, body, text) with strings of ``length`` bytes that also start elsewhere:
     the merged [from, to) pairs of the bytes they cover, in one list, and their number. With a ``stride`` only strings that begin
     at its multiples count (see ``segments``). Rows equal in doc and body have equal texts."""
-    spark = base.sparkSession
+    spark, made = base.sparkSession, []
     base = base.filter(F.octet_length("text") >= length)
 
     def anchors(batch):
@@ -366,7 +366,7 @@ def _covered(base: DataFrame, length: int, gram: int, crowd: int, stride: int =
             yield {"anchor": found}
 
     again = map_batches(base, anchors, _fields(("anchor", _LONG))).groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
-    again = materialize(again.select("anchor"), "anchors")
+    again = materialize(again.select("anchor"), "anchors", made)
     listed = spark.sparkContext.broadcast(_bloom(again, F.col("anchor")))
 
     def cut(batch):
@@ -380,24 +380,26 @@ def _covered(base: DataFrame, length: int, gram: int, crowd: int, stride: int =
                    "start": start, "bytes": size, "place": place}
 
     shape = _fields(("anchor", _LONG), ("h1", _LONG), ("h2", _LONG), ("doc", _LONG), ("body", _LONG), ("start", _INT), ("bytes", _INT), ("place", _INT))
-    rows = materialize(map_batches(base, cut, shape), "segments")
+    rows = materialize(map_batches(base, cut, shape), "segments", made)
     key = ["anchor", "h1", "h2"]
     distinct = rows.groupBy(*key).agg(F.count("*").alias("n"), F.max("bytes").alias("bytes"), F.min(F.struct("doc", "body", "start", "place")).alias("one"))
-    distinct = materialize(distinct.select(*key, (F.col("n") == 1).alias("alone"), "bytes", "one.*"), "distinct_segments")
-    several = _several(distinct, crowd)
+    distinct = materialize(distinct.select(*key, (F.col("n") == 1).alias("alone"), "bytes", "one.*"), "distinct_segments", made)
+    several = _several(distinct, crowd, made)
     wanted = distinct.join(several, "anchor")
     spans = _by_shard(_fetch(base, wanted.filter("NOT crowded")), length, stride)
     if several.filter("crowded").limit(1).count():
-        spans = spans.unionByName(_crowded(_fetch(base, wanted.filter("crowded")), length, crowd))
+        spans = spans.unionByName(_crowded(_fetch(base, wanted.filter("crowded")), length, crowd, made))
     whole = distinct.filter("NOT alone").select(*key, F.array(F.lit(0), F.col("bytes")).alias("spans"))
-    spans = materialize(spans.unionByName(whole), "segment_spans")
+    spans = materialize(spans.unionByName(whole), "segment_spans", made)
     lists = rows.join(spans, key).groupBy("doc", "body").agg(F.collect_list(F.struct("start", "spans")).alias("list"))
 
     def union(batch):
         cuts = [_united(found) for found in batch.column("list")]
         yield {"doc": batch.column("doc"), "body": batch.column("body"), "cuts": cuts, "covered": [sum(c[1::2]) - sum(c[::2]) for c in cuts]}
 
-    return materialize(map_batches(lists, union, _fields(("doc", _LONG), ("body", _LONG), ("cuts", T.ArrayType(_LONG)), ("covered", _LONG))), "cuts")
+    cuts = materialize(map_batches(lists, union, _fields(("doc", _LONG), ("body", _LONG), ("cuts", T.ArrayType(_LONG)), ("covered", _LONG))), "cuts")
+    drop_stages(spark, made)  # only the cuts are read from here on
+    return cuts
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, gram: int = 64, crowd: int = 2048,

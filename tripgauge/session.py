@@ -65,14 +65,23 @@ def close_stages(spark: SparkSession) -> bool:
     return bool(folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True))
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def drop_stages(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes the tables that ``materialize`` wrote at ``paths``, once nothing reads them any more."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def materialize(df: DataFrame, name: str, made: list[str] | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
     Cuts lineage (a lost executor recomputes from the table, not from the
     source), fixes any nondeterministic column, and gives downstream readers
-    column pruning and row-group skipping.
+    column pruning and row-group skipping. ``made`` gets the path, for ``drop_stages``.
     """
     path = stage_path(df.sparkSession, name)
+    if made is not None:
+        made.append(path)
     df.write.mode("overwrite").parquet(path)
     # The schema is known: read back without footer-based inference.
     return df.sparkSession.read.schema(df.schema).parquet(path)
