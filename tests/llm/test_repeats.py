@@ -220,3 +220,45 @@ def test_only_the_cuts_stay_on_disk(spark):
     cuts = repeats._covered(frame.select("doc", F.lit(0).cast("long").alias("body"), "text"), 40, 8, 2)
     assert {p.name for p in set(stages.glob("*/*")) - before} == {"cuts"}
     assert {r.doc for r in cuts.collect()} == set(range(9))
+
+
+def test_op7_sends_small_batches_and_leaves_two_small_tables(spark, tmp_path, monkeypatch):
+    """Batches that workers get of texts are bounded in bytes, not by 10,000 rows; neither word codes nor cuts stay on disk."""
+    from pathlib import Path
+
+    from tripgauge.session import shared_dir
+
+    stages = Path(shared_dir(spark).removeprefix("file:")) / "tripgauge" / spark.sparkContext.applicationId
+    rng = random.Random(6)
+    texts = [" ".join(str(rng.randrange(10_000)) for _ in range(600)) for _ in range(3000)]
+    texts[7] = texts[5]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    noted, real, key = str(tmp_path / "sizes"), repeats.steps, "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def steps(batch, *args):
+        with open(noted, "a") as f:
+            f.write(f"{batch.nbytes}\n")
+        return real(batch, *args)
+
+    monkeypatch.setattr(repeats, "steps", steps)
+    conf, before = spark.conf.get(key), set(stages.glob("*/*"))
+    out = {r.doc_id: (r.n_bytes, r.n_removed) for r in op7_suffix_array_dedup(spark, str(tmp_path)).collect()}
+    assert out == {i: (len(t), len(t) * (i in (5, 7))) for i, t in enumerate(texts)}
+    sizes = [int(x) for x in Path(noted).read_text().split()]
+    assert sum(sizes) > 3 * sum(map(len, texts)) and max(sizes) < 3 << 20  # 8 MB in one batch by rows
+    assert {p.name for p in set(stages.glob("*/*")) - before} == {"passage_words", "cut_digests"} and spark.conf.get(key) == conf
+
+
+def test_shared_anchors_are_joined_once(spark, monkeypatch):
+    """The join of segments and shared anchors is written, not run again by each filter and join made of it."""
+    made, real = [], repeats._fetch
+
+    def fetch(docs, wanted):
+        made.append(wanted._jdf.queryExecution().optimizedPlan().toString())
+        return real(docs, wanted)
+
+    monkeypatch.setattr(repeats, "_fetch", fetch)
+    same = "".join(random.Random(8).choice("abcd") for _ in range(90))
+    frame = spark.createDataFrame([(i, same[:60 + i] + str(i) * 50) for i in range(9)], "doc_id long, text string")
+    assert {r.doc_id for r in repeats.remove_repeats(frame, length=40, gram=8, crowd=2).filter("n_removed > 0").collect()} == set(range(9))
+    assert len(made) == 2 and not any("Join" in plan for plan in made)

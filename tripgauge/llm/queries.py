@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripgauge.llm import bpe, embeddings, fillmiddle, htmlcrf, linededup, packing, quality, repeats, secrets, sharding, simhash, urls, whitening
-from tripgauge.session import table_path
+from tripgauge.llm.runtime import small_batches
+from tripgauge.session import drop_stages, materialize, table_path
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -80,9 +81,16 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
-    cut = repeats.remove_repeats(docs).select("doc_id", "text_hash", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
-    # A further column: words in passages of over 50 words that are also elsewhere; many of those are shorter than 400 bytes.
-    held = repeats.passages(docs).filter("n_passage_words > 0").select("doc_id", "text_hash", "n_passage_words").distinct()
+    made: list[str] = []
+    # Each half is written as its few columns, inside small batches; the tables it was read from go then.
+    with small_batches(spark):
+        # A further column: words in passages of over 50 words that are also elsewhere; many of those are shorter than 400 bytes.
+        held = repeats.passages(docs, made=made).filter("n_passage_words > 0").select("doc_id", "text_hash", "n_passage_words").distinct()
+        held = materialize(held, "passage_words")
+        drop_stages(spark, made)
+        cut = repeats.remove_repeats(docs, made=made).select("doc_id", "text_hash", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+        cut = materialize(cut, "cut_digests")
+        drop_stages(spark, made)
     both = cut.join(held, cut["doc_id"].eqNullSafe(held["doc_id"]) & (cut["text_hash"] == held["text_hash"]), "left")
     return both.select(cut["doc_id"], "n_bytes", "n_removed", "n_spans", "kept_sha256", F.coalesce("n_passage_words", F.lit(0)).cast("long").alias("n_passage_words"))
 

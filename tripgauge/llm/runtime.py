@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,8 @@ from pyspark.sql import types as T
 
 #: Text bytes that one step of a batch operator holds at a time; a longer single text forms its own step.
 STEP_BYTES = 8 << 20
+#: Bytes of an Arrow batch that Spark sends to a worker inside ``small_batches`` (about; a longer row forms its own batch).
+BATCH_BYTES = 2 << 20
 
 
 def ship(spark: SparkSession) -> None:
@@ -22,6 +25,19 @@ def ship(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
+@contextmanager
+def small_batches(spark: SparkSession, limit: int = BATCH_BYTES) -> Iterator[None]:
+    """What runs inside sends Arrow batches of about ``limit`` bytes to its workers. By Spark's default a batch has 10,000 rows or
+    64 MB, which an executor holds several times outside its heap, for each task. What is only planned inside isn't bound by it."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(limit))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def steps(batch: pa.RecordBatch, text_col: str, limit: int = STEP_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of ``batch`` with at most ``limit`` text bytes each (one row at least), and their texts as UTF-8; null is empty."""
     texts = batch.column(batch.schema.get_field_index(text_col))
