@@ -262,3 +262,40 @@ def test_shared_anchors_are_joined_once(spark, monkeypatch):
     frame = spark.createDataFrame([(i, same[:60 + i] + str(i) * 50) for i in range(9)], "doc_id long, text string")
     assert {r.doc_id for r in repeats.remove_repeats(frame, length=40, gram=8, crowd=2).filter("n_removed > 0").collect()} == set(range(9))
     assert len(made) == 2 and not any("Join" in plan for plan in made)
+
+
+def test_texts_are_hashed_once(spark, tmp_path, monkeypatch):
+    """The segments are made in one pass over the texts, and what is written for that doesn't stay."""
+    noted, real = str(tmp_path / "texts"), repeats.segments
+
+    def segments(texts, *args):
+        with open(noted, "a") as f:
+            f.writelines(f"{len(x)}\n" for x in texts)
+        return real(texts, *args)
+
+    monkeypatch.setattr(repeats, "segments", segments)
+    rng = random.Random(11)
+    texts = ["".join(rng.choice("abcd") for _ in range(200 + i)) for i in range(40)]
+    texts[3] = "x" + texts[9][20:150] + "y" * 70
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in repeats.remove_repeats(frame, length=40, gram=8).collect()}
+    assert [out[i] for i in range(len(texts))] == brute(texts, 40)
+    with open(noted) as f:
+        assert sorted(map(int, f)) == sorted(map(len, texts))  # each text was there twice
+
+
+@pytest.mark.parametrize("alphabet", [5, 254, 255, 256, 65_534, 65_535, 65_536, 1 << 20])
+def test_prefixes_of_any_alphabet(alphabet):
+    """Characters of 8, 16 and 32 bits are compared several at a time."""
+    rng = random.Random(alphabet)
+    x = [rng.randrange(1, alphabet) for _ in range(60)]
+    x = x * 3 + [alphabet - 1] * 9 + x[:31] + [alphabet] + x[:37]
+    s = np.array([*x, 0], np.int32)
+    sa = suffix_array(s)
+    assert sa.tolist() == sorted(range(len(s)), key=lambda i: s[i:].tolist())
+    plcp = permuted_prefixes(s, sa)
+    for i, j in zip(sa.tolist()[1:], sa.tolist()):
+        n = 0
+        while s[i + n] == s[j + n]:
+            n += 1
+        assert plcp[i] == n

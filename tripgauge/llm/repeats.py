@@ -4,10 +4,10 @@ Every window of ``length`` bytes has an anchor, the k-gram in it with the
 smallest hash; equal windows have equal anchors at the same place. So windows
 are dealt to shards by their anchor, and all equal windows meet in one shard:
 
-1. Anchors that occur once are dropped by a bloom filter of the hashes that
-   occur again (a filter can only let more through).
-2. The bytes covered by the consecutive windows of one anchor are a segment.
-   Equal segments are combined before any text moves: all their windows repeat.
+1. The bytes covered by the consecutive windows of one anchor are a segment.
+   Those of anchors that occur once are dropped by a bloom filter of the hashes
+   that occur again (a filter can only let more through).
+2. Equal segments are combined before any text moves: all their windows repeat.
 3. One copy of each distinct segment goes to its anchor's shard. There the
    suffix array and the permuted common prefixes tell which windows repeat.
 4. An anchor with more than ``crowd`` distinct segments is too large for a
@@ -65,21 +65,26 @@ def _hash_tables(seed: int = 1):
 
 
 class _Hashes:
-    """Hashes of any byte ranges of ``data`` (at most a tile)."""
+    """Hashes of byte ranges of ``data`` (at most a tile)."""
 
     def __init__(self, data: np.ndarray):
         values, powers, self.inverse = _hash_tables()
         self.prefix = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(values[data] * powers[:len(data)], out=self.prefix[1:])
 
-    def __call__(self, start, end):
-        return (self.prefix[end] - self.prefix[start]) * self.inverse[start]
+    def every(self, size: int, stride: int) -> np.ndarray:
+        """Those of all ranges of ``size`` bytes that begin at multiples of ``stride``."""
+        n = len(self.prefix) - size
+        return (self.prefix[size::stride] - self.prefix[:n:stride]) * self.inverse[:n:stride]
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(32))
+    h = h ^ (h >> np.uint64(31))
+    h *= np.uint64(0x94D049BB133111EB)
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(32)
+    return h
 
 
 def _tiles(texts: list[bytes], length: int, stride: int):
@@ -106,26 +111,23 @@ def segments(texts: list[bytes], length: int, gram: int, stride: int = 1):
     for held in _tiles(texts, length, stride):
         data = np.frombuffer(b"".join(p for _, _, p in held), np.uint8)
         ends = np.cumsum([len(p) for _, _, p in held])
-        one = _Hashes(data)
-        place = np.arange(0, len(data) - gram + 1, stride)
-        grams = _mixed(one(place, place + gram))
-        least = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)  # the leftmost of equals
+        starts = ends - np.array([len(p) for _, _, p in held])
+        grams = _mixed(_Hashes(data).every(gram, stride))
+        least = grams & np.uint64(0xFFFFFFFF00000000)
+        least |= np.arange(len(grams), dtype=np.uint64)  # the leftmost of equals
         width, span = 1, (length - gram) // stride + 1
         while 2 * width <= span:
             least = np.minimum(least[:-width], least[width:])
             width *= 2
         if span > width:
             least = np.minimum(least[:len(least) - (span - width)], least[span - width:])
-        anchor = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        window = np.arange(len(anchor))
-        part = np.searchsorted(ends, window * stride, "right")
-        good = window * stride + length <= ends[part]
-        window, anchor, part = window[good], anchor[good], part[good]
-        fresh = np.append(True, (anchor[1:] != anchor[:-1]) | (part[1:] != part[:-1]))
-        first = np.flatnonzero(fresh)
-        begin, last, at, own = window[first], window[np.append(first[1:], len(window)) - 1], anchor[first], part[first]
+        begins, stops = starts // stride, (ends - length) // stride + 1  # a text's windows
+        cuts = np.unique(np.concatenate([begins, stops, np.flatnonzero(least[1:] != least[:-1]) + 1]))
+        part = np.searchsorted(begins, cuts, "right") - 1
+        good = np.flatnonzero(cuts < stops[part])  # windows across texts are none
+        own, begin, last = part[good], cuts[good], cuts[good + 1] - 1
+        at = (least[begin] & np.uint64(0xFFFFFFFF)).astype(np.int64)
         rows, offsets = np.array([r for r, _, _ in held]), np.array([a for _, a, _ in held])
-        starts = ends - np.array([len(p) for _, _, p in held])
         out.append((rows[own], begin * stride - starts[own] + offsets[own], (last - begin) * stride + length, grams[at].view(np.int64), (at - begin) * stride))
     return [np.concatenate([np.zeros(0, np.int64), *(o[i] for o in out)]) for i in range(5)]
 
@@ -360,30 +362,33 @@ def _covered(base: DataFrame, length: int, gram: int, crowd: int, stride: int =
     spark, made = base.sparkSession, []
     base = base.filter(F.octet_length("text") >= length)
 
-    def anchors(batch):
-        for part, texts in steps(batch, "text", STEP):
-            found = segments(texts, length, gram, stride)[3]
-            yield {"anchor": found}
-
-    again = map_batches(base, anchors, _fields(("anchor", _LONG))).groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
-    again = materialize(again.select("anchor"), "anchors", made)
-    listed = spark.sparkContext.broadcast(_bloom(again, F.col("anchor")))
-
     def cut(batch):
         for part, texts in steps(batch, "text", STEP):
-            found = segments(texts, length, gram, stride)
-            may = _passes(listed.value, found[3])
-            row, start, size, anchor, place = (x[may] for x in found)
+            row, start, size, anchor, place = segments(texts, length, gram, stride)
             h1, h2 = _digests(texts[r][a:a + n] for r, a, n in zip(row.tolist(), start.tolist(), size.tolist()))
             at = pa.array(row)
             yield {"anchor": anchor, "h1": h1, "h2": h2, "doc": part.column(0).take(at), "body": part.column(1).take(at),
                    "start": start, "bytes": size, "place": place}
 
+    # Texts are hashed once: all segments are written, without their bytes, and those of anchors that occur once dropped from the table.
     shape = _fields(("anchor", _LONG), ("h1", _LONG), ("h2", _LONG), ("doc", _LONG), ("body", _LONG), ("start", _INT), ("bytes", _INT), ("place", _INT))
-    rows = materialize(map_batches(base, cut, shape), "segments", made)
+    unsifted: list[str] = []
+    every = materialize(map_batches(base, cut, shape), "all_segments", unsifted)
+    again = every.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
+    again = materialize(again.select("anchor"), "anchors", made)
+    listed = spark.sparkContext.broadcast(_bloom(again, F.col("anchor")))
+
+    def may(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(_passes(listed.value, batch.column(0).to_numpy())))
+
+    rows = materialize(every.mapInArrow(may, shape), "segments", made)
+    drop_stages(spark, unsifted)
     key = ["anchor", "h1", "h2"]
-    distinct = rows.groupBy(*key).agg(F.count("*").alias("n"), F.max("bytes").alias("bytes"), F.min(F.struct("doc", "body", "start", "place")).alias("one"))
-    distinct = materialize(distinct.select(*key, (F.col("n") == 1).alias("alone"), "bytes", "one.*"), "distinct_segments", made)
+    # ``first`` takes all its columns from one row, as each is set by the first row a key meets; a struct would be aggregated by sorting.
+    one = [F.first(c).alias(c) for c in ("bytes", "doc", "body", "start", "place")]
+    distinct = rows.groupBy(*key).agg(F.count("*").alias("n"), *one)
+    distinct = materialize(distinct.select(*key, (F.col("n") == 1).alias("alone"), "bytes", "doc", "body", "start", "place"), "distinct_segments", made)
     several = _several(distinct, crowd, made)
     # Written, as a filter and a join are made of each half.
     wanted = materialize(distinct.join(several, "anchor"), "wanted_segments", made)

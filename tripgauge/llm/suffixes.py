@@ -50,23 +50,27 @@ def _walk(sa: np.ndarray, s: np.ndarray, wanted: np.ndarray, at: np.ndarray) ->
     """Goes through ``sa`` from the left; where the character left of a suffix is ``wanted``, the suffix that begins there
     goes to the head ``at`` of its bucket, which is always further on."""
     n, done, width, taken = len(sa), 0, WINDOW[0], 0
+    none = np.iinfo(s.dtype).max  # no character
+    left = np.full(n + 1, none, s.dtype)  # the character left of a suffix, if wanted; of the first and of -1 (an empty entry): none
+    np.copyto(left[1:n], s[:-1], where=wanted[:-1])
     while done < n:
         if done < WORTH * (taken - FREE):
             return _walk_singly(sa, s, wanted, at, done)
         taken += 1
         part = sa[done:done + width]
-        place = np.flatnonzero(part > 0)
-        preds = part[place] - 1
-        own = wanted[preds]
-        place, preds = place[own] + done, preds[own]
+        chars = left[part]
+        place = (chars != none).nonzero()[0]
         stop = end = min(n, done + width)
-        if len(preds):
-            chars = s[preds]
-            filled = np.minimum.accumulate(at[chars])  # the first place that these entries fill
-            late = place[1:] >= filled[:-1]
-            fits = int(late.argmax()) + 1 if late.any() else len(place)
-            stop = min(end, int(filled[fits - 1]))
-            _push(sa, at, preds[:fits], chars[:fits])
+        if len(place):
+            chars = chars[place]
+            goal = at[chars]
+            if goal.min() < end:  # only up to the first place that these entries fill
+                filled = np.minimum.accumulate(goal)
+                late = place[1:] + done >= filled[:-1]
+                fits = int(late.argmax()) + 1 if late.any() else len(place)
+                stop = min(end, int(filled[fits - 1]))
+                place, chars = place[:fits], chars[:fits]
+            _push(sa, at, part[place] - 1, chars)
         width = min(WINDOW[1], 2 * width) if stop == end else max(WINDOW[0], min(width, 2 * (stop - done)))
         done = stop
 
@@ -117,8 +121,8 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     n, k = len(s), int(s.max()) + 1 if len(s) else 1
     if n < 2:
         return np.arange(n)
-    if k <= 1 << 16:
-        s = s.astype(np.uint16)  # numpy sorts these by radix
+    if k < 1 << 16:
+        s = s.astype(np.uint8 if k < 1 << 8 else np.uint16)  # numpy sorts these by radix; the largest number stays free
     small = _types(s)
     lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
     order = _induce(s, small, lms, k)
@@ -148,6 +152,18 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     return _induce(s, small, first, k)
 
 
+def _packed(s: np.ndarray) -> tuple[np.ndarray, int]:
+    """For each place the characters from there on in one 64-bit word, the first one lowest, and the bits of a character."""
+    bits = next(b for b in (8, 16, 32) if int(s.max()) >> b == 0)
+    words = np.zeros(len(s) + 64 // bits, np.uint64)
+    words[:len(s)] = s
+    width = bits
+    while width < 64:  # words of so many bits are joined by two
+        words[:-(width // bits)] |= words[width // bits:] << np.uint64(width)
+        width *= 2
+    return words, bits
+
+
 def permuted_prefixes(s: np.ndarray, sa: np.ndarray) -> np.ndarray:
     """plcp[i]: the common prefix of suffix i and the suffix before it in order.
 
@@ -164,14 +180,14 @@ def permuted_prefixes(s: np.ndarray, sa: np.ndarray) -> np.ndarray:
     plcp = np.zeros(n, np.int32)
     live = np.flatnonzero(own & has)
     other = before[live]
+    words, bits = _packed(s)
     d = 0
-    while len(live):
-        stop = np.maximum(live, other) + d
-        fits = stop < n
-        live, other = live[fits], other[fits]
-        equal = s[live + d] == s[other + d]
-        plcp[live[~equal]] = d
-        live, other = live[equal], other[equal]
-        d += 1
+    while len(live):  # the last character is unique, so suffixes differ before their ends
+        x = words[live + d] ^ words[other + d]
+        differs = x != 0
+        x = x[differs]
+        plcp[live[differs]] = d + (np.frexp((x & (~x + np.uint64(1))).astype(float))[1] - 1) // bits
+        live, other = live[~differs], other[~differs]
+        d += 64 // bits
     at = np.maximum.accumulate(np.where(own, i, np.int32(0)))
     return np.where(own, plcp, np.maximum(plcp[at] - (i - at), 0))
